@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import boundaries_crossed
-from millrace.operators.ordered import add_group_stats, add_prior, add_running, order_statistics, segment_by_value
+from millrace.operators.ordered import (
+    HOT_ROWS,
+    add_group_stats,
+    add_prior,
+    add_running,
+    order_statistics,
+    segment_hot,
+)
 
 
 def cents(col: str | Column) -> Column:
@@ -25,15 +32,17 @@ def exact_median(df: DataFrame, col: str) -> DataFrame:
     return order_statistics(df, col, ranks).agg(F.avg("value").alias("median"))
 
 
-def group_medians(df: DataFrame, keys: Sequence[str], col: str, width: float, out: str = "median") -> DataFrame:
+def group_medians(
+    df: DataFrame, keys: Sequence[str], col: str, out: str = "median", rows: int = HOT_ROWS
+) -> DataFrame:
     """Exact median per group without collecting a group.
 
-    Values are counted per (group, value); running counts over value segments of ``width`` find the
-    middle positions, so a hot group is spread over its value range.
+    Values are counted per (group, value); running counts find the middle positions, and a group with
+    more than ``rows`` distinct values is cut along its value range.
     """
     keys = list(keys)
     counts = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
-    running = add_running(segment_by_value(counts, col, width), keys, [col], {"_through": "_c"})
+    running = add_running(segment_hot(counts, keys, F.col(col), rows), keys, [col], {"_through": "_c"})
     sized = add_group_stats(running, keys, _n=F.sum("_c"))
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
     before = F.col("_through") - F.col("_c")

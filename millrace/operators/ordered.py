@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from millrace.session import materialise
 
 SEG = "_seg"
+HOT_ROWS = 1_000_000  # rows of one key that a single task sorts comfortably
 
 
 def segment_by_time(df: DataFrame, ts: str, seconds: int, out: str = SEG) -> DataFrame:
@@ -27,18 +28,38 @@ def segment_by_time(df: DataFrame, ts: str, seconds: int, out: str = SEG) -> Dat
     return df.withColumn(out, F.floor(epoch / F.lit(seconds * 1_000_000)).cast("long"))
 
 
-def segment_by_value(df: DataFrame, col: str, width: float, out: str = SEG) -> DataFrame:
-    """Cut along a number: segments are ``width`` wide."""
-    return df.withColumn(out, F.floor(F.col(col) / F.lit(width)).cast("long"))
+def segment_hot(
+    df: DataFrame, keys: Sequence[str], position: str | Column, rows: int = HOT_ROWS, out: str = SEG
+) -> DataFrame:
+    """Cut only keys with more than ``rows`` rows, each into slices of about ``rows`` along ``position``.
+
+    Other keys keep one segment, so for them everything built on top is a plain window. The list of
+    hot keys has at most (table rows / ``rows``) entries, which bounds the broadcast. ``position`` is
+    a timestamp column name or a numeric expression.
+    """
+    keys = list(keys)
+    at = time_position(position) if isinstance(position, str) else position
+    n, low, high = F.count(F.lit(1)), F.min(at), F.max(at)
+    hot = df.groupBy(*keys).agg(n.alias("_n"), low.alias("_low"), high.alias("_high")).where(F.col("_n") > rows)
+    width = (F.col("_high") - F.col("_low")) * F.lit(float(rows)) / F.col("_n")
+    hot = hot.select(*keys, F.when(width > 0, width).otherwise(F.lit(1.0)).alias("_width"))
+    placed = _join_back(df, hot, keys, small=True) if keys else df.join(F.broadcast(hot), F.lit(True), "left")
+    return placed.withColumn(out, F.coalesce(F.floor(at / F.col("_width")), F.lit(0)).cast("long")).drop("_width")
+
+
+def time_position(ts: str) -> Column:
+    """Microseconds of a timestamp or date column, as the number line for ``segment_hot``."""
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
 def _sort(cols: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in cols]
 
 
-def _join_back(df: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
+def _join_back(df: DataFrame, summary: DataFrame, on: Sequence[str], small: bool = False) -> DataFrame:
     """Left join on null-safe keys; ``summary`` has one row per key, so rows are not multiplied."""
     renamed = summary.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    renamed = F.broadcast(renamed) if small else renamed
     cond = None
     for c in on:
         part = df[c].eqNullSafe(renamed[f"_r_{c}"])
@@ -94,6 +115,21 @@ def add_prior(
     return joined.withColumns(results).drop("_first", *helper)
 
 
+def _add_cumulative(df, keys, order, values, seg, fold, merge) -> DataFrame:
+    """Cumulative ``fold`` per key: the segment's own running value merged with that of earlier segments."""
+    keys, order = list(keys), list(order)
+    value = {out: (F.col(src) if isinstance(src, str) else src) for out, src in values.items()}
+    window = Window.partitionBy(*keys, seg).orderBy(*_sort(order, False))
+    window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    across = Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
+    totals = df.groupBy(*keys, seg).agg(*[fold(v).alias(f"_t_{out}") for out, v in value.items()])
+    totals = totals.select(*keys, seg, *[fold(f"_t_{out}").over(across).alias(f"_c_{out}") for out in value])
+    body = df.select("*", *[fold(v).over(window).alias(f"_l_{out}") for out, v in value.items()])
+    joined = _join_back(body, totals, [*keys, seg])
+    results = {out: merge(F.col(f"_c_{out}"), F.col(f"_l_{out}")) for out in value}
+    return joined.withColumns(results).drop(*[f"_{p}_{out}" for out in value for p in "lc"])
+
+
 def add_running(
     df: DataFrame,
     keys: Sequence[str],
@@ -102,21 +138,21 @@ def add_running(
     *,
     seg: str = SEG,
 ) -> DataFrame:
-    """Running totals per key (W14): the segment's own running sum plus the total of earlier segments."""
-    keys, order = list(keys), list(order)
-    value = {out: (F.col(src) if isinstance(src, str) else src) for out, src in sums.items()}
-    window = Window.partitionBy(*keys, seg).orderBy(*_sort(order, False))
-    window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    across = Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
-    totals = df.groupBy(*keys, seg).agg(*[F.sum(v).alias(f"_t_{out}") for out, v in value.items()])
-    totals = totals.select(*keys, seg, *[F.sum(f"_t_{out}").over(across).alias(f"_c_{out}") for out in value])
-    body = df.select("*", *[F.sum(v).over(window).alias(f"_l_{out}") for out, v in value.items()])
-    joined = _join_back(body, totals, [*keys, seg])
+    """Running totals per key."""
     zero = F.lit(0)
-    results = {
-        out: F.coalesce(F.col(f"_c_{out}"), zero) + F.coalesce(F.col(f"_l_{out}"), zero) for out in value
-    }
-    return joined.withColumns(results).drop(*[f"_{p}_{out}" for out in value for p in "lc"])
+    return _add_cumulative(df, keys, order, sums, seg, F.sum, lambda c, x: F.coalesce(c, zero) + F.coalesce(x, zero))
+
+
+def add_running_max(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: Mapping[str, str | Column],
+    *,
+    seg: str = SEG,
+) -> DataFrame:
+    """Running maxima per key; null until the first non-null value."""
+    return _add_cumulative(df, keys, order, values, seg, F.max, F.greatest)
 
 
 def add_sequence(
