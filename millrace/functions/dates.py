@@ -44,8 +44,8 @@ MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT",
 
 def month_number(abbreviation: Column) -> Column:
     """1–12 for a three-letter English month in any case, null otherwise."""
-    place = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.upper(F.trim(abbreviation)))
-    return F.when(place > 0, place).cast("int")
+    place = F.instr(F.lit("".join(MONTHS)), F.upper(F.trim(abbreviation))) - 1
+    return F.when((place >= 0) & (place % 3 == 0), (place / 3 + 1).cast("int"))
 
 
 def period_start(col: Column) -> Column:

@@ -10,7 +10,16 @@ from millrace.operators import versioning as vs
 from millrace.operators.aggregate import cents
 from millrace.plans.registry import Tables, query
 
-V1, V2 = F.lit("2024-01-01").cast("date"), F.lit("2024-01-02").cast("date")
+
+
+def v1():
+    return F.lit("2024-01-01").cast("date")
+
+
+def v2():
+    return F.lit("2024-01-02").cast("date")
+
+
 KEY, VALUE = ["o_orderkey"], ["o_totalprice"]
 
 
@@ -28,8 +37,8 @@ def second_snapshot(t: Tables):
 
 
 def captured_history(t: Tables):
-    first = first_snapshot(t).select("*", V1.alias("version"), F.lit("I").alias("status"))
-    second = vs.changes(second_snapshot(t), vs.latest(first, KEY), KEY, VALUE, V2)
+    first = first_snapshot(t).select("*", v1().alias("version"), F.lit("I").alias("status"))
+    second = vs.changes(second_snapshot(t), vs.latest(first, KEY), KEY, VALUE, v2())
     return first.unionByName(second)
 
 
@@ -48,7 +57,7 @@ hist AS (SELECT o_orderkey, o_totalprice, DATE '2024-01-01' AS version, 'I' AS s
 
 @query("V01 V02 V03", f"WITH {SNAPS} SELECT * FROM chg")
 def change_capture(t: Tables):
-    return captured_history(t).where(F.col("version") == V2)
+    return captured_history(t).where(F.col("version") == v2())
 
 
 @query(
@@ -71,7 +80,7 @@ def latest_with_deleted_first(t: Tables):
 
 @query("W02", f"WITH {SNAPS} SELECT * FROM hist WHERE version <= DATE '2024-01-01'")
 def asof_first_version(t: Tables):
-    return vs.latest(captured_history(t), KEY, asof=V1)
+    return vs.latest(captured_history(t), KEY, asof=v1())
 
 
 @query(
@@ -92,21 +101,21 @@ def capture_counts(t: Tables):
 def attribute_change_rows(t: Tables):
     now = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     old = F.when(F.col("c_custkey") % 5 == 0, "OLD").otherwise(F.col("c_mktsegment"))
-    return vs.attribute_changes(now, now.where("c_custkey % 9 <> 0").withColumn("c_mktsegment", old), V2)
+    return vs.attribute_changes(now, now.where("c_custkey % 9 <> 0").withColumn("c_mktsegment", old), v2())
 
 
 def scd_target(t: Tables):
     """Current and expired customer rows before the run."""
     old = F.when(F.col("c_custkey") % 5 == 0, F.col("c_acctbal") + 10).otherwise(F.col("c_acctbal"))
     base = t.customer.where("c_custkey % 9 <> 0").select(
-        "c_custkey", "c_mktsegment", old.alias("c_acctbal"), F.lit("I").alias("recstatus"), V1.alias("recfromdate"),
+        "c_custkey", "c_mktsegment", old.alias("c_acctbal"), F.lit("I").alias("recstatus"), v1().alias("recfromdate"),
         F.lit(None).cast("date").alias("recexpirydate"),
     )
     earlier = base.where("c_custkey % 4 = 0").withColumns(
         {
             "c_acctbal": F.col("c_acctbal") - 5,
             "recfromdate": F.lit("2023-01-01").cast("date"),
-            "recexpirydate": V1,
+            "recexpirydate": v1(),
         }
     )
     return base.unionByName(earlier)
@@ -131,7 +140,7 @@ res AS (SELECT * FROM old
 
 @query("V08", f"WITH {SCD} SELECT * FROM res")
 def scd2_customers(t: Tables):
-    return vs.scd2_merge(scd_target(t), scd_source(t), ["c_custkey"], ["c_mktsegment", "c_acctbal"], V2)
+    return vs.scd2_merge(scd_target(t), scd_source(t), ["c_custkey"], ["c_mktsegment", "c_acctbal"], v2())
 
 
 @query(
@@ -141,8 +150,8 @@ def scd2_customers(t: Tables):
     count_if(recexpirydate = DATE '2024-01-02' AND recstatus = 'D')::BIGINT AS recsdeleted FROM res""",
 )
 def scd2_run_counts(t: Tables):
-    merged = vs.scd2_merge(scd_target(t), scd_source(t), ["c_custkey"], ["c_mktsegment", "c_acctbal"], V2)
-    return vs.scd2_counts(merged, V2)
+    merged = vs.scd2_merge(scd_target(t), scd_source(t), ["c_custkey"], ["c_mktsegment", "c_acctbal"], v2())
+    return vs.scd2_counts(merged, v2())
 
 
 @query(
@@ -251,9 +260,8 @@ def wide_months_to_series(t: Tables):
         *[F.when(F.month("o_orderdate") == i, cents("o_totalprice")).alias(n) for i, n in enumerate(names, start=1)],
     )
     long = rs.melt(wide, ["o_orderpriority"], names, "header", "value", not_null=["value"])
-    return long.groupBy("o_orderpriority", period_start(F.col("header")).alias("month")).agg(
-        F.sum("value").cast("double").alias("value")
-    )
+    sums = long.groupBy("o_orderpriority", "header").agg(F.sum("value").cast("double").alias("value"))
+    return sums.select("o_orderpriority", period_start(F.col("header")).alias("month"), "value")
 
 
 @query(
@@ -368,8 +376,8 @@ COUNTS = """c AS (SELECT o_custkey, DATE '2024-01-01' AS version, count(*) AS n
     FROM l WHERE prior_rowcount <> current_rowcount""",
 )
 def rowcount_mismatch(t: Tables):
-    before = ql.count_snapshot(t.orders.where("o_orderkey % 3 <> 0"), "o_custkey", V1)
-    return ql.mismatch_from_prior(before.unionByName(ql.count_snapshot(t.orders, "o_custkey", V2)), "o_custkey")
+    before = ql.count_snapshot(t.orders.where("o_orderkey % 3 <> 0"), "o_custkey", v1())
+    return ql.mismatch_from_prior(before.unionByName(ql.count_snapshot(t.orders, "o_custkey", v2())), "o_custkey")
 
 
 @query(

@@ -216,7 +216,7 @@ def unit_ramp_rates(t: Tables):
 BANDS = " ".join(f"WHEN load < {i / 10} * capacity THEN '< {i}0%'" for i in range(1, 10))
 PROFILE = f"""{UNIT_HOURS}, b AS (SELECT kind, unit, CASE {BANDS.replace("< 10%", "< 10%")} WHEN load <= capacity THEN '<100%' ELSE '>100%' END AS bucket
   FROM u JOIN cap USING (kind, unit)),
-prof AS (SELECT kind, unit, bucket, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY kind, unit) AS share FROM b GROUP BY ALL)"""
+prof AS (SELECT kind, unit, bucket, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY kind, unit) AS share FROM b GROUP BY kind, unit, bucket)"""
 
 
 @query("W07 P28", f"WITH {PROFILE} SELECT * FROM prof")
