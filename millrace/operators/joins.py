@@ -137,9 +137,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFra
 
 
 def range_lookup(
-    facts: DataFrame, table: DataFrame, key: str, table_key: str, value: str, out: str, rows: int = HOT_ROWS
+    facts: DataFrame, table: DataFrame, key: str, table_key: str, value: str, out: str, *,
+    larger: bool = False, rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Value of the greatest table key not above the fact key.
+    """Value of the greatest table key not above the fact key; with ``larger``, of the exact key
+    or else the next greater one.
 
     The search runs over distinct fact keys, so a value held by many rows is looked up once.
     """
@@ -148,5 +150,9 @@ def range_lookup(
     b = table.groupBy(F.col(table_key).cast("double").alias("_at")).agg(F.max(value).alias("_value"))
     b = b.select("_at", F.lit(0).alias("_side"), "_value")
     stacked = segment_hot(a.unionByName(b, allowMissingColumns=True), [], F.col("_at"), rows)
-    found = add_asof(stacked, [], ["_at", "_side"], {out: "_value"}).where(F.col("_side") == 1)
+    if larger:
+        found = add_asof(stacked.withColumn("_side", -F.col("_side")), [], ["_at", "_side"], {out: "_value"}, following=True)
+        found = found.where(F.col("_side") == -1)
+    else:
+        found = add_asof(stacked, [], ["_at", "_side"], {out: "_value"}).where(F.col("_side") == 1)
     return facts.join(found.select("_at", out), F.col(key).cast("double").eqNullSafe(F.col("_at")), "left").drop("_at")

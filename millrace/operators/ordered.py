@@ -169,9 +169,12 @@ def add_asof(
     cols: Mapping[str, str],
     *,
     seg: str = SEG,
+    following: bool = False,
 ) -> DataFrame:
-    """Latest non-null value at or before each row (J11, J18): the building block of an as-of join."""
-    prior = add_prior(df, keys, order, {f"_p_{out}": src for out, src in cols.items()}, seg=seg, ignore_nulls=True)
+    """Latest non-null value at or before each row (J11, J18): the building block of an as-of join.
+    ``following`` gives the first one at or after the row."""
+    wanted = {f"_p_{out}": src for out, src in cols.items()}
+    prior = add_prior(df, keys, order, wanted, seg=seg, ignore_nulls=True, following=following)
     found = {out: F.coalesce(F.col(src), F.col(f"_p_{out}")) for out, src in cols.items()}
     return prior.withColumns(found).drop(*[f"_p_{out}" for out in cols])
 

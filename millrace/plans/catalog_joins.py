@@ -291,6 +291,17 @@ def price_band_lookup(t: Tables):
     return jn.range_lookup(facts, grid, "o_totalprice", "lo", "brand", "brand")
 
 
+@query(
+    "J18",
+    """WITH g AS (SELECT p_size * 2000.0 AS hi, max(p_brand) AS brand FROM part GROUP BY 1)
+    SELECT o_orderkey, brand FROM orders ASOF LEFT JOIN g ON o_totalprice <= hi""",
+)
+def price_band_above(t: Tables):
+    grid = t.part.groupBy((F.col("p_size") * 2000.0).alias("hi")).agg(F.max("p_brand").alias("brand"))
+    facts = t.orders.select("o_orderkey", "o_totalprice")
+    return jn.range_lookup(facts, grid, "o_totalprice", "hi", "brand", "brand", larger=True).drop("o_totalprice")
+
+
 @query(
     "J20",
     """SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders WHERE o_orderstatus = 'F')
