@@ -1,10 +1,11 @@
-"""Ordered computations that keep no whole group in one task.
+"""Ordered computations that keep no whole hot group in one task.
 
 A plain window over ``partitionBy(key)`` sorts every row of a key in a single task, so one hot key
-stalls the job. Here the rows of a key are cut into *segments* along the order column; each
-``(key, segment)`` is a window of its own, and one summary row per segment carries the state across
-segment borders. The summary window is over segments only, so its size follows the calendar or
-value range and not the number of rows.
+stalls the job. ``segment_hot`` cuts the rows of hot keys, and only those, into *segments* along the
+order column. Every ``(key, segment)`` is then a window of its own, and one summary row per segment
+carries the state across segment borders. There are about (hot rows / ``HOT_ROWS``) segments, so the
+summaries are broadcast and the rows themselves are shuffled once, as for a plain window; operators
+chained on the same keys share that shuffle.
 
 For an order over the whole table, ``global_order`` uses the range-partitioned sort.
 """
@@ -22,20 +23,14 @@ SEG = "_seg"
 HOT_ROWS = 1_000_000  # rows of one key that a single task sorts comfortably
 
 
-def segment_by_time(df: DataFrame, ts: str, seconds: int, out: str = SEG) -> DataFrame:
-    """Cut along a timestamp: rows of the same ``seconds``-wide slot share a segment."""
-    epoch = F.unix_micros(F.col(ts).cast("timestamp"))
-    return df.withColumn(out, F.floor(epoch / F.lit(seconds * 1_000_000)).cast("long"))
-
-
 def segment_hot(
     df: DataFrame, keys: Sequence[str], position: str | Column, rows: int = HOT_ROWS, out: str = SEG
 ) -> DataFrame:
     """Cut only keys with more than ``rows`` rows, each into slices of about ``rows`` along ``position``.
 
-    Other keys keep one segment, so for them everything built on top is a plain window. The list of
-    hot keys has at most (table rows / ``rows``) entries, which bounds the broadcast. ``position`` is
-    a timestamp column name or a numeric expression.
+    Other keys get the null segment, so for them everything built on top is a plain window. The list
+    of hot keys has at most (table rows / ``rows``) entries, which bounds the broadcast. ``position``
+    is a timestamp column name or a numeric expression.
     """
     keys = list(keys)
     at = time_position(position) if isinstance(position, str) else position
@@ -44,7 +39,7 @@ def segment_hot(
     width = (F.col("_high") - F.col("_low")) * F.lit(float(rows)) / F.col("_n")
     hot = hot.select(*keys, F.when(width > 0, width).otherwise(F.lit(1.0)).alias("_width"))
     placed = _join_back(df, hot, keys, small=True) if keys else df.join(F.broadcast(hot), F.lit(True), "left")
-    return placed.withColumn(out, F.coalesce(F.floor(at / F.col("_width")), F.lit(0)).cast("long")).drop("_width")
+    return placed.withColumn(out, F.floor(at / F.col("_width")).cast("long")).drop("_width")
 
 
 def time_position(ts: str) -> Column:
@@ -102,11 +97,11 @@ def add_prior(
             ends.append(pick(F.col(src), position).alias(f"_e_{out}"))
             carried[f"_c_{out}"] = F.lag(F.col(f"_e_{out}")).over(across)
 
-    summary = df.groupBy(*keys, seg).agg(*ends)
+    summary = df.where(F.col(seg).isNotNull()).groupBy(*keys, seg).agg(*ends)
     summary = summary.select(*keys, seg, *[expr.alias(name) for name, expr in carried.items()])
     first = F.row_number().over(window) == 1
     body = df.select("*", *[expr.alias(name) for name, expr in local.items()], first.alias("_first"))
-    joined = _join_back(body, summary, [*keys, seg])
+    joined = _join_back(body, summary, [*keys, seg], small=True)
     results = {}
     for out in cols:
         here, carry = F.col(f"_l_{out}"), F.col(f"_c_{out}")
@@ -122,10 +117,10 @@ def _add_cumulative(df, keys, order, values, seg, fold, merge) -> DataFrame:
     window = Window.partitionBy(*keys, seg).orderBy(*_sort(order, False))
     window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     across = Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
-    totals = df.groupBy(*keys, seg).agg(*[fold(v).alias(f"_t_{out}") for out, v in value.items()])
+    totals = df.where(F.col(seg).isNotNull()).groupBy(*keys, seg).agg(*[fold(v).alias(f"_t_{out}") for out, v in value.items()])
     totals = totals.select(*keys, seg, *[fold(f"_t_{out}").over(across).alias(f"_c_{out}") for out in value])
     body = df.select("*", *[fold(v).over(window).alias(f"_l_{out}") for out, v in value.items()])
-    joined = _join_back(body, totals, [*keys, seg])
+    joined = _join_back(body, totals, [*keys, seg], small=True)
     results = {out: merge(F.col(f"_c_{out}"), F.col(f"_l_{out}")) for out in value}
     return joined.withColumns(results).drop(*[f"_{p}_{out}" for out in value for p in "lc"])
 
@@ -158,7 +153,7 @@ def add_running_max(
 def add_sequence(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "seq", *, seg: str = SEG
 ) -> DataFrame:
-    """``row_number`` per key (W04), built as a running count over segments."""
+    """``row_number`` per key (W04), as a running count."""
     return add_running(df, keys, order, {out: F.lit(1).cast("long")}, seg=seg)
 
 

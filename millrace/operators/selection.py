@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.stats import chi2_tail, f_tail, lag_matrix, ols
@@ -68,10 +68,13 @@ def pair_information(binned: DataFrame, pairs: Sequence[tuple[str, str]], suffix
         ]
     )
     joint = binned.select(F.inline(cells)).groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).alias("c"))
-    # from here on there are at most pairs × bins² rows
-    joint = add_group_stats(joint, ["a", "b", "x"], _cx=F.sum("c"))
-    joint = add_group_stats(joint, ["a", "b", "y"], _cy=F.sum("c"))
-    joint = add_group_stats(joint, ["a", "b"], _n=F.sum("c"))
+    # from here on there are at most pairs × bins² rows, so windows per pair are small
+    joint = joint.select(
+        "*",
+        F.sum("c").over(Window.partitionBy("a", "b", "x")).alias("_cx"),
+        F.sum("c").over(Window.partitionBy("a", "b", "y")).alias("_cy"),
+        F.sum("c").over(Window.partitionBy("a", "b")).alias("_n"),
+    )
     term = F.col("c") / F.col("_n") * F.ln(F.col("c") * F.col("_n") / (F.col("_cx") * F.col("_cy")))
     return joint.groupBy("a", "b").agg(F.sum(term).alias("mi"))
 
@@ -97,8 +100,10 @@ def network_nodes(edges: DataFrame) -> DataFrame:
 
 
 def scaled_score(scores: DataFrame, column: str, out: str) -> DataFrame:
-    stats = add_group_stats(scores, [], _lo=F.min(column), _hi=F.max(column))
-    return stats.withColumn(out, F.try_divide(F.col(column) - F.col("_lo"), F.col("_hi") - F.col("_lo"))).drop("_lo", "_hi")
+    """Score scaled to [0, 1]; the table has one row per feature."""
+    every = Window.partitionBy(F.lit(1))
+    low, high = F.min(column).over(every), F.max(column).over(every)
+    return scores.select("*", F.try_divide(F.col(column) - low, high - low).alias(out))
 
 
 # ---- correlation
