@@ -16,6 +16,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import materialise
 
@@ -29,8 +30,9 @@ def segment_hot(
     """Cut only keys with more than ``rows`` rows, each into slices of about ``rows`` along ``position``.
 
     Other keys get the null segment, so for them everything built on top is a plain window. The list
-    of hot keys has at most (table rows / ``rows``) entries, which bounds the broadcast. ``position``
-    is a timestamp column name or a numeric expression.
+    of hot keys has at most (table rows / ``rows``) entries, which bounds the broadcast. It is
+    computed eagerly, by one aggregation over the key and position. ``position`` is a timestamp
+    column name or a numeric expression.
     """
     keys = list(keys)
     at = time_position(position) if isinstance(position, str) else position
@@ -38,10 +40,19 @@ def segment_hot(
     hot = df.groupBy(*keys).agg(n.alias("_n"), low.alias("_low"), high.alias("_high")).where(F.col("_n") > rows)
     width = (F.col("_high") - F.col("_low")) * F.lit(float(rows)) / F.col("_n")
     hot = hot.select(*keys, F.when(width > 0, width).otherwise(F.lit(1.0)).alias("_width"))
+    # counted once, before the plan is built: without hot keys nothing else is added to it
+    hot = materialise(hot, "hot")
+    if hot.isEmpty():
+        return df.withColumn(out, F.lit(None))
     placed = _join_back(df, hot, keys, small=True) if keys else df.join(F.broadcast(hot), F.lit(True), "left")
     return placed.withColumn(out, F.floor(at / F.col("_width")).cast("long")).drop("_width")
 
 
+def _segmented(df: DataFrame, seg: str) -> bool:
+    """False when ``segment_hot`` found no hot key and left an untyped null column."""
+    return not isinstance(df.schema[seg].dataType, T.NullType)
+
+
 def time_position(ts: str) -> Column:
     """Microseconds of a timestamp or date column, as the number line for ``segment_hot``."""
     return F.unix_micros(F.col(ts).cast("timestamp"))
@@ -78,6 +89,12 @@ def add_prior(
     ``order`` must be unique within a key and non-null.
     """
     keys, order = list(keys), list(order)
+    if not _segmented(df, seg):
+        window = Window.partitionBy(*keys).orderBy(*_sort(order, following))
+        before = window.rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns(
+            {o: F.last(F.col(c), True).over(before) if ignore_nulls else F.lag(F.col(c)).over(window) for o, c in cols.items()}
+        )
     window = Window.partitionBy(*keys, seg).orderBy(*_sort(order, following))
     across = Window.partitionBy(*keys).orderBy(*_sort([seg], following))
     before = window.rowsBetween(Window.unboundedPreceding, -1)
@@ -114,6 +131,11 @@ def _add_cumulative(df, keys, order, values, seg, fold, merge) -> DataFrame:
     """Cumulative ``fold`` per key: the segment's own running value merged with that of earlier segments."""
     keys, order = list(keys), list(order)
     value = {out: (F.col(src) if isinstance(src, str) else src) for out, src in values.items()}
+    if not _segmented(df, seg):
+        plain = Window.partitionBy(*keys).orderBy(*_sort(order, False))
+        plain = plain.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        none = F.lit(None)
+        return df.withColumns({out: merge(none, fold(v).over(plain)) for out, v in value.items()})
     window = Window.partitionBy(*keys, seg).orderBy(*_sort(order, False))
     window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     across = Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
