@@ -145,7 +145,7 @@ def range_lookup(
 
     The search runs over distinct fact keys, so a value held by many rows is looked up once.
     """
-    wanted = facts.select(F.col(key).cast("double").alias("_at")).distinct()
+    wanted = facts.select(F.col(key).cast("double").alias("_at")).where(F.col("_at").isNotNull()).distinct()
     a = wanted.select("_at", F.lit(1).alias("_side"))
     b = table.groupBy(F.col(table_key).cast("double").alias("_at")).agg(F.max(value).alias("_value"))
     b = b.select("_at", F.lit(0).alias("_side"), "_value")
@@ -155,4 +155,4 @@ def range_lookup(
         found = found.where(F.col("_side") == -1)
     else:
         found = add_asof(stacked, [], ["_at", "_side"], {out: "_value"}).where(F.col("_side") == 1)
-    return facts.join(found.select("_at", out), F.col(key).cast("double").eqNullSafe(F.col("_at")), "left").drop("_at")
+    return facts.join(found.select("_at", out), F.col(key).cast("double") == F.col("_at"), "left").drop("_at")

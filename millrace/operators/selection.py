@@ -150,9 +150,10 @@ def block_sums(df: DataFrame, target: str, features: Sequence[str], blocks: int,
     return sums.select("block", F.array(*[F.col(f"s{i}_{j}") for i, j in upper]).alias("sums"))
 
 
-def in_fixed_order(arrays) -> list[np.ndarray]:
-    """Block sums in an order that does not depend on the shuffle."""
-    return sorted((np.asarray(a) for a in arrays), key=lambda a: a.tobytes())
+def gathered_sums(sums: DataFrame) -> DataFrame:
+    """All block sums as one row with an array ordered by block (its size is the number of blocks)."""
+    blocks = F.sort_array(F.collect_list(F.struct("block", "sums")))
+    return sums.agg(F.transform(blocks, lambda b: b["sums"]).alias("all"))
 
 
 def unpack_sums(flat: np.ndarray, size: int) -> np.ndarray:
@@ -236,14 +237,14 @@ def lasso(df: DataFrame, target: str, features: Sequence[str], folds: int = 10,
     def fit(batches):
         for pdf in batches:
             for arrays in pdf["all"]:
-                mats = [unpack_sums(a, size) for a in in_fixed_order(arrays)]
+                mats = [unpack_sums(np.asarray(a), size) for a in arrays]
                 coef = lasso_cv(mats, one_se=one_se)[1:]
                 clipped = np.maximum(coef, 0)
                 span = clipped.max() - clipped.min()
                 score = (clipped - clipped.min()) / span if span else np.zeros(len(names))
                 yield pd.DataFrame({"name": names, "coefficient": coef, "score": score})
 
-    sums = block_sums(df, target, features, folds, seed).agg(F.collect_list("sums").alias("all"))  # `folds` arrays
+    sums = gathered_sums(block_sums(df, target, features, folds, seed))
     out = sums.mapInPandas(fit, "name string, coefficient double, score double")
     return out.where(F.col("coefficient") != 0) if nonzero else out
 
@@ -257,14 +258,14 @@ def stability_selection(df: DataFrame, target: str, features: Sequence[str], rou
     a table of ``blocks`` rows.
     """
     names, size = list(features), len(features) + 2
-    sums = block_sums(df, target, features, blocks, seed).agg(F.collect_list("sums").alias("all"))  # `blocks` arrays
+    sums = gathered_sums(block_sums(df, target, features, blocks, seed))
 
     def fit(batches):
         for pdf in batches:
             out = []
             for round_id, arrays in zip(pdf["round"], pdf["all"]):
                 rng = np.random.default_rng([seed, int(round_id)])
-                mats = in_fixed_order(arrays)
+                mats = [np.asarray(a) for a in arrays]
                 weights = rng.uniform(alpha, 1.0, len(names))
                 order = rng.permutation(len(mats))
                 for half in (order[: len(order) // 2], order[len(order) // 2 :]):
