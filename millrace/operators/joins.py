@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import HOT_ROWS, add_asof, segment_hot
+from millrace.operators.ordered import HOT_ROWS, add_asof, attach_row, segment_hot
 
 
 def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -87,13 +87,13 @@ def asof(
     return filled.where(F.col("_side") == 1).select("_row.*", *[F.col(f"_last.{out}").alias(out) for out in values])
 
 
-def in_interval(facts: DataFrame, intervals: DataFrame, ts: Column, start: str, end: str, extra: Column | None = None,
-                how: str = "left") -> DataFrame:
-    """Attach the calendar interval holding a time. ``intervals`` has one row per year or the
-    like (bounded by the calendar), which is why it may be broadcast."""
-    cond = (ts >= F.col(start)) & (ts < F.col(end))
-    if extra is not None:
-        cond = cond & extra
+def in_interval(
+    facts: DataFrame, intervals: DataFrame, ts: Column, start: str, end: str, same: Column, how: str = "left"
+) -> DataFrame:
+    """Attach the calendar interval holding a time. ``same`` is an equality that names the
+    candidate (the year), so this stays an equi join. ``intervals`` has one row per year or the like
+    (bounded by the calendar), which is why it may be broadcast."""
+    cond = same & (ts >= F.col(start)) & (ts < F.col(end))
     return facts.join(F.broadcast(intervals), cond, how)
 
 
@@ -133,7 +133,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFra
     """Keys holding at least ``share`` of all rows: at most ``1/share`` of them."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = df.agg(F.count(F.lit(1)).alias("_all"))
-    return counts.join(F.broadcast(total), F.col("_n") >= F.col("_all") * share).select(*keys)
+    return attach_row(counts, total).where(F.col("_n") >= F.col("_all") * share).select(*keys)
 
 
 def range_lookup(

@@ -18,7 +18,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import add_group_stats, global_order, top_per_key
+from millrace.operators.ordered import add_group_stats, attach_row, global_order, top_per_key
 
 # ---- supervised models
 
@@ -115,7 +115,7 @@ def permutation_importance(df: DataFrame, target: str, features: Sequence[str],
         mixed = model.transform(assembled(numbered.drop(column).join(shuffled, "_at"), features, target))
         out = out.unionByName(mixed.agg(F.avg(error).alias("mse")).select(F.lit(column).alias("name"), "mse"))
     start = out.where("name = ''").select(F.col("mse").alias("_base"))
-    return out.where("name <> ''").join(F.broadcast(start), F.lit(True)).select("name", (F.col("mse") - F.col("_base")).alias("importance"))
+    return attach_row(out.where("name <> ''"), start).select("name", (F.col("mse") - F.col("_base")).alias("importance"))
 
 
 # ---- clusters of series
@@ -132,7 +132,7 @@ def series_vectors(series: DataFrame) -> DataFrame:
     place = dates.select("date", (F.row_number().over(Window.orderBy("date")) - 1).alias("pos"))  # one row per period
     size = dates.agg(F.count(F.lit(1)).cast("int").alias("_size"))
     cells = z.join(F.broadcast(place), "date").groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("pos", "z"))).alias("m"))
-    filled = cells.join(F.broadcast(size), F.lit(True))
+    filled = attach_row(cells, size)
     vector = F.transform(F.sequence(F.lit(0), F.col("_size") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
     return filled.select("name", array_to_vector(vector).alias("features"))
 
@@ -294,5 +294,5 @@ def best_threshold(scored: DataFrame, density: str, label: str, steps: int = 100
     total = counts.agg(F.sum("hits").alias("positives"))
     running = counts.select("step", (F.col("lo") + F.col("step") * F.col("width")).alias("epsilon"), F.sum("n").over(upto).alias("marked"), F.sum("hits").over(upto).alias("tp"))
     f1 = F.try_divide(2 * F.col("tp"), F.col("marked") + F.col("positives"))
-    rated = running.where(F.col("step") < steps).join(F.broadcast(total), F.lit(True)).select("step", "epsilon", f1.alias("f1"))
+    rated = attach_row(running.where(F.col("step") < steps), total).select("step", "epsilon", f1.alias("f1"))
     return rated.orderBy(F.desc_nulls_last("f1"), "step").limit(1)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,12 @@ SEG = "_seg"
 HOT_ROWS = 1_000_000  # rows of one key that a single task sorts comfortably
 
 
+def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame to every row, as a scalar subquery (no join); null if empty."""
+    fields = [F.col(f"_row.{c}").alias(c) for c in row.columns]
+    return df.withColumn("_row", row.select(F.struct("*")).scalar()).select(*df.columns, *fields)
+
+
 def segment_hot(
     df: DataFrame, keys: Sequence[str], position: str | Column, rows: int = HOT_ROWS, out: str = SEG
 ) -> DataFrame:
@@ -41,10 +47,11 @@ def segment_hot(
     width = (F.col("_high") - F.col("_low")) * F.lit(float(rows)) / F.col("_n")
     hot = hot.select(*keys, F.when(width > 0, width).otherwise(F.lit(1.0)).alias("_width"))
     # counted once, before the plan is built: without hot keys nothing else is added to it
-    hot = materialise(hot, "hot")
-    if hot.isEmpty():
+    seen = Observation()
+    hot = materialise(hot.observe(seen, F.count(F.lit(1)).alias("hot")), "hot")
+    if not seen.get["hot"]:
         return df.withColumn(out, F.lit(None))
-    placed = _join_back(df, hot, keys, small=True) if keys else df.join(F.broadcast(hot), F.lit(True), "left")
+    placed = _join_back(df, hot, keys, small=True) if keys else attach_row(df, hot)
     return placed.withColumn(out, F.floor(at / F.col("_width")).cast("long")).drop("_width")
 
 
@@ -233,14 +240,13 @@ def global_running(df: DataFrame, order: Sequence[Column], value: str, out: str)
 def global_ntile(df: DataFrame, order: Sequence[Column], n: int, out: str = "tile") -> DataFrame:
     """``ntile(n)`` over the whole table: larger tiles first, as in SQL."""
     ranked = global_order(df, order, "_rn")
-    total = ranked.agg(F.count(F.lit(1)).alias("_total"))  # one row
+    total = ranked.agg(F.count(F.lit(1)).alias("_total"))
     small, extra = F.floor(F.col("_total") / n), F.col("_total") % n
     edge = extra * (small + 1)
     tile = F.when(F.col("_rn") <= edge, F.floor((F.col("_rn") - 1) / (small + 1)) + 1).otherwise(
         extra + F.floor((F.col("_rn") - 1 - edge) / F.greatest(small, F.lit(1))) + 1
     )
-    joined = ranked.join(F.broadcast(total), F.lit(True))
-    return joined.withColumn(out, tile.cast("int")).drop("_rn", "_total")
+    return attach_row(ranked, total).withColumn(out, tile.cast("int")).drop("_rn", "_total")
 
 
 def global_rank(df: DataFrame, col: str, out: str = "rank", *, descending: bool = False) -> DataFrame:
@@ -259,9 +265,10 @@ def order_statistics(df: DataFrame, col: str, ranks: DataFrame, rank_col: str =
     histogram = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_count"))
     ranked = global_running(histogram, [F.col(col).asc()], "_count", "_through")
     spans = ranked.select(F.col(col).alias("value"), (F.col("_through") - F.col("_count")).alias("_from"), "_through")
-    wanted = F.broadcast(ranks)
-    hit = (wanted[rank_col] > spans["_from"]) & (wanted[rank_col] <= spans["_through"])
-    return wanted.join(spans, hit).select(*ranks.columns, "value")
+    listed = ranks.agg(F.collect_list(rank_col).alias("_ranks"))
+    inside = F.filter("_ranks", lambda r: (r > F.col("_from")) & (r <= F.col("_through")))
+    held = attach_row(spans, listed).select("value", inside.alias("_hit")).where(F.size("_hit") > 0)
+    return held.select(F.explode("_hit").alias(rank_col), "value")
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int = 1) -> DataFrame:
@@ -282,5 +289,5 @@ def add_group_stats(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataF
     keys = list(keys)
     stats = df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in aggs.items()])
     if not keys:
-        return df.join(F.broadcast(stats), F.lit(True))  # one row
+        return attach_row(df, stats)
     return _join_back(df, stats, keys)

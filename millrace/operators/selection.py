@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.stats import chi2_tail, f_tail, lag_matrix, ols
-from millrace.operators.ordered import add_group_stats, global_order, global_running
+from millrace.operators.ordered import add_group_stats, attach_row, global_order, global_running
 from millrace.operators.series import difference_order
 
 # ---- mutual information
@@ -31,13 +31,19 @@ def equal_frequency_cuts(df: DataFrame, columns: Sequence[str], bins: int) -> di
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
     counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_c"))
     running = global_running(counts, [F.asc("column"), F.asc("value")], "_c", "_through")
-    placed = add_group_stats(running, ["column"], _n=F.sum("_c"), _end=F.max("_through"))
-    through = F.col("_through") - F.col("_end") + F.col("_n")
+    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()  # one number per column
+    before, offsets = 0, {}
+    for c in sorted(columns):
+        offsets[c] = before
+        before += sizes[c]
+    lookup = F.create_map(*[F.lit(x) for c in columns for x in (c, offsets[c])])
+    total = F.create_map(*[F.lit(x) for c in columns for x in (c, sizes[c])])
+    through = F.col("_through") - F.try_element_at(lookup, "column")
 
     def cuts_up_to(position: Column) -> Column:
-        return F.least(F.floor(position * bins / F.col("_n")), F.lit(bins - 1))
+        return F.least(F.floor(position * bins / F.try_element_at(total, "column")), F.lit(bins - 1))
 
-    hits = placed.where(cuts_up_to(through) > cuts_up_to(through - F.col("_c")))
+    hits = running.where(cuts_up_to(through) > cuts_up_to(through - F.col("_c")))
     cuts = {c: [] for c in columns}
     for row in hits.select("column", "value").collect():
         cuts[row["column"]].append(float(row["value"]))
@@ -279,7 +285,7 @@ def stability_selection(df: DataFrame, target: str, features: Sequence[str], rou
 
     spark = df.sparkSession
     todo = spark.range(rounds).withColumnRenamed("id", "round").repartition(min(rounds, 256))
-    fits = todo.join(F.broadcast(sums), F.lit(True)).mapInPandas(fit, "round long, name string, selected double")
+    fits = attach_row(todo, sums).mapInPandas(fit, "round long, name string, selected double")
     return fits.groupBy("name").agg(F.avg("selected").alias("frequency"), F.count(F.lit(1)).alias("fits"))
 
 
@@ -318,7 +324,7 @@ def sample_names(names: DataFrame, draws: int, seed: int = 0) -> DataFrame:
     """``draws`` names with replacement, as ``(name, times)``; joining it repeats the columns."""
     ranked = add_group_stats(global_order(names.select("name").distinct(), [F.asc("name")], "_rank"), [], _n=F.count(F.lit(1)))
     total = ranked.agg(F.max("_n").alias("_n"))
-    picks = names.sparkSession.range(draws).join(F.broadcast(total), F.lit(True))
+    picks = attach_row(names.sparkSession.range(draws), total)
     picks = picks.select((F.pmod(F.xxhash64(F.lit(seed), "id"), F.col("_n")) + 1).alias("_rank"))
     picks = picks.groupBy("_rank").agg(F.count(F.lit(1)).alias("times"))
     return picks.join(ranked.select("_rank", "name"), "_rank").select("name", "times")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.ordered import attach_row
+
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack frames by column name; columns a frame lacks are null."""
@@ -65,6 +67,6 @@ def compare_counts(left: Mapping[str, DataFrame], right: Mapping[str, DataFrame]
 
     rows = []
     for name in sorted({*left, *right}):
-        both = count_of(left, name, "left_rows").join(F.broadcast(count_of(right, name, "right_rows")), F.lit(True))
+        both = attach_row(count_of(left, name, "left_rows"), count_of(right, name, "right_rows"))
         rows.append(both.select(F.lit(name).alias("table"), "*", (F.col("right_rows") - F.col("left_rows")).alias("difference")))
     return reduce(DataFrame.unionByName, rows)

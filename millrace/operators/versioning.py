@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import attach_row
+
 
 def _all(conditions) -> Column:
     return reduce(lambda a, b: a & b, conditions)
@@ -135,8 +137,7 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
 
 def split_oldest(df: DataFrame, published: str) -> tuple[DataFrame, DataFrame]:
     """The oldest published batch and the rest. The scalar minimum is one row."""
-    oldest = F.broadcast(df.agg(F.min(published).alias("_oldest")))
-    marked = df.join(oldest, F.lit(True))
+    marked = attach_row(df, df.agg(F.min(published).alias("_oldest")))
     return (
         marked.where(F.col(published) == F.col("_oldest")).drop("_oldest"),
         marked.where(F.col(published) > F.col("_oldest")).drop("_oldest"),

@@ -9,6 +9,7 @@ from millrace.functions import dates as dt
 from millrace.functions import text as tx
 from millrace.operators import aggregate as ag
 from millrace.operators import cleanse as cl
+from millrace.operators.ordered import attach_row
 from millrace.plans.registry import Tables, query
 
 ORDER_SCHEMA = T.StructType(
@@ -239,7 +240,7 @@ def imputed_values(t: Tables):
     holes = t.events.select("event_id", F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"))
     median = ag.exact_median(holes, "value").withColumnRenamed("median", "_median")
     both = holes.withColumn("zero_filled", F.col("value"))
-    both = cl.fill_zero(both, ["zero_filled"]).join(F.broadcast(median), F.lit(True))
+    both = attach_row(cl.fill_zero(both, ["zero_filled"]), median)
     return both.select("event_id", F.coalesce("value", "_median").alias("value"), "zero_filled")
 
 

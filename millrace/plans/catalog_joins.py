@@ -225,7 +225,7 @@ def daylight_saving_shift(t: Tables):
     spans = years.select(
         "yr", F.make_date("yr", F.lit(3), F.lit(10)).alias("dst_start"), F.make_date("yr", F.lit(11), F.lit(3)).alias("dst_end")
     )
-    joined = jn.in_interval(t.orders, spans, F.col("o_orderdate"), "dst_start", "dst_end")
+    joined = jn.in_interval(t.orders, spans, F.col("o_orderdate"), "dst_start", "dst_end", F.year("o_orderdate") == F.col("yr"))
     shifted = F.when(F.col("yr").isNotNull(), F.col("o_orderdate") - F.make_dt_interval(F.lit(0), F.lit(1)))
     return joined.select("o_orderkey", F.coalesce(shifted, F.col("o_orderdate")).alias("local_ts"))
 
@@ -312,7 +312,7 @@ def scalar_subquery_filter(t: Tables):
         F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate"))).alias("_last"),
         (F.avg("o_totalprice") * 1.9).alias("_high"),
     )
-    joined = t.orders.join(F.broadcast(limits), F.lit(True))  # one row
+    joined = od.attach_row(t.orders, limits)
     return joined.where((F.col("o_orderdate") == F.col("_last")) | (F.col("o_totalprice") > F.col("_high"))).select(
         "o_orderkey", "o_orderdate"
     )
@@ -329,7 +329,7 @@ def prior_version_counts(t: Tables):
     version = F.trunc(F.to_date("o_orderdate"), "year")
     counts = t.orders.groupBy("o_custkey", version.alias("version")).agg(F.count(F.lit(1)).alias("n"))
     newest = t.orders.agg(F.max(version).alias("_newest"))
-    older = counts.join(F.broadcast(newest), F.col("version") < F.col("_newest")).drop("_newest")
+    older = od.attach_row(counts, newest).where(F.col("version") < F.col("_newest")).drop("_newest")
     best = older.groupBy("o_custkey").agg(F.max(F.struct("version", "n")).alias("b"))
     return best.select("o_custkey", "b.version", "b.n")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.ordered import attach_row
 from millrace.operators.versioning import append_version
 from millrace.operators import quality as ql
 from millrace.plans.registry import Tables, query
@@ -197,7 +198,7 @@ def folder_listing(t: Tables):
     facts = files.agg(
         F.count_distinct(F.regexp_extract("path", r"year=(\d+)", 1)).alias("folders"), F.bool_and(F.col("path").endswith(".gz")).alias("compressed")
     )
-    return facts.join(newest, F.lit(True))
+    return attach_row(facts, newest)
 
 
 @query("S16", "SELECT p_partkey, p_name FROM part")

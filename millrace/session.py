@@ -60,3 +60,13 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a table read from fewer files than there are cores, by key.
+
+    Meant for work that is heavy per row (splitting whole texts): a handful of files would leave most
+    cores idle. Tables of many files are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if 0 < len(df.inputFiles()) < cores else df

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.ordered import attach_row
+
 
 def rows_after(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Source rows beyond the greatest value already in the target (all of them for an empty one)."""
-    mark = target.agg(F.max(column).alias("_mark"))  # one row
-    joined = source.join(F.broadcast(mark), F.lit(True))
+    joined = attach_row(source, target.agg(F.max(column).alias("_mark")))
     return joined.where(F.col("_mark").isNull() | (F.col(column) > F.col("_mark"))).drop("_mark")
 
 
