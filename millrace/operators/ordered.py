@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,9 +47,8 @@ def segment_hot(
     width = (F.col("_high") - F.col("_low")) * F.lit(float(rows)) / F.col("_n")
     hot = hot.select(*keys, F.when(width > 0, width).otherwise(F.lit(1.0)).alias("_width"))
     # counted once, before the plan is built: without hot keys nothing else is added to it
-    seen = Observation()
-    hot = materialise(hot.observe(seen, F.count(F.lit(1)).alias("hot")), "hot")
-    if not seen.get["hot"]:
+    hot = materialise(hot, "hot")
+    if hot.isEmpty():
         return df.withColumn(out, F.lit(None))
     placed = _join_back(df, hot, keys, small=True) if keys else attach_row(df, hot)
     return placed.withColumn(out, F.floor(at / F.col("_width")).cast("long")).drop("_width")

@@ -7,13 +7,14 @@ import uuid
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import dates as dt
 from millrace.operators import cleanse as cl
 from millrace.operators import reshape as rs
 from millrace.operators.versioning import RunLog
+from millrace.session import materialise
 from millrace.sinks import tables as sk
 from millrace.sources import delimited as dl
 from millrace.spec import TableSpec
@@ -58,8 +59,9 @@ def transform(df: DataFrame, steps) -> DataFrame:
 def run_job(spark: SparkSession, config: str | Mapping, at: datetime, log: RunLog | None = None) -> dict[str, object]:
     """Run one job and return its id, status and written row count.
 
-    The count comes from an observation on the write, not from a second pass. A failing job is
-    logged as ``F`` and raised again.
+    The rows are staged once in the shared folder: the count then comes from file footers, and the
+    publishing write can be repeated without reading the source again. A failing job is logged as
+    ``F`` and raised again.
     """
     job = json.loads(config) if isinstance(config, str) else config
     spec = TableSpec.from_json(job["table"]) if "table" in job else None
@@ -70,8 +72,8 @@ def run_job(spark: SparkSession, config: str | Mapping, at: datetime, log: RunLo
         rows = transform(read(spark, job["read"], spec), job.get("steps", []))
         if spec:
             rows = sk.typed(rows, spec)
-        seen = Observation(f"rows_{run_id}")
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows = materialise(rows, "job")
+        written = rows.count()
         target = job["write"]
         if target.get("partition_by"):
             sk.save_partitions(rows, target["path"], target["partition_by"])
@@ -79,7 +81,6 @@ def run_job(spark: SparkSession, config: str | Mapping, at: datetime, log: RunLo
             sk.append([rows], target["path"])
         else:
             sk.save(rows, target["path"])
-        written = int(seen.get["rows"])
     except Exception:
         if log:
             log.complete(run_id, job["name"], at, ok=False)
