@@ -14,7 +14,6 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,6 +55,8 @@ def equal_frequency_bins(df: DataFrame, columns: Sequence[str], bins: int | None
     The default number of bins is the cube root of the row count. Bins are found by binary search in
     the scan, without a shuffle of the rows.
     """
+    from pyspark.ml.feature import Bucketizer  # here, so that Python workers need not load Spark ML
+
     bins = bins or max(1, int(round(df.count() ** (1 / 3), 9)))
     cuts = equal_frequency_cuts(df, columns, bins)
     # right-closed bins: x <= cut is x < the next float after cut
