@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators import textmining as tm
 from millrace.operators import voyages as vg
-from millrace.operators.aggregate import cents
 from millrace.plans.registry import Tables, query
 
 # ---- pings: ships are users, positions come from the keys
