@@ -262,7 +262,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: in
     segments = materialise(ranked.groupBy("set_id", number.alias("fragment")).agg(F.collect_list("gram").alias("grams")), "segments")
 
     ordered = ranked.groupBy("set_id").agg(
-        F.max("n").alias("n"), F.avg("df").alias("centre"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("order")
+        F.max("n").alias("n"), (F.sum("df") / F.max("n")).alias("centre"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("order")
     )
     ordered = ordered.filter(F.size("order") * 100 >= F.col("n") * percent)
     # members that no other survivor has are the rarest and come first, so later ones start behind them
