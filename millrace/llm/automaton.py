@@ -52,8 +52,22 @@ class MergeAutomaton:
         self.states = 1
         for number, (left, right) in enumerate(merges):
             self._gadget(number, vocabulary[left], vocabulary[right], vocabulary[left + right])
-        self._arcs = Cache(lambda pair: self._has_arc(*pair, len(merges)), 2_000_000)
-        self.longest = max((len(x) - len(end) * x.endswith(end) for x in vocabulary), default=0)
+        self.gadgets = len(merges)
+        #: arcs looked up so far, by label
+        self._arcs = Cache(lambda label: {}, len(vocabulary))
+        self._asked = 0
+        #: tokens that some path uses, spelled backwards, as nested tables; the token itself stands under ""
+        self._inner: dict = {}
+        self._final: dict = {}
+        for token, number in vocabulary.items():
+            closing = bool(end) and token.endswith(end)
+            spelled = token[: -len(end)] if closing else token
+            if number not in self.born and len(spelled) > 1:
+                continue
+            for table in [self._final] if closing else [self._inner] if end else [self._inner, self._final]:
+                for symbol in reversed(spelled):
+                    table = table.setdefault(symbol, {})
+                table[""] = number
 
     def _gadget(self, number: int, u: int, v: int, w: int) -> None:
         if w in self.born or not self._has_arc(u, v, number):
@@ -80,29 +94,46 @@ class MergeAutomaton:
             now, label = min(now, self.born.get(label, -1)), self.last.get(label)
         return True
 
+    def _leads(self, label: int, arc: int) -> bool:
+        row = self._arcs[label]
+        if arc not in row:
+            row[arc] = self._has_arc(label, arc, self.gadgets)
+            self._asked += 1
+        return row[arc]
+
     def encode(self, symbols: str) -> list[int]:
         """Token ids of a word given as byte symbols."""
         n = len(symbols)
-        vocabulary, arcs, longest = self.vocabulary, self._arcs, self.longest
-        whole = vocabulary.get(symbols + self.end)
-        tokens: list[int | None] = [None] * (n + 1)
+        last: list = [None] * (n + 1)
         begins = [0] * (n + 1)
-        if n == 1 and whole is not None:
-            return [whole]
+        arcs = self._arcs
         for stop in range(1, n + 1):
-            tail = self.end if stop == n else ""
-            for start in range(max(0, stop - longest), stop):
-                token = vocabulary.get(symbols[start:stop] + tail)
-                if token is None or start and tokens[start] is None:
-                    continue
-                if (stop - start == 1 or token in self.born) and (not start or arcs[tokens[start], token]):
-                    tokens[stop], begins[stop] = token, start
+            table = self._inner if stop < n else self._final
+            ending, start = [], stop
+            while start:
+                start -= 1
+                table = table.get(symbols[start])
+                if table is None:
+                    break
+                token = table.get("")
+                if token is not None and (not start or last[start] is not None):
+                    ending.append((start, token))
+            while ending:
+                start, token = ending.pop()
+                known = arcs[last[start]].get(token) if start else True
+                if known or known is None and self._leads(last[start], token):
+                    last[stop], begins[stop] = token, start
                     break
+        if self._asked > 500_000:
+            arcs.clear()
+            self._asked = 0
         out, at = [], n
         while at:
-            out.append(tokens[at])
+            if last[at] is None:  # a base symbol that the vocabulary lacks is left out
+                at -= 1
+                continue
+            out.append(last[at])
             at = begins[at]
-        arcs.trim()
         return out[::-1]
 
 
@@ -121,22 +152,30 @@ class WordTokenizer:
         pattern = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.words = regex.compile(pattern.replace(r"\s", SPACE))
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
+        self.marked = all("<" in x for x in self.added)
         self.symbols = byte_symbols()
-        self._of_word = Cache(lambda word: self.automaton.encode("".join([self.symbols[b] for b in word.encode()])))
+        self._of_word = Cache(lambda word: np.array(self.automaton.encode("".join([self.symbols[b] for b in word.encode()])), "<u4").tobytes())
         self._of_chunk = Cache(self._encode_chunk)
 
-    def _encode_piece(self, text: str) -> list[int]:
-        text = unicodedata.normalize("NFC", text)
-        text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
-        return [i for word in self.words.findall(text) for i in self._of_word[word]]
+    def _encode_piece(self, text: str) -> bytes:
+        if text.isascii():
+            text = text.lower()
+            if text.isalpha():
+                return self._of_word[text]
+        else:
+            text = unicodedata.normalize("NFC", text)
+            text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
+        return b"".join([self._of_word[word] for word in self.words.findall(text)])
 
     def _encode_chunk(self, chunk: str) -> bytes:
+        if "<" not in chunk and self.marked:
+            return self._encode_piece(chunk)
         ids, at = [], 0
         for found in self.specials.finditer(chunk):
-            ids += self._encode_piece(chunk[at : found.start()])
-            ids.append(self.added[found[0]])
+            ids.append(self._encode_piece(chunk[at : found.start()]))
+            ids.append(self.added[found[0]].to_bytes(4, "little"))
             at = found.end()
-        return np.array(ids + self._encode_piece(chunk[at:]), "<u4").tobytes()
+        return b"".join(ids) + self._encode_piece(chunk[at:])
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self._of_chunk.__getitem__, chunks(text))), "<u4")
