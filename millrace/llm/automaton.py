@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.token_files import chunks
+from millrace.llm.token_files import joined, slices
 from millrace.llm.words import Cache
 
 #: White space of the vocabulary's patterns (the Unicode property, spelled out).
@@ -178,7 +178,14 @@ class WordTokenizer:
         return b"".join(ids) + self._encode_piece(chunk[at:])
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self._of_chunk.__getitem__, chunks(text))), "<u4")
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Token ids of each text."""
+        self.trim()
+        data, places = joined(texts, lambda some: [self._of_chunk[x] for x in some])
+        ids, places = data.view("<u4"), places // 4
+        return [ids[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
         """Labels of the arcs in order, as the file's missing decoder joins them; unknown ids emit nothing."""
@@ -225,11 +232,8 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 8_000_
         coder = _tokenizer(shared)
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
-            total = np.cumsum([len(x) for x in texts])
-            cuts = [0, *(np.flatnonzero(np.diff(total // slice_chars)) + 1).tolist(), len(texts)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                coder.trim()
-                ids = [coder.encode(x) for x in texts[a:b]]
+            for a, b in slices(texts, slice_chars):
+                ids = coder.encode_all(texts[a:b])
                 part = batch.slice(a, b - a)
                 columns = [*part.columns, _lists(ids), pa.array([coder.decode(x) for x in ids], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "ids", "decoded"])

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.ranges import with_ranges
 from millrace.llm.words import mixed, shingle_hashes, split_words, word_hashes
 
 
@@ -112,14 +113,9 @@ def in_id_order(docs: DataFrame) -> DataFrame:
     doc_id comes first; equal ids stand by text. The ranges are quantiles of doc_id, and a part's first
     document is a partial aggregation, so nothing but the quantiles passes through the driver.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    shares = [i / parts for i in range(1, parts)] or [0.5]
-    cuts = rows.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] or []
-    limits = F.lit(sorted(set(cuts))).cast("array<bigint>")
-    part = F.coalesce(F.size(F.filter(limits, lambda x: x <= F.col("doc_id"))), F.lit(0))
-    dealt = rows.withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(part)).withColumn("closing", F.lit(False))
+    dealt, parts = with_ranges(rows)
+    dealt = dealt.withColumn("closing", F.lit(False))
     first = dealt.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text")).alias("head"))
     # one row for each part from here on
     place = Window.orderBy("part")
@@ -127,7 +123,7 @@ def in_id_order(docs: DataFrame) -> DataFrame:
     owner = F.coalesce(F.lag("part").over(place), F.max("part").over(everyone))
     heads = first.select(owner.alias("part"), F.lit(True).alias("closing"), F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"))
     both = dealt.select("part", "closing", "doc_id", "text").union(heads.select("part", "closing", "doc_id", "text"))
-    return both.repartitionById(max(1, len(set(cuts)) + 1), F.col("part")).sortWithinPartitions("part", "closing", "doc_id", "text")
+    return both.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "closing", "doc_id", "text")
 
 
 def edit_likeness(docs: DataFrame, scheme: OnePermutation | None = None) -> DataFrame:

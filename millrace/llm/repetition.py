@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.token_files import slices
 from millrace.llm.words import PLACES, mixed, word_hashes
 
 #: Words of the documents that a task sorts at a time; one longer document is sorted alone.
@@ -164,11 +165,7 @@ def _run(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            total = np.cumsum([len(x or "") for x in texts])
-            cuts = [0, *(np.flatnonzero(np.diff(total // (SLICE * 6))) + 1).tolist(), len(texts)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if a == b:
-                    continue
+            for a, b in slices(texts, SLICE * 6):
                 columns = list(zip(*measures(texts[a:b], least), strict=True))
                 arrays = [pa.array(c, pa.int64()) for c in columns[:-1]] + [pa.array(columns[-1], _SPANS)]
                 part = batch.slice(a, b - a)

@@ -15,17 +15,22 @@ of a task writes the same bytes, so a lost executor leaves nothing half done.
 
 from __future__ import annotations
 
+import json
+import os
+import string
+import unicodedata
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.words import Cache
+from millrace.llm.ranges import with_ranges
 from millrace.session import materialise
 
 #: Sequences in a batch of a token file.
@@ -44,6 +49,26 @@ def chunks(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def joined(texts: list[str], values: Callable[[list[str]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The values of every text's chunks one after the other, as bytes, and where each text begins and ends.
+
+    ``values`` is asked once for the distinct chunks of the texts.
+    """
+    split = pc.split_pattern(pa.array([x.replace("\n", " ") for x in texts], pa.large_string()), " ")
+    coded = split.flatten().dictionary_encode()
+    taken = pa.array(values(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+    _, offsets, data = taken.buffers()
+    places = np.frombuffer(offsets, np.int64)[: len(taken) + 1]
+    return np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8), places[split.offsets.to_numpy()]
+
+
+def slices(texts: list[str | None], chars: int) -> list[tuple[int, int]]:
+    """Ranges of texts of about so many characters together; a longer text has a range of its own."""
+    total = np.cumsum([len(x or "") for x in texts])
+    cuts = [0, *(np.flatnonzero(np.diff(total // chars)) + 1).tolist(), len(texts)] if texts else [0]
+    return [(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
+
+
 def plain_tokenizer(content: str) -> Tokenizer:
     tokenizer = Tokenizer.from_str(content)
     tokenizer.no_truncation()
@@ -55,16 +80,129 @@ def id_type(tokenizer: Tokenizer, end_id: int | None = None) -> np.dtype:
     return np.dtype("<u2") if max(tokenizer.get_vocab_size(), end_id or 0) <= 1 << 16 else np.dtype("<u4")
 
 
-def _encode(content, end_id: int):
+class ChunkEncoder:
+    """Ids of whole texts from the tokenizer's ids of their chunks, which are kept for the chunks to come.
+
+    A chunk of letters and closing ASCII punctuation is two words to the vocabulary's pattern, so its ids are
+    those of the lower-case letters and those of the punctuation. New runs of letters go through the
+    tokenizer's byte level and merges together; each one's ids end with the one token that closes a word.
+    Other new chunks are encoded together with a special token between each two, where the tokenizer
+    splits a text before anything else, so each gets the ids that it has alone. Both ways end in the
+    same model; vocabularies without word ends or with another normaliser only take the second.
+    """
+
+    def __init__(self, content: str, end_id: int, entries: int = 1_500_000, lump: int = 20_000):
+        self.tokenizer = plain_tokenizer(content)
+        self.kind = id_type(self.tokenizer, end_id)
+        self.end = np.array([end_id], self.kind).tobytes()
+        self.known: dict[str, bytes] = {}
+        self.entries, self.lump = entries, lump
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.specials = [t.content for t in added.values()]
+        plain = ((i, t.content) for i, t in added.items() if not (t.normalized or t.lstrip or t.rstrip or t.single_word))
+        self.mark, self.between = next(plain, (None, None))
+        spec = json.loads(content)
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.merges = None
+        if suffix and steps == ["NFC", "Replace", "Lowercase"] and not any(s.rstrip(string.punctuation).isalpha() for s in self.specials):
+            spec["normalizer"], spec["added_tokens"] = None, []
+            byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+            spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}
+            self.merges = plain_tokenizer(json.dumps(spec))
+            self.closes = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
+            self.closes[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
+
+    def _ids(self, text: str, tokenizer: Tokenizer) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _cut(self, into: dict[str, bytes], some: list[str], ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> None:
+        data, size = ids.tobytes(), self.kind.itemsize
+        for chunk, a, b in zip(some, (begins * size).tolist(), (ends * size).tolist(), strict=True):
+            into[chunk] = data[a:b]
+
+    def _learn_letters(self, new: list[str]) -> None:
+        for at in range(0, len(new), self.lump):
+            some = new[at : at + self.lump]
+            ids = self._ids(" ".join(some), self.merges)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            self._cut(self.known, some, ids, np.r_[0, ends[:-1]], ends)
+
+    def _learn_any(self, new: list[str]) -> None:
+        apart = new if self.mark is None else [c for c in new if any(s in c for s in self.specials)]
+        for chunk in apart:
+            self.known[chunk] = self._ids(chunk, self.tokenizer).tobytes()
+        marked = set(apart)
+        together = [c for c in new if c not in marked]
+        for at in range(0, len(together), self.lump):
+            some = together[at : at + self.lump]
+            ids = self._ids(self.between.join(some), self.tokenizer)
+            cuts = np.flatnonzero(ids == self.mark)
+            self._cut(self.known, some, ids, np.r_[0, cuts + 1], np.r_[cuts, len(ids)])
+
+    def _learn(self, new: set[str]) -> None:
+        if self.merges is None:
+            self._learn_any(list(new))
+            return
+        pairs, others, letters = [], set(), set()
+        for chunk in new:
+            if chunk.isascii() and chunk.isalpha() and chunk.islower():
+                letters.add(chunk)
+                continue
+            head = chunk.rstrip(string.punctuation)
+            low = head.lower()
+            # letters whose lower case is letters too, and which no normal form changes
+            if low.isalpha() and head.isalpha() and (head.isascii() or "Σ" not in head and unicodedata.is_normalized("NFC", head)):
+                letters.add(low)
+                tail = chunk[len(head) :]
+                if chunk != low:
+                    pairs.append((chunk, low, tail))
+                if tail:
+                    others.add(tail)
+            else:
+                others.add(chunk)
+        self._learn_any(list(others.difference(self.known)))
+        self._learn_letters(list(letters.difference(self.known)))
+        for chunk, low, tail in pairs:
+            self.known[chunk] = self.known[low] + self.known[tail] if tail else self.known[low]
+
+    def _plain(self, text: str | None) -> str:
+        """The text in lower case where that cannot change its ids: Latin text without a special token."""
+        if not text or self.merges is None:
+            return text or ""
+        low = text.lower()
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text if any(s in low for s in self.specials) else low
+
+    def _values(self, some: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, some))
+        if None in found:
+            self._learn({chunk for chunk, ids in zip(some, found, strict=True) if ids is None})
+            found = list(map(self.known.__getitem__, some))
+        return found
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text and the end id."""
+        if len(self.known) > self.entries:
+            self.known.clear()
+        data, places = joined([self._plain(x) for x in texts], self._values)
+        data = data.tobytes()
+        return [data[a:b] + self.end for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
+
+
+def _encode(content, end_id: int, chars: int = 16_000_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = plain_tokenizer(content.value)
-        kind = id_type(tokenizer, end_id)
-        known = Cache(lambda chunk: np.array(tokenizer.encode(chunk, add_special_tokens=False).ids, kind).tobytes())
-        end = np.array([end_id], kind).tobytes()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallel part
+        coder = ChunkEncoder(content.value, end_id)
         for batch in batches:
-            known.trim()
-            ids = [b"".join(map(known.__getitem__, chunks(text or ""))) + end for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            texts = batch.column("text").to_pylist()
+            for a, b in slices(texts, chars):
+                part = batch.slice(a, b - a)
+                ids = pa.array(coder.encode(texts[a:b]), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("part"), part.column("doc_id"), ids], ["part", "doc_id", "ids"])
 
     return run
 
@@ -153,8 +291,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, length: int
     kind = id_type(plain_tokenizer(content), end_id).str
     pafs.FileSystem.from_uri(folder)[0].create_dir(pafs.FileSystem.from_uri(folder)[1])
     shared = spark.sparkContext.broadcast(content)
-    encoded = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_encode(shared, end_id), "doc_id bigint, ids binary")
-    ordered = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    ranged, parts = with_ranges(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
+    encoded = ranged.select("part", "doc_id", "text").mapInArrow(_encode(shared, end_id), "part int, doc_id bigint, ids binary")
+    ordered = encoded.repartitionById(parts, F.col("part")).sortWithinPartitions("doc_id", "ids").select("doc_id", "ids")
     return materialise(ordered.mapInArrow(_write(folder, kind, length), _MANIFEST), "manifest")
 
 
