@@ -74,8 +74,13 @@ def labelled_samples(docs: DataFrame, sample: int = 2000) -> DataFrame:
     number's digests as random strings, in hexadecimal, base 64 and upper-case letters and digits.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("draw"))
-    drawn = rows.orderBy("draw", "doc_id", "text").limit(sample)
-    holding = rows.filter(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")).orderBy("draw", "doc_id", "text").limit(sample)
+    # only ids are sorted and gathered; at most ``sample`` of them meet the texts again
+    def texts_of(some: DataFrame) -> DataFrame:
+        ids = some.select("draw", "doc_id").orderBy("draw", "doc_id").limit(sample).select("draw").distinct()
+        return rows.join(F.broadcast(ids), "draw", "left_semi")
+
+    drawn = texts_of(rows)
+    holding = texts_of(rows.filter(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")))
     found = holding.select(F.explode(base_spans(F.col("text"))["value"]).alias("word"))
     digest = F.sha2(F.col("draw"), 256)
     sixty_four = F.base64(F.unhex(digest))
