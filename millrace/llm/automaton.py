@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.token_files import joined, slices
-from millrace.llm.words import Cache
+from millrace.llm.words import Cache, begin, keep_until_other
 
 #: White space of the vocabulary's patterns (the Unicode property, spelled out).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -124,7 +124,7 @@ class MergeAutomaton:
                 if known or known is None and self._leads(last[start], token):
                     last[stop], begins[stop] = token, start
                     break
-        if self._asked > 500_000:
+        if self._asked > 250_000:
             arcs.clear()
             self._asked = 0
         out, at = [], n
@@ -200,6 +200,7 @@ class WordTokenizer:
 
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
+keep_until_other(_TOKENIZERS.clear)
 
 
 def _tokenizer(content) -> WordTokenizer:
@@ -216,7 +217,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.empty(0, np.uint32)]).astype(np.int32)))
 
 
-def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 8_000_000) -> DataFrame:
+def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 4_000_000) -> DataFrame:
     """``docs`` with ``ids array<int>`` and ``decoded string`` added, for every row.
 
     Null and empty texts have no ids and decode to the empty text. Columns of ``docs`` named ``ids`` or
@@ -229,6 +230,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 8_000_
     kept = docs.drop("ids", "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("automaton")
         coder = _tokenizer(shared)
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]

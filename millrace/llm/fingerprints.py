@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.ranges import with_ranges
-from millrace.llm.words import mixed, shingle_hashes, split_words, word_hashes
+from millrace.llm.words import begin, mixed, shingle_hashes, split_words, word_hashes
 
 
 class OnePermutation:
@@ -137,6 +137,7 @@ def edit_likeness(docs: DataFrame, scheme: OnePermutation | None = None) -> Data
     scheme = scheme or OnePermutation()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("fingerprints")
         held = None
         for batch in batches:
             out = []

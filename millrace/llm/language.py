@@ -16,6 +16,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.words import begin
+
 UNKNOWN = "und"
 #: Bytes that are encoded together; each piece of a longer text starts from the dictionary again.
 PIECE = 8192
@@ -84,6 +86,7 @@ def identify(docs: DataFrame, learned: dict[str, tuple[bytes, float]], margin: f
     kept = docs.drop("lang_pred", "score", "rejected")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language")
         coders = Compressors(learned)
         for batch in batches:
             found = [coders.predict(x, margin) for x in batch.column("text").to_pylist()]

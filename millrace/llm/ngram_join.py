@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.components import components
-from millrace.llm.words import shingle_hashes, split_words, word_hashes
+from millrace.llm.words import begin, shingle_hashes, split_words, word_hashes
 from millrace.session import materialise
 
 LOW = np.uint64((1 << 48) - 1)
 #: Shingles of one packed block; more documents start another block.
-BLOCK = 1_500_000
+BLOCK = 1_000_000
 DOCS, ALONE, KNOWN, SHARED = range(4)
 
 _BLOCKS = T.StructType(
@@ -132,6 +132,7 @@ class _Block:
 
 def _cut_into_blocks(fragments: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("ngram join")
         block = _Block(fragments)
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
@@ -165,6 +166,7 @@ def _once(sets: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Within each fragment: the members of sets that a second set has too; document rows pass through."""
+    begin("ngram join")
     alone: dict[int, list] = {}
     known: dict[int, list] = {}
     shared: list = []

@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.token_files import slices
-from millrace.llm.words import PLACES, mixed, word_hashes
+from millrace.llm.words import PLACES, begin, mixed, word_hashes
 
 #: Words of the documents that a task sorts at a time; one longer document is sorted alone.
-SLICE = 1_500_000
+SLICE = 600_000
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
@@ -163,6 +163,7 @@ def _run(least: int):
     names = [x.split(" ")[0] for x in RULES.replace("<first:int,last:int>", "").split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality rules")
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(texts, SLICE * 6):

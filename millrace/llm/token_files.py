@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm.ranges import with_ranges
+from millrace.llm.words import begin
 from millrace.session import materialise
 
 #: Sequences in a batch of a token file.
@@ -195,6 +196,7 @@ class ChunkEncoder:
 
 def _encode(content, end_id: int, chars: int = 16_000_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("token files")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallel part
         coder = ChunkEncoder(content.value, end_id)
         for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import Cache
+from millrace.llm.words import Cache, begin
 
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5, 6)
@@ -152,6 +152,7 @@ def score(docs: DataFrame, model: tuple[bytes, float], window: int = 3) -> DataF
     kept = docs.drop("score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         margins, bias = np.frombuffer(shared.value[0], np.float32).tolist(), shared.value[1]
 
         def of_word(word: str) -> float:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 #: Entries of a per-process cache before it is emptied; bounds memory, never results.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 
 #: Odd multipliers, one for each place in a shingle, repeated for longer shingles.
 PLACES = np.array(
@@ -32,6 +36,24 @@ class Cache(dict):
 
 
 _HASHES = Cache(xxhash.xxh3_64_intdigest)
+_RELEASES: list[Callable[[], None]] = [_HASHES.clear]
+_CURRENT = ""
+
+
+def keep_until_other(release: Callable[[], None]) -> None:
+    """Have something that a process keeps between tasks let go when another operator's task begins."""
+    _RELEASES.append(release)
+
+
+def begin(operator: str) -> None:
+    """Say whose task begins: a worker that serves several operators only holds the caches of one."""
+    global _CURRENT
+    if operator != _CURRENT:
+        for release in _RELEASES:
+            release()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _CURRENT = operator
 
 
 def split_words(text: bytes | None) -> list[bytes]:
