@@ -207,13 +207,14 @@ def _label(kind: str, n: int) -> str:
 
 
 def _render(node: Node, page: _Page, visible: bool, kept: bool) -> None:
+    closed = node.tag == "details" and "open" not in node.attributes
     for child in node.children:
         if isinstance(child, str):
-            if visible:
+            if visible and not closed:
                 page.text(child, kept)
             continue
         shown, seen = _shown(child, visible)
-        if not shown or node.tag == "details" and "open" not in node.attributes and child.tag != "summary":
+        if not shown or closed and child.tag != "summary":
             continue
         tag = child.tag
         if tag == "br":

@@ -108,7 +108,7 @@ def score(word: Column, ratios: Column) -> Column:
     return F.aggregate(steps(word), F.lit(0.0), lambda total, step: total + F.element_at(ratios, step + 1))
 
 
-def secret_spans(docs: DataFrame, ratios: list[float], least: int = 16, log_odds: float = 12.0) -> DataFrame:
+def secret_spans(docs: DataFrame, ratios: list[float], least: int = 16, log_odds: float = 24.0) -> DataFrame:
     """``docs`` with ``base`` and ``spans`` added: pattern spans, and those with the models' spans.
 
     A run of at least ``least`` key characters that touches no pattern span is a span of kind ``model`` when
