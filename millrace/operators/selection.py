@@ -442,6 +442,6 @@ def run_chunks(df: DataFrame, chunk: str, fn, schema: str) -> DataFrame:
             return fn(pdf).assign(chunk_status="ok", chunk_error=None)
         except Exception as error:  # reported per chunk
             blank = {name: [None] for name in names}
-            return pd.DataFrame({**blank, "chunk_status": ["failed"], "chunk_error": [str(error)[:500]]})
+            return pd.DataFrame({**blank, "chunk_status": ["failed"], "chunk_error": [str(error)]})
 
     return df.groupBy(chunk).applyInPandas(safe, f"{schema}, chunk_status string, chunk_error string")

@@ -31,7 +31,7 @@ ORDER_SPEC = TableSpec.from_json(
             {"name": "o_totalprice", "type": "DECIMAL", "size": "18,2",
              "specialcharacters": [{"symbol": "x", "value": None}, {"symbol": "--", "value": "0"}]},
             {"name": "o_orderdate", "type": "DATE"},
-            {"name": "loaded_on", "type": "DATE", "athenaOnly": "Y"},
+            {"name": "loaded_on", "type": "DATE", "tableOnly": "Y"},
             {"name": "year", "type": "INTEGER", "computed": "Y", "isPartitioned": "Y"},
         ],
     }
@@ -325,7 +325,7 @@ def bulk_load_with_errors(t: Tables):
 
 @query("S25 S26", "SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'N') AS l_returnflag, l_extendedprice FROM lineitem")
 def unload_and_restore(t: Tables):
-    path = scratch_path(t.spark, "backup")
+    path = scratch_path(t.spark, "unloaded")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", F.nullif(F.col("l_returnflag"), F.lit("N")).alias("l_returnflag"), "l_extendedprice")
     sk.unload(rows, path, order=["l_orderkey", "l_linenumber"])
     return sk.restore(t.spark, path, rows.schema)

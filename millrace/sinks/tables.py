@@ -80,7 +80,7 @@ def unload(df: DataFrame, path: str, order: Sequence[str] = (), sep: str = "|")
 
 
 def restore(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|") -> DataFrame:
-    """Read an unloaded backup."""
+    """Read an unloaded copy."""
     return spark.read.schema(schema).options(sep=sep, nullValue="NULL").csv(path)
 
 

@@ -88,7 +88,7 @@ class TableSpec:
                 name=f["name"].lower(),
                 type=f["type"],
                 size=f.get("size"),
-                table_only=flag(f, "athenaOnly"),
+                table_only=flag(f, "tableOnly"),
                 computed=flag(f, "computed"),
                 source=f.get("validation"),
                 partitioned=flag(f, "isPartitioned"),

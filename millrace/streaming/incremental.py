@@ -47,14 +47,15 @@ def ingest_new_files(
 def load_by_partition(
     spark: SparkSession, schema: T.StructType | str, source: str, target: str, checkpoint: str, key: str, file_format: str = "parquet"
 ) -> None:
-    """Each batch replaces the partitions (for instance published dates) it brings.
+    """Add each batch to the partitions (for instance published dates) it brings.
 
-    A batch that is run again after a failure overwrites the same partitions, so it is idempotent.
-    A partition is expected to arrive within one batch.
+    The table is partitioned by the key and by the number of the batch, column ``batch``. A batch that is
+    run again after a failure replaces its own part only, and a key that arrives again keeps both arrivals.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(target)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        numbered = batch.withColumn("batch", F.lit(batch_id))
+        numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key, "batch").parquet(target)
 
     rows = spark.readStream.format(file_format).schema(schema).load(source)
     query = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
