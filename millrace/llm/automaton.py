@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.token_files import joined, slices
-from millrace.llm.words import Cache, begin, keep_until_other
+from millrace.llm.words import Cache, keep_until_other, serving
 
 #: White space of the vocabulary's patterns (the Unicode property, spelled out).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -230,7 +230,6 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 4_000_
     kept = docs.drop("ids", "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("automaton")
         coder = _tokenizer(shared)
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
@@ -241,7 +240,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 4_000_
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "ids", "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", ids array<int>, decoded string"
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(serving("automaton", run), schema)
 
 
 def joined_ids(ids: str = "ids"):

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.components import components
-from millrace.llm.words import begin, shingle_hashes, split_words, word_hashes
+from millrace.llm.words import serving, shingle_hashes, split_words, word_hashes
 from millrace.session import materialise
 
 LOW = np.uint64((1 << 48) - 1)
@@ -132,7 +132,6 @@ class _Block:
 
 def _cut_into_blocks(fragments: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("ngram join")
         block = _Block(fragments)
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
@@ -143,7 +142,7 @@ def _cut_into_blocks(fragments: int, width: int):
                     block = _Block(fragments)
         yield block.rows()
 
-    return run
+    return serving("ngram join", run)
 
 
 def _by_set(sets: np.ndarray, grams: np.ndarray) -> pa.RecordBatch:
@@ -166,7 +165,6 @@ def _once(sets: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Within each fragment: the members of sets that a second set has too; document rows pass through."""
-    begin("ngram join")
     alone: dict[int, list] = {}
     known: dict[int, list] = {}
     shared: list = []
@@ -245,7 +243,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: in
     spark = docs.sparkSession
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15)
     blocks = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_cut_into_blocks(parts, width), _BLOCKS)
-    members = materialise(blocks.repartitionById(parts, F.col("part")).mapInArrow(_find_shared, _MEMBERS), "grams")
+    members = materialise(blocks.repartitionById(parts, F.col("part")).mapInArrow(serving("ngram join", _find_shared), _MEMBERS), "grams")
 
     enough = F.size("grams") * 100 >= F.col("n") * percent
     sets = members.groupBy("set_id").agg(

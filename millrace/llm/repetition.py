@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.token_files import slices
-from millrace.llm.words import PLACES, begin, mixed, word_hashes
+from millrace.llm.words import PLACES, mixed, serving, word_hashes
 
 #: Words of the documents that a task sorts at a time; one longer document is sorted alone.
 SLICE = 600_000
@@ -163,7 +163,6 @@ def _run(least: int):
     names = [x.split(" ")[0] for x in RULES.replace("<first:int,last:int>", "").split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("quality rules")
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(texts, SLICE * 6):
@@ -172,7 +171,7 @@ def _run(least: int):
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, *arrays], [*part.schema.names, *names])
 
-    return run, names
+    return serving("quality rules", run), names
 
 
 def repetition_measures(docs: DataFrame, least: int = 5) -> DataFrame:

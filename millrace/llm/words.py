@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,11 +52,34 @@ def begin(operator: str) -> None:
     if operator != _CURRENT:
         for release in _RELEASES:
             release()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        _hand_back()
         _CURRENT = operator
 
 
+def _hand_back() -> None:
+    """Return freed memory to the system, also that which the C library keeps for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def serving(operator: str, run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` as a task of ``operator`` that leaves a small worker behind.
+
+    Spark keeps workers for later tasks while stages in the JVM need the executor's memory.
+    """
+
+    def task(batches: Iterator) -> Iterator:
+        begin(operator)
+        yield from run(batches)
+        _HASHES.clear()
+        _hand_back()
+
+    return task
+
+
 def split_words(text: bytes | None) -> list[bytes]:
     """Runs of anything but space and U+0009 to U+000D; no words for a missing text."""
     return text.split() if text else []
