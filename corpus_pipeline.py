@@ -26,10 +26,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     are one document only where their whole group has no id.
     """
     groups = ngram_join.ngram_join(docs)
-    firsts = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first")).distinct()
-    kept = docs.select(*COLUMNS).join(firsts, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+    # one pair of plain keys for the join and the grouping: the texts are shuffled once
+    keys, named = ["key", "nameless"], [F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("key"), F.col("doc_id").isNull().alias("nameless")]
+    firsts = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*named).distinct()
     rest = [c for c in COLUMNS if c != "doc_id"]
-    return kept.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", *[F.col(f"row.{c}").alias(c) for c in rest])
+    kept = docs.select(*named, *rest).join(firsts, keys, "left_semi").groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row"))
+    return kept.select(F.when(~F.col("nameless"), F.col("key")).alias("doc_id"), *[F.col(f"row.{c}").alias(c) for c in rest])
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
