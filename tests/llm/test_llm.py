@@ -228,3 +228,20 @@ def test_toxicity_shares_subwords():
 
     assert logit("horrible") > 0 and logit("horribble") > 0 and logit("garden") < 0
     assert pa.array([bias]).type == pa.float64()
+
+
+def test_pipeline_keeps_one_document_of_a_group(spark):
+    import corpus_pipeline
+
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [
+        (3, words, "en", "a", 1), (7, words + " end", "en", "b", 2), (7, words + " end", "en", "b", 2), (9, "other text of its own here", None, None, 3),
+        (9, "a second text under one id", "en", "c", 4), (None, words, "en", "a", 5), (None, "no id and no kin at all", "en", "a", 6),
+        (0, None, "en", "a", 0), (12, "", "en", "a", 0),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == corpus_pipeline.COLUMNS and out.schema["doc_id"].dataType.simpleString() == "bigint"
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert got[3] == words and 7 not in got and got[9] == "a second text under one id" and got[0] is None and got[12] == ""
+    assert out.count() == len(got) and corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
