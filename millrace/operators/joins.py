@@ -82,7 +82,7 @@ def asof(
         *keys, F.col(right_ts).alias("_at"), F.lit(0).alias("_side"), tie.alias("_tie"),
         found.alias("_value"), F.lit(0).cast("long").alias("_mark"),
     )
-    stacked = segment_hot(a.unionByName(b, allowMissingColumns=True), keys, "_at", rows)
+    stacked = segment_hot(a.unionByName(b, allowMissingColumns=True), keys, "_at", rows, ties=["_side", "_tie", "_mark"])
     filled = add_asof(stacked, keys, ["_at", "_side", "_tie", "_mark"], {"_last": "_value"})
     return filled.where(F.col("_side") == 1).select("_row.*", *[F.col(f"_last.{out}").alias(out) for out in values])
 

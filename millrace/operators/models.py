@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import add_group_stats, attach_row, global_order, top_per_key
+from millrace.session import materialise
 
 # ---- supervised models
 
@@ -100,8 +101,8 @@ def forest_importance(df: DataFrame, target: str, features: Sequence[str], trees
 def permutation_importance(df: DataFrame, target: str, features: Sequence[str], trees: int = 20, depth: int = 5) -> DataFrame:
     """Growth of the squared error when a column's values are shuffled.
 
-    A column is shuffled by pairing rows ordered by a hash with rows in their given order; both
-    positions come from the range-partitioned sort, so no row set is collected.
+    A column is shuffled by pairing rows ordered by one hash with rows ordered by another; both
+    positions come from the range-partitioned sort, so no row set is collected. Rows that tie are alike.
     """
     ready = assembled(df.select(target, *features), features, target)
     model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=7).fit(ready)
@@ -111,7 +112,8 @@ def permutation_importance(df: DataFrame, target: str, features: Sequence[str],
     error = (F.col("prediction") - F.col("label")) ** 2
     out = base.agg(F.avg(error).alias("mse")).select(F.lit("").alias("name"), "mse")
     for i, column in enumerate(features):
-        shuffled = global_order(rows.select(column), [F.xxhash64(F.lit(i + 1), column), F.rand(i)], "_at").select("_at", column)
+        hashed = rows.select(column, F.xxhash64(F.lit(i + 1), *rows.columns).alias("_hash"))
+        shuffled = global_order(hashed, [F.asc("_hash")], "_at").select("_at", column)
         mixed = model.transform(assembled(numbered.drop(column).join(shuffled, "_at"), features, target))
         out = out.unionByName(mixed.agg(F.avg(error).alias("mse")).select(F.lit(column).alias("name"), "mse"))
     start = out.where("name = ''").select(F.col("mse").alias("_base"))
@@ -143,7 +145,7 @@ def variable_clusters(series: DataFrame, k: int, top: int, seed: int = 7) -> Dat
     On standardised vectors the squared distance is 2n(1 − r), so k-means groups by correlation. Kept
     per cluster: the ``top`` series by own correlation (descending) and next-cluster correlation.
     """
-    vectors = series_vectors(series).cache()
+    vectors = materialise(series_vectors(series), "vectors")
     model = KMeans(k=k, seed=seed).fit(vectors)
     centres = np.array(model.clusterCenters())  # k vectors of calendar length
     centres = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
@@ -168,8 +170,8 @@ def bounded_clusters(series: DataFrame, most: int, seed: int = 7) -> DataFrame:
     Each pass splits every cluster that is too large by bisecting k-means. A cluster that the model
     cannot split (equal vectors) is cut by rank. The number of passes is logarithmic in the names.
     """
-    vectors = series_vectors(series).cache()
-    n = vectors.count()
+    vectors = materialise(series_vectors(series), "vectors")
+    n =vectors.count()
     k = max(1, math.ceil(n / most))
     assigned = vectors.withColumn("cluster", F.lit(0))
     if k > 1:
@@ -184,8 +186,8 @@ def bounded_clusters(series: DataFrame, most: int, seed: int = 7) -> DataFrame:
 
 def cluster_quality(series: DataFrame, ks: Sequence[int], seed: int = 7) -> DataFrame:
     """Silhouette per number of clusters."""
-    vectors = series_vectors(series).cache()
-    rows = [(int(k), float(ClusteringEvaluator().evaluate(KMeans(k=k, seed=seed).fit(vectors).transform(vectors)))) for k in ks]
+    vectors = materialise(series_vectors(series), "vectors")
+    rows =[(int(k), float(ClusteringEvaluator().evaluate(KMeans(k=k, seed=seed).fit(vectors).transform(vectors)))) for k in ks]
     return series.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
@@ -193,18 +195,24 @@ def cluster_quality(series: DataFrame, ks: Sequence[int], seed: int = 7) -> Data
 
 
 def balance(df: DataFrame, label: str, key: Sequence[str], mode: str = "up", seed: int = 0) -> DataFrame:
-    """Repeat minority rows (``up``) or drop majority rows (``down``) until the classes are level.
+    """Repeat minority rows (``up``) or drop majority rows (``down``) until all classes have as many rows.
 
-    Draws are hashes of the key, so a recomputed task gives the same rows.
+    The rows of a class are ranked by a hash of the key over the whole table; the first ranks are kept, or
+    repeated once more than the others. Rows without a label are left out.
     """
-    sizes = add_group_stats(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")), [], _most=F.max("_n"), _least=F.min("_n"))
-    joined = df.join(F.broadcast(sizes.withColumnRenamed(label, "_label")), F.col(label) == F.col("_label"))  # one row per class
-    draw = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 30)) / (1 << 30)
+    labelled = df.where(F.col(label).isNotNull())
+    upto = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))  # one row per class
+    sizes = sizes.select(F.col(label).alias("_label"), "_n", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    sizes = add_group_stats(sizes, [], _most=F.max("_n"), _least=F.min("_n"))
+    drawn = labelled.withColumn("_draw", F.xxhash64(F.lit(seed), *key))
+    placed = global_order(drawn, [F.asc(label), F.asc("_draw"), *map(F.asc, key)], "_at")
+    ranked = placed.join(F.broadcast(sizes), F.col(label) == F.col("_label"))
+    rank = F.col("_at") - F.col("_before")
     if mode == "down":
-        return joined.where(draw < F.col("_least") / F.col("_n")).select(*df.columns)
-    ratio = F.col("_most") / F.col("_n")
-    copies = F.floor(ratio) + F.when(draw < ratio - F.floor(ratio), 1).otherwise(0)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long")))).select(*df.columns)
+        return ranked.where(rank <= F.col("_least")).select(*df.columns)
+    copies = F.floor(F.col("_most") / F.col("_n")) + F.when(rank <= F.col("_most") % F.col("_n"), 1).otherwise(0)
+    return ranked.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long")))).select(*df.columns)
 
 
 def target_mean_bins(df: DataFrame, category: str, target: str, bins: int = 4) -> DataFrame:

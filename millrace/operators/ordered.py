@@ -31,27 +31,32 @@ def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
 
 
 def segment_hot(
-    df: DataFrame, keys: Sequence[str], position: str | Column, rows: int = HOT_ROWS, out: str = SEG
+    df: DataFrame, keys: Sequence[str], position: str | Column, rows: int = HOT_ROWS, out: str = SEG, ties: Sequence[str] = ()
 ) -> DataFrame:
     """Cut only keys with more than ``rows`` rows, each into slices of about ``rows`` along ``position``.
 
     Other keys get the null segment, so for them everything built on top is a plain window. The list
     of hot keys has at most (table rows / ``rows``) entries, which bounds the broadcast. It is
-    computed eagerly, by one aggregation over the key and position. ``position`` is a timestamp
-    column name or a numeric expression.
+    computed eagerly, by one aggregation over the key.
+
+    Rows of hot keys are dealt into equal ranges of (key, ``position``, ``ties``) and written once with
+    the number of their range, the segment. Ranges follow the rows and not the width of the positions,
+    so a burst is cut like anything else. ``ties`` are the further columns of the order that is used
+    later; without them the rows of one position stay together.
     """
     keys = list(keys)
-    at = time_position(position) if isinstance(position, str) else position
-    n, low, high = F.count(F.lit(1)), F.min(at), F.max(at)
-    hot = df.groupBy(*keys).agg(n.alias("_n"), low.alias("_low"), high.alias("_high")).where(F.col("_n") > rows)
-    width = (F.col("_high") - F.col("_low")) * F.lit(float(rows)) / F.col("_n")
-    hot = hot.select(*keys, F.when(width > 0, width).otherwise(F.lit(1.0)).alias("_width"))
+    at = F.col(position) if isinstance(position, str) else position
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
     # counted once, before the plan is built: without hot keys nothing else is added to it
     hot = materialise(hot, "hot")
-    if hot.isEmpty():
+    total = hot.agg(F.sum("_n")).first()[0]
+    if total is None:
         return df.withColumn(out, F.lit(None))
-    placed = _join_back(df, hot, keys, small=True) if keys else attach_row(df, hot)
-    return placed.withColumn(out, F.floor(at / F.col("_width")).cast("long")).drop("_width")
+    marked = _join_back(df, hot, keys, small=True) if keys else attach_row(df, hot)
+    order = [F.col(c).asc_nulls_first() for c in keys] + [at.asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in ties]
+    dealt = marked.where(F.col("_n").isNotNull()).drop("_n").repartitionByRange(-(-total // rows), *order)
+    dealt = materialise(dealt.withColumn(out, F.spark_partition_id()), "hot-rows")
+    return dealt.unionByName(marked.where(F.col("_n").isNull()).drop("_n").withColumn(out, F.lit(None).cast("int")))
 
 
 def _segmented(df: DataFrame, seg: str) -> bool:
@@ -59,11 +64,6 @@ def _segmented(df: DataFrame, seg: str) -> bool:
     return not isinstance(df.schema[seg].dataType, T.NullType)
 
 
-def time_position(ts: str) -> Column:
-    """Microseconds of a timestamp or date column, as the number line for ``segment_hot``."""
-    return F.unix_micros(F.col(ts).cast("timestamp"))
-
-
 def _sort(cols: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in cols]
 

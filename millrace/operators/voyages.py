@@ -33,7 +33,7 @@ def merge_pings(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def moved_pings(pings: DataFrame, order: Sequence[str] = ("pingtime", "ais_id"), min_km: float = 0.1) -> DataFrame:
     """Pings further than ``min_km`` from the next ping of the ship, numbered after the merge."""
-    cut = segment_hot(pings, ["imo"], order[0])
+    cut = segment_hot(pings, ["imo"], order[0], ties=order[1:])
     nearby = add_prior(cut, ["imo"], order, {"_lat": "latitude", "_lon": "longitude"}, following=True)
     km = distance_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))
     return nearby.withColumn("distance_in_km", km).where(F.col("distance_in_km") > min_km).drop("_lat", "_lon", "_seg")
@@ -51,7 +51,7 @@ def journeys(calls: DataFrame, vessels: DataFrame, since: Column) -> DataFrame:
     """Calls with prior sail date, duration and the draught at the following call; international
     moves whose draught changed. ``calls``: call_id, imo, mmsi, saildate, arrdate, draught, countries."""
     keys, order = ["imo", "mmsi"], ["arrdate", "call_id"]
-    cut = segment_hot(calls, keys, "arrdate")
+    cut = segment_hot(calls, keys, "arrdate", ties=["call_id"])
     known = add_prior(cut, keys, order, {"priorsaildate": "saildate"}, ignore_nulls=True).where(F.col("priorsaildate").isNotNull())
     known = add_prior(known, keys, order, {"departuredraught": "draught"}, ignore_nulls=True, following=True)
     hours = (F.unix_micros(F.col("arrdate").cast("timestamp")) - F.unix_micros(F.col("priorsaildate").cast("timestamp"))) / 3.6e9
@@ -69,7 +69,7 @@ def compress_calls(calls: DataFrame) -> DataFrame:
     ``calls``: call_id, imo, mmsi, arrdate, countries, arrival and departure draught, maxdraft.
     """
     keys = ["imo", "mmsi"]
-    cut = segment_hot(calls, keys, "arrdate")
+    cut = segment_hot(calls, keys, "arrdate", ties=["call_id"])
     abroad = sessions(cut, keys, ["arrdate", "call_id"], F.col("priorcountryname") != F.col("countryname"), "trip")
     trips = compress_sessions(
         abroad, keys, "trip", ["arrdate", "call_id"], ["arrdate", "priorcountryname", "arrivaldraught"],
@@ -81,7 +81,7 @@ def compress_calls(calls: DataFrame) -> DataFrame:
         F.col("first_arrivaldraught").alias("arrivaldraught"), F.col("last_departuredraught").alias("departuredraught"),
         F.col("last_maxdraft").alias("maxdraft"),
     )
-    loaded = sessions(segment_hot(trips, keys, "arrdate"), keys, ["arrdate", "trip"], F.col("arrivaldraught") != F.col("departuredraught"), "voyage")
+    loaded = sessions(segment_hot(trips, keys, "arrdate", ties=["trip"]), keys, ["arrdate", "trip"], F.col("arrivaldraught") != F.col("departuredraught"), "voyage")
     out = compress_sessions(
         loaded, keys, "voyage", ["arrdate", "trip"], ["arrdate", "priorcountryname", "arrivaldraught"],
         ["saildate", "countryname", "departuredraught", "maxdraft"],

@@ -297,13 +297,13 @@ g AS (SELECT doc_id, unnest(words) AS token FROM k UNION ALL SELECT doc_id, unne
 bag AS (SELECT doc_id, token, count(*) AS n FROM g GROUP BY ALL),
 nd AS (SELECT count(DISTINCT doc_id) AS docs FROM bag),
 tt AS (SELECT token, count(*) AS df, sum(n) AS cf FROM bag GROUP BY token),
-voc AS (SELECT token, ln((1 + docs) / (1 + df)) + 1 AS idf FROM tt, nd WHERE df >= docs * 0.02 AND df <= docs * 0.7 ORDER BY cf DESC, token LIMIT 500),
+voc AS (SELECT token, ln((1 + docs) / (1 + df)) + 1 AS idf FROM tt, nd WHERE df >= docs * 0.02 AND df <= docs * 0.7 ORDER BY cf DESC, token LIMIT 2000),
 wt AS (SELECT doc_id, token, n * idf AS w FROM bag JOIN voc USING (token)),
 tf AS (SELECT doc_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM wt)"""
 
 
 def weights(t: Tables):
-    return tm.tf_idf(tm.bag_of_words(t.documents, "doc_id", n=2, stop=STOP), "doc_id", max_features=500)
+    return tm.tf_idf(tm.bag_of_words(t.documents, "doc_id", n=2, stop=STOP), "doc_id")
 
 
 @query("X02", f"WITH {TFIDF_SQL} SELECT doc_id, token, round(weight, 9) AS weight FROM tf")
@@ -341,4 +341,4 @@ def source_centroid_cosines(t: Tables):
 
 @query("X04 X02")
 def text_cluster_terms(t: Tables):
-    return tm.text_clusters(t.documents, "doc_id", k=8, top=10, stop=STOP, max_features=300)[1]
+    return tm.text_clusters(t.documents, "doc_id", k=20, top=10, stop=STOP)[1]

@@ -170,7 +170,7 @@ def repeated_pairs(t: Tables):
     FROM s a JOIN s b ON a.user_id = b.user_id AND a.seq = b.seq - 1""",
 )
 def neighbour_steps(t: Tables):
-    events = od.segment_hot(t.events.select("user_id", "event_id", "ts", "value"), ["user_id"], "ts")
+    events = od.segment_hot(t.events.select("user_id", "event_id", "ts", "value"), ["user_id"], "ts", ties=["event_id"])
     numbered = od.add_sequence(events, ["user_id"], ["ts", "event_id"])
     nearby = od.add_prior(
         numbered, ["user_id"], ["ts", "event_id"], {"next_event": "event_id", "next_value": "value"}, following=True
@@ -206,7 +206,7 @@ def earlier_views_summary(t: Tables):
     """All earlier rows of the key as a running summary, instead of one output row per pair."""
     events = t.events.where(F.col("event_type").isin("view", "purchase"))
     is_view = F.col("event_type") == "view"
-    events = od.segment_hot(events.select("event_id", "user_id", "ts", "event_type", "value"), ["user_id"], "ts")
+    events = od.segment_hot(events.select("event_id", "user_id", "ts", "event_type", "value"), ["user_id"], "ts", ties=["event_id"])
     order = ["ts", "event_id"]
     counted = od.add_running(events, ["user_id"], order, {"earlier_views": F.when(is_view, 1).otherwise(0).cast("long")})
     best = od.add_running_max(counted, ["user_id"], order, {"best_earlier": F.when(is_view, F.col("value"))})

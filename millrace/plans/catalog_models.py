@@ -90,23 +90,23 @@ def lasso_scores(t: Tables):
 
 @query("M03")
 def stable_features(t: Tables):
-    return sl.stability_selection(t.lineitem, "l_extendedprice", FEATURES, rounds=20, blocks=50)
+    return sl.stability_selection(t.lineitem, "l_extendedprice", FEATURES)
 
 
 @query("M04")
 def chunk_inclusion(t: Tables):
     series = monthly_revenue(t, "c_nationkey")
-    return sl.chunked_inclusion(series, "0", rounds=6, chunk_size=8)
+    return sl.chunked_inclusion(series, "0", rounds=1000, chunk_size=8)
 
 
 @query("M05")
 def forest_ranking(t: Tables):
-    return md.forest_importance(t.lineitem, "l_extendedprice", FEATURES, trees=10)
+    return md.forest_importance(t.lineitem, "l_extendedprice", FEATURES)
 
 
 @query("M05")
 def shuffled_importance(t: Tables):
-    return md.permutation_importance(t.lineitem, "l_extendedprice", ["l_quantity", "l_discount"], trees=5)
+    return md.permutation_importance(t.lineitem, "l_extendedprice", FEATURES)
 
 
 @query("M06 T06")
@@ -114,18 +114,18 @@ def blended_ranking(t: Tables):
     lines = t.lineitem
     mi = sl.mutual_information(lines, "l_extendedprice", FEATURES, 12)
     chosen = sl.lasso(lines, "l_extendedprice", FEATURES).select("name", F.col("score").alias("lasso_scaled"))
-    forest = md.forest_importance(lines, "l_extendedprice", FEATURES, trees=10).select("name", "importance_scaled")
+    forest = md.forest_importance(lines, "l_extendedprice", FEATURES).select("name", "importance_scaled")
     return sl.blend([chosen, mi, forest], ["lasso_scaled", "mi_scaled", "importance_scaled"])
 
 
 @query("M07 M08")
 def granger_tests(t: Tables):
-    return sl.granger(monthly_revenue(t, "c_nationkey"), "0", most=6)
+    return sl.granger(monthly_revenue(t, "c_nationkey"), "0")
 
 
 @query("M09")
 def toda_yamamoto_tests(t: Tables):
-    return sl.toda_yamamoto(monthly_revenue(t, "c_nationkey"), "0", most=4)
+    return sl.toda_yamamoto(monthly_revenue(t, "c_nationkey"), "0", most=12)
 
 
 @query("M10 T04")
@@ -173,16 +173,20 @@ def classifier_fits(t: Tables):
 
 @query("M14")
 def forest_settings(t: Tables):
-    return md.forest_grid(parts(t)[0], ORDER_FEATURES, "large", depths=[2, 4], trees=[5], folds=2)
+    return md.forest_grid(parts(t)[0], ORDER_FEATURES, "large", depths=[2, 5], trees=[20])
 
 
-@query("M15")
+LEVEL_SQL = """WITH c AS (SELECT CAST(o_orderkey % 10 = 0 AS INT) AS rare, count(*) AS n FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY 1)
+    SELECT rare, {}(n) OVER () AS n FROM c"""
+
+
+@query("M15", LEVEL_SQL.format("max"))
 def balanced_up(t: Tables):
     rows = labelled_orders(t).withColumn("rare", (F.col("o_orderkey") % 10 == 0).cast("int"))
     return md.balance(rows, "rare", ["o_orderkey"]).groupBy("rare").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("M15")
+@query("M15", LEVEL_SQL.format("min"))
 def balanced_down(t: Tables):
     rows = labelled_orders(t).withColumn("rare", (F.col("o_orderkey") % 10 == 0).cast("int"))
     return md.balance(rows, "rare", ["o_orderkey"], "down").groupBy("rare").agg(F.count(F.lit(1)).alias("n"))

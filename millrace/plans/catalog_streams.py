@@ -15,8 +15,12 @@ from millrace.streaming import incremental as inc
 from millrace.streaming import streams as st
 
 
-# Files may be listed in any order, so rows can come late by the whole span of the files.
-LATE = "60 days"
+EVENT_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
+
+
+def late(t: Tables, path: str) -> str:
+    """Files may be listed in any order, so rows can come late by the whole span of the files."""
+    return st.lateness(t.spark.read.schema(EVENT_SCHEMA).parquet(path), "ts")
 
 
 def landed(t: Tables, name: str, files: int = 3) -> str:
@@ -27,8 +31,7 @@ def landed(t: Tables, name: str, files: int = 3) -> str:
 
 
 def event_stream(t: Tables, path: str):
-    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
-    return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return t.spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @query("I01", "SELECT event_id, value FROM events WHERE event_id > (SELECT max(event_id) FROM events WHERE event_id % 2 = 0 AND ts < TIMESTAMP '2024-01-20')")
@@ -73,6 +76,21 @@ def new_files_only(t: Tables):
     return t.spark.read.parquet(target)
 
 
+@query(
+    "I03 I01",
+    """SELECT event_id, ts < TIMESTAMP '2024-01-16' AND ts < (SELECT max(ts) FROM events) - INTERVAL 1 DAY AS late FROM events""",
+)
+def late_files_kept(t: Tables):
+    """The older half of the events lands last; all rows are kept, those beyond the delay apart."""
+    source, target, marks, seen = (scratch_path(t.spark, n) for n in ("late-source", "kept", "newest", "marks"))
+    rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    recent = F.col("ts") >= F.lit("2024-01-16").cast("timestamp")
+    for part in (recent, ~recent):
+        rows.where(part).write.mode("append").parquet(source)
+        inc.ingest_with_late(t.spark, "event_id bigint, ts timestamp", source, target, marks, seen, "ts", "1 day")
+    return t.spark.read.schema("event_id bigint, ts timestamp, late boolean, batch int").parquet(target).select("event_id", "late")
+
+
 @query("I05 I06", "SELECT event_id, CAST(ts AS DATE) AS published FROM events")
 def published_batches(t: Tables):
     source, target, marks = (scratch_path(t.spark, n) for n in ("published", "loaded", "marks"))
@@ -89,8 +107,8 @@ def published_batches(t: Tables):
     """SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS n, sum(CAST(value AS DECIMAL(18,2)))::DOUBLE AS total FROM events GROUP BY 1, 2""",
 )
 def streamed_hourly_totals(t: Tables):
-    out, marks = scratch_path(t.spark, "hourly"), scratch_path(t.spark, "marks")
-    rows = st.hourly_totals(event_stream(t, landed(t, "landed")), "ts", ["event_type"], F.col("value").cast("decimal(18,2)"), LATE)
+    out, marks, source = scratch_path(t.spark, "hourly"), scratch_path(t.spark, "marks"), landed(t, "landed")
+    rows = st.hourly_totals(event_stream(t, source), "ts", ["event_type"], F.col("value").cast("decimal(18,2)"), late(t, source))
     inc.write_updates(rows, out, marks)
     newest = inc.newest_updates(t.spark, out, ["event_type", "hour"])
     return newest.select("event_type", F.col("hour").cast("timestamp_ntz").alias("hour"), "n", F.col("total").cast("double").alias("total"))
@@ -103,9 +121,9 @@ def streamed_hourly_totals(t: Tables):
     SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 4 HOUR AS session_end, count(*) AS steps FROM s GROUP BY user_id, sid""",
 )
 def streamed_sessions(t: Tables):
-    out, marks = scratch_path(t.spark, "sessions"), scratch_path(t.spark, "marks")
-    events = event_stream(t, landed(t, "landed"))
-    inc.write_updates(st.activity_sessions(events, "ts", ["user_id"], "4 hours", LATE), out, marks, mode="complete")
+    out, marks, source = scratch_path(t.spark, "sessions"), scratch_path(t.spark, "marks"), landed(t, "landed")
+    sessions = st.activity_sessions(event_stream(t, source), "ts", ["user_id"], "4 hours", late(t, source))
+    inc.write_updates(sessions, out, marks, mode="complete")
     rows = t.spark.read.parquet(out)
     last = rows.agg(F.max("batch").alias("_last"))  # a complete-mode batch holds the whole result
     final = rows.join(F.broadcast(last), F.col("batch") == F.col("_last"))
@@ -120,7 +138,7 @@ def streamed_first_of_key(t: Tables):
     source, out, marks = (scratch_path(t.spark, n) for n in ("twice", "once", "marks"))
     rows = t.events.drop("props").withColumn("ts", F.col("ts").cast("timestamp"))
     rows.unionByName(rows).repartitionByRange(3, "ts").write.parquet(source)
-    once = st.first_of_key(event_stream(t, source), "ts", ["event_id"], LATE)
+    once = st.first_of_key(event_stream(t, source), "ts", ["event_id"], late(t, source))
     inc.write_updates(once.select("event_id", "event_type"), out, marks, mode="append")
     return t.spark.read.parquet(out).select("event_id", "event_type")
 

@@ -338,7 +338,7 @@ def prior_and_next_known(t: Tables):
         "event_id", "user_id", "ts", F.when(F.col("event_type") != "error", F.col("value")).alias("draught")
     )
     order = ["ts", "event_id"]
-    calls = od.segment_hot(calls, ["user_id"], "ts")
+    calls = od.segment_hot(calls, ["user_id"], "ts", ties=["event_id"])
     calls = od.add_prior(calls, ["user_id"], order, {"prior_draught": "draught"}, ignore_nulls=True)
     calls = od.add_prior(calls, ["user_id"], order, {"next_draught": "draught"}, ignore_nulls=True, following=True)
     return calls.select("event_id", "user_id", "prior_draught", "next_draught")
@@ -349,7 +349,7 @@ def prior_and_next_known(t: Tables):
     """SELECT event_id, user_id, date_diff('hour', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts)::INT AS hour_gap FROM events""",
 )
 def hour_gaps(t: Tables):
-    events = od.segment_hot(t.events.select("event_id", "user_id", "ts"), ["user_id"], "ts")
+    events = od.segment_hot(t.events.select("event_id", "user_id", "ts"), ["user_id"], "ts", ties=["event_id"])
     prior = od.add_prior(events, ["user_id"], ["ts", "event_id"], {"_before": "ts"})
     return prior.select(
         "event_id", "user_id", dt.boundaries_crossed("hour", F.col("_before"), F.col("ts")).alias("hour_gap")
@@ -376,12 +376,32 @@ def top_spenders_by_tile(t: Tables):
 )
 def type_change_sessions(t: Tables):
     order = ["ts", "event_id"]
-    events = od.segment_hot(t.events.drop("props"), ["user_id"], "ts")
+    events = od.segment_hot(t.events.drop("props"), ["user_id"], "ts", ties=["event_id"])
     marked = od.add_prior(events, ["user_id"], order, {"_before": "event_type"})
     numbered = wn.sessions(marked, ["user_id"], order, F.col("_before") != F.col("event_type"))
     return wn.compress_sessions(numbered, ["user_id"], "session", order, ["event_id"], ["event_id", "value"])
 
 
+@query(
+    "W04 W10 W14",
+    """WITH a AS (SELECT event_id, event_type, ts, CASE WHEN value > 50 THEN value END AS large FROM events)
+    SELECT event_id, event_type, row_number() OVER w AS seq, lag(event_id) OVER w AS before, lead(event_id) OVER w AS after,
+    last_value(large IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_large,
+    count(large) OVER (w ROWS UNBOUNDED PRECEDING) AS large_so_far FROM a WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""",
+)
+def sliced_event_types(t: Tables):
+    """The types of events are few, so each is a hot key; slices of 1,000 rows show the cut at any scale."""
+    keys, order = ["event_type"], ["ts", "event_id"]
+    events = t.events.select("event_id", "event_type", "ts", F.when(F.col("value") > 50, F.col("value")).alias("large"))
+    cut = od.segment_hot(events, keys, "ts", 1000, ties=["event_id"])
+    out = od.add_sequence(cut, keys, order)
+    out = od.add_prior(out, keys, order, {"before": "event_id"})
+    out = od.add_prior(out, keys, order, {"after": "event_id"}, following=True)
+    out = od.add_prior(out, keys, order, {"last_large": "large"}, ignore_nulls=True)
+    out = od.add_running(out, keys, order, {"large_so_far": F.when(F.col("large").isNotNull(), 1).otherwise(0).cast("long")})
+    return out.drop("_seg", "ts", "large")
+
+
 @query(
     "W15 K14",
     f"""WITH {DAILY}, r AS (SELECT *, count(*) OVER w AS c, min(value) OVER w AS lo, max(value) OVER w AS hi FROM s

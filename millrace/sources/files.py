@@ -60,6 +60,10 @@ def _column_index(reference: str) -> int:
     return index - 1
 
 
+# fixed value: the attribute that links a sheet to its part of the workbook
+SHEET_LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+
+
 def read_workbook_cells(spark: SparkSession, path: str) -> DataFrame:
     """Cells ``(file, sheet, row, col, value)`` of many ``.xlsx`` workbooks, a workbook per task.
 
@@ -83,10 +87,12 @@ def read_workbook_cells(spark: SparkSession, path: str) -> DataFrame:
                     shared = []
                     if "xl/sharedStrings.xml" in book.namelist():
                         shared = [text_of(n) for n in ET.fromstring(book.read("xl/sharedStrings.xml")) if local(n) == "si"]
-                    sheets = [n.get("name") for n in ET.fromstring(book.read("xl/workbook.xml")).iter() if local(n) == "sheet"]
-                    for number, sheet in enumerate(sheets, start=1):
+                    # a sheet's file is named by its relationship, not by its place in the list
+                    links = {n.get("Id"): n.get("Target") for n in ET.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
+                    sheets = [(n.get("name"), links[n.get(SHEET_LINK)]) for n in ET.fromstring(book.read("xl/workbook.xml")).iter() if local(n) == "sheet"]
+                    for sheet, part in sheets:
                         out = []
-                        with book.open(f"xl/worksheets/sheet{number}.xml") as handle:
+                        with book.open(part[1:] if part.startswith("/") else f"xl/{part}") as handle:
                             for _, node in ET.iterparse(handle):
                                 if local(node) != "c":
                                     continue
@@ -99,6 +105,9 @@ def read_workbook_cells(spark: SparkSession, path: str) -> DataFrame:
                                     at = node.get("r")
                                     out.append((name, sheet, int(re.search(r"\d+", at).group(0)) - 1, _column_index(at), raw))
                                 node.clear()
+                                if len(out) == 10_000:
+                                    yield pd.DataFrame(out, columns=["file", "sheet", "row", "col", "value"])
+                                    out = []
                         yield pd.DataFrame(out, columns=["file", "sheet", "row", "col", "value"])
 
     return books.mapInPandas(cells, "file string, sheet string, row int, col int, value string")

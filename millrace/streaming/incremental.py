@@ -44,6 +44,34 @@ def ingest_new_files(
     query.awaitTermination()
 
 
+def ingest_with_late(
+    spark: SparkSession, schema: T.StructType | str, source: str, target: str, marks: str, checkpoint: str, ts: str, late: str,
+    file_format: str = "parquet",
+) -> None:
+    """Append new files, with rows older than the newest earlier row less ``late`` in parts of their own.
+
+    The table is partitioned by ``late`` and ``batch`` and holds every row. A stateful stream over the part
+    ``late=false`` with a watermark of ``late`` drops nothing; the other part is for a batch correction.
+    ``marks`` has the newest time of each batch. A batch that is run again sees the same earlier marks and
+    replaces its own parts.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows, behind = batch, F.lit(False)
+        if batch_id:
+            earlier = spark.read.schema("high timestamp, batch int").parquet(marks).where(F.col("batch") < batch_id)
+            rows = attach_row(batch, earlier.agg(F.max("high").alias("_high")))
+            behind = F.coalesce(F.col(ts) < F.col("_high") - F.expr(f"INTERVAL {late}"), F.lit(False))
+        dealt = rows.withColumn("late", behind).withColumn("batch", F.lit(batch_id)).drop("_high")
+        newest = batch.agg(F.max(ts).alias("high")).withColumn("batch", F.lit(batch_id))
+        for part, path, by in ((dealt, target, ["late", "batch"]), (newest, marks, ["batch"])):
+            part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+    rows = spark.readStream.format(file_format).schema(schema).load(source)
+    query = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def load_by_partition(
     spark: SparkSession, schema: T.StructType | str, source: str, target: str, checkpoint: str, key: str, file_format: str = "parquet"
 ) -> None:

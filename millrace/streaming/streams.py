@@ -8,6 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def lateness(rows: DataFrame, ts: str) -> str:
+    """Watermark delay that covers landed ``rows`` in any order of arrival: their whole span of time.
+
+    State is then kept over that span. For files that come in order, give a shorter delay instead and
+    let ``incremental.ingest_with_late`` put older rows aside.
+    """
+    at = F.unix_micros(ts)
+    span = rows.agg(F.max(at) - F.min(at)).first()[0] or 0
+    return f"{span // 1_000_000 + 1} seconds"
+
+
 def hourly_totals(events: DataFrame, ts: str, keys: Sequence[str], value: Column, late: str = "1 hour") -> DataFrame:
     """K11 as a stream: tumbling hourly count and sum."""
     hours = events.withWatermark(ts, late).groupBy(F.window(ts, "1 hour").alias("_w"), *keys)

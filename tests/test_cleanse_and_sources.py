@@ -147,25 +147,38 @@ def test_jdbc_options(spark):
     assert options["numPartitions"] == "4" and options["dbtable"] == "(SELECT 1) src" and "query" not in options
 
 
-def workbook(rows) -> bytes:
-    cells = "".join(
-        f'<row r="{r + 1}">' + "".join(
-            f'<c r="{chr(65 + c)}{r + 1}" t="s"><v>{v[1:]}</v></c>' if v.startswith("#") else f'<c r="{chr(65 + c)}{r + 1}"><v>{v}</v></c>'
-            for c, v in row
-        ) + "</row>"
-        for r, row in rows
-    )
+def workbook(**sheets) -> bytes:
+    """Sheets are stored in parts numbered backwards, as a workbook may do."""
     ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    link = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    parts = {name: f"worksheets/sheet{len(sheets) - i}.xml" for i, name in enumerate(sheets)}
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as book:
-        book.writestr("xl/workbook.xml", f'<workbook {ns}><sheets><sheet name="Data" sheetId="1"/></sheets></workbook>')
+        listed = "".join(f'<sheet name="{name}" sheetId="{i}" r:id="r{name}"/>' for i, name in enumerate(sheets, 1))
+        book.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="{link}"><sheets>{listed}</sheets></workbook>')
+        targets = "".join(f'<Relationship Id="r{name}" Target="{part}"/>' for name, part in parts.items())
+        book.writestr("xl/_rels/workbook.xml.rels", f"<Relationships>{targets}</Relationships>")
         book.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>name</t></si><si><r><t>ri</t></r><r><t>g</t></r></si></sst>")
-        book.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{cells}</sheetData></worksheet>")
+        for name, rows in sheets.items():
+            cells = "".join(
+                f'<row r="{r + 1}">' + "".join(
+                    f'<c r="{chr(65 + c)}{r + 1}" t="s"><v>{v[1:]}</v></c>' if v.startswith("#") else f'<c r="{chr(65 + c)}{r + 1}"><v>{v}</v></c>'
+                    for c, v in row
+                ) + "</row>"
+                for r, row in rows
+            )
+            book.writestr(f"xl/{parts[name]}", f"<worksheet {ns}><sheetData>{cells}</sheetData></worksheet>")
     return buffer.getvalue()
 
 
+def test_workbook_sheets_follow_their_links(spark, tmp_path):
+    (tmp_path / "two.xlsx").write_bytes(workbook(First=[(0, [(0, "1")])], Second=[(0, [(0, "2")])]))
+    cells = fl.read_workbook_cells(spark, str(tmp_path / "*.xlsx")).collect()
+    assert sorted((r["sheet"], r["value"]) for r in cells) == [("First", "1"), ("Second", "2")]
+
+
 def test_workbook(spark, tmp_path):
-    (tmp_path / "a.xlsx").write_bytes(workbook([(0, [(0, "#0"), (1, "1")]), (1, [(0, "#1"), (1, "42736.5")]), (3, [(1, "7")])]))
+    (tmp_path / "a.xlsx").write_bytes(workbook(Data=[(0, [(0, "#0"), (1, "1")]), (1, [(0, "#1"), (1, "42736.5")]), (3, [(1, "7")])]))
     cells = fl.read_workbook_cells(spark, str(tmp_path / "*.xlsx"))
     got = sorted((r["sheet"], r["row"], r["col"], r["value"]) for r in cells.collect())
     assert got == [("Data", 0, 0, "name"), ("Data", 0, 1, "1"), ("Data", 1, 0, "rig"), ("Data", 1, 1, "42736.5"), ("Data", 3, 1, "7")]

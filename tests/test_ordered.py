@@ -108,8 +108,22 @@ class TestSegments:
 
 def test_segments_of_a_single_instant(spark):
     rows = [(1, START, i) for i in range(50)]
-    df = od.segment_hot(spark.createDataFrame(rows, "k long, ts timestamp_ntz, id long"), ["k"], "ts", 10)
-    assert sorted(r["seq"] for r in od.add_sequence(df, ["k"], ["ts", "id"]).collect()) == list(range(1, 51))
+    for ties in ([], ["id"]):
+        df = od.segment_hot(spark.createDataFrame(rows, "k long, ts timestamp_ntz, id long"), ["k"], "ts", 10, ties=ties)
+        got = {r["id"]: r["seq"] for r in od.add_sequence(df, ["k"], ["ts", "id"]).collect()}
+        assert got == {i: i + 1 for i in range(50)}
+
+
+def test_slices_of_a_burst(spark):
+    """Nearly all rows in one minute, half of them at one instant: no slice is much larger than asked for."""
+    moment = F.when(F.col("id") % 100 == 0, F.col("id") * 60).when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 60)
+    rows = spark.range(20_000).select(F.lit(1).alias("k"), F.timestamp_seconds(moment).alias("ts"), "id")
+    cut = od.segment_hot(rows, ["k"], "ts", 500, ties=["id"])
+    sizes = [r["count"] for r in cut.groupBy("_seg").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 1000
+    numbered = od.add_sequence(cut, ["k"], ["ts", "id"])
+    want = [r["id"] for r in rows.orderBy("ts", "id").collect()]
+    assert [r["id"] for r in numbered.orderBy("seq").collect()] == want
 
 
 def test_whole_table_order(df, frame):

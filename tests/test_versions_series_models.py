@@ -281,7 +281,10 @@ def test_balance(spark):
     df = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(1000)], "id long, y int")
     up = {r["y"]: r["count"] for r in md.balance(df, "y", ["id"]).groupBy("y").count().collect()}
     down = {r["y"]: r["count"] for r in md.balance(df, "y", ["id"], "down").groupBy("y").count().collect()}
-    assert up == {0: 900, 1: 900} and down[1] == 100 and 60 < down[0] < 140
+    assert up == {0: 900, 1: 900} and down == {0: 100, 1: 100}
+    odd = spark.createDataFrame([(i, "a" if i < 10 else "b" if i < 17 else None) for i in range(20)], "id long, y string")
+    copies = {r["id"]: r["count"] for r in md.balance(odd, "y", ["id"]).groupBy("id").count().collect()}
+    assert sorted(copies.values()) == [1] * 14 + [2] * 3 and set(copies) == set(range(17))
 
 
 # ---- voyages and text
