@@ -24,7 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.token_files import joined, slices
-from millrace.llm.words import Cache, keep_until_other, serving
+from millrace.llm.words import Cache, hand_back, keep_until_other, serving
+
+#: Pieces, and words of pieces, whose ids a process keeps: frequent ones are soon back after a clearing.
+KEPT = 50_000
 
 #: White space of the vocabulary's patterns (the Unicode property, spelled out).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -154,8 +157,8 @@ class WordTokenizer:
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.marked = all("<" in x for x in self.added)
         self.symbols = byte_symbols()
-        self._of_word = Cache(lambda word: np.array(self.automaton.encode("".join([self.symbols[b] for b in word.encode()])), "<u4").tobytes())
-        self._of_chunk = Cache(self._encode_chunk)
+        self._of_word = Cache(lambda word: np.array(self.automaton.encode("".join([self.symbols[b] for b in word.encode()])), "<u4").tobytes(), KEPT)
+        self._of_chunk = Cache(self._encode_chunk, KEPT)
 
     def _encode_piece(self, text: str) -> bytes:
         if text.isascii():
@@ -217,7 +220,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.empty(0, np.uint32)]).astype(np.int32)))
 
 
-def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 4_000_000) -> DataFrame:
+def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 1_000_000) -> DataFrame:
     """``docs`` with ``ids array<int>`` and ``decoded string`` added, for every row.
 
     Null and empty texts have no ids and decode to the empty text. Columns of ``docs`` named ``ids`` or
@@ -238,6 +241,8 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 4_000_
                 part = batch.slice(a, b - a)
                 columns = [*part.columns, _lists(ids), pa.array([coder.decode(x) for x in ids], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "ids", "decoded"])
+            texts = ids = part = columns = None
+            hand_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", ids array<int>, decoded string"
     return kept.mapInArrow(serving("automaton", run), schema)

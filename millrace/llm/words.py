@@ -52,11 +52,11 @@ def begin(operator: str) -> None:
     if operator != _CURRENT:
         for release in _RELEASES:
             release()
-        _hand_back()
+        hand_back()
         _CURRENT = operator
 
 
-def _hand_back() -> None:
+def hand_back() -> None:
     """Return freed memory to the system, also that which the C library keeps for later."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -75,7 +75,7 @@ def serving(operator: str, run: Callable[[Iterator], Iterator]) -> Callable[[Ite
         begin(operator)
         yield from run(batches)
         _HASHES.clear()
-        _hand_back()
+        hand_back()
 
     return task
 
