@@ -14,6 +14,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,9 @@ from millrace.functions.stats import chi2_tail, f_tail, lag_matrix, ols
 from millrace.operators.ordered import add_group_stats, attach_row, global_order, global_running
 from millrace.operators.series import difference_order
 
+#: Numbers of block matrices that a task holds before it hands them on; bounds memory, never results.
+HELD = 1 << 25
+
 # ---- mutual information
 
 
@@ -75,15 +79,14 @@ def pair_information(binned: DataFrame, pairs: Sequence[tuple[str, str]], suffix
         ]
     )
     joint = binned.select(F.inline(cells)).groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).alias("c"))
-    # from here on there are at most pairs × bins² rows, so windows per pair are small
-    joint = joint.select(
-        "*",
-        F.sum("c").over(Window.partitionBy("a", "b", "x")).alias("_cx"),
-        F.sum("c").over(Window.partitionBy("a", "b", "y")).alias("_cy"),
-        F.sum("c").over(Window.partitionBy("a", "b")).alias("_n"),
+    # ln n + (Σ c·ln c − Σ cx·ln cx − Σ cy·ln cy) / n: sums alone, so the bins² cells of a pair need no common task
+    sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("bin")) for i, c in enumerate("xy")])
+    margins = joint.select("a", "b", "c", F.inline(sides)).groupBy("a", "b", "side", "bin").agg(F.sum("c").alias("c"))
+    term = F.col("c") * F.ln("c")
+    terms = joint.select("a", "b", F.col("c").alias("_n"), term.alias("_t")).unionByName(
+        margins.select("a", "b", F.lit(0).cast("long").alias("_n"), (-term).alias("_t"))
     )
-    term = F.col("c") / F.col("_n") * F.ln(F.col("c") * F.col("_n") / (F.col("_cx") * F.col("_cy")))
-    return joint.groupBy("a", "b").agg(F.sum(term).alias("mi"))
+    return terms.groupBy("a", "b").agg((F.ln(F.sum("_n")) + F.sum("_t") / F.sum("_n")).alias("mi"))
 
 
 def mutual_information(df: DataFrame, target: str, features: Sequence[str], bins: int | None = None) -> DataFrame:
@@ -116,12 +119,50 @@ def scaled_score(scores: DataFrame, column: str, out: str) -> DataFrame:
 # ---- correlation
 
 
+def summed_arrays(parts: DataFrame, *keys: str) -> DataFrame:
+    """Element-wise sums of the arrays ``sums`` per integer keys.
+
+    Arrays of a share of the partitions are added first, then those of the shares, so that no task holds
+    the arrays of all partitions.
+    """
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.iloc[:1].assign(sums=[np.sum(np.stack(pdf["sums"].to_numpy()), axis=0)])
+
+    named = ", ".join(f"{k} int" for k in keys)
+    shares = parts.withColumn("share", F.spark_partition_id() % 256)
+    halfway = shares.groupBy(*keys, "share").applyInPandas(add, f"{named}, sums array<double>, share int")
+    return halfway.drop("share").groupBy(*keys).applyInPandas(add, f"{named}, sums array<double>")
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of every pair of listed columns, one aggregation."""
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("r")) for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.inline(rows))
+    """Correlation of every pair of listed columns, over the rows that have both.
+
+    Every partition multiplies its rows as matrices and gives one row per column, so neither the plan nor
+    any row grows with the number of pairs. Values are measured from the column's mean, which keeps the
+    digits of the sums. NaN counts as missing; an empty table gives no pairs.
+    """
+    columns = list(columns)
+    size = len(columns)
+    means = df.agg(*[F.avg(c) for c in columns]).first()  # one number per column
+    centred = df.select(*[(F.col(c).cast("double") - F.lit(float(means[i] or 0.0))).alias(f"v{i}") for i, c in enumerate(columns)])
+
+    def products(batches):
+        total = np.zeros((size, size, 6))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            known = (~np.isnan(x)).astype(float)
+            x = np.where(known > 0, x, 0.0)
+            first, second = x.T @ known, (x * x).T @ known
+            total += np.stack([known.T @ known, first, first.T, second, second.T, x.T @ x], axis=2)
+        yield pa.RecordBatch.from_pydict({"place": pa.array(range(size), pa.int32()), "sums": pa.array([row.ravel() for row in total], pa.list_(pa.float64()))})
+
+    summed = summed_arrays(centred.mapInArrow(products, "place int, sums array<double>"), "place")
+    pairs = summed.where(F.col("place") < size - 1).withColumn("other", F.explode(F.sequence(F.col("place") + 1, F.lit(size - 1))))
+    n, sx, sy, sxx, syy, sxy = (F.get("sums", F.col("other") * 6 + i) for i in range(6))
+    r = F.try_divide(n * sxy - sx * sy, F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy)))
+    names = F.array(*[F.lit(c) for c in columns])
+    return pairs.select(F.get(names, F.col("place")).alias("a"), F.get(names, F.col("other")).alias("b"), r.alias("r"))
 
 
 def redundant_columns(df: DataFrame, columns: Sequence[str], limit: float = 0.9) -> list[str]:
@@ -145,16 +186,35 @@ def collinearity(df: DataFrame, columns: Sequence[str]) -> list[float]:
 def block_sums(df: DataFrame, target: str, features: Sequence[str], blocks: int, seed: int = 0) -> DataFrame:
     """Sums of products of (1, target, features) per hash block of rows: ``(block, sums array)``.
 
-    One pass with partial aggregation. Later resampling and cross-validation add blocks up, so rows
-    are read once whatever the number of rounds.
+    One pass; every partition multiplies its rows as matrices and gives one row per block and column.
+    Later resampling and cross-validation add blocks up, so rows are read once whatever the number of rounds.
     """
     names = [target, *features]
-    values = [F.lit(1.0), *[F.col(c) for c in names]]
+    size = len(names) + 1
     block = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(blocks)).cast("int").alias("block")
-    rows = df.select(block, *[F.col(c).cast("double").alias(c) for c in names]).na.drop("any")
-    upper = [(i, j) for i in range(len(values)) for j in range(i, len(values))]
-    sums = rows.groupBy("block").agg(*[F.sum(values[i] * values[j]).alias(f"s{i}_{j}") for i, j in upper])
-    return sums.select("block", F.array(*[F.col(f"s{i}_{j}") for i, j in upper]).alias("sums"))
+    rows = df.select(block, *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(names)]).na.drop("any")
+
+    def handed_on(held):
+        for b, matrix in held.items():
+            lists = pa.array([matrix[i, i:] for i in range(size)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([b] * size, pa.int32()), "place": pa.array(range(size), pa.int32()), "sums": lists})
+        held.clear()
+
+    def products(batches):
+        held = {}
+        for batch in batches:
+            of, *values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            x = np.column_stack([np.ones(len(of)), *values])
+            for b in np.unique(of).tolist():
+                part = x[of == b]
+                held[b] = held.get(b, 0.0) + part.T @ part
+                if len(held) * size * size > HELD:
+                    yield from handed_on(held)
+        yield from handed_on(held)
+
+    summed = summed_arrays(rows.mapInArrow(products, "block int, place int, sums array<double>"), "block", "place")
+    ordered = F.sort_array(F.collect_list(F.struct("place", "sums")))
+    return summed.groupBy("block").agg(F.flatten(F.transform(ordered, lambda row: row["sums"])).alias("sums"))
 
 
 def gathered_sums(sums: DataFrame) -> DataFrame:

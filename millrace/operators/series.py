@@ -88,6 +88,19 @@ def log_levels(series: DataFrame) -> DataFrame:
     return stats.withColumn("value", F.when(F.col("_low") > 0, F.ln("value")).otherwise(F.col("value"))).drop("_low")
 
 
+def scalings(series: DataFrame) -> DataFrame:
+    """K04, K05, K06 beside each other (``unit``, ``z``, ``level``), from one aggregate and one join back."""
+    stats = add_group_stats(series, ["name"], _low=F.min("value"), _high=F.max("value"), _mean=F.avg("value"), _sd=F.stddev_pop("value"))
+    scaled = stats.withColumns(
+        {
+            "unit": F.try_divide(F.col("value") - F.col("_low"), F.col("_high") - F.col("_low")),
+            "z": F.try_divide(F.col("value") - F.col("_mean"), F.col("_sd")),
+            "level": F.when(F.col("_low") > 0, F.ln("value")).otherwise(F.col("value")),
+        }
+    )
+    return scaled.drop("_low", "_high", "_mean", "_sd")
+
+
 def seasonal_dummies(df: DataFrame, date: str = "date") -> DataFrame:
     """Eleven month indicators; December is the base."""
     return df.withColumns({f"m{m}": (F.month(date) == m).cast("int") for m in range(1, 12)})

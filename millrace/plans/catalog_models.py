@@ -12,6 +12,7 @@ from millrace.operators import windows as wn
 from millrace.plans.catalog_series import MONTHLY, monthly_revenue
 from millrace.plans.catalog_windows import DAILY, daily_revenue
 from millrace.plans.registry import Tables, query
+from millrace.session import materialise
 
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
 
@@ -155,7 +156,8 @@ ORDER_FEATURES = ["discount", "lines", "o_totalprice"]
 
 
 def parts(t: Tables):
-    split = sr.split_by_hash(labelled_orders(t), ["o_orderkey"], 0.8, 3)
+    """Train and test rows, staged once: every fit and every evaluation reads them."""
+    split = materialise(sr.split_by_hash(labelled_orders(t), ["o_orderkey"], 0.8, 3), "parts")
     return split.where("part = 'train'"), split.where("part = 'test'")
 
 

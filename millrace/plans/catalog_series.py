@@ -69,11 +69,8 @@ def log_modulus(t: Tables):
 )
 def scaled_series(t: Tables):
     series = daily_revenue(t)
-    unit = sr.minmax_scale(series, "unit")
-    z = sr.zscore_scale(series, "z").select("name", "date", "z")
-    level = sr.log_levels(series).select("name", "date", F.col("value").alias("level"))
-    joined = unit.join(z, ["name", "date"]).join(level, ["name", "date"])
-    return joined.select("name", "date", F.round("unit", 9).alias("unit"), F.round("z", 7).alias("z"), F.round("level", 9).alias("level"))
+    out = sr.scalings(series)
+    return out.select("name", "date", F.round("unit", 9).alias("unit"), F.round("z", 7).alias("z"), F.round("level", 9).alias("level"))
 
 
 MONTHLY = """mo AS (SELECT c_mktsegment AS name, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
