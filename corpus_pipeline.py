@@ -20,17 +20,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents, the one with the smallest doc_id.
+    """One row of each group of linked documents: the smallest doc_id, then the smallest hash of the text.
 
-    A doc_id names a document: of several rows with one id, the first by text stays. Rows without doc_id
-    are one document only where their whole group has no id.
+    Rows without doc_id come last in their group. Ids play no other part: rows with one id, or with none,
+    that belong to different groups stay. Texts without words link to nothing; of those, rows alike in
+    doc_id and text are one group. Of rows alike in doc_id and text the first by its other columns stays.
     """
-    groups = ngram_join.ngram_join(docs)
-    # one pair of plain keys for the join and the grouping: the texts are shuffled once
-    keys, named = ["key", "nameless"], [F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("key"), F.col("doc_id").isNull().alias("nameless")]
-    firsts = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*named).distinct()
+    groups = ngram_join.ngram_join(docs, keyed=True)
+    # plain keys for the join and the grouping: the texts are shuffled once
+    keys, named = ["key", "nameless", "text_key"], [F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("key"), F.col("doc_id").isNull().alias("nameless")]
+    wordless = F.col("n_shingles") == 0
+    own = groups.select(*named, "text_key", "class_id", F.when(wordless, F.struct("doc_id", "text_key")).alias("alone"))
+    firsts = own.groupBy("class_id", "alone").agg(F.min(F.struct("nameless", "key", "text_key")).alias("first")).select("first.*")
     rest = [c for c in COLUMNS if c != "doc_id"]
-    kept = docs.select(*named, *rest).join(firsts, keys, "left_semi").groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row"))
+    rows = docs.select(*named, F.xxhash64("text").alias("text_key"), *rest)
+    kept = rows.join(firsts, keys, "left_semi").groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row"))
     return kept.select(F.when(~F.col("nameless"), F.col("key")).alias("doc_id"), *[F.col(f"row.{c}").alias(c) for c in rest])
 
 

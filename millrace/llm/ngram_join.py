@@ -55,8 +55,8 @@ _BLOCKS_ARROW = pa.schema(
         ("sets", pa.binary()), ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary()),
     ]
 )
-_MEMBERS = "doc_id bigint, set_id bigint, n int, grams array<bigint>"
-_MEMBERS_ARROW = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("n", pa.int32()), ("grams", pa.list_(pa.int64()))])
+_MEMBERS = "doc_id bigint, set_id bigint, n int, text_key bigint, grams array<bigint>"
+_MEMBERS_ARROW = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("n", pa.int32()), ("text_key", pa.int64()), ("grams", pa.list_(pa.int64()))])
 
 
 def gram_ids(text: bytes | None, fragments: int, width: int) -> np.ndarray:
@@ -74,25 +74,28 @@ class _Block:
         self.doc_ids: list = []
         self.doc_sets: list[int] = []
         self.doc_sizes: list[int] = []
+        self.doc_keys: list[int] = []
         self.sets: dict[int, np.ndarray] = {}
         self.total = 0
 
-    def add(self, doc_id, grams: np.ndarray) -> None:
+    def add(self, doc_id, grams: np.ndarray, text_key: int | None = None) -> None:
         key = int.from_bytes(hashlib.md5(grams.tobytes()).digest()[:8], "little", signed=True)
         self.doc_ids.append(doc_id)
         self.doc_sets.append(key)
         self.doc_sizes.append(len(grams))
+        if text_key is not None:
+            self.doc_keys.append(text_key)
         if key not in self.sets:
             self.sets[key] = grams
             self.total += len(grams)
 
     def rows(self) -> pa.RecordBatch:
         out: list[tuple] = []
-        doc_sets, sizes = np.array(self.doc_sets, np.int64), np.array(self.doc_sizes, np.int32)
+        doc_sets, sizes, text_keys = np.array(self.doc_sets, np.int64), np.array(self.doc_sizes, np.int32), np.array(self.doc_keys, np.int64)
         home = (doc_sets.view(np.uint64) % np.uint64(self.fragments)).astype(np.int32)
         for part in np.unique(home).tolist():
             here = np.flatnonzero(home == part)
-            out.append((part, DOCS, [self.doc_ids[i] for i in here], doc_sets[here].tobytes(), sizes[here].tobytes(), None, None))
+            out.append((part, DOCS, [self.doc_ids[i] for i in here], doc_sets[here].tobytes(), sizes[here].tobytes(), text_keys[here].tobytes() if len(text_keys) else None, None))
         keys = np.array(list(self.sets), np.int64)
         grams = np.concatenate([*self.sets.values(), np.empty(0, np.uint64)])
         owner = np.repeat(np.arange(len(keys)), [len(x) for x in self.sets.values()])
@@ -135,8 +138,9 @@ def _cut_into_blocks(fragments: int, width: int):
         block = _Block(fragments)
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                block.add(doc_id, gram_ids(text.as_py(), fragments, width))
+            text_keys = batch.column("text_key").to_pylist() if "text_key" in batch.schema.names else [None] * len(texts)
+            for doc_id, text, text_key in zip(batch.column("doc_id").to_pylist(), texts, text_keys, strict=True):
+                block.add(doc_id, gram_ids(text.as_py(), fragments, width), text_key)
                 if block.total >= BLOCK or len(block.doc_ids) >= BLOCK // 10:
                     yield block.rows()
                     block = _Block(fragments)
@@ -151,7 +155,7 @@ def _by_set(sets: np.ndarray, grams: np.ndarray) -> pa.RecordBatch:
     sets, grams = sets[order], grams[order]
     first = np.flatnonzero(np.r_[True, sets[1:] != sets[:-1]]) if len(sets) else np.empty(0, int)
     lists = pa.ListArray.from_arrays(pa.array(np.r_[first, len(sets)].astype(np.int32)), pa.array(grams.view(np.int64)))
-    nothing = [pa.nulls(len(first), pa.int64()), pa.array(sets[first]), pa.nulls(len(first), pa.int32()), lists]
+    nothing = [pa.nulls(len(first), pa.int64()), pa.array(sets[first]), pa.nulls(len(first), pa.int32()), pa.nulls(len(first), pa.int64()), lists]
     return pa.RecordBatch.from_arrays(nothing, schema=_MEMBERS_ARROW)
 
 
@@ -174,7 +178,8 @@ def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.frombuffer(row["counts"], np.int32) if row["counts"] is not None else None
             if row["kind"] == DOCS:
                 ids = pa.array(row["doc_ids"], pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sets), pa.array(counts), pa.nulls(len(ids), pa.list_(pa.int64()))], schema=_MEMBERS_ARROW)
+                text_keys = pa.array(np.frombuffer(row["low"], np.int64)) if row["low"] is not None else pa.nulls(len(ids), pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, pa.array(sets), pa.array(counts), text_keys, pa.nulls(len(ids), pa.list_(pa.int64()))], schema=_MEMBERS_ARROW)
             elif row["kind"] == SHARED:
                 shared.append((np.repeat(sets, counts), np.frombuffer(row["low"], np.uint64)))
                 if sum(len(x[0]) for x in shared[1:]) > BLOCK:
@@ -229,7 +234,7 @@ def summed_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return partial.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("left", "right"))).alias("overlap"))
 
 
-def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: int = 8, star_rounds: int = 2, cell: int = 500) -> DataFrame:
+def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: int = 8, star_rounds: int = 2, cell: int = 500, keyed: bool = False) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs(doc_id, text)``.
 
     Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their sets of ``width``-word
@@ -238,11 +243,15 @@ def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: in
     and are their own component. Equal sets always link. Repeated rows come back as often as they are
     given; rows without doc_id keep their set's component. Other columns of ``docs`` are not read.
 
+    ``keyed`` adds ``text_key``, the xxhash64 of the row's text, and ``class_id``, which names the class of
+    linked sets whatever the ids of its rows; all texts without shingles have one class_id.
+
     ``cell`` bounds the documents of one n-gram that a task compares at a time in the last round.
     """
     spark = docs.sparkSession
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15)
-    blocks = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_cut_into_blocks(parts, width), _BLOCKS)
+    text_key = [F.xxhash64("text").alias("text_key")] if keyed else []
+    blocks = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *text_key).mapInArrow(_cut_into_blocks(parts, width), _BLOCKS)
     members = materialise(blocks.repartitionById(parts, F.col("part")).mapInArrow(serving("ngram join", _find_shared), _MEMBERS), "grams")
 
     enough = F.size("grams") * 100 >= F.col("n") * percent
@@ -315,7 +324,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: in
 
     classes = sets.select("set_id", "least_id").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = classes.join(least, "label").select("set_id", "component_id")
-    rows = members.filter("n is not null").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "set_id")
+    named = classes.join(least, "label").select("set_id", "component_id", F.col("label").alias("class_id"))
+    rows = members.filter("n is not null").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "set_id", "text_key")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.join(named, "set_id").select("doc_id", "n_shingles", own.alias("component_id"))
+    return rows.join(named, "set_id").select("doc_id", "n_shingles", own.alias("component_id"), *(["text_key", "class_id"] if keyed else []))
