@@ -71,7 +71,8 @@ def labelled_samples(docs: DataFrame, sample: int = 2000) -> DataFrame:
     """``(word, random)`` from at most ``sample`` documents with base spans and ``sample`` of all documents.
 
     The documents with the least md5(doc_id) are taken, so reruns agree. Each drawn document also gives its
-    number's digests as random strings, in hexadecimal, base 64 and upper-case letters and digits.
+    number's digests as random strings: in hexadecimal, lower and upper case, in base 64, and in letters and
+    digits of either case.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("draw"))
     # only ids are sorted and gathered; at most ``sample`` of them meet the texts again
@@ -84,7 +85,9 @@ def labelled_samples(docs: DataFrame, sample: int = 2000) -> DataFrame:
     found = holding.select(F.explode(base_spans(F.col("text"))["value"]).alias("word"))
     digest = F.sha2(F.col("draw"), 256)
     sixty_four = F.base64(F.unhex(digest))
-    made = drawn.select(F.explode(F.array(F.substring(digest, 1, 40), sixty_four, F.substring(F.upper(F.regexp_replace(sixty_four, "[^A-Za-z0-9]", "")), 1, 20))).alias("word"))
+    letters = F.regexp_replace(sixty_four, "[^A-Za-z0-9]", "")
+    spellings = [F.substring(digest, 1, 40), F.upper(F.substring(digest, 1, 40)), sixty_four, F.substring(F.upper(letters), 1, 20), F.substring(F.lower(letters), 1, 20)]
+    made = drawn.select(F.explode(F.array(*spellings)).alias("word"))
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     ordinary = drawn.select(F.explode(F.regexp_extract_all(plain, F.lit(_run(4)), F.lit(0))).alias("word"))
     return found.union(made).withColumn("random", F.lit(1)).union(ordinary.withColumn("random", F.lit(0)))
@@ -108,7 +111,7 @@ def score(word: Column, ratios: Column) -> Column:
     return F.aggregate(steps(word), F.lit(0.0), lambda total, step: total + F.element_at(ratios, step + 1))
 
 
-def secret_spans(docs: DataFrame, ratios: list[float], least: int = 16, log_odds: float = 24.0) -> DataFrame:
+def secret_spans(docs: DataFrame, ratios: list[float], least: int = 16, log_odds: float = 12.0) -> DataFrame:
     """``docs`` with ``base`` and ``spans`` added: pattern spans, and those with the models' spans.
 
     A run of at least ``least`` key characters that touches no pattern span is a span of kind ``model`` when

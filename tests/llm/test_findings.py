@@ -1,6 +1,10 @@
 """Whole results where a shorter one went unseen: survivors of the pipeline's groups, spellings of random strings."""
 
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from millrace.llm import secret_scan
 
 ROWS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -26,3 +30,14 @@ def test_near_duplicates_keeps_one_row_of_every_group(spark):
         [(1, b), (None, c), (None, "of its own"), (2, d), (5, e), (6, "first text under six"), (6, "second text under six"), (7, "twice"), (8, None), (8, "something"), (None, " "), (None, ""), (9, "")],
         key=repr,
     )
+
+
+def test_secret_models_find_upper_and_lower_spellings(spark):
+    rng = np.random.default_rng(11)
+    alphabets = {"upper": "0123456789ABCDEF", "lower": "abcdefghijklmnopqrstuvwxyz0123456789"}
+    rows = [(kind, "".join(rng.choice(list(chars), 20))) for kind, chars in alphabets.items() for _ in range(200)]
+    rows += [("plain", w) for w in ("identifiers_everywhere", "ordinaryIdentifiersInTexts", "settings/default-values")]
+    ratios = secret_scan.fit(secret_scan.labelled_samples(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")))
+    found = secret_scan.secret_spans(spark.createDataFrame(rows, "kind string, text string"), ratios)
+    got = {r["kind"]: r["share"] for r in found.groupBy("kind").agg(F.avg((F.size("spans") > 0).cast("int")).alias("share")).collect()}
+    assert got["upper"] >= 0.95 and got["lower"] >= 0.95 and got["plain"] == 0
