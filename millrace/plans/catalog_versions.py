@@ -244,24 +244,37 @@ def months_as_columns(t: Tables):
     return wide.select("o_custkey", "yr", *[F.coalesce(F.col(str(m)), F.lit(0.0)).alias(f"m{m:02d}") for m in range(1, 13)])
 
 
+def melted_months(orders):
+    """A row a year with month columns, melted, dated by header text such as ``Jan 1997`` and summed once."""
+    from millrace.functions.dates import period_start
+
+    names = [m.title() for m in ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")]
+    wide = orders.select(
+        "o_orderpriority", F.year("o_orderdate").cast("string").alias("yr"),
+        *[F.when(F.month("o_orderdate") == i, cents("o_totalprice")).alias(n) for i, n in enumerate(names, start=1)],
+    )
+    long = rs.melt(wide, ["o_orderpriority", "yr"], names, "name", "value", not_null=["value"])
+    headed = long.withColumn("header", F.concat_ws(" ", "name", "yr"))
+    sums = headed.groupBy("o_orderpriority", "header").agg(F.sum("value").cast("double").alias("value"))
+    return sums.select("o_orderpriority", period_start(F.col("header")).alias("month"), "value")
+
+
 @query(
     "A04 R05 P20",
     """SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
     FROM orders WHERE year(o_orderdate) = 1997 GROUP BY ALL""",
 )
 def wide_months_to_series(t: Tables):
-    """Month columns with header text such as ``Jan 1997`` melted, dated and summed once."""
-    from millrace.functions.dates import period_start
+    return melted_months(t.orders.where(F.year("o_orderdate") == 1997))
 
-    in_year = t.orders.where(F.year("o_orderdate") == 1997)
-    names = [f"{m.title()} 1997" for m in ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")]
-    wide = in_year.select(
-        "o_orderpriority",
-        *[F.when(F.month("o_orderdate") == i, cents("o_totalprice")).alias(n) for i, n in enumerate(names, start=1)],
-    )
-    long = rs.melt(wide, ["o_orderpriority"], names, "header", "value", not_null=["value"])
-    sums = long.groupBy("o_orderpriority", "header").agg(F.sum("value").cast("double").alias("value"))
-    return sums.select("o_orderpriority", period_start(F.col("header")).alias("month"), "value")
+
+@query(
+    "A04 R05 P20",
+    """SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
+    FROM orders GROUP BY ALL""",
+)
+def wide_months_of_all_years(t: Tables):
+    return melted_months(t.orders)
 
 
 @query(
@@ -315,24 +328,30 @@ def attributes_with_series(t: Tables):
 
 
 def sheet_cells(t: Tables):
-    """Order counts laid out as workbook cells: a sheet per nation, a block per order status."""
+    """Order counts laid out as workbook cells: a sheet per nation, a block per order status, a line per year.
+
+    Statuses, first year and height of the blocks come from the orders.
+    """
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    position = {"F": 0, "O": 1}
-    start = F.when(F.col("o_orderstatus") == "F", position["F"] * 20).otherwise(position["O"] * 20)
+    year = F.year("o_orderdate")
+    first, last = F.min(year).alias("first"), F.max(year).alias("last")
+    layout = t.orders.agg(first, last, F.array_sort(F.collect_set("o_orderstatus")).alias("statuses"))  # one row
+    lines = F.col("last") - F.col("first") + 1
     counts = (
-        joined.where(F.col("o_orderstatus").isin("F", "O"))
-        .groupBy(F.col("c_nationkey").alias("sheet"), "o_orderstatus", F.month("o_orderdate").alias("col"),
-                 (F.year("o_orderdate") - 1994).alias("line"))
+        joined.groupBy(F.col("c_nationkey").alias("sheet"), "o_orderstatus", F.month("o_orderdate").alias("col"), year.alias("yr"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("start", start)
+        .crossJoin(layout)
+        # a label, the headers, the lines, the stop row and an empty row
+        .withColumn("start", ((F.array_position("statuses", F.col("o_orderstatus")) - 1) * (lines + 4)).cast("int"))
+        .withColumn("row", F.col("start") + 2 + F.col("yr") - F.col("first"))
+        .withColumn("stop", F.col("start") + 2 + lines)
     )
-    data = counts.select("sheet", (F.col("start") + 1 + F.col("line")).alias("row"), "col", F.col("n").cast("string").alias("value"))
-    frame = counts.select("sheet", "start", "o_orderstatus").distinct()
+    data = counts.select("sheet", "row", "col", F.col("n").cast("string").alias("value"))
+    frame = counts.select("sheet", "start", "stop", "o_orderstatus").distinct()
     label = frame.select("sheet", F.col("start").alias("row"), F.lit(0).alias("col"), F.concat(F.lit("Status "), "o_orderstatus").alias("value"))
-    stop = frame.select("sheet", (F.col("start") + 15).alias("row"), F.lit(0).alias("col"), F.lit("Total").alias("value"))
+    stop = frame.select("sheet", F.col("stop").alias("row"), F.lit(0).alias("col"), F.lit("Total").alias("value"))
     head = counts.select("sheet", (F.col("start") + 1).alias("row"), "col", F.concat(F.lit("M"), F.col("col").cast("string")).alias("value")).distinct()
-    items = counts.select("sheet", (F.col("start") + 1 + F.col("line")).alias("row"), F.lit(0).alias("col"),
-                          (F.col("line") + 1994).cast("string").alias("value")).distinct()
+    items = counts.select("sheet", "row", F.lit(0).alias("col"), F.col("yr").cast("string").alias("value")).distinct()
     return data.unionByName(label).unionByName(stop).unionByName(head).unionByName(items)
 
 
@@ -345,6 +364,16 @@ def sheet_blocks(t: Tables):
     return rs.cell_blocks(sheet_cells(t), ["Status F", "Status O"])
 
 
+@query(
+    "R07",
+    """SELECT c_nationkey AS sheet, 'Status ' || o_orderstatus AS block, year(o_orderdate)::VARCHAR AS item, 'M' || month(o_orderdate) AS header, count(*)::VARCHAR AS value
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
+)
+def sheet_blocks_of_all_statuses(t: Tables):
+    statuses = t.orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()  # a few values
+    return rs.cell_blocks(sheet_cells(t), [f"Status {r[0]}" for r in statuses])
+
+
 @query(
     "S11",
     """SELECT n_nationkey AS sheet, p.c_custkey::VARCHAR AS customer, p.c_mktsegment AS segment FROM nation JOIN customer p ON c_nationkey = n_nationkey""",
