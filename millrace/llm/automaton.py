@@ -23,11 +23,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.token_files import joined, slices
-from millrace.llm.words import Cache, hand_back, keep_until_other, serving
+from millrace.llm.bytewords import slices_of
+from millrace.llm.token_files import joined
+from millrace.llm.words import Cache, LastingCache, keep_until_other, serving, widened
 
-#: Pieces, and words of pieces, whose ids a process keeps: frequent ones are soon back after a clearing.
-KEPT = 50_000
+#: Pieces, and words of pieces, whose ids a process keeps in each of two generations.
+KEPT = 100_000
 
 #: White space of the vocabulary's patterns (the Unicode property, spelled out).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -157,8 +158,8 @@ class WordTokenizer:
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.marked = all("<" in x for x in self.added)
         self.symbols = byte_symbols()
-        self._of_word = Cache(lambda word: np.array(self.automaton.encode("".join([self.symbols[b] for b in word.encode()])), "<u4").tobytes(), KEPT)
-        self._of_chunk = Cache(self._encode_chunk, KEPT)
+        self._of_word = LastingCache(lambda word: np.array(self.automaton.encode("".join([self.symbols[b] for b in word.encode()])), "<u4").tobytes(), KEPT)
+        self._of_chunk = LastingCache(self._encode_chunk, KEPT)
 
     def _encode_piece(self, text: str) -> bytes:
         if text.isascii():
@@ -220,13 +221,13 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.empty(0, np.uint32)]).astype(np.int32)))
 
 
-def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 1_000_000) -> DataFrame:
+def encode_and_decode(docs: DataFrame, tokenizer: str, slice_bytes: int = 2 << 20) -> DataFrame:
     """``docs`` with ``ids array<int>`` and ``decoded string`` added, for every row.
 
     Null and empty texts have no ids and decode to the empty text. Columns of ``docs`` named ``ids`` or
     ``decoded`` are replaced; all others pass unchanged. Words repeat, so a process keeps the ids of the
-    pieces it has seen; the kept pieces are bounded in number. ``slice_chars`` bounds the text that a task
-    has encoded at a time.
+    pieces it has seen lately; the kept pieces are bounded in number. ``slice_bytes`` bounds the text that a
+    task has encoded at a time.
     """
     with open(tokenizer, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -235,17 +236,12 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, slice_chars: int = 1_000_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _tokenizer(shared)
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            for a, b in slices(texts, slice_chars):
-                ids = coder.encode_all(texts[a:b])
-                part = batch.slice(a, b - a)
+            for part in slices_of(batch, "text", slice_bytes):
+                ids = coder.encode_all([x or "" for x in part.column("text").to_pylist()])
                 columns = [*part.columns, _lists(ids), pa.array([coder.decode(x) for x in ids], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "ids", "decoded"])
-            texts = ids = part = columns = None
-            hand_back()
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", ids array<int>, decoded string"
-    return kept.mapInArrow(serving("automaton", run), schema)
+    return kept.mapInArrow(serving("automaton", run), widened(kept, "ids array<int>, decoded string"))
 
 
 def joined_ids(ids: str = "ids"):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.ranges import with_ranges
-from millrace.llm.words import begin, mixed, shingle_hashes, split_words, word_hashes
+from millrace.llm.words import begin, mixed, shingle_hashes, split_words, widened, word_hashes
 
 
 class OnePermutation:
@@ -101,8 +101,7 @@ def fingerprints(docs: DataFrame, scheme: OnePermutation | None = None) -> DataF
             prints = [scheme.packed(scheme.values(x)) for x in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.string())], [*batch.schema.names, "fingerprint"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{schema}, fingerprint string")
+    return kept.mapInArrow(run, widened(kept, "fingerprint string"))
 
 
 def in_id_order(docs: DataFrame) -> DataFrame:

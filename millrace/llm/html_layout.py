@@ -1,4 +1,9 @@
-"""Layout-aware text of HTML pages: a tree builder with implied tags, visibility rules and a block renderer."""
+"""Layout-aware text of HTML pages: a tree builder with implied tags, visibility rules and a block renderer.
+
+Shown are also the text elements of inline SVG, a line each, and the values of inputs that are buttons. Left out are
+rules of style sheets (only ``style`` and ``hidden`` attributes hide), generated content, the values of other
+inputs, and the names that a browser gives to buttons without a value.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +14,16 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from millrace.llm.words import widened
+
 # fixed values of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Never shown. Frames and media hold fallback content only.
-UNSHOWN = frozenset("area audio base canvas col colgroup datalist embed head iframe link meta noembed noframes noscript object param script source style svg template title track video".split())
+UNSHOWN = frozenset("area audio base canvas col colgroup datalist embed head iframe link meta noembed noframes noscript object param script source style template title track video".split())
+#: Parts of inline SVG that are not drawn where they stand.
+UNDRAWN = frozenset("clippath defs desc marker mask metadata pattern symbol title".split())
+#: Inputs that show their value.
+BUTTONS = frozenset("button reset submit".split())
 #: Blocks with an empty line around them, and blocks that only begin and end a line.
 SPACED = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul".split())
 BLOCKS = SPACED | frozenset(
@@ -229,6 +240,11 @@ def _render(node: Node, page: _Page, visible: bool, kept: bool) -> None:
             page.add(["  " + x if x else x for x in _lines(child, seen, kept)], tag == "blockquote")
         elif tag == "pre" or tag == "textarea":
             page.add(_lines(child, seen, True), tag == "pre")
+        elif tag == "svg":
+            page.add(_drawn(child, seen), False)
+        elif tag == "input":
+            if seen and child.attributes.get("type", "").lower().strip() in BUTTONS:
+                page.text(child.attributes.get("value", ""), kept)
         elif tag == "q":
             inner = _Page()
             _render(child, inner, seen, kept)
@@ -242,6 +258,26 @@ def _render(node: Node, page: _Page, visible: bool, kept: bool) -> None:
             _render(child, page, seen, kept)
 
 
+def _drawn(node: Node, visible: bool) -> list[str]:
+    """The text elements of an SVG, a line each; embedded HTML is rendered as such."""
+    out: list[str] = []
+    for child in node.children:
+        if isinstance(child, str) or child.tag in UNDRAWN:
+            continue
+        shown, seen = _shown(child, visible)
+        if not shown or child.attributes.get("display", "").strip() == "none":
+            continue
+        if child.tag == "text":
+            seen = seen and child.attributes.get("visibility", "") not in ("hidden", "collapse")
+            line = " ".join(_lines(child, seen, False))
+            out += [line] if line else []
+        elif child.tag == "foreignobject":
+            out += _lines(child, seen, False)
+        else:
+            out += _drawn(child, seen)
+    return out
+
+
 def _lines(node: Node, visible: bool, kept: bool) -> list[str]:
     page = _Page()
     if kept and node.children and isinstance(node.children[0], str):  # a line end right behind the tag is none
@@ -375,5 +411,4 @@ def extract_text(pages: DataFrame) -> DataFrame:
             texts = pa.array([page_text(x) for x in batch.column("html").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "text"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{schema}, text string")
+    return kept.mapInArrow(run, widened(kept, "text string"))

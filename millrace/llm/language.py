@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.words import begin
+from millrace.llm.words import begin, widened
 
 UNKNOWN = "und"
 #: Bytes that are encoded together; each piece of a longer text starts from the dictionary again.
@@ -28,24 +28,51 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def fit(labelled: DataFrame, documents: int = 300, chars: int = 2000, dictionary_bytes: int = 1 << 18) -> dict[str, tuple[bytes, float]]:
+def shared_out(texts: list[list[bytes]], room: int) -> bytes:
+    """A stretch of every piece of every text, so that no text has more of the room than another needs.
+
+    Texts shorter than an even share are whole; the others divide what is left evenly among them, and each
+    divides its part evenly among its pieces.
+    """
+    need = sorted(sum(len(p) for p in pieces) + len(pieces) for pieces in texts)
+    share, left = 0, room
+    for i, size in enumerate(need):
+        share = left // (len(need) - i)
+        if size > share:
+            break
+        left -= size
+        share = size
+    out = []
+    for pieces in texts:
+        each = max(0, share // len(pieces) - 1)
+        out += [p if sum(map(len, pieces)) + len(pieces) <= share else p[:each] for p in pieces]
+    return b"\n".join(x for x in out if x)
+
+
+def fit(
+    labelled: DataFrame, documents: int = 300, pieces: int = 8, chars: int = 500, dictionary_bytes: int = 1 << 18
+) -> dict[str, tuple[bytes, float]]:
     """Dictionary content and share of the rows for each non-null ``lang`` of ``labelled(doc_id, text, lang)``.
 
-    The sample is bounded: of every language the ``documents`` texts with the least md5(doc_id), the first
-    ``chars`` characters of each in lower case, cut to ``dictionary_bytes``. The rank is limited before
-    rows are shuffled, so the language of most rows is no larger task than any other.
+    The sample is bounded: of every language the ``documents`` texts with the least md5(doc_id), and of each
+    ``pieces`` stretches of ``chars`` characters at even distances from its beginning to its end (the whole text, if
+    that is shorter), in lower case. All these documents share the ``dictionary_bytes`` evenly. The rank is
+    limited before rows are shuffled, so the language of most rows is no larger task than any other.
     """
     usable = labelled.filter("lang is not null and length(text) > 0")
     draw = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = usable.select("lang", F.substring("text", 1, chars).alias("text"), draw.alias("draw"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
+    spare = F.length("text") - chars
+    stretches = [F.substring(F.col("text"), F.floor(spare * (i / max(1, pieces - 1))).cast("int") + 1, F.lit(chars)) for i in range(pieces)]
+    sampled = F.when(F.length("text") <= pieces * chars, F.array("text")).otherwise(F.array(*stretches))
+    rows = usable.select("lang", sampled.alias("texts"), draw.alias("draw"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "texts"))
     sample = rows.withColumn("place", place).filter(F.col("place") <= documents)
     texts: dict[str, list[tuple]] = {}
     for row in sample.collect():
-        texts.setdefault(row["lang"], []).append((row["place"], row["text"]))
+        texts.setdefault(row["lang"], []).append((row["place"], [x.lower().encode() for x in row["texts"]]))
     counts = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
     total = sum(counts.values())
-    return {lang: ("\n".join(t for _, t in sorted(own)).lower().encode()[:dictionary_bytes], counts[lang] / total) for lang, own in sorted(texts.items())}
+    return {lang: (shared_out([p for _, p in sorted(own)], dictionary_bytes), counts[lang] / total) for lang, own in sorted(texts.items())}
 
 
 class Compressors:
@@ -84,15 +111,15 @@ def identify(docs: DataFrame, learned: dict[str, tuple[bytes, float]], margin: f
     texts when no language was learned are ``und`` with score 0. Ties go to the first language by name.
     """
     kept = docs.drop("lang_pred", "score", "rejected")
+    shared = docs.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("language")
-        coders = Compressors(learned)
+        coders = Compressors(shared.value)
         for batch in batches:
             found = [coders.predict(x, margin) for x in batch.column("text").to_pylist()]
             kinds = pa.string(), pa.float64(), pa.bool_()
             columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "lang_pred", "score", "rejected"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    return kept.mapInArrow(run, widened(kept, "lang_pred string, score double, rejected boolean"))

@@ -199,9 +199,9 @@ def manifest(rows: DataFrame, leaf: Column, group: str, key: str, carry: Sequenc
     nodes = own.select("tree", (F.col("_place") - F.col("tree")).alias("number"), "digest", "_key", "_carry")
     leaves, inner, subroots = _forest(nodes, trees.select("tree", "height", "home"), highest, ("digest", "_key", "_carry"))
     subroots = materialise(subroots.join(trees.select("_group", "tree", "home"), "tree"), "merkle-subroots")
-    top = subroots.select(F.lit(TOP).cast("bigint").alias("tree"), F.col("home").alias("number"), "digest")
-    above = rows.sparkSession.range(1).select(F.lit(TOP).cast("bigint").alias("tree"), _height(F.lit(count)).alias("height"), F.lit(None).cast("bigint").alias("home"))
+    top = materialise(subroots.select(F.lit(TOP).cast("bigint").alias("tree"), F.col("home").alias("number"), "digest"), "merkle-top")
     top_height = next(h for h in range(64) if ARITY**h >= count)
+    above = rows.sparkSession.createDataFrame([(TOP, top_height, None)], "tree bigint, height int, home bigint")
     top_leaves, top_inner, root = _forest(top, above, top_height)
     top_nodes = _stacked([top_leaves, top_inner])
     proofs = _proofs(leaves, _stacked([inner, top_nodes]), highest + top_height)

@@ -7,14 +7,15 @@ Schedule: slot ``k`` of the mix has the golden-ratio point ``frac((k + 1) / phi)
 cumulative targets it names a source, so any run of slots has each source in its share. The slot's rank
 among its source's slots names the block of equally many tokens (here: words) that it takes from the
 source's shuffled stream, which starts anew when it is used up. A closing slot takes what the rounding of
-the slots leaves of a target, and a slot that passes the target is cut there.
+the slots leaves of a target, and a slot that passes the target is cut there. The slots are the order of the
+mix: a document stands where the first slot that takes from it does.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import materialise
@@ -23,8 +24,10 @@ from millrace.session import materialise
 RUN = 1 << 20
 _RATIO = (Decimal(5).sqrt() - 1) / 2
 GOLDEN, GOLDEN_RUN = float(_RATIO), float(_RATIO * RUN % 1)
+#: Words that a slot takes.
+BLOCK = 256
 #: Rows that a window sorts together; longer lists are ranked in pieces whose counts are summed first.
-PIECE = 50_000
+PIECE = 5_000
 WHITE = "\t\n\x0b\x0c\r"
 
 
@@ -75,7 +78,7 @@ def ranked(rows: DataFrame, key: str, piece, order: list, measure, name: str) ->
     return joined.withColumn(name, (F.col("_local") + F.col("_carry")).cast("bigint")).drop("_piece", "_key", "_of", "_carry", "_local")
 
 
-def slot_schedule(targets: DataFrame, block: int = 256) -> DataFrame:
+def slot_schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     """``(source_no, slot, block_no, begin, end)``: the mix in order, each slot with its part of a source's stream.
 
     ``targets`` has ``source_no`` and ``quota`` (whole tokens). A source has as many cells of the unit interval
@@ -112,19 +115,21 @@ def slot_schedule(targets: DataFrame, block: int = 256) -> DataFrame:
     return every.select("source_no", "slot", "block_no", begin.alias("begin"), F.least(begin + block, F.col("quota")).alias("end"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, repeats: int = 2, block: int = 256) -> DataFrame:
-    """``(doc_id, size, source_size, target, taken, text_hash)`` for every row of ``docs(doc_id, text, source)``.
+def placements(
+    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, repeats: int = 2, block: int = BLOCK, row: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The source streams of ``docs(doc_id, text, source)``, and where the schedule takes from them.
 
-    ``taken`` counts the words of the document in the mix, repeats included, 0 for a document it leaves
-    out. A source's stream has its documents in the order of md5(doc_id), then doc_id and a text hash, so
-    reruns agree; a source's taken words sum to its target without the fraction. Null sources are one source.
-    Null and empty texts have size 0 and nothing taken. An empty table stays empty. Other columns of
-    ``docs`` are not read.
+    The streams have a row per document: ``source_no, doc_id, size, source_size, target, begin`` (words of the stream
+    before it) and ``row``, if the name of a column that tells rows apart is given. The second table has
+    ``source_no, begin, turn, words, first_slot, last_slot`` for each pass over a stream that takes words of a document.
     """
+    known = [F.col(row).alias("row")] if row else []
+    text_digest = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
     sized = materialise(
         docs.select(
             F.col("source").alias("own"), "doc_id", F.size(words_of()).cast("bigint").alias("size"),
-            F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("draw"), F.xxhash64("text").alias("tie"),
+            F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_digest).cast("binary")).alias("draw"), *known,
         ),
         "sizes",
     )
@@ -136,20 +141,68 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     stream = sized.join(targets, F.col("own").eqNullSafe(F.col("source"))).drop("own", "source", "weight")
     drawn = F.conv(F.substring("draw", 1, 8), 16, 10).cast("bigint") / F.lit(float(1 << 32))
     piece = F.floor(drawn * F.ceil(F.col("n_docs") / PIECE))
-    order = [F.col("draw"), F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    order = [F.col("draw"), F.col("doc_id").asc_nulls_first(), *([F.col("row")] if row else [])]
     stream = materialise(ranked(stream, "source_no", piece, order, F.col("size"), "begin").drop("draw", "n_docs"), "stream")
 
     # a document's places in the stream, once for each pass, and the blocks that they touch
     passes = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
-    places = stream.filter("size > 0").select("source_no", "begin", "size", "source_size", passes.alias("turn"))
-    places = places.withColumn("from", F.col("begin") + F.col("turn") * F.col("source_size"))
-    places = places.withColumn("to", F.col("from") + F.col("size"))
+    places = stream.filter("size > 0").select("source_no", "begin", "size", "source_size", "quota", passes.alias("turn"))
+    places = places.withColumn("from", F.col("begin") + F.col("turn") * F.col("source_size")).filter(F.col("from") < F.col("quota"))
+    places = places.withColumn("to", F.least(F.col("from") + F.col("size"), F.col("quota")))
     touched = F.sequence(F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block))
     pieces = places.withColumn("block_no", F.explode(touched))
     schedule = slot_schedule(targets, block).withColumnRenamed("begin", "slot_begin").withColumnRenamed("end", "slot_end")
     overlap = F.least("to", "slot_end") - F.greatest("from", "slot_begin")
     met = pieces.join(schedule, ["source_no", "block_no"]).withColumn("words", overlap).filter("words > 0")
-    taken = met.groupBy(F.col("source_no").alias("no"), F.col("begin").alias("at")).agg(F.sum("words").alias("taken"))
+    taken = met.groupBy("source_no", "begin", "turn").agg(F.sum("words").alias("words"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
+    return stream.drop("quota"), taken
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, repeats: int = 2, block: int = BLOCK) -> DataFrame:
+    """``(doc_id, size, source_size, target, taken, first_slot, last_slot)`` for every row of ``docs(doc_id, text, source)``.
+
+    ``taken`` counts the words of the document in the mix, repeats included, 0 for a document it leaves
+    out; ``first_slot`` and ``last_slot`` are the places of the mix where it is met first and last, null if it is
+    left out. A source's stream has its documents in the order of a digest of doc_id and text, so reruns agree; a
+    source's taken words sum to its target without the fraction. Null sources are one source. Null and empty
+    texts have size 0 and nothing taken. Rows alike in id and text are documents of their own. An empty table stays
+    empty. Other columns of ``docs`` are not read.
+    """
+    stream, passes = placements(docs, weights, share, repeats, block)
+    taken = passes.groupBy(F.col("source_no").alias("no"), F.col("begin").alias("at")).agg(
+        F.sum("words").alias("taken"), F.min("first_slot").alias("first_slot"), F.max("last_slot").alias("last_slot")
+    )
     # places of documents with words are distinct; an empty one shares its place with the next
     same = (F.col("source_no") == F.col("no")) & (F.col("begin") == F.col("at")) & (F.col("size") > 0)
-    return stream.join(taken, same, "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), F.col("tie").alias("text_hash"))
+    met = stream.join(taken, same, "left")
+    return met.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "first_slot", "last_slot")
+
+
+def first_words(text: Column, count: Column) -> Column:
+    """A text up to the end of its ``count``-th word, spaces and line ends kept."""
+    white = f"[ {WHITE}]+"
+    words = F.filter(F.split(text, white), lambda w: w != "")
+    gaps = F.regexp_extract_all(text, F.lit(white), F.lit(0))
+    leading = F.when(text.rlike(f"\\A{white}"), 1).otherwise(0)
+
+    def length(parts: Column, number: Column) -> Column:
+        return F.aggregate(F.slice(parts, F.lit(1), number.cast("int")), F.lit(0), lambda n, part: n + F.length(part))
+
+    return F.substring(text, F.lit(1), length(words, count) + length(gaps, F.greatest(count - 1 + leading, F.lit(0))))
+
+
+def mixed_texts(docs: DataFrame, **settings) -> DataFrame:
+    """The documents that the mix takes, in the order of its slots: a row for each pass that takes words of one.
+
+    A document of which a pass takes a part is cut behind the last word taken, its spaces and line ends kept, and
+    marked in the added column ``cut``. ``docs`` must give its rows in the same order each time it is read (a table of files
+    does), because rows are told apart by their place.
+    """
+    placed = docs.withColumn("_row", F.monotonically_increasing_id())
+    stream, passes = placements(placed, row="_row", **settings)
+    where = stream.filter("size > 0").select("source_no", "begin", F.col("row").alias("_row"), "size")
+    taken = where.join(passes, ["source_no", "begin"]).select("_row", "size", "words", "first_slot", "source_no", "begin", "turn")
+    rows = placed.join(taken, "_row")
+    ordered = rows.orderBy("first_slot", "source_no", "turn", "begin").withColumn("cut", F.col("words") < F.col("size"))
+    text = F.when(F.col("cut"), first_words(F.col("text"), F.col("words"))).otherwise(F.col("text"))
+    return ordered.withColumn("text", text).select(*docs.columns, "cut")

@@ -8,11 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import automaton, decontaminate, fingerprints, html_layout, language, merkle, mixing, ngram_join, periodic_runs, repetition, secret_scan, token_files, toxicity
+from millrace.llm import automaton, decontaminate, fingerprints, html_layout, language, merkle, mixing, ngram_join, periodic_runs, repetition, secret_scan, sql_forms, token_files, toxicity
 from millrace.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(sql_forms.ORACLES)
 
 
 def registered(fn: Callable[[SparkSession, str], DataFrame]):
@@ -63,22 +63,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("text_hash")
-
-
-SIZES = r"""SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\x0c\r]+')) AS size FROM documents"""
-ORACLES["op6_mixture"] = f"""
-WITH sized AS ({SIZES}),
-sources AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS no FROM sized GROUP BY source),
-weighed AS (SELECT *, CASE (no - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight, source_size * 2.0::DOUBLE AS cap FROM sources),
-leveled AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-    / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
-targets AS (SELECT *, coalesce(least(cap, weight * (SELECT arg_min(level, cap / weight) FROM leveled WHERE cap / weight >= level)), cap) AS target FROM leveled),
-placed AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin FROM sized)
-SELECT p.doc_id, p.size::BIGINT AS size, t.source_size::BIGINT AS source_size, t.target,
-    (greatest(0, least(size, floor(target) - begin)) + greatest(0, least(size, floor(target) - source_size - begin)))::BIGINT AS taken
-FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
-"""
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 @registered

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.token_files import slices
-from millrace.llm.words import PLACES, mixed, serving, word_hashes
+from millrace.llm.words import PLACES, mixed, serving, widened, word_hashes
 
 #: Words of the documents that a task sorts at a time; one longer document is sorted alone.
 SLICE = 600_000
@@ -184,8 +184,7 @@ def repetition_measures(docs: DataFrame, least: int = 5) -> DataFrame:
     """
     run, names = _run(least)
     kept = docs.drop(*names)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{schema}, {RULES}")
+    return kept.mapInArrow(run, widened(kept, RULES))
 
 
 def quality_rules(

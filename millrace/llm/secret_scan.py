@@ -11,10 +11,13 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import materialise
+
 # fixed values: the kinds in their order, and their patterns
 KINDS = ("assign", "access", "hex", "model")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -24,7 +27,9 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: States of the models: before the first character, each character of the alphabet, any other.
 STATES = len(ALPHABET) + 2
 
-SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string,value:string>>"
+SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string,value:string,first_byte:int,end_byte:int>>"
+#: Elements of an array that are combined one by one.
+BLOCK = 512
 
 
 def _run(least: int) -> str:
@@ -32,20 +37,54 @@ def _run(least: int) -> str:
     return f"(?<!{key}){key}{{{least},}}+"
 
 
+def named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where functions over elements ask for it again and again."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def before(values: Column, zero: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each element of an array, all elements before it combined.
+
+    Arrays are copied when something is appended, so long ones are combined in blocks, and the blocks in turn:
+    the work grows with the length times ``BLOCK``, not with its square.
+    """
+
+    def cut(whole: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / BLOCK).cast("int")), lambda k: F.slice(whole, k * BLOCK + 1, BLOCK))
+        return F.when(F.size(whole) > 0, blocks).otherwise(F.slice(F.array(whole), 1, 0))
+
+    def appended(state: Column, value: Column) -> Column:
+        return F.array_append(state, combine(F.element_at(state, -1), value))
+
+    scanned = F.transform(named(values, cut), lambda block: F.aggregate(block, F.array(zero), appended))
+
+    def joined(parts: Column) -> Column:
+        first = F.aggregate(parts, F.array(zero), lambda state, part: appended(state, F.element_at(part, -1)))
+        each = F.zip_with(parts, F.slice(first, F.lit(1), F.size(parts)), lambda part, own: F.transform(F.slice(part, F.lit(1), F.size(part) - 1), lambda x: combine(own, x)))
+        return F.flatten(each)
+
+    return named(scanned, joined)
+
+
 def pattern_spans(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
-    """Leftmost non-overlapping matches as spans in code points; those whose group is shorter than ``least`` go."""
+    """Leftmost non-overlapping matches as spans in code points and bytes; those whose group is shorter than ``least`` go."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
+
+    def sums(length: Callable[[Column], Column]) -> Column:
+        """Where each gap begins."""
+        return before(F.zip_with(gaps, whole, lambda gap, match: length(gap) + length(match)), F.lit(0), lambda a, b: a + b)
 
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + F.length(part["gap"])
-        end = start + F.length(part["whole"])
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), end.alias("end"), F.lit(kind).alias("kind"), part["value"].alias("value"))
-        return F.struct(F.coalesce(end, start).alias("at"), F.when(part["whole"].isNull(), state["spans"]).otherwise(F.array_append(state["spans"], span)).alias("spans"))
+    def span(part: Column) -> Column:
+        start, first = part["at"] + F.length(part["gap"]), part["byte"] + F.octet_length(part["gap"])
+        return F.struct(
+            start.alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), (start + F.length(part["whole"])).alias("end"), F.lit(kind).alias("kind"),
+            part["value"].alias("value"), first.alias("first_byte"), (first + F.octet_length(part["whole"])).alias("end_byte"),
+        )
 
-    found = F.aggregate(parts, empty, step, lambda state: state["spans"])
+    parts = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), value.alias("value"), sums(F.length).alias("at"), sums(F.octet_length).alias("byte"))
+    found = F.transform(parts, span)
     return F.when(text.rlike(pattern), F.filter(found, lambda s: F.length(s["value"]) >= least)).otherwise(F.array().cast(SPAN))
 
 
@@ -74,14 +113,21 @@ def labelled_samples(docs: DataFrame, sample: int = 2000) -> DataFrame:
     number's digests as random strings: in hexadecimal, lower and upper case, in base 64, and in letters and
     digits of either case.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("draw"))
-    # only ids are sorted and gathered; at most ``sample`` of them meet the texts again
-    def texts_of(some: DataFrame) -> DataFrame:
-        ids = some.select("draw", "doc_id").orderBy("draw", "doc_id").limit(sample).select("draw").distinct()
-        return rows.join(F.broadcast(ids), "draw", "left_semi")
-
-    drawn = texts_of(rows)
-    holding = texts_of(rows.filter(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")))
+    draw = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), draw.alias("draw"))
+    # only ids are sorted and gathered; at most twice ``sample`` of them meet the texts again
+    holds = F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")
+    ids = materialise(rows.select("draw", "doc_id", holds.alias("holds")), "secret-ids")
+
+    def least(some: DataFrame, name: str) -> DataFrame:
+        return some.select("draw", "doc_id").orderBy("draw", "doc_id").limit(sample).select("draw", F.lit(name).alias("name"))
+
+    wanted = least(ids, "drawn").union(least(ids.filter("holds"), "holding")).distinct()
+    named = wanted.groupBy("draw").agg(F.collect_set("name").alias("names"))
+    # the texts of a repeated id are all taken, so holding ones are told from the others again
+    taken = materialise(rows.join(F.broadcast(named), "draw"), "secret-texts")
+    drawn = taken.filter(F.array_contains("names", "drawn"))
+    holding = taken.filter(F.array_contains("names", "holding") & holds)
     found = holding.select(F.explode(base_spans(F.col("text"))["value"]).alias("word"))
     digest = F.sha2(F.col("draw"), 256)
     sixty_four = F.base64(F.unhex(digest))
@@ -111,6 +157,25 @@ def score(word: Column, ratios: Column) -> Column:
     return F.aggregate(steps(word), F.lit(0.0), lambda total, step: total + F.element_at(ratios, step + 1))
 
 
+def untouched(runs: Column, others: Column) -> Column:
+    """The runs that no other span overlaps.
+
+    Both are laid out by where a run ends and another span begins, runs first; a run is free when no span
+    before it in this order ends behind the run's start.
+    """
+    events = F.sort_array(F.concat(
+        F.transform(runs, lambda r: F.struct(r["end"].alias("at"), F.lit(0).alias("other"), F.lit(0).alias("reach"), r.alias("run"))),
+        F.transform(others, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("other"), b["end"].alias("reach"), b.alias("run"))),
+    ))
+
+    def free(laid: Column) -> Column:
+        reached = before(F.transform(laid, lambda e: e["reach"]), F.lit(0), F.greatest)
+        kept = F.filter(F.arrays_zip(laid.alias("event"), reached.alias("reached")), lambda e: (e["event"]["other"] == 0) & (e["reached"] <= e["event"]["run"]["start"]))
+        return F.transform(kept, lambda e: e["event"]["run"])
+
+    return F.when((F.size(runs) > 0) & (F.size(others) > 0), named(events, free)).otherwise(runs)
+
+
 def secret_spans(docs: DataFrame, ratios: list[float], least: int = 16, log_odds: float = 12.0) -> DataFrame:
     """``docs`` with ``base`` and ``spans`` added: pattern spans, and those with the models' spans.
 
@@ -123,8 +188,7 @@ def secret_spans(docs: DataFrame, ratios: list[float], least: int = 16, log_odds
     found = docs.drop("base", "spans").withColumn("base", base_spans(text))
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     runs = pattern_spans(text, _run(least), "model")
-    clear = F.filter(runs, lambda r: ~F.exists(F.col("base"), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    added = F.filter(clear, lambda r: score(r["value"], table) >= log_odds)
+    added = F.filter(named(runs, lambda some: untouched(some, F.col("base"))), lambda r: score(r["value"], table) >= log_odds)
     return found.withColumn("spans", F.sort_array(F.concat("base", added)))
 
 
@@ -138,14 +202,19 @@ def counted(kind: str, spans: str = "base") -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every stretch that spans cover replaced by one mark; a null text stays null."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with every stretch that spans cover replaced by one mark; a null text stays null.
+
+    The pieces between the spans are taken by their bytes, which does not read the text from its beginning.
+    """
+    reached = before(F.transform(spans, lambda s: s["end_byte"]), F.lit(0), F.greatest)
+    last = F.array_max(F.transform(spans, lambda s: s["end_byte"]))
+
+    def rest(data: Column) -> Column:
+        def piece(part: Column) -> Column:
+            gap = F.substring(data, part["reached"] + 1, part["span"]["first_byte"] - part["reached"]).cast("string")
+            return F.when(part["span"]["first_byte"] >= part["reached"], F.concat(gap, F.lit(mark))).otherwise(F.lit(""))
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        inside = span["start"] < state["at"]
-        out = F.when(inside, state["out"]).otherwise(F.concat(state["out"], gap, F.lit(mark)))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+        pieces = F.transform(F.arrays_zip(spans.alias("span"), reached.alias("reached")), piece)
+        return F.concat(F.array_join(pieces, ""), F.substring(data, last + 1, F.octet_length(data)).cast("string"))
 
-    done = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return F.when(F.size(spans) > 0, named(text.cast("binary"), rest)).otherwise(text)

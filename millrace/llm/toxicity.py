@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import Cache, begin
+from millrace.llm.words import Cache, begin, widened
 
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5, 6)
@@ -174,5 +174,4 @@ def score(docs: DataFrame, model: tuple[bytes, float], window: int = 3) -> DataF
                 out.append(float(1 / (1 + np.exp(-np.clip(runs.max() + bias, -30, 30)))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{schema}, score double")
+    return kept.mapInArrow(run, widened(kept, "score double"))

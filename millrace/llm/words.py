@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 #: Entries of a per-process cache before it is emptied; bounds memory, never results.
 CACHE_ENTRIES = 200_000
@@ -36,6 +38,29 @@ class Cache(dict):
             self.clear()
 
 
+class LastingCache(Cache):
+    """A cache that lets go of what was not asked for lately: two generations instead of emptying it whole.
+
+    :meth:`trim` makes the young entries the old ones when there are too many; what is asked for again moves back.
+    """
+
+    def __init__(self, make, entries: int = CACHE_ENTRIES):
+        super().__init__(make, entries)
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self.entries:
+            self.old = dict(self)
+            self.clear()
+
+
 _HASHES = Cache(xxhash.xxh3_64_intdigest)
 _RELEASES: list[Callable[[], None]] = [_HASHES.clear]
 _CURRENT = ""
@@ -80,6 +105,11 @@ def serving(operator: str, run: Callable[[Iterator], Iterator]) -> Callable[[Ite
     return task
 
 
+def widened(kept: DataFrame, added: str) -> StructType:
+    """The schema of ``kept`` with the columns of a DDL text; names and types of any kind pass unchanged."""
+    return StructType([*kept.schema.fields, *StructType.fromDDL(added).fields])
+
+
 def split_words(text: bytes | None) -> list[bytes]:
     """Runs of anything but space and U+0009 to U+000D; no words for a missing text."""
     return text.split() if text else []
