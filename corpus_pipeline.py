@@ -47,20 +47,14 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes: a row for each whole pass, and one for a part, cut to the words taken.
+    """The documents that the mix takes, in the order of its slots: a row for each pass that takes words of one.
 
-    Documents of which nothing is taken go, those without words among them. Rows alike in doc_id and text
-    share evenly what is taken of them.
+    A pass that takes a part of a document cuts it behind the last word taken and counts n_chars anew. Documents of
+    which nothing is taken go, those without words among them. Rows alike are documents of their own.
     """
-    key = F.xxhash64("text")
-    taken = mixing.mix(docs).groupBy("doc_id", "text_hash").agg(F.floor(F.sum("taken") / F.count("*")).alias("taken"), F.max("size").alias("size"))
-    taken = taken.filter("taken > 0").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "taken", "size")
-    met = docs.select(*COLUMNS).join(taken, F.col("doc_id").eqNullSafe(F.col("id")) & (key == F.col("hash")))
-    whole, part = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
-    rows = met.withColumn("words", F.explode(F.concat(F.array_repeat(F.lit(-1).cast("bigint"), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))))
-    cut = F.col("words") > 0
-    text = F.when(cut, F.concat_ws(" ", F.slice(mixing.words_of(), 1, F.greatest(F.col("words"), F.lit(0)).cast("int")))).otherwise(F.col("text"))
-    return rows.withColumn("text", text).withColumn("n_chars", F.when(cut, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+    taken = mixing.mixed_texts(docs.select(*COLUMNS))
+    n_chars = F.when(F.col("cut"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return taken.withColumn("n_chars", n_chars).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
