@@ -241,7 +241,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, slice_bytes: int = 2 << 2
                 columns = [*part.columns, _lists(ids), pa.array([coder.decode(x) for x in ids], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "ids", "decoded"])
 
-    return kept.mapInArrow(serving("automaton", run), widened(kept, "ids array<int>, decoded string"))
+    return widened(kept, serving("automaton", run), "ids array<int>, decoded string")
 
 
 def joined_ids(ids: str = "ids"):

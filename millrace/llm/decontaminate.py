@@ -24,10 +24,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.llm.bytewords import Words, byte_table, find_words, slices_of, text_bytes
-from millrace.llm.words import mixed, serving
+from millrace.llm.words import mixed, serving, widened
 from millrace.session import materialise
 
 #: Words are runs of digits, letters a to z and characters beyond ASCII, after A to Z are lower-cased.
@@ -42,11 +41,8 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _BASE = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 20
 _SPAN = pa.struct([("first", pa.int64()), ("last", pa.int64())])
-_COLUMNS = [
-    T.StructField("n_words", T.LongType()),
-    T.StructField("hits", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))),
-    T.StructField("items", T.ArrayType(T.StringType())),
-]
+_COLUMNS = "n_words bigint, hits array<struct<first:bigint,last:bigint>>, items array<string>"
+_NAMES = ["n_words", "hits", "items"]
 _WINDOWS = "item string, window string"
 
 
@@ -257,8 +253,8 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return pc.list_parent_indices(lists).to_numpy(), pc.list_flatten(lists)
 
 
-def _marked(block):
-    names = [f.name for f in _COLUMNS]
+def _marked(block, width: int):
+    """Adds what the block's windows hit to batches whose first ``width`` columns are the documents'."""
 
     def columns(part: pa.RecordBatch) -> list[pa.Array]:
         words = words_of_texts(part.column("text"))
@@ -273,11 +269,11 @@ def _marked(block):
         owner, window = key // max(len(block.value.texts), 1), key % max(len(block.value.texts), 1)
         pair, taken = _pairs(block.value.first_item[window], block.value.first_item[window + 1])
         owner, items = owner[pair], block.value.items.take(pa.array(taken))
-        if "hits" in part.schema.names:  # of an earlier pass
-            row, spans = _flat(part.column("hits"))
+        if part.num_columns > width:  # of an earlier pass
+            row, spans = _flat(part.columns[-2])
             np.add.at(change, first_word[row] + pc.struct_field(spans, "first").to_numpy(), 1)
             np.add.at(change, first_word[row] + pc.struct_field(spans, "last").to_numpy(), -1)
-            row, before = _flat(part.column("items"))
+            row, before = _flat(part.columns[-1])
             owner, items = np.r_[row, owner], pa.concat_arrays([before, items])
         listed = pa.table({"owner": owner, "item": items}).filter(pc.field("item").is_valid()).group_by(["owner", "item"]).aggregate([])
         listed = listed.sort_by([("owner", "ascending"), ("item", "ascending")])
@@ -296,8 +292,7 @@ def _marked(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices_of(batch, "text"):
-                kept = part.drop_columns([x for x in names if x in part.schema.names])
-                yield pa.RecordBatch.from_arrays([*kept.columns, *columns(part)], [*kept.schema.names, *names])
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], *columns(part)], [*part.schema.names[:width], *_NAMES])
 
     return run
 
@@ -311,10 +306,8 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, key: str = "item_id",
     one item id are one item; the windows of items without id hit, but there is no id to list. Repeated rows and
     null ids of documents are kept as they are.
     """
-    names = [f.name for f in _COLUMNS]
     session = docs.sparkSession
-    kept = docs.drop(*names)
-    schema = T.StructType([*kept.schema.fields, *_COLUMNS])
+    kept = docs.drop(*_NAMES)
     windows = materialise(windows_of(benchmark, key, size), "windows")
     blocks = max(1, -(-windows.count() // block))
     marked = kept
@@ -326,7 +319,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, key: str = "item_id",
         counts = counted.groupBy("width", "shingle").agg(F.sum("count").alias("count")).collect() if found.shingles else []
         found.choose(listed, {(r["width"], r["shingle"]): r["count"] for r in counts})
         held = session.sparkContext.broadcast(found)
-        marked = marked.mapInArrow(serving("benchmark hits", _marked(held)), schema)
+        marked = widened(marked, serving("benchmark hits", _marked(held, len(kept.columns))), _COLUMNS if i == 0 else "")
         if i + 1 < blocks:
             marked = materialise(marked, "benchmark-hits")
     return marked

@@ -101,7 +101,7 @@ def fingerprints(docs: DataFrame, scheme: OnePermutation | None = None) -> DataF
             prints = [scheme.packed(scheme.values(x)) for x in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.string())], [*batch.schema.names, "fingerprint"])
 
-    return kept.mapInArrow(run, widened(kept, "fingerprint string"))
+    return widened(kept, run, "fingerprint string")
 
 
 def in_id_order(docs: DataFrame) -> DataFrame:
@@ -109,20 +109,20 @@ def in_id_order(docs: DataFrame) -> DataFrame:
 
     Every part ends with a closing row that repeats the next part's first document, the last part with the
     very first document, so a task sees each document's follower without the others' rows. A missing
-    doc_id comes first; equal ids stand by text. The ranges are quantiles of doc_id, and a part's first
+    doc_id comes first; equal ids stand by a hash of the text. The ranges are quantiles of doc_id, and a part's first
     document is a partial aggregation, so nothing but the quantiles passes through the driver.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt, parts = with_ranges(rows)
     dealt = dealt.withColumn("closing", F.lit(False))
-    first = dealt.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text")).alias("head"))
+    first = dealt.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "turn", "text")).alias("head"))
     # one row for each part from here on
     place = Window.orderBy("part")
     everyone = Window.partitionBy()
     owner = F.coalesce(F.lag("part").over(place), F.max("part").over(everyone))
-    heads = first.select(owner.alias("part"), F.lit(True).alias("closing"), F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"))
-    both = dealt.select("part", "closing", "doc_id", "text").union(heads.select("part", "closing", "doc_id", "text"))
-    return both.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "closing", "doc_id", "text")
+    heads = first.select(owner.alias("part"), F.lit(True).alias("closing"), *[F.col(f"head.{c}").alias(c) for c in ("doc_id", "turn", "text")])
+    both = dealt.select("part", "closing", "doc_id", "turn", "text").union(heads)
+    return both.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "closing", "doc_id", "turn", "text")
 
 
 def edit_likeness(docs: DataFrame, scheme: OnePermutation | None = None) -> DataFrame:

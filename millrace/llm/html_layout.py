@@ -411,4 +411,4 @@ def extract_text(pages: DataFrame) -> DataFrame:
             texts = pa.array([page_text(x) for x in batch.column("html").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "text"])
 
-    return kept.mapInArrow(run, widened(kept, "text string"))
+    return widened(kept, run, "text string")

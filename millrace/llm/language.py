@@ -122,4 +122,4 @@ def identify(docs: DataFrame, learned: dict[str, tuple[bytes, float]], margin: f
             columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "lang_pred", "score", "rejected"])
 
-    return kept.mapInArrow(run, widened(kept, "lang_pred string, score double, rejected boolean"))
+    return widened(kept, run, "lang_pred string, score double, rejected boolean")

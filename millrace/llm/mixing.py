@@ -27,7 +27,7 @@ GOLDEN, GOLDEN_RUN = float(_RATIO), float(_RATIO * RUN % 1)
 #: Words that a slot takes.
 BLOCK = 256
 #: Rows that a window sorts together; longer lists are ranked in pieces whose counts are summed first.
-PIECE = 5_000
+PIECE = 1_000
 WHITE = "\t\n\x0b\x0c\r"
 
 

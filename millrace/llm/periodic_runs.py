@@ -21,17 +21,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 from millrace.llm.bytewords import NON_SPACE, find_words, slices_of, text_bytes
-from millrace.llm.words import serving
+from millrace.llm.words import serving, widened
 
 _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
-_COLUMNS = [
-    T.StructField("n_words", T.LongType()),
-    T.StructField("runs", T.ArrayType(T.StructType([T.StructField(x, T.LongType()) for x in ("start", "length", "period")]))),
-    T.StructField("collapsed", T.StringType()),
-]
+_COLUMNS = "n_words bigint, runs array<struct<start:bigint,length:bigint,period:bigint>>, collapsed string"
+_NAMES = ["n_words", "runs", "collapsed"]
 
 
 def _named(keys: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,12 +165,11 @@ def periodic_runs(docs: DataFrame, least: int = 12) -> DataFrame:
     each other: repeated rows, null ids and further columns are kept as they are. A text is worked on whole, in
     memory in proportion to its length times the logarithm of its longest repeated stretch.
     """
-    names = [f.name for f in _COLUMNS]
-    kept = docs.drop(*names)
+    kept = docs.drop(*_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices_of(batch, "text"):
-                yield pa.RecordBatch.from_arrays([*part.columns, *_columns(part.column("text"), least)], [*part.schema.names, *names])
+                yield pa.RecordBatch.from_arrays([*part.columns, *_columns(part.column("text"), least)], [*part.schema.names, *_NAMES])
 
-    return kept.mapInArrow(serving("periodic runs", run), T.StructType([*kept.schema.fields, *_COLUMNS]))
+    return widened(kept, serving("periodic runs", run), _COLUMNS)

@@ -184,7 +184,7 @@ def repetition_measures(docs: DataFrame, least: int = 5) -> DataFrame:
     """
     run, names = _run(least)
     kept = docs.drop(*names)
-    return kept.mapInArrow(run, widened(kept, RULES))
+    return widened(kept, run, RULES)
 
 
 def quality_rules(

@@ -2,12 +2,12 @@
 
 A table of documents is encoded and written as shards in ascending doc_id order. A shard has two files:
 
-- ``tokens-<first id>.arrows``: an Arrow IPC stream without compression whose batches hold the columns
+- ``tokens-<number>.arrows``: an Arrow IPC stream without compression whose batches hold the columns
   ``tokens`` (fixed-size list of unsigned integers, 16 bits when the vocabulary allows) and ``mask``
   (fixed-size list of booleans, false for padding). All documents of the shard stand one after the other,
   each with its end id; only the last sequence is padded. Every batch but the last has the same number of
   sequences, so sequence ``i`` is found without an index and read as a view of the mapped file.
-- ``docs-<first id>.arrows``: doc_id, start and n_tokens of each document in the shard.
+- ``docs-<number>.arrows``: doc_id, start and n_tokens of each document in the shard.
 
 A manifest table lists the shards. Files are written under a temporary name and then moved, and a rerun
 of a task writes the same bytes, so a lost executor leaves nothing half done.
@@ -31,15 +31,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm.ranges import with_ranges
-from millrace.llm.words import begin
+from millrace.llm.words import begin, keep_until_other
 from millrace.session import materialise
 
 #: Sequences in a batch of a token file.
 BATCH = 64
 
-_MANIFEST = "first_id bigint, tokens_file string, docs_file string, n_docs bigint, n_tokens bigint"
+_MANIFEST = "part int, first_id bigint, tokens_file string, docs_file string, n_docs bigint, n_tokens bigint"
 _MANIFEST_ARROW = pa.schema(
-    [("first_id", pa.int64()), ("tokens_file", pa.string()), ("docs_file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]
+    [("part", pa.int32()), ("first_id", pa.int64()), ("tokens_file", pa.string()), ("docs_file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]
 )
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 _READ_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
@@ -92,7 +92,7 @@ class ChunkEncoder:
     same model; vocabularies without word ends or with another normaliser only take the second.
     """
 
-    def __init__(self, content: str, end_id: int, entries: int = 1_500_000, lump: int = 20_000):
+    def __init__(self, content: str, end_id: int, entries: int = 1_000_000, lump: int = 20_000):
         self.tokenizer = plain_tokenizer(content)
         self.kind = id_type(self.tokenizer, end_id)
         self.end = np.array([end_id], self.kind).tobytes()
@@ -194,17 +194,30 @@ class ChunkEncoder:
         return [data[a:b] + self.end for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
 
 
+_CODERS: dict[tuple[int, int], ChunkEncoder] = {}
+keep_until_other(_CODERS.clear)
+
+
+def _coder(content, end_id: int) -> ChunkEncoder:
+    """One encoder for each process and file, so that a task knows the chunks of the tasks before it."""
+    key = hash(content.value), end_id
+    if key not in _CODERS:
+        _CODERS.clear()
+        _CODERS[key] = ChunkEncoder(content.value, end_id)
+    return _CODERS[key]
+
+
 def _encode(content, end_id: int, chars: int = 16_000_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("token files")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallel part
-        coder = ChunkEncoder(content.value, end_id)
+        coder = _coder(content, end_id)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(texts, chars):
                 part = batch.slice(a, b - a)
                 ids = pa.array(coder.encode(texts[a:b]), pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("part"), part.column("doc_id"), ids], ["part", "doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("part", "doc_id", "turn")], ids], ["part", "doc_id", "turn", "ids"])
 
     return run
 
@@ -212,10 +225,10 @@ def _encode(content, end_id: int, chars: int = 16_000_000):
 class _Shard:
     """Writes one pair of files as documents arrive."""
 
-    def __init__(self, folder: str, first, kind: np.dtype, length: int):
+    def __init__(self, folder: str, number: int, first, kind: np.dtype, length: int):
         self.fs, self.root = pafs.FileSystem.from_uri(folder)
-        self.name = "null" if first is None else f"{first + (1 << 63):020d}"
-        self.first, self.kind, self.length = first, kind, length
+        self.name = f"{number:010d}"
+        self.number, self.first, self.kind, self.length = number, first, kind, length
         self.part = uuid.uuid4().hex
         self.list_type = pa.list_(pa.from_numpy_dtype(kind), length)
         self.mask_type = pa.list_(pa.bool_(), length)
@@ -263,15 +276,15 @@ class _Shard:
             writer.write_batch(pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_INDEX))
         for what in ("docs", "tokens"):
             self.fs.move(self._path(what, True), self._path(what, False))
-        return self.first, self._path("tokens", False), self._path("docs", False), len(self.index), self.n_tokens
+        return self.number, self.first, self._path("tokens", False), self._path("docs", False), len(self.index), self.n_tokens
 
 
 def _write(folder: str, kind: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = None
         for batch in batches:
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                shard = shard or _Shard(folder, doc_id, np.dtype(kind), length)
+            for number, doc_id, ids in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "ids")), strict=True):
+                shard = shard or _Shard(folder, number, doc_id, np.dtype(kind), length)
                 shard.add(doc_id, ids)
         if shard:
             yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(shard.close(), _MANIFEST_ARROW, strict=True)], schema=_MANIFEST_ARROW)
@@ -282,9 +295,10 @@ def _write(folder: str, kind: str, length: int):
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, length: int = 2048, end_id: int = 2) -> DataFrame:
     """Encode ``docs(doc_id, text)`` with the tokenizer file and write shards; returns the manifest.
 
-    Documents stand in ascending doc_id order, a missing doc_id first, repeated ids by their token ids.
+    Documents stand in ascending doc_id order, a missing doc_id first, repeated ids by a hash of their text.
     A null or empty text is its end id alone. An empty table writes nothing and gives an empty manifest.
-    Other columns of ``docs`` are not read. A range of ids is one shard, so a task holds one batch of
+    Other columns of ``docs`` are not read. A range of ids is one shard (one id that many rows share, or lack, is
+    several), so a task holds one batch of
     sequences and the shard's index. ``folder`` must be one that all executors reach.
     """
     spark = docs.sparkSession
@@ -294,8 +308,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, length: int
     pafs.FileSystem.from_uri(folder)[0].create_dir(pafs.FileSystem.from_uri(folder)[1])
     shared = spark.sparkContext.broadcast(content)
     ranged, parts = with_ranges(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    encoded = ranged.select("part", "doc_id", "text").mapInArrow(_encode(shared, end_id), "part int, doc_id bigint, ids binary")
-    ordered = encoded.repartitionById(parts, F.col("part")).sortWithinPartitions("doc_id", "ids").select("doc_id", "ids")
+    encoded = ranged.select("part", "doc_id", "turn", "text").mapInArrow(_encode(shared, end_id), "part int, doc_id bigint, turn double, ids binary")
+    ordered = encoded.repartitionById(parts, F.col("part")).sortWithinPartitions("doc_id", "turn", "ids").select("part", "doc_id", "ids")
     return materialise(ordered.mapInArrow(_write(folder, kind, length), _MANIFEST), "manifest")
 
 
@@ -354,11 +368,11 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     ``start`` counts the tokens of all documents before it and ``ids`` is little-endian unsigned 32-bit.
     A file is one task, read batch by batch. The running sum is over one row per file.
     """
-    before = Window.orderBy(F.col("first_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    number = F.row_number().over(Window.orderBy(F.col("first_id").asc_nulls_first())) - 1
+    number = F.row_number().over(Window.orderBy("part")) - 1
     files = max(1, manifest.count())
-    dealt = based.withColumn("part", number.cast("int")).repartitionById(files, F.col("part"))
+    dealt = based.withColumn("task", number.cast("int")).repartitionById(files, F.col("task"))
     return dealt.mapInArrow(_read(folder), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 

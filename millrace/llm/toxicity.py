@@ -1,10 +1,10 @@
 """Toxicity by subword bags: character n-gram vectors averaged into a linear softmax, trained jointly.
 
 A word's vector is the mean of the vectors of its hashed character n-grams and of itself, so a misspelling
-that was never seen shares most of its vector with the words it resembles. A run of words is the mean of its
-words' vectors, and a linear softmax gives its probability. A text is as toxic as its worst run: a mean
-over the whole text would hide two words among thousands. Training starts from all words with their text's
-label and goes on with the worst run of every text, embeddings and softmax together, in numpy.
+that was never seen shares most of its vector with the words it resembles. A text has two features: the mean of
+all its words' vectors (the averaged bag), and the mean over its worst run of a few words, because an average alone
+hides two words among thousands. A linear softmax over both gives the probability. Embeddings and softmax are
+trained together, in numpy: at first every word with its text's label, then whole texts by both features.
 """
 
 from __future__ import annotations
@@ -53,13 +53,13 @@ class _Adam:
 def train(
     texts: list[str], labels: list[int], window: int = 3, size: int = 8, first: int = 20, rounds: int = 150, least_texts: int = 3, decay: float = 1e-6, seed: int = 1
 ) -> tuple[np.ndarray, float]:
-    """Each bucket's contribution to the toxic class's logit margin, and the bias."""
+    """Each bucket's contributions to the toxic class's logit margin, in the averaged bag and in a run, and the bias."""
     vocabulary: dict[str, int] = {}
     docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words(t)], np.int64) for t in texts]
     y = np.array([bool(x) for x, d in zip(labels, docs, strict=True) if len(d)], np.float32)
     docs = [d for d in docs if len(d)]
     if not len(y) or y.min() == y.max():
-        return np.zeros(BUCKETS, np.float32), float(len(y) and (8 if y[0] else -8))
+        return np.zeros((2, BUCKETS), np.float32), float(len(y) and (8 if y[0] else -8))
     bags = [grams(w) for w in vocabulary]
     counts = np.array([len(b) for b in bags])
     flat = np.fromiter((g for b in bags for g in b), np.int64, counts.sum())
@@ -69,7 +69,7 @@ def train(
 
     rng = np.random.default_rng(seed)
     table = _Adam(rng.normal(0, 0.1, (len(used), size)).astype(np.float32), 0.02)
-    softmax = _Adam(rng.normal(0, 0.1, (size, 2)).astype(np.float32), 0.02)
+    softmax = _Adam(rng.normal(0, 0.1, (2, size, 2)).astype(np.float32), 0.02)
     bias = _Adam(np.zeros(2, np.float32), 0.02)
 
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
@@ -91,31 +91,34 @@ def train(
     usable = trusted[sequence] | (y[doc] == 0)
 
     for turn in range(first + rounds):
-        margin_of = softmax.value[:, 1] - softmax.value[:, 0]
+        bag_of, margin_of = softmax.value[:, :, 1] - softmax.value[:, :, 0]
         offset = float(bias.value[1] - bias.value[0])
         margins = np.add.reduceat((table.value @ margin_of)[flat], starts) / counts
+        in_bag = np.add.reduceat((table.value @ bag_of)[flat], starts) / counts
+        bags_of_texts = np.add.reduceat(in_bag[sequence], ends - lengths) / lengths
         if turn < first:
             pull = share / (1 + np.exp(-(margins + offset))) - toxic
             bias_pull = pull.sum()
+            error = weight * (1 / (1 + np.exp(-(bags_of_texts + offset))) - y)
         else:
             sums = np.r_[0.0, np.cumsum(np.where(usable, margins[sequence], 0.0))]
             runs = (sums[begins + begin_width] - sums[begins]) / begin_width
             top = np.maximum.reduceat(runs, first_begin)
             hits = np.flatnonzero(runs == top[begin_doc])
             best = begins[hits[np.unique(begin_doc[hits], return_index=True)[1]]]
-            error = weight * (1 / (1 + np.exp(-(top + offset))) - y)
+            error = weight * (1 / (1 + np.exp(-(top + bags_of_texts + offset))) - y)
             inside = np.repeat(best, width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
             pull = np.bincount(sequence[inside], np.repeat(error / width, width) * usable[inside], len(bags))
             bias_pull = error.sum()
-        # all that a bucket's vector gets lies along the softmax's margin, so one number per bucket is summed
-        on_bucket = np.bincount(flat, (pull / counts)[owner], len(used)).astype(np.float32)
-        half = on_bucket @ table.value
-        gradient = np.outer(on_bucket, margin_of) + decay * table.value
-        softmax.step(np.stack([-half, half], axis=1) + decay * softmax.value)
+        bag_pull = np.bincount(sequence, (error / lengths)[doc], len(bags))
+        # all that a bucket's vector gets lies along the softmax's margins, so two numbers per bucket are summed
+        on_bag, on_run = (np.bincount(flat, (x / counts)[owner], len(used)).astype(np.float32) for x in (bag_pull, pull))
+        gradient = np.outer(on_bag, bag_of) + np.outer(on_run, margin_of) + decay * table.value
+        softmax.step(np.stack([np.stack([-x @ table.value, x @ table.value], axis=1) for x in (on_bag, on_run)]) + decay * softmax.value)
         bias.step(np.array([-bias_pull, bias_pull], np.float32))
         table.step(gradient)
-    out = np.zeros(BUCKETS, np.float32)
-    out[used] = table.value @ (softmax.value[:, 1] - softmax.value[:, 0])
+    out = np.zeros((2, BUCKETS), np.float32)
+    out[:, used] = (softmax.value[:, :, 1] - softmax.value[:, :, 0]) @ table.value.T
     return out, float(bias.value[1] - bias.value[0])
 
 
@@ -139,12 +142,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1500, window: int = 3)
 
     row = rows.repartition(1).mapInArrow(run, "margins binary, bias double").first()
     if row is None:
-        return np.zeros(BUCKETS, np.float32).tobytes(), -8.0
+        return np.zeros((2, BUCKETS), np.float32).tobytes(), -8.0
     return bytes(row["margins"]), row["bias"]
 
 
 def score(docs: DataFrame, model: tuple[bytes, float], window: int = 3) -> DataFrame:
-    """``docs`` with ``score`` added for every row (replaced if there): the probability of the worst run of words.
+    """``docs`` with ``score`` added for every row (replaced if there): the probability from its bag and worst run.
 
     Null texts and texts without words have score 0. Only the whole text is read.
     """
@@ -153,11 +156,11 @@ def score(docs: DataFrame, model: tuple[bytes, float], window: int = 3) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("toxicity")
-        margins, bias = np.frombuffer(shared.value[0], np.float32).tolist(), shared.value[1]
+        margins, bias = np.frombuffer(shared.value[0], np.float32).reshape(2, BUCKETS).T, shared.value[1]
 
-        def of_word(word: str) -> float:
-            own = grams(word)
-            return sum([margins[g] for g in own]) / len(own)
+        def of_word(word: str) -> complex:
+            in_bag, in_run = margins[grams(word)].mean(axis=0).tolist()
+            return complex(in_bag, in_run)
 
         known = Cache(of_word)
         for batch in batches:
@@ -168,10 +171,10 @@ def score(docs: DataFrame, model: tuple[bytes, float], window: int = 3) -> DataF
                 if not found:
                     out.append(0.0)
                     continue
-                sums = np.cumsum(np.fromiter(map(known.__getitem__, found), np.float64, len(found)))
-                width = min(window, len(found))
+                values = np.fromiter(map(known.__getitem__, found), np.complex128, len(found))
+                sums, width = np.cumsum(values.imag), min(window, len(found))
                 runs = (sums[width - 1 :] - np.r_[0.0, sums[:-width]]) / width
-                out.append(float(1 / (1 + np.exp(-np.clip(runs.max() + bias, -30, 30)))))
+                out.append(float(1 / (1 + np.exp(-np.clip(values.real.mean() + runs.max() + bias, -30, 30)))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, "score"])
 
-    return kept.mapInArrow(run, widened(kept, "score double"))
+    return widened(kept, run, "score double")

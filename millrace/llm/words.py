@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 #: Entries of a per-process cache before it is emptied; bounds memory, never results.
 CACHE_ENTRIES = 200_000
@@ -105,9 +105,21 @@ def serving(operator: str, run: Callable[[Iterator], Iterator]) -> Callable[[Ite
     return task
 
 
-def widened(kept: DataFrame, added: str) -> StructType:
-    """The schema of ``kept`` with the columns of a DDL text; names and types of any kind pass unchanged."""
-    return StructType([*kept.schema.fields, *StructType.fromDDL(added).fields])
+def widened(kept: DataFrame, run: Callable[[Iterator], Iterator], added: str) -> DataFrame:
+    """``kept`` with the columns of a DDL text that ``run`` adds to its record batches.
+
+    Columns go to the tasks under plain names, so names and types of any kind pass unchanged.
+    """
+    fields = [*kept.schema.fields, *(StructType.fromDDL(added).fields if added else [])]
+    names, plain = [f.name for f in fields], [f"c{i}" for i in range(len(fields))]
+    given = names[: len(kept.columns)]
+
+    def task(batches: Iterator) -> Iterator:
+        for batch in run(x.rename_columns(given) for x in batches):
+            yield batch.rename_columns(plain)
+
+    schema = StructType([StructField(n, f.dataType) for n, f in zip(plain, fields, strict=True)])
+    return kept.toDF(*plain[: len(given)]).mapInArrow(task, schema).toDF(*names)
 
 
 def split_words(text: bytes | None) -> list[bytes]:
