@@ -224,7 +224,7 @@ def test_toxicity_shares_subwords():
 
     def logit(word):
         own = toxicity.grams(word)
-        return sum(margins[g] for g in own) / len(own) + bias
+        return margins[:, own].sum() / len(own) + bias  # a text of this word alone: its bag and its run
 
     assert logit("horrible") > 0 and logit("horribble") > 0 and logit("garden") < 0
     assert pa.array([bias]).type == pa.float64()
