@@ -90,3 +90,46 @@ def lag_matrix(x: np.ndarray, lags: int, start: int) -> np.ndarray:
     """Columns x[t-1] … x[t-lags] for t = start … n-1."""
     n = len(x)
     return np.column_stack([x[start - k : n - k] for k in range(1, lags + 1)]) if lags else np.empty((n - start, 0))
+
+
+def descend(link: np.ndarray, rel: np.ndarray, penalty: float, beta: np.ndarray, sweeps: int = 1000, tolerance: float = 1e-9) -> bool:
+    """Coordinate descent for ``½ βᵀ link β − rel β + penalty |β|₁``, in place; true if it reached the optimum.
+
+    Every few sweeps the equations of the columns in the model are solved for their signs; if the optimality
+    conditions hold there, that is the answer, which correlated columns would only creep towards.
+    """
+    live = np.flatnonzero(np.diag(link) > 1e-12)
+    for sweep in range(sweeps):
+        shift = 0.0
+        for j in live:
+            part = rel[j] - link[j] @ beta + link[j, j] * beta[j]
+            new = math.copysign(max(abs(part) - penalty, 0.0), part) / link[j, j]
+            shift = max(shift, abs(new - beta[j]))
+            beta[j] = new
+        if shift < tolerance:
+            return True
+        if sweep % 5 == 4:
+            on = live[beta[live] != 0]
+            if not len(on):
+                continue
+            sign = np.sign(beta[on])
+            try:
+                solved = np.linalg.solve(link[np.ix_(on, on)], rel[on] - penalty * sign)
+            except np.linalg.LinAlgError:
+                continue
+            rest = np.abs(rel - link[:, on] @ solved)
+            rest[on] = 0.0
+            if (np.sign(solved) == sign).all() and (rest[live] <= penalty + tolerance).all():
+                beta[on] = solved
+                return True
+    return False
+
+
+def chosen_penalty(errors: np.ndarray, one_se: bool) -> int:
+    """Place of the least mean error over the folds, or of the largest penalty within one standard error of it."""
+    mean = errors.mean(axis=0)
+    best = int(mean.argmin())
+    if one_se and len(errors) > 1:
+        limit = mean[best] + errors.std(axis=0, ddof=1)[best] / math.sqrt(len(errors))
+        best = int(np.flatnonzero(mean <= limit)[0])
+    return best

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import HOT_ROWS, add_asof, attach_row, segment_hot
+from millrace.session import materialise
 
 
 def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -87,6 +88,43 @@ def asof(
     return filled.where(F.col("_side") == 1).select("_row.*", *[F.col(f"_last.{out}").alias(out) for out in values])
 
 
+def stretch_join(
+    spans: DataFrame, points: DataFrame, keys: Sequence[str], start: str, end: str, at: str, *, rows: int = HOT_ROWS
+) -> DataFrame:
+    """Every point of the key with ``start < at <= end``, one row per span and point.
+
+    A band join by an equi join on the key and a bucket of time. Buckets are as wide as the spans are long on
+    average, so the spans touch about two each, whatever their number. Points of a (key, bucket) with more than
+    ``rows`` points are dealt over several tasks and its spans repeated for each. Spans without start or end, or with
+    an end before the start, hold no point; spans may overlap. The columns of both sides must have different names.
+    """
+    keys = list(keys)
+
+    def seconds(column: str) -> Column:
+        return F.unix_micros(F.col(column).cast("timestamp")) / 1e6
+
+    usable = spans.where(F.col(end) > F.col(start))
+    mean = usable.agg(F.avg(seconds(end) - seconds(start))).first()[0]  # one number
+    width = max(1.0, mean or 1.0)
+
+    def bucket(column: str) -> Column:
+        return F.floor(seconds(column) / width)
+
+    dealt = points.where(F.col(at).isNotNull()).withColumn("_bucket", bucket(at))
+    laid = usable.withColumn("_bucket", F.explode(F.sequence(bucket(start), bucket(end))))
+    laid = laid.withColumnsRenamed({k: f"_s_{k}" for k in keys})
+    hot = materialise(dealt.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows), "hot")
+    most = hot.agg(F.max("_n")).first()[0]
+    same = [F.col(k) == F.col(f"_s_{k}") for k in keys]
+    inside = (F.col(start) < F.col(at)) & (F.col(at) <= F.col(end))
+    if most is None:
+        joined = dealt.join(laid.withColumnRenamed("_bucket", "_s_bucket"), [*same, F.col("_bucket") == F.col("_s_bucket"), inside])
+    else:
+        renamed = laid.withColumnsRenamed({f"_s_{k}": k for k in keys})
+        joined = salted(dealt, renamed, [*keys, "_bucket"], hot, salts=-(-most // rows)).where(inside)
+    return joined.drop("_bucket", "_s_bucket", *[f"_s_{k}" for k in keys])
+
+
 def in_interval(
     facts: DataFrame, intervals: DataFrame, ts: Column, start: str, end: str, same: Column, how: str = "left"
 ) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.stats import chi2_tail, f_tail, lag_matrix, ols
+from millrace.functions.stats import chi2_tail, chosen_penalty, descend, f_tail, lag_matrix, ols
 from millrace.operators.ordered import add_group_stats, attach_row, global_order, global_running
 from millrace.operators.series import difference_order
 
@@ -70,23 +70,58 @@ def equal_frequency_bins(df: DataFrame, columns: Sequence[str], bins: int | None
     return out.withColumns({c: F.col(c).cast("int") for c in outputs})
 
 
+def joint_counts(binned: DataFrame, pairs: Sequence[tuple[str, str]], suffix: str = "_bin") -> tuple[DataFrame, int]:
+    """Dense two-way counts of binned column pairs: ``(pair, sums)`` with states × states numbers, and the states.
+
+    One pass over the rows: every partition counts into one matrix per pair and hands on each as one row; a list of pairs
+    whose matrices exceed what a task may hold is counted in parts. A missing bin is a state of its own.
+    """
+    columns = sorted({c for pair in pairs for c in pair})
+    highest = binned.agg(*[F.max(f"{c}{suffix}") for c in columns]).first()  # one number per column
+    states = 2 + max((h for h in highest if h is not None), default=-1)
+    codes = binned.select(*[F.coalesce(F.col(f"{c}{suffix}"), F.lit(states - 1)).cast("int").alias(f"v{i}") for i, c in enumerate(columns)])
+    place = {c: i for i, c in enumerate(columns)}
+    of = [(place[a], place[b]) for a, b in pairs]
+    step = max(1, HELD // (states * states))
+
+    def counts(batches):
+        held: dict[int, np.ndarray] = {}
+
+        def handed_on():
+            for pair, cells in held.items():
+                yield pa.RecordBatch.from_pydict({"pair": pa.array([pair], pa.int32()), "sums": pa.array([cells.astype(float)], pa.list_(pa.float64()))})
+            held.clear()
+
+        for batch in batches:
+            x = [c.to_numpy().astype(np.int64) for c in batch.columns]
+            for first in range(0, len(of), step):
+                for pair in range(first, min(first + step, len(of))):
+                    a, b = of[pair]
+                    cells = np.bincount(x[a] * states + x[b], minlength=states * states)
+                    held[pair] = held.get(pair, 0) + cells
+                if len(of) > step:
+                    yield from handed_on()
+        yield from handed_on()
+
+    return summed_arrays(codes.mapInArrow(counts, "pair int, sums array<double>"), "pair"), states
+
+
 def pair_information(binned: DataFrame, pairs: Sequence[tuple[str, str]], suffix: str = "_bin") -> DataFrame:
-    """Mutual information (natural log) of binned column pairs, from one pass of joint counts."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}{suffix}").alias("x"), F.col(f"{b}{suffix}").alias("y"))
-            for a, b in pairs
-        ]
-    )
-    joint = binned.select(F.inline(cells)).groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).alias("c"))
-    # ln n + (Σ c·ln c − Σ cx·ln cx − Σ cy·ln cy) / n: sums alone, so the bins² cells of a pair need no common task
-    sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("bin")) for i, c in enumerate("xy")])
-    margins = joint.select("a", "b", "c", F.inline(sides)).groupBy("a", "b", "side", "bin").agg(F.sum("c").alias("c"))
-    term = F.col("c") * F.ln("c")
-    terms = joint.select("a", "b", F.col("c").alias("_n"), term.alias("_t")).unionByName(
-        margins.select("a", "b", F.lit(0).cast("long").alias("_n"), (-term).alias("_t"))
-    )
-    return terms.groupBy("a", "b").agg((F.ln(F.sum("_n")) + F.sum("_t") / F.sum("_n")).alias("mi"))
+    """Mutual information (natural log) of binned column pairs, from one pass of joint counts; never negative."""
+    pairs = list(pairs)
+    summed, states = joint_counts(binned, pairs, suffix)
+
+    def information(batches):
+        for pdf in batches:
+            out = []
+            for pair, sums in zip(pdf["pair"].tolist(), pdf["sums"]):
+                c = np.asarray(sums).reshape(states, states)
+                n, rows, columns = c.sum(), c.sum(axis=1, keepdims=True), c.sum(axis=0, keepdims=True)
+                on = c > 0
+                out.append((*pairs[pair], max(0.0, float((c[on] / n * np.log(c[on] * n / (rows * columns)[on])).sum()))))
+            yield pd.DataFrame(out, columns=["a", "b", "mi"])
+
+    return summed.mapInPandas(information, "a string, b string, mi double")
 
 
 def mutual_information(df: DataFrame, target: str, features: Sequence[str], bins: int | None = None) -> DataFrame:
@@ -230,9 +265,10 @@ def unpack_sums(flat: np.ndarray, size: int) -> np.ndarray:
 
 
 def lasso_fit(sums: np.ndarray, penalties: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Coefficients (intercept first) for each penalty, by coordinate descent on standardised moments.
+    """Coefficients (intercept first) for each penalty, and whether each fit converged.
 
-    ``weights`` scale the columns before the fit: a smaller weight is penalised more.
+    Coordinate descent on standardised moments; ``weights`` scale the columns before the fit: a smaller weight is
+    penalised more.
     """
     n = sums[0, 0]
     mean = sums[0, 1:] / n
@@ -241,20 +277,13 @@ def lasso_fit(sums: np.ndarray, penalties: np.ndarray, weights: np.ndarray) -> t
     live = np.diag(cov)[1:] > 1e-12 * np.maximum(1.0, mean[1:] ** 2)
     corr = cov / np.outer(sd, sd)
     link, rel = corr[1:, 1:] * np.outer(weights, weights), corr[1:, 0] * weights
-    beta, out = np.zeros(len(rel)), []
+    link, rel = np.where(np.outer(live, live), link, 0.0), np.where(live, rel, 0.0)
+    beta, out, converged = np.zeros(len(rel)), [], []
     for penalty in penalties:
-        for _ in range(1000):
-            shift = 0.0
-            for j in np.flatnonzero(live):
-                part = rel[j] - link[j] @ beta + link[j, j] * beta[j]
-                new = math.copysign(max(abs(part) - penalty, 0.0), part) / link[j, j]
-                shift = max(shift, abs(new - beta[j]))
-                beta[j] = new
-            if shift < 1e-9:
-                break
+        converged.append(descend(link, rel, penalty, beta))
         slope = beta * weights * sd[0] / sd[1:]
         out.append(np.concatenate([[mean[0] - slope @ mean[1:]], slope]))
-    return np.array(out), sd
+    return np.array(out), np.array(converged, bool)
 
 
 def lasso_path(sums: np.ndarray, count: int = 60) -> np.ndarray:
@@ -273,31 +302,32 @@ def squared_error(sums: np.ndarray, coef: np.ndarray) -> float:
     return float(v @ sums @ v / sums[0, 0])
 
 
-def lasso_cv(folds: Sequence[np.ndarray], weights: np.ndarray | None = None, one_se: bool = False) -> np.ndarray:
-    """Coefficients at the penalty of least cross-validated error, or the largest within one standard error."""
+def lasso_cv(folds: Sequence[np.ndarray], weights: np.ndarray | None = None, one_se: bool = False) -> tuple[np.ndarray, bool]:
+    """Coefficients at the penalty of least cross-validated error, or the largest within one standard error.
+
+    Also tells whether every fit that the choice rests on converged.
+    """
     total = np.sum(folds, axis=0)
     weights = np.ones(total.shape[0] - 2) if weights is None else weights
     penalties = lasso_path(total)
-    errors = []
+    errors, good = [], True
     for held in folds:
         if held[0, 0] == 0:
             continue
-        coefs, _ = lasso_fit(total - held, penalties, weights)
+        coefs, converged = lasso_fit(total - held, penalties, weights)
+        good &= bool(converged.all())
         errors.append([squared_error(held, c) for c in coefs])
-    errors = np.array(errors)
-    mean = errors.mean(axis=0)
-    best = int(mean.argmin())
-    if one_se:
-        limit = mean[best] + errors.std(axis=0, ddof=1)[best] / math.sqrt(len(errors))
-        best = int(np.flatnonzero(mean <= limit)[0])
-    return lasso_fit(total, penalties, weights)[0][best]
+    best = chosen_penalty(np.array(errors), one_se)
+    coefs, converged = lasso_fit(total, penalties[: best + 1], weights)
+    return coefs[best], good and bool(converged.all())
 
 
 def lasso(df: DataFrame, target: str, features: Sequence[str], folds: int = 10, seed: int = 0, one_se: bool = False,
           nonzero: bool = False) -> DataFrame:
     """Cross-validated LASSO coefficients; ``score`` is the coefficient clipped at zero and scaled.
 
-    The fit needs one (columns + 2)² matrix per fold. ``nonzero`` keeps only selected columns.
+    The fit needs one (columns + 2)² matrix per fold; ``wide.wide_lasso`` is for very many columns. ``nonzero`` keeps
+    only selected columns. ``converged`` is false if a fit of the path was ended before its optimum.
     """
     names, size = list(features), len(features) + 2
 
@@ -305,14 +335,15 @@ def lasso(df: DataFrame, target: str, features: Sequence[str], folds: int = 10,
         for pdf in batches:
             for arrays in pdf["all"]:
                 mats = [unpack_sums(np.asarray(a), size) for a in arrays]
-                coef = lasso_cv(mats, one_se=one_se)[1:]
+                coef, converged = lasso_cv(mats, one_se=one_se)
+                coef = coef[1:]
                 clipped = np.maximum(coef, 0)
                 span = clipped.max() - clipped.min()
                 score = (clipped - clipped.min()) / span if span else np.zeros(len(names))
-                yield pd.DataFrame({"name": names, "coefficient": coef, "score": score})
+                yield pd.DataFrame({"name": names, "coefficient": coef, "score": score, "converged": converged})
 
     sums = gathered_sums(block_sums(df, target, features, folds, seed))
-    out = sums.mapInPandas(fit, "name string, coefficient double, score double")
+    out = sums.mapInPandas(fit, "name string, coefficient double, score double, converged boolean")
     return out.where(F.col("coefficient") != 0) if nonzero else out
 
 
@@ -322,7 +353,7 @@ def stability_selection(df: DataFrame, target: str, features: Sequence[str], rou
 
     Rows fall into ``blocks`` hash blocks whose sums are computed once. Each round deals the blocks
     into two halves and fits both; a round is a row of a rounds frame, so rounds run in parallel on
-    a table of ``blocks`` rows.
+    a table of ``blocks`` rows. ``converged`` is the share of fits whose whole paths did.
     """
     names, size = list(features), len(features) + 2
     sums = gathered_sums(block_sums(df, target, features, blocks, seed))
@@ -340,45 +371,21 @@ def stability_selection(df: DataFrame, target: str, features: Sequence[str], rou
                         continue
                     parts = [p for p in np.array_split(half, min(folds, len(half))) if len(p)]
                     held = [unpack_sums(np.sum([mats[i] for i in p], axis=0), size) for p in parts]
-                    coef = lasso_cv(held, weights, one_se=True)[1:]
-                    out += [(int(round_id), name, float(c != 0)) for name, c in zip(names, coef)]
-            yield pd.DataFrame(out, columns=["round", "name", "selected"])
+                    coef, converged = lasso_cv(held, weights, one_se=True)
+                    out += [(int(round_id), name, float(c != 0), float(converged)) for name, c in zip(names, coef[1:])]
+            yield pd.DataFrame(out, columns=["round", "name", "selected", "converged"])
 
     spark = df.sparkSession
     todo = spark.range(rounds).withColumnRenamed("id", "round").repartition(min(rounds, 256))
-    fits = attach_row(todo, sums).mapInPandas(fit, "round long, name string, selected double")
-    return fits.groupBy("name").agg(F.avg("selected").alias("frequency"), F.count(F.lit(1)).alias("fits"))
+    fits = attach_row(todo, sums).mapInPandas(fit, "round long, name string, selected double, converged double")
+    return fits.groupBy("name").agg(F.avg("selected").alias("frequency"), F.count(F.lit(1)).alias("fits"), F.avg("converged").alias("converged"))
 
 
 def chunked_inclusion(series: DataFrame, target: str, rounds: int, chunk_size: int, seed: int = 0, flag_at: float = 0.6) -> DataFrame:
-    """Predictors dealt into random disjoint chunks per round, a LASSO per chunk, inclusion shares.
+    """Inclusion shares over random disjoint chunks of predictors; see :func:`millrace.operators.wide.wide_chunks`."""
+    from millrace.operators.wide import wide_chunks  # which builds on the models
 
-    ``series`` is long; a chunk holds at most about ``chunk_size`` series of calendar length. The
-    target series goes to every chunk by a join on the date.
-    """
-    predictors = series.where(F.col("name") != target)
-    names = global_order(predictors.select("name").distinct(), [F.asc("name")], "_rank")
-    sized = add_group_stats(names, [], _n=F.count(F.lit(1)))
-    # a round's order is a sort by hash; ranks within a round spread over chunks by range of the hash
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / chunk_size))
-    rounds_col = F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round")
-    dealt = sized.select("name", chunks.alias("_chunks"), rounds_col)
-    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64(F.lit(seed), "round", "name"), F.col("_chunks")).cast("int")).drop("_chunks")
-    y = series.where(F.col("name") == target).select("date", F.col("value").alias("y"))
-    rows = predictors.join(y, "date").join(dealt, "name")
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index="date", columns="name", values="value").sort_index()
-        x = wide.fillna(0.0)
-        target_values = pdf.drop_duplicates("date").set_index("date")["y"].reindex(x.index).to_numpy()
-        data = np.column_stack([np.ones(len(x)), target_values, x.to_numpy()])
-        parts = [data[i::5] for i in range(min(5, len(data)))]
-        coef = lasso_cv([p.T @ p for p in parts], one_se=True)[1:]
-        return pd.DataFrame({"round": pdf["round"].iloc[0], "name": list(x.columns), "included": (coef != 0).astype(float)})
-
-    fits = rows.groupBy("round", "chunk").applyInPandas(fit, "round int, name string, included double")
-    out = fits.groupBy("name").agg(F.avg("included").alias("inclusion"), F.count(F.lit(1)).alias("rounds"))
-    return out.withColumn("keep", F.col("inclusion") >= flag_at)
+    return wide_chunks(series, target, rounds, chunk_size, seed, flag_at)
 
 
 def sample_names(names: DataFrame, draws: int, seed: int = 0) -> DataFrame:

@@ -339,6 +339,15 @@ def source_centroid_cosines(t: Tables):
     return out.withColumn("cosine", F.round("cosine", 7))
 
 
+@query(
+    "X03",
+    f"""WITH {TFIDF_SQL}, pr AS (SELECT a.doc_id, b.doc_id AS other, round(sum(a.weight * b.weight), 7) AS cosine FROM tf a JOIN tf b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY ALL)
+    SELECT doc_id, other, cosine FROM pr WHERE cosine >= 0.6 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, other) <= 5""",
+)
+def nearest_documents(t: Tables):
+    return tm.nearest_texts(weights(t), "doc_id", threshold=0.6, n=5)
+
+
 @query("X04 X02")
 def text_cluster_terms(t: Tables):
     return tm.text_clusters(t.documents, "doc_id", k=20, top=10, stop=STOP)[1]

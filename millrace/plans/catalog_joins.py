@@ -196,6 +196,22 @@ def last_view_before_purchase(t: Tables):
     return joined.drop("ts")
 
 
+@query(
+    "J11 G04",
+    """WITH p AS (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prior FROM events WHERE event_type = 'purchase')
+    SELECT p.event_id, p.user_id, v.event_id AS view_id, v.value AS view_value FROM p JOIN events v
+    ON v.event_type = 'view' AND v.user_id = p.user_id AND v.ts > p.prior AND v.ts <= p.ts""",
+)
+def views_of_stretches(t: Tables):
+    """Every view between a purchase and the user's purchase before it."""
+    events = t.events.select("event_id", "user_id", "ts", "event_type", "value")
+    purchases = od.segment_hot(events.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), ["user_id"], "ts", ties=["event_id"])
+    stretches = od.add_prior(purchases, ["user_id"], ["ts", "event_id"], {"prior": "ts"}).drop("_seg")
+    views = events.where("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("viewed"), F.col("value").alias("view_value"))
+    joined = jn.stretch_join(stretches, views, ["user_id"], "prior", "ts", "viewed")
+    return joined.select("event_id", "user_id", "view_id", "view_value")
+
+
 @query(
     "J11",
     """SELECT p.event_id, count(v.event_id) AS earlier_views, max(v.value) AS best_earlier

@@ -8,6 +8,7 @@ from millrace.operators import cleanse as cl
 from millrace.operators import models as md
 from millrace.operators import selection as sl
 from millrace.operators import series as sr
+from millrace.operators import wide as wd
 from millrace.operators import windows as wn
 from millrace.plans.catalog_series import MONTHLY, monthly_revenue
 from millrace.plans.catalog_windows import DAILY, daily_revenue
@@ -97,7 +98,19 @@ def stable_features(t: Tables):
 @query("M04")
 def chunk_inclusion(t: Tables):
     series = monthly_revenue(t, "c_nationkey")
-    return sl.chunked_inclusion(series, "0", rounds=1000, chunk_size=8)
+    return wd.wide_chunks(series, "0", rounds=1000, chunk_size=8)
+
+
+@query("M02")
+def series_lasso(t: Tables):
+    """Every customer's months as a column, the first customer's as the target."""
+    series = monthly_revenue(t, "c_custkey")
+    return wd.wide_lasso(series, "1", one_se=True)
+
+
+@query("M03")
+def stable_series(t: Tables):
+    return wd.wide_stability(monthly_revenue(t, "c_nationkey"), "0", rounds=200)
 
 
 @query("M05")
@@ -129,6 +142,12 @@ def toda_yamamoto_tests(t: Tables):
     return sl.toda_yamamoto(monthly_revenue(t, "c_nationkey"), "0", most=12)
 
 
+@query("M10")
+def oblique_series_clusters(t: Tables):
+    """Nations around principal components of their monthly revenue, with own and next R²."""
+    return wd.oblique_clusters(monthly_revenue(t, "c_nationkey"), most=6)
+
+
 @query("M10 T04")
 def correlation_clusters(t: Tables):
     return md.variable_clusters(monthly_revenue(t, "c_custkey"), k=6, top=4)
