@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.ordered import add_group_stats
 from millrace.functions import text as tx
+from millrace.operators.ordered import top_per_key
+from millrace.operators.ranks import exact_medians
 
 
 def _strings(df: DataFrame) -> list[str]:
@@ -109,11 +110,24 @@ def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.na.fill(0, subset=list(columns))
 
 
-def fill_median(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
-    """Median for missing numbers. Medians come from a bounded sketch, one row for all columns."""
-    medians = {f"_m_{c}": F.percentile_approx(c, 0.5, accuracy) for c in columns}
-    joined = add_group_stats(df, [], **medians)
-    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in columns}).drop(*medians)
+def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact median for missing numbers (the mean of the two middle ones for an even count), one number per column.
+
+    A column without values stays missing.
+    """
+    medians = exact_medians(df, columns)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in medians.items() if m is not None})
+
+
+def removed_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What keeping one row per key removes: ``(copies, keys, removed)``, a row per number of copies."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    return counts.groupBy("copies").agg(F.count(F.lit(1)).alias("keys"), F.sum(F.col("copies") - 1).alias("removed"))
+
+
+def dedup_with_report(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """The first row of each key, and the report of what that removes."""
+    return top_per_key(df, list(keys), list(order)), removed_copies(df, keys)
 
 
 def series_profile(series: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ measured size with the broadcast limit at run time and splits skewed sort-merge
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +24,14 @@ def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFra
     return fact
 
 
+def left_chain_of_parts(rows: DataFrame, keys: Sequence[str], parts: Mapping[str, tuple[Callable[[Column], Column], Column, str]]) -> DataFrame:
+    """Left joins of aggregates over parts of one table to all of its keys, read and grouped once.
+
+    ``parts`` maps a column to (aggregate, condition of the part, column); a key without rows in a part has null.
+    """
+    return rows.groupBy(*keys).agg(*[fold(F.when(part, F.col(column))).alias(name) for name, (fold, part, column) in parts.items()])
+
+
 def left_chain(base: DataFrame, others: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Left joins of many frames on the same key list; the shuffle of ``base`` is reused."""
     return reduce(lambda left, right: left.join(right, list(keys), "left"), others, base)

@@ -53,22 +53,22 @@ def confusion(scored: DataFrame, label: str = "label", prediction: str = "predic
     return counts.select("*", precision.alias("precision"), recall.alias("recall"), f1.alias("f1"), accuracy.alias("accuracy"))
 
 
-def classifiers(names: Sequence[str]) -> dict[str, object]:
+def classifiers(names: Sequence[str], trees: int = 50, rounds: int = 20, depth: int = 5) -> dict[str, object]:
     known = {
         "logistic": LogisticRegression(regParam=0.01),
-        "forest": RandomForestClassifier(numTrees=20, maxDepth=5, seed=7),
-        "boosting": GBTClassifier(maxIter=5, maxDepth=3, seed=7),
+        "forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7),
+        "boosting": GBTClassifier(maxIter=rounds, maxDepth=depth, seed=7),
         "bayes": NaiveBayes(modelType="gaussian"),
     }
     return {n: known[n] for n in names}
 
 
 def classification_report(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-                          models: Sequence[str] = ("logistic", "forest", "boosting", "bayes")) -> DataFrame:
-    """AUC, F1 and confusion counts per model."""
+                          models: Sequence[str] = ("logistic", "forest", "boosting", "bayes"), trees: int = 50, rounds: int = 20, depth: int = 5) -> DataFrame:
+    """AUC, F1 and confusion counts per model; ``trees`` of the forest, boosting ``rounds``, ``depth`` of both."""
     fit_on, score_on = assembled(train, features, label), assembled(test, features, label)
     out = None
-    for name, estimator in classifiers(models).items():
+    for name, estimator in classifiers(models, trees, rounds, depth).items():
         scored = estimator.fit(fit_on).transform(score_on)
         auc = float(BinaryClassificationEvaluator().evaluate(scored))
         row = confusion(scored).select(F.lit(name).alias("model"), F.lit(auc).alias("auc"), "*")
@@ -98,26 +98,32 @@ def forest_importance(df: DataFrame, target: str, features: Sequence[str], trees
     return df.sparkSession.createDataFrame(rows, "name string, importance double, importance_scaled double, rank int")
 
 
-def permutation_importance(df: DataFrame, target: str, features: Sequence[str], trees: int = 20, depth: int = 5) -> DataFrame:
+def permutation_importance(df: DataFrame, target: str, features: Sequence[str], trees: int = 20, depth: int = 5, seed: int = 0) -> DataFrame:
     """Growth of the squared error when a column's values are shuffled.
 
-    A column is shuffled by pairing rows ordered by one hash with rows ordered by another; both
-    positions come from the range-partitioned sort, so no row set is collected. Rows that tie are alike.
+    The rows are dealt to partitions by a hash and ordered by it, once; inside each batch of that order one column after the
+    other is permuted, so all columns share one shuffle and the shuffled copies only pass through the model.
     """
     ready = assembled(df.select(target, *features), features, target)
     model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=7).fit(ready)
-    rows = df.select(target, *features).na.drop("any")
-    numbered = global_order(rows, [F.xxhash64(F.lit(0), *rows.columns)], "_at")
-    base = model.transform(assembled(numbered, features, target))
+    names = list(features)
+    rows = df.select(target, *features).na.drop("any").select(*[F.col(c).cast("double").alias(c) for c in (target, *features)])
+    mixed = rows.withColumn("_hash", F.xxhash64(F.lit(seed), *rows.columns)).repartition("_hash").sortWithinPartitions("_hash")
+
+    def shuffled(batches):
+        for pdf in batches:
+            yield pdf.assign(feature=-1)
+            for i, column in enumerate(names):
+                order = np.random.default_rng([seed, i, len(pdf)]).permutation(len(pdf))
+                yield pdf.assign(feature=i, **{column: pdf[column].to_numpy()[order]})
+
+    schema = ", ".join(f"`{c}` double" for c in rows.columns) + ", feature int"
+    copies = mixed.drop("_hash").mapInPandas(shuffled, schema)
     error = (F.col("prediction") - F.col("label")) ** 2
-    out = base.agg(F.avg(error).alias("mse")).select(F.lit("").alias("name"), "mse")
-    for i, column in enumerate(features):
-        hashed = rows.select(column, F.xxhash64(F.lit(i + 1), *rows.columns).alias("_hash"))
-        shuffled = global_order(hashed, [F.asc("_hash")], "_at").select("_at", column)
-        mixed = model.transform(assembled(numbered.drop(column).join(shuffled, "_at"), features, target))
-        out = out.unionByName(mixed.agg(F.avg(error).alias("mse")).select(F.lit(column).alias("name"), "mse"))
-    start = out.where("name = ''").select(F.col("mse").alias("_base"))
-    return attach_row(out.where("name <> ''"), start).select("name", (F.col("mse") - F.col("_base")).alias("importance"))
+    scored = model.transform(assembled(copies, features, target)).groupBy("feature").agg(F.avg(error).alias("mse"))
+    base = scored.where("feature < 0").select(F.col("mse").alias("_base"))
+    named = F.get(F.array(*[F.lit(c) for c in names]), F.col("feature"))
+    return attach_row(scored.where("feature >= 0"), base).select(named.alias("name"), (F.col("mse") - F.col("_base")).alias("importance"))
 
 
 # ---- clusters of series
@@ -133,7 +139,7 @@ def series_vectors(series: DataFrame) -> DataFrame:
     dates = series.select("date").distinct()
     place = dates.select("date", (F.row_number().over(Window.orderBy("date")) - 1).alias("pos"))  # one row per period
     size = dates.agg(F.count(F.lit(1)).cast("int").alias("_size"))
-    cells = z.join(F.broadcast(place), "date").groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("pos", "z"))).alias("m"))
+    cells = z.join(place, "date").groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("pos", "z"))).alias("m"))
     filled = attach_row(cells, size)
     vector = F.transform(F.sequence(F.lit(0), F.col("_size") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
     return filled.select("name", array_to_vector(vector).alias("features"))

@@ -248,6 +248,28 @@ def global_ntile(df: DataFrame, order: Sequence[Column], n: int, out: str = "til
     return attach_row(ranked, total).withColumn(out, tile.cast("int")).drop("_rn", "_total")
 
 
+def first_tiles(df: DataFrame, by: str, ties: Sequence[Column], n: int, upto: int, out: str = "tile") -> DataFrame:
+    """The first ``upto`` tiles of ``ntile(n)`` in descending order of ``by``, nulls last, without sorting the rest.
+
+    An exact rank selection finds the value that the last wanted row has; only rows from it on are ordered.
+    """
+    from millrace.operators.ranks import exact_ranks  # which builds on this module
+
+    held = materialise(df, "tiles")
+    row = held.agg(F.count(F.lit(1)), F.count(by)).first()
+    total, known = row
+    small, extra = divmod(total, n)
+    wanted = upto * small + min(upto, extra)
+    if wanted < known:
+        least = exact_ranks(held, {by: [known - wanted + 1]})[by][0] if wanted else None
+        held = held.where(F.lit(False)) if least is None else held.where(F.col(by) >= F.lit(least))
+    ranked = global_order(held, [F.col(by).desc_nulls_last(), *ties], "_rn").where(F.col("_rn") <= wanted)
+    edge = extra * (small + 1)
+    later = extra + F.floor((F.col("_rn") - 1 - edge) / max(small, 1)) + 1
+    tile = F.when(F.col("_rn") <= edge, F.floor((F.col("_rn") - 1) / (small + 1)) + 1).otherwise(later)
+    return ranked.withColumn(out, tile.cast("int")).drop("_rn")
+
+
 def global_rank(df: DataFrame, col: str, out: str = "rank", *, descending: bool = False) -> DataFrame:
     """``rank`` over the whole table by one column: 1 + number of rows before the value."""
     histogram = df.groupBy(col).agg(F.count(F.lit(1)).alias("_count"))

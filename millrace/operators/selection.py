@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.stats import chi2_tail, chosen_penalty, descend, f_tail, lag_matrix, ols
-from millrace.operators.ordered import add_group_stats, attach_row, global_order, global_running
+from millrace.operators.ordered import add_group_stats, attach_row, global_order
+from millrace.operators.ranks import exact_ranks
 from millrace.operators.series import difference_order
 
 #: Numbers of block matrices that a task holds before it hands them on; bounds memory, never results.
@@ -30,27 +31,10 @@ HELD = 1 << 25
 
 def equal_frequency_cuts(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
     """Values at ranks ⌈i·n/bins⌉ of each column: at most bins − 1 numbers per column, so they may
-    come to the driver. All columns share one sort, of the stacked value histograms."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_c"))
-    running = global_running(counts, [F.asc("column"), F.asc("value")], "_c", "_through")
+    come to the driver. The table is not sorted."""
     sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()  # one number per column
-    before, offsets = 0, {}
-    for c in sorted(columns):
-        offsets[c] = before
-        before += sizes[c]
-    lookup = F.create_map(*[F.lit(x) for c in columns for x in (c, offsets[c])])
-    total = F.create_map(*[F.lit(x) for c in columns for x in (c, sizes[c])])
-    through = F.col("_through") - F.try_element_at(lookup, "column")
-
-    def cuts_up_to(position: Column) -> Column:
-        return F.least(F.floor(position * bins / F.try_element_at(total, "column")), F.lit(bins - 1))
-
-    hits = running.where(cuts_up_to(through) > cuts_up_to(through - F.col("_c")))
-    cuts = {c: [] for c in columns}
-    for row in hits.select("column", "value").collect():
-        cuts[row["column"]].append(float(row["value"]))
-    return {c: sorted(v) for c, v in cuts.items()}
+    ranks = {c: sorted({-(-i * n // bins) for i in range(1, bins)} - {0}) if n else [] for c, n in sizes.items()}
+    return {c: sorted(set(v)) for c, v in exact_ranks(df, ranks).items()}
 
 
 def equal_frequency_bins(df: DataFrame, columns: Sequence[str], bins: int | None = None, suffix: str = "_bin") -> DataFrame:
@@ -404,7 +388,7 @@ def sample_names(names: DataFrame, draws: int, seed: int = 0) -> DataFrame:
 def with_target(series: DataFrame, target: str) -> DataFrame:
     """Predictor rows with the target's value on the same date (x, y); the target has one row per period."""
     y = series.where(F.col("name") == target).select("date", F.col("value").alias("y"))
-    return series.where(F.col("name") != target).join(F.broadcast(y), "date").select("name", "date", F.col("value").alias("x"), "y")
+    return series.where(F.col("name") != target).join(y, "date").select("name", "date", F.col("value").alias("x"), "y")
 
 
 def lag_criteria(x: np.ndarray, y: np.ndarray, most: int) -> tuple[int, int]:

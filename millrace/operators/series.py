@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.stats import ols
 from millrace.operators.aggregate import cents
-from millrace.operators.ordered import add_group_stats
+from millrace.operators.ordered import add_group_stats, top_per_key
 from millrace.operators.windows import runs, series_window
 
 # ---- profiling
@@ -318,38 +318,58 @@ def technical_indicators(series: DataFrame, n: int = 14, roc: int = 10, sma: int
     )
 
 
-def ema(x: np.ndarray, n: int) -> np.ndarray:
-    """Exponential average with ratio 2/(n+1), started at the mean of the first n values."""
-    out = np.full(len(x), np.nan)
-    known = np.flatnonzero(~np.isnan(x))
-    if len(known) < n:
-        return out
-    first = known[0] + n - 1
-    out[first] = x[known[0] : first + 1].mean()
-    ratio = 2 / (n + 1)
-    for i in range(first + 1, len(x)):
-        out[i] = ratio * x[i] + (1 - ratio) * out[i - 1]
-    return out
+#: Rows of a series that one window of the exponential average holds.
+SLICE = 256
 
 
-def macd(series: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    """Difference of two exponential averages and its own average; a recursion, so one series per call."""
+def add_ema(series: DataFrame, column: str, n: int, out: str) -> DataFrame:
+    """Exponential average with ratio 2/(n+1) of a column of ``(name, date, …)``, started at the mean of the first n values.
+
+    Every step is an affine map of the value before it, and maps are put together in any grouping: a series is cut into
+    slices, each slice is a window of its own, and the few slice ends of a series are folded in order. Null until n values
+    are known; a value missing later leaves all that follow null, as the recursion would.
+    """
+    keep = 1 - 2 / (n + 1)
+    whole = Window.partitionBy("name")
+    value = F.when(~F.isnan(F.col(column).cast("double")), F.col(column).cast("double"))
+    at = F.row_number().over(whole.orderBy("date"))
+    numbered = series.withColumn("_x", value).withColumn("_at", at)
+    first = F.min(F.when(F.col("_x").isNotNull(), F.col("_at"))).over(whole)
+    placed = numbered.withColumn("_pos", F.col("_at") - first - (n - 1))
+    seed = F.when(F.count(F.when(F.col("_pos").between(1 - n, 0), F.col("_x"))).over(whole) == n, F.sum(F.when(F.col("_pos").between(1 - n, 0), F.col("_x"))).over(whole) / n)
+    term = F.when(F.col("_pos") == 0, seed).when(F.col("_pos") > 0, F.col("_x") * (1 - keep))
+    placed = placed.withColumn("_z", term).withColumn("_slice", F.when(F.col("_pos") >= 0, F.floor(F.col("_pos") / SLICE)))
+    inside = Window.partitionBy("name", "_slice").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    step = F.pmod(F.col("_pos"), F.lit(SLICE))
+    # NaN stands for what a missing value breaks, and passes through all sums
+    term = F.coalesce(F.col("_z"), F.lit(math.nan)) * F.pow(F.lit(keep), -step)
+    local = F.pow(F.lit(keep), step) * F.sum(term).over(inside)
+    sliced = placed.withColumn("_local", F.when(F.col("_pos") >= 0, local)).withColumn("_step", step)
+    ends = sliced.where(F.col("_step") == SLICE - 1).where("_pos >= 0").groupBy("name").agg(F.sort_array(F.collect_list(F.struct("_slice", F.struct("_local").alias("end")))).alias("_ends"))
+    none = F.array(F.lit(0.0))
+    folded = F.aggregate("_ends", none, lambda held, end: F.array_append(held, F.element_at(held, -1) * keep**SLICE + end["end"]["_local"]))
+    carried = sliced.join(ends.select("name", folded.alias("_carry")), "name", "left")
+    before = F.when(F.col("_slice") == 0, F.lit(0.0)).otherwise(F.get("_carry", F.col("_slice").cast("int")))
+    average = F.col("_local") + F.pow(F.lit(keep), F.col("_step") + 1) * before
+    return carried.withColumn(out, F.when(~F.isnan(average), average)).select(*series.columns, out)
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        x = pdf["value"].to_numpy(float)
-        line = ema(x, fast) - ema(x, slow)
-        return pd.DataFrame({"name": pdf["name"], "date": pdf["date"], "macd": line, "signal": ema(line, signal)})
 
-    return series.select("name", "date", "value").groupBy("name").applyInPandas(one, "name string, date date, macd double, signal double")
+def macd(series: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
+    """Difference of two exponential averages and its own average."""
+    both = add_ema(add_ema(series.select("name", "date", "value"), "value", fast, "_fast"), "value", slow, "_slow")
+    line = both.select("name", "date", (F.col("_fast") - F.col("_slow")).alias("macd"))
+    return add_ema(line, "macd", signal, "signal")
 
 
 def window_trading(series: DataFrame, window: int, steps: int) -> DataFrame:
-    """Expected prices ``steps`` periods ahead, each from the range and position of the one before."""
+    """Expected prices ``steps`` periods ahead, each from the range and position of the one before.
+
+    Only the last ``window`` values of a series are looked at; series with fewer have no forecast.
+    """
     schema = "name string, step int, position double, forecast double, low double, high double"
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        prices = pdf.sort_values("date")["value"].dropna().tolist()[-window:]
+        prices = pdf.sort_values("date")["value"].tolist()
         rows = []
         if len(prices) == window:
             for step in range(1, steps + 1):
@@ -361,7 +381,8 @@ def window_trading(series: DataFrame, window: int, steps: int) -> DataFrame:
                 rows.append((pdf["name"].iloc[0], step, position, price, min(prices), max(prices)))
         return pd.DataFrame(rows, columns=["name", "step", "position", "forecast", "low", "high"])
 
-    return series.select("name", "date", "value").groupBy("name").applyInPandas(one, schema)
+    known = series.select("name", "date", "value").where(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
+    return top_per_key(known, ["name"], [F.desc("date")], window).groupBy("name").applyInPandas(one, schema)
 
 
 def mean_price(col: str) -> Column:

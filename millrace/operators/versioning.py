@@ -170,7 +170,11 @@ RUN_LOG = (
 
 
 class RunLog:
-    """Append-only log of job runs; each state change is a row and views pick the newest."""
+    """Append-only log of job runs; each state change is a row and views pick the newest.
+
+    An open run holds a file of its app's name beside the log, made by an exclusive create: of two starts
+    at one time only one succeeds.
+    """
 
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path
@@ -187,16 +191,33 @@ class RunLog:
         closing = (F.col("status") != "S").cast("int")
         return latest_by(self.rows(), ["runid"], F.struct("at", closing))
 
+    def _lock(self, app: str):
+        """The file system and the file that an open run of the app holds."""
+        java = self.spark._jvm
+        name = "".join(c if c.isalnum() else f"_{ord(c):x}_" for c in app)
+        path = java.org.apache.hadoop.fs.Path(f"{self.path.rstrip('/')}-open/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def start(self, runid: str, app: str, at, params: str = "") -> bool:
         """Open a run unless the app has one open; false when it has."""
-        exists = self._exists()
-        if exists and self.states().where((F.col("appname") == app) & (F.col("status") == "S")).limit(1).count():
+        from py4j.protocol import Py4JJavaError
+
+        if self._exists() and self.states().where((F.col("appname") == app) & (F.col("status") == "S")).limit(1).count():
             return False
+        system, path = self._lock(app)
+        try:
+            system.create(path, False).close()
+        except Py4JJavaError:
+            if system.exists(path):
+                return False
+            raise
         self._append(runid, app, params, "S", at)
         return True
 
     def complete(self, runid: str, app: str, at, ok: bool = True, counts=(None, None, None), params: str = "") -> None:
         self._append(runid, app, params, "C" if ok else "F", at, counts)
+        system, path = self._lock(app)
+        system.delete(path, False)
 
     def last_good(self) -> DataFrame:
         """Newest completed run per app."""

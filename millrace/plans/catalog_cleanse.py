@@ -238,10 +238,8 @@ def plausible_events(t: Tables):
 )
 def imputed_values(t: Tables):
     holes = t.events.select("event_id", F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"))
-    median = ag.exact_median(holes, "value").withColumnRenamed("median", "_median")
-    both = holes.withColumn("zero_filled", F.col("value"))
-    both = attach_row(cl.fill_zero(both, ["zero_filled"]), median)
-    return both.select("event_id", F.coalesce("value", "_median").alias("value"), "zero_filled")
+    both = cl.fill_zero(holes.withColumn("zero_filled", F.col("value")), ["zero_filled"])
+    return cl.fill_median(both, ["value"]).select("event_id", "value", "zero_filled")
 
 
 @query(
@@ -287,7 +285,7 @@ def near_constant_series(t: Tables):
 def country_from_phrase(t: Tables):
     label = F.concat(F.lit("Imports from "), F.col("n_name"), F.lit(" of all goods"))
     phrases = t.customer.groupBy("c_nationkey").count()
-    joined = t.nation.join(F.broadcast(phrases), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    joined = t.nation.join(phrases, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return joined.select(
         "n_nationkey",
         tx.between_words(label).alias("country"),

@@ -303,7 +303,14 @@ tf AS (SELECT doc_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS
 
 
 def weights(t: Tables):
-    return tm.tf_idf(tm.bag_of_words(t.documents, "doc_id", n=2, stop=STOP), "doc_id")
+    return tm.tf_idf_of_texts(t.documents, "doc_id", n=2, stop=STOP)
+
+
+@query("X02 X05", f"WITH {TFIDF_SQL} SELECT token, count(*) AS documents, round(max(weight), 9) AS largest FROM tf GROUP BY token")
+def term_weights(t: Tables):
+    """Weights from a bag that is there already."""
+    out = tm.tf_idf(tm.bag_of_words(t.documents, "doc_id", n=2, stop=STOP), "doc_id")
+    return out.groupBy("token").agg(F.count(F.lit(1)).alias("documents"), F.round(F.max("weight"), 9).alias("largest"))
 
 
 @query("X02", f"WITH {TFIDF_SQL} SELECT doc_id, token, round(weight, 9) AS weight FROM tf")

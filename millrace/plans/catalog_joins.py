@@ -64,21 +64,23 @@ def orders_of_segment(t: Tables):
     LEFT JOIN n USING (l_partkey, l_suppkey)""",
 )
 def left_chain_by_flag(t: Tables):
-    keys = ["l_partkey", "l_suppkey"]
-    lines = t.lineitem
+    flag = F.col("l_returnflag")
+    lines = t.lineitem.withColumn("shipped", F.to_date("l_shipdate"))
+    parts = {"returned": (F.sum, flag == "R", "l_quantity"), "top_discount": (F.max, flag == "A", "l_discount"), "first_ship": (F.min, flag == "N", "shipped")}
+    return jn.left_chain_of_parts(lines, ["l_partkey", "l_suppkey"], parts)
 
-    def flagged(flag):
-        return lines.where(F.col("l_returnflag") == flag).groupBy(*keys)
 
-    return jn.left_chain(
-        lines.select(*keys).distinct(),
-        [
-            flagged("R").agg(F.sum("l_quantity").alias("returned")),
-            flagged("A").agg(F.max("l_discount").alias("top_discount")),
-            flagged("N").agg(F.min(F.to_date("l_shipdate")).alias("first_ship")),
-        ],
-        keys,
-    )
+@query(
+    "J03 J19",
+    """WITH o AS (SELECT o_custkey AS c_custkey, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS spent FROM orders GROUP BY 1),
+    e AS (SELECT user_id AS c_custkey, count(*) AS events, max(value) AS top_value FROM events GROUP BY 1)
+    SELECT c_custkey, c_mktsegment, orders, spent, events, top_value FROM customer LEFT JOIN o USING (c_custkey) LEFT JOIN e USING (c_custkey)""",
+)
+def customer_activity(t: Tables):
+    """Frames of several tables joined to the customers one after the other."""
+    orders = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("orders"), F.sum(cents("o_totalprice")).cast("double").alias("spent"))
+    events = t.events.groupBy(F.col("user_id").alias("c_custkey")).agg(F.count(F.lit(1)).alias("events"), F.max("value").alias("top_value"))
+    return jn.left_chain(t.customer.select("c_custkey", "c_mktsegment"), [orders, events], ["c_custkey"])
 
 
 @query(

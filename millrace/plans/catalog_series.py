@@ -181,14 +181,40 @@ def price_indicators(t: Tables):
     return out.withColumns({"rsi": F.round("rsi", 6), "williams_r": F.round(F.col("williams_r"), 6), "proc": F.round("proc", 9), "sma": F.round("sma", 4)})
 
 
-@query("K15")
+NATION_MONTHS = """mo AS (SELECT c_nationkey::VARCHAR AS name, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS value
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
+
+
+def ema_sql(source: str, column: str, n: int, name: str) -> str:
+    """Recursive steps of an exponential average over the known values of a column."""
+    return f"""k_{name} AS (SELECT name, date, {column} AS x, row_number() OVER (PARTITION BY name ORDER BY date) AS i FROM {source} WHERE {column} IS NOT NULL),
+    {name} AS (SELECT name, max(date) AS date, {n}::BIGINT AS i, avg(x) AS y FROM k_{name} WHERE i <= {n} GROUP BY name HAVING count(*) = {n}
+      UNION ALL SELECT k.name, k.date, k.i, k.x * (2.0::DOUBLE / {n + 1}) + e.y * (1 - 2.0::DOUBLE / {n + 1}) FROM {name} e JOIN k_{name} k ON k.name = e.name AND k.i = e.i + 1)"""
+
+
+@query(
+    "K15",
+    f"""WITH RECURSIVE {NATION_MONTHS}, {ema_sql('mo', 'value', 12, 'fast')}, {ema_sql('mo', 'value', 26, 'slow')},
+    line AS (SELECT mo.name, mo.date, f.y - s.y AS macd FROM mo LEFT JOIN fast f ON mo.name = f.name AND mo.date = f.date LEFT JOIN slow s ON mo.name = s.name AND mo.date = s.date),
+    {ema_sql('line', 'macd', 9, 'sig')}
+    SELECT l.name, l.date, round(l.macd, 3) AS macd, round(g.y, 3) AS signal FROM line l LEFT JOIN sig g ON l.name = g.name AND l.date = g.date""",
+)
 def price_macd(t: Tables):
-    return sr.macd(monthly_revenue(t, "c_nationkey"))
+    out = sr.macd(monthly_revenue(t, "c_nationkey"))
+    return out.select("name", "date", F.round("macd", 3).alias("macd"), F.round("signal", 3).alias("signal"))
 
 
-@query("K14")
+@query(
+    "K14",
+    f"""WITH RECURSIVE {NATION_MONTHS}, l AS (SELECT name, list(value ORDER BY date) AS p FROM (SELECT * FROM mo QUALIFY row_number() OVER (PARTITION BY name ORDER BY date DESC) <= 12) GROUP BY name HAVING count(*) = 12),
+    s AS (SELECT name, 0 AS step, p, NULL::DOUBLE AS position, NULL::DOUBLE AS forecast FROM l
+      UNION ALL SELECT name, step + 1, list_append(p[2:], (list_max(p) - list_min(p)) * nxt + list_min(p)), nxt, (list_max(p) - list_min(p)) * nxt + list_min(p)
+      FROM (SELECT *, (p[12] - list_min(p)) / (list_max(p) - list_min(p)) + CASE WHEN (p[12] - list_min(p)) / (list_max(p) - list_min(p)) <= 0.8 THEN 0.1::DOUBLE ELSE -0.1::DOUBLE END AS nxt FROM s) WHERE step < 6)
+    SELECT name, CAST(step AS INT) AS step, round(position, 6) AS position, round(forecast, 2) AS forecast, round(list_min(p), 2) AS low, round(list_max(p), 2) AS high FROM s WHERE step > 0""",
+)
 def expected_prices(t: Tables):
-    return sr.window_trading(monthly_revenue(t, "c_nationkey"), 12, 6)
+    out = sr.window_trading(monthly_revenue(t, "c_nationkey"), 12, 6)
+    return out.select("name", "step", F.round("position", 6).alias("position"), *[F.round(c, 2).alias(c) for c in ("forecast", "low", "high")])
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.ordered import attach_row
-from millrace.operators.versioning import append_version
+from millrace.operators.versioning import append_version, refresh
 from millrace.operators import quality as ql
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_path
@@ -189,16 +189,21 @@ def file_name_columns(t: Tables):
     return dl.with_file_parts(reader.csv(path), parts).drop("file_path")
 
 
-@query("S13 S15 S16", "SELECT count(DISTINCT year(o_orderdate)) AS folders, TRUE AS newest_found, TRUE AS compressed FROM orders")
+@query(
+    "S13 S15 S16",
+    """SELECT count(DISTINCT year(o_orderdate)) AS folders, max(year(o_orderdate))::VARCHAR AS newest_year, count(DISTINCT year(o_orderdate)) AS gz_folders FROM orders""",
+)
 def folder_listing(t: Tables):
+    """Files of a folder for each year; those of the last year are written last and must be found as the newest."""
     path = scratch_path(t.spark, "listing")
-    t.orders.select("o_orderkey", F.year("o_orderdate").alias("year")).write.partitionBy("year").option("compression", "gzip").csv(path)
+    rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"))
+    last = rows.agg(F.max("year")).first()[0] or 0
+    for part in (rows.where(F.col("year") < last), rows.where(F.col("year") == last)):
+        part.write.mode("append").partitionBy("year").option("compression", "gzip").csv(path)
     files = fl.list_files(t.spark, path, "*.csv.gz")
-    newest = fl.newest_file(t.spark, path, "*.csv.gz").select(F.col("path").isNotNull().alias("newest_found"))
-    facts = files.agg(
-        F.count_distinct(F.regexp_extract("path", r"year=(\d+)", 1)).alias("folders"), F.bool_and(F.col("path").endswith(".gz")).alias("compressed")
-    )
-    return attach_row(facts, newest)
+    of = F.regexp_extract("path", r"year=(\d+)", 1)
+    facts = files.agg(F.count_distinct(of).alias("folders"), F.count_distinct(F.when(F.col("path").endswith(".gz"), of)).alias("gz_folders"))
+    return attach_row(facts, fl.newest_file(t.spark, path, "*.csv.gz").select(of.alias("newest_year")))
 
 
 @query("S16", "SELECT p_partkey, p_name FROM part")
@@ -222,6 +227,75 @@ def zipped_parts(t: Tables):
     return dl.lines_to_columns(lines, T.StructType().add("p_partkey", "long").add("p_name", "string"))
 
 
+@query("S16 S13", "SELECT p_partkey, p_name, CAST(p_partkey // 500 AS INT) AS chunk FROM part")
+def archive_members(t: Tables):
+    """Archives of several members written by the executors to a folder, and read with a partition per member."""
+    import io
+    import zipfile
+
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    from millrace.sources.members import read_archive_lines
+
+    folder = scratch_path(t.spark, "archives")
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        system, inner = pafs.FileSystem.from_uri(folder) if folder.startswith("file:") or "://" in folder else (pafs.LocalFileSystem(), folder)
+        system.create_dir(inner)
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            for chunk, rows in pdf.groupby("chunk"):
+                archive.writestr(f"parts/chunk-{chunk}.csv", "\n".join(rows["line"]))
+        name = f"{inner}/parts-{pdf['archive'].iloc[0]}.zip"
+        with system.open_output_stream(name) as out:
+            out.write(buffer.getvalue())
+        return pd.DataFrame({"file": [name]})
+
+    chunk = F.floor(F.col("p_partkey") / 500).cast("int")
+    rows = t.part.select(chunk.alias("chunk"), F.floor(F.col("p_partkey") / 2000).alias("archive"), F.concat_ws(",", "p_partkey", "p_name").alias("line"))
+    rows.groupBy("archive").applyInPandas(pack, "file string").write.format("noop").mode("overwrite").save()  # at most 2,000 rows an archive
+    lines = read_archive_lines(t.spark, folder)
+    parts = F.split("line", ",", 2)
+    return lines.select(parts[0].cast("long").alias("p_partkey"), parts[1].alias("p_name"), F.regexp_extract("member", r"chunk-(\d+)", 1).cast("int").alias("chunk"))
+
+
+@query("S27 S28", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def frame_to_table(t: Tables):
+    """A frame stored as a table, stored again over itself, and read with a predicate and some of its columns."""
+    import uuid
+
+    name = f"frame_{uuid.uuid4().hex[:12]}"
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    sk.save_as_table(rows.limit(0), name, scratch_path(t.spark, "frame"))
+    sk.save_as_table(rows, name, scratch_path(t.spark, "frame"))
+    return sk.table_frame(t.spark, name, "o_orderstatus = 'F'", ["o_orderkey", "o_totalprice"])
+
+
+@query(
+    "S31",
+    """SELECT n_name, n_regionkey * 10 AS code, count(c_custkey) AS customers FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL""",
+)
+def local_frame(t: Tables):
+    """The nations (a fixed few) changed as a pandas frame, made a Spark frame with a declared schema, and joined."""
+    nations = t.nation.toPandas()
+    nations["code"] = nations["n_regionkey"] * 10
+    made = t.spark.createDataFrame(nations[["n_nationkey", "n_name", "code"]], "n_nationkey int, n_name string, code int")
+    counts = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
+    joined = made.join(counts, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return joined.select("n_name", "code", F.coalesce("customers", F.lit(0)).alias("customers"))
+
+
+@query("V07 S19", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0")
+def refreshed_table(t: Tables):
+    """A table whose whole content, partitions included, is replaced."""
+    path = scratch_path(t.spark, "refreshed")
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    refresh(rows, path)
+    refresh(rows.where("o_orderkey % 2 = 0"), path)
+    return t.spark.read.schema(rows.schema).parquet(path)
+
+
 @query("S17", "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents WHERE lang IS NOT NULL")
 def marked_documents(t: Tables):
     """Documents with line breaks, stored with multi-character row and field marks."""

@@ -42,19 +42,10 @@ def rows_after_mark(t: Tables):
 
 @query("I02 S08", "SELECT l_orderkey // 4000 AS chunk, count(*) AS n, min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem GROUP BY 1")
 def key_range_chunks(t: Tables):
-    """Chunks of a key range loaded one after the other, as a job that resumes from its target would."""
-    from functools import reduce
-
-    from millrace.sources.delimited import extract_predicate
-
+    """Every chunk of a key range that a job resuming from an empty target would load, from one scan."""
     newest = t.lineitem.agg(F.max("l_orderkey")).first()[0]
-    size, last, parts = max(4000, -(-(newest + 1) // 4000 // 64) * 4000), None, []
-    while (span := inc.next_range(last, newest, size)) is not None:
-        rows = t.lineitem.where(extract_predicate({"l_orderkey": span}))
-        keyed = rows.groupBy(F.floor(F.col("l_orderkey") / 4000).alias("chunk"))
-        parts.append(keyed.agg(F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi")))
-        last = span[1] - 1
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    numbered = t.lineitem.select("l_orderkey", inc.chunk_of(F.col("l_orderkey"), None, newest or 0, 4000).alias("chunk"))
+    return numbered.where(F.col("chunk").isNotNull()).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"))
 
 
 @query("I04", "SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-21'")

@@ -8,7 +8,9 @@ from millrace.operators import quality as ql
 from millrace.operators import reshape as rs
 from millrace.operators import versioning as vs
 from millrace.operators.aggregate import cents
+from millrace.operators.ordered import attach_row
 from millrace.plans.registry import Tables, query
+from millrace.session import scratch_path
 
 
 
@@ -259,15 +261,6 @@ def melted_months(orders):
     return sums.select("o_orderpriority", period_start(F.col("header")).alias("month"), "value")
 
 
-@query(
-    "A04 R05 P20",
-    """SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
-    FROM orders WHERE year(o_orderdate) = 1997 GROUP BY ALL""",
-)
-def wide_months_to_series(t: Tables):
-    return melted_months(t.orders.where(F.year("o_orderdate") == 1997))
-
-
 @query(
     "A04 R05 P20",
     """SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
@@ -337,10 +330,9 @@ def sheet_cells(t: Tables):
     first, last = F.min(year).alias("first"), F.max(year).alias("last")
     layout = t.orders.agg(first, last, F.array_sort(F.collect_set("o_orderstatus")).alias("statuses"))  # one row
     lines = F.col("last") - F.col("first") + 1
+    cells = joined.groupBy(F.col("c_nationkey").alias("sheet"), "o_orderstatus", F.month("o_orderdate").alias("col"), year.alias("yr"))
     counts = (
-        joined.groupBy(F.col("c_nationkey").alias("sheet"), "o_orderstatus", F.month("o_orderdate").alias("col"), year.alias("yr"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .crossJoin(layout)
+        attach_row(cells.agg(F.count(F.lit(1)).alias("n")), layout)
         # a label, the headers, the lines, the stop row and an empty row
         .withColumn("start", ((F.array_position("statuses", F.col("o_orderstatus")) - 1) * (lines + 4)).cast("int"))
         .withColumn("row", F.col("start") + 2 + F.col("yr") - F.col("first"))
@@ -355,15 +347,6 @@ def sheet_cells(t: Tables):
     return data.unionByName(label).unionByName(stop).unionByName(head).unionByName(items)
 
 
-@query(
-    "R07",
-    """SELECT c_nationkey AS sheet, 'Status ' || o_orderstatus AS block, year(o_orderdate)::VARCHAR AS item, 'M' || month(o_orderdate) AS header, count(*)::VARCHAR AS value
-    FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL""",
-)
-def sheet_blocks(t: Tables):
-    return rs.cell_blocks(sheet_cells(t), ["Status F", "Status O"])
-
-
 @query(
     "R07",
     """SELECT c_nationkey AS sheet, 'Status ' || o_orderstatus AS block, year(o_orderdate)::VARCHAR AS item, 'M' || month(o_orderdate) AS header, count(*)::VARCHAR AS value
@@ -391,6 +374,33 @@ def sheet_rows(t: Tables):
     return rows.drop("row")
 
 
+@query("S11 S14", "SELECT c_nationkey AS nation, c_custkey::VARCHAR AS customer, c_mktsegment AS segment FROM customer")
+def workbook_rows(t: Tables):
+    """Customers written by the executors as workbooks, a book per nation and a sheet per segment, and read back by sheet."""
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    from millrace.sources.members import read_sheet_cells, workbook
+
+    folder = scratch_path(t.spark, "books")
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        system, inner = pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
+        system.create_dir(inner)
+        name = f"{inner}/nation-{pdf['c_nationkey'].iloc[0]}-{pdf['part'].iloc[0]}.xlsx"
+        sheets = {s: [["customer", "segment"], *rows[["customer", "c_mktsegment"]].to_numpy().tolist()] for s, rows in pdf.groupby("c_mktsegment")}
+        with system.open_output_stream(name) as out:
+            out.write(workbook(sheets))
+        return pd.DataFrame({"file": [name]})
+
+    # a book holds at most about 5,000 customers of a nation
+    customers = t.customer.select("c_nationkey", (F.floor(F.col("c_custkey") / 100_000)).alias("part"), F.col("c_custkey").cast("string").alias("customer"), "c_mktsegment")
+    customers.groupBy("c_nationkey", "part").applyInPandas(write, "file string").write.format("noop").mode("overwrite").save()
+    cells = read_sheet_cells(t.spark, folder).withColumn("sheet", F.concat_ws("|", "file", "sheet"))
+    rows = rs.cells_to_rows(cells, ["customer", "segment"], 1, 0)
+    return rows.select(F.regexp_extract("sheet", r"nation-(\d+)-", 1).cast("int").alias("nation"), "customer", "segment")
+
+
 # ---- quality
 
 COUNTS = """c AS (SELECT o_custkey, DATE '2024-01-01' AS version, count(*) AS n FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1

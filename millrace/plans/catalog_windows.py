@@ -296,6 +296,16 @@ def dedup_lines(t: Tables):
     )
 
 
+@query(
+    "D05",
+    """WITH c AS (SELECT l_orderkey, l_suppkey, count(*) AS copies FROM lineitem GROUP BY 1, 2)
+    SELECT copies, count(*) AS keys, sum(copies - 1)::BIGINT AS removed FROM c GROUP BY copies""",
+)
+def dedup_report(t: Tables):
+    """How many lines of an order with one supplier are removed when one of them is kept."""
+    return cl.dedup_with_report(t.lineitem, ["l_orderkey", "l_suppkey"], [F.asc("l_linenumber")])[1]
+
+
 @query("W03", "SELECT p_name, row_number() OVER (ORDER BY p_name) AS name_id FROM (SELECT DISTINCT p_name FROM part)")
 def surrogate_ids(t: Tables):
     return od.global_order(t.part.select("p_name").distinct(), [F.asc("p_name")], "name_id")
@@ -363,7 +373,7 @@ def hour_gaps(t: Tables):
 )
 def top_spenders_by_tile(t: Tables):
     spent = t.orders.groupBy("o_custkey").agg(F.sum(cents("o_totalprice")).cast("double").alias("spent"))
-    return od.global_ntile(spent, [F.desc("spent"), F.asc("o_custkey")], 1000).where("tile <= 20")
+    return od.first_tiles(spent, "spent", [F.asc("o_custkey")], 1000, 20)
 
 
 @query(

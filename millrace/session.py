@@ -63,10 +63,11 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a table read from fewer files than there are cores, by key.
+    """Repartition a table that is read in fewer parts than there are cores, by key.
 
-    Meant for work that is heavy per row (splitting whole texts): a handful of files would leave most
-    cores idle. Tables of many files are returned as they are, without a shuffle.
+    Meant for work that is heavy per row (splitting whole texts): a handful of parts would leave most
+    cores idle. Tables of many parts are returned as they are, without a shuffle. Only the number of parts of
+    the plan is asked for, no list of files; the rows are the same either way.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if 0 < len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -209,10 +209,11 @@ class ColumnMapping:
 def statements(script: str, tokens: Mapping[str, str] | None = None) -> list[str]:
     """Statements of a SQL script, comments removed and ``{token}`` values put in.
 
-    Semicolons and dashes inside quotes are kept.
+    Semicolons, dashes and comment marks inside quotes are kept. Block comments may hold semicolons; an open one
+    runs to the end of the script.
     """
     for key, value in (tokens or {}).items():
         script = script.replace("{" + key + "}", value)
-    pieces = re.findall(r"'(?:[^']|'')*'|--[^\n]*|;|[^';-]+|-", script)
-    text = "".join("\0" if p == ";" else "" if p.startswith("--") else p for p in pieces)
+    pieces = re.findall(r"""'(?:[^']|'')*'|"(?:[^"]|"")*"|--[^\n]*|/\*.*?(?:\*/|\Z)|;|[^'";/-]+|.""", script, re.DOTALL)
+    text = "".join("\0" if p == ";" else " " if p.startswith(("--", "/*")) else p for p in pieces)
     return [s.strip() for s in text.split("\0") if s.strip()]

@@ -23,6 +23,15 @@ def next_range(last: int | None, newest: int, size: int) -> tuple[int, int] | No
     return None if start > newest else (start, min(start + size, newest + 1))
 
 
+def chunk_of(key: Column, last: int | None, newest: int, size: int) -> Column:
+    """Number of the chunk that :func:`next_range` would load a key with, from 0 on; null for loaded or later keys.
+
+    All chunks of a catch-up can so be taken from one scan of the source.
+    """
+    start = 0 if last is None else last + 1
+    return F.when((key >= start) & (key <= newest), F.floor((key - start) / size))
+
+
 def next_dates(column: str, last: Column | None, run_date: Column) -> Column:
     """Dates after the last loaded one up to yesterday."""
     rule = F.col(column) < run_date
