@@ -59,7 +59,29 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held.millrace_path = path
+    return held
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables behind frames of :func:`materialise` when nothing will read them again.
+
+    The caller knows that: whatever was made from them is written by then, so that a lost executor needs
+    nothing of them. Other frames are left alone.
+    """
+    for df in frames:
+        path = getattr(df, "millrace_path", None)
+        if path:
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of what a plan reads, as the optimiser knows it; None where it does not."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 55 else None
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
