@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import materialise
+from millrace.session import discard, materialise
 
 
 def _hang_on_least(edges: DataFrame, far: bool) -> DataFrame:
@@ -26,12 +26,8 @@ def _hang_on_least(edges: DataFrame, far: bool) -> DataFrame:
     return moved.union(least.select("u", F.col("least").alias("v"))).filter("u <> v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``(node, label)`` for every node that an edge ``(u, v)`` touches, label being the least node of its component.
-
-    Self links and repeated links change nothing; an empty table gives an empty table. Each round is
-    written to the shared folder, and the rounds end when the edge set is a fixed point.
-    """
+def component_edges(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`components`, and the written table that it reads, to be discarded by the caller after use."""
     edges = materialise(edges.select("u", "v").filter("u <> v").distinct(), "edges")
     state = None
     while True:
@@ -41,7 +37,19 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
         if not now[0]:
             break
-        edges = materialise(_hang_on_least(_hang_on_least(edges, True), False), "edges")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
+        after = materialise(_hang_on_least(_hang_on_least(edges, True), False), "edges")
+        discard(edges)
+        edges = after
+    labels = edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label"))
-    ).distinct()
+    )
+    return labels.distinct(), edges
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``(node, label)`` for every node that an edge ``(u, v)`` touches, label being the least node of its component.
+
+    Self links and repeated links change nothing; an empty table gives an empty table. Each round is
+    written to the shared folder, and the rounds end when the edge set is a fixed point.
+    """
+    return component_edges(edges)[0]

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import attach_row, global_order
-from millrace.session import materialise
+from millrace.session import discard, materialise
 
 #: Nodes that are hashed together.
 ARITY = 3
@@ -189,7 +189,9 @@ def manifest(rows: DataFrame, leaf: Column, group: str, key: str, carry: Sequenc
     """
     names = [c for c in rows.select(*carry).columns] if carry else []
     picked = rows.select(F.col(group).alias("_group"), F.col(key).alias("_key"), leaf.alias("digest"), F.struct(*carry).alias("_carry") if carry else F.lit(0).alias("_carry"))
-    placed = global_order(materialise(picked, "merkle-leaves"), [F.col("_group").asc_nulls_first(), F.col("_key").asc_nulls_first(), F.col("digest")], "_place")
+    held = materialise(picked, "merkle-leaves")
+    placed = global_order(held, [F.col("_group").asc_nulls_first(), F.col("_key").asc_nulls_first(), F.col("digest")], "_place")
+    discard(held)  # the order is written
     groups = placed.groupBy("_group").agg(F.min("_place").alias("tree"), F.count(F.lit(1)).alias("_count"))
     homes = global_order(groups, [F.col("tree")], "_home")
     trees = materialise(homes.select("_group", "tree", _height(F.col("_count")).alias("height"), (F.col("_home") - 1).alias("home")), "merkle-trees")

@@ -18,7 +18,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import materialise
+from millrace.session import discard, materialise
 
 #: Fraction of the golden ratio, and what a run of slots adds to it modulo 1.
 RUN = 1 << 20
@@ -143,6 +143,7 @@ def placements(
     piece = F.floor(drawn * F.ceil(F.col("n_docs") / PIECE))
     order = [F.col("draw"), F.col("doc_id").asc_nulls_first(), *([F.col("row")] if row else [])]
     stream = materialise(ranked(stream, "source_no", piece, order, F.col("size"), "begin").drop("draw", "n_docs"), "stream")
+    discard(sized)
 
     # a document's places in the stream, once for each pass, and the blocks that they touch
     passes = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))

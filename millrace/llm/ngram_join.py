@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +30,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.components import components
+from millrace.llm.components import component_edges
 from millrace.llm.words import serving, shingle_hashes, split_words, word_hashes
-from millrace.session import materialise
+from millrace.session import discard, input_bytes, materialise
 
 LOW = np.uint64((1 << 48) - 1)
 #: Shingles of one packed block; more documents start another block.
 BLOCK = 1_000_000
+#: Fragments of the n-gram space that an n-gram's id names; beyond, a fragment is cut by further bits of the hash.
+FRAGMENTS = 1 << 15
+#: Bytes of input for each part that a task holds.
+PART_BYTES = 128 << 20
 DOCS, ALONE, KNOWN, SHARED = range(4)
 
 _BLOCKS = T.StructType(
@@ -69,8 +74,8 @@ def gram_ids(text: bytes | None, fragments: int, width: int) -> np.ndarray:
 class _Block:
     """Documents gathered for one set of block rows."""
 
-    def __init__(self, fragments: int):
-        self.fragments = fragments
+    def __init__(self, fragments: int, cuts: int = 1):
+        self.fragments, self.cuts = fragments, cuts
         self.doc_ids: list = []
         self.doc_sets: list[int] = []
         self.doc_sizes: list[int] = []
@@ -92,7 +97,8 @@ class _Block:
     def rows(self) -> pa.RecordBatch:
         out: list[tuple] = []
         doc_sets, sizes, text_keys = np.array(self.doc_sets, np.int64), np.array(self.doc_sizes, np.int32), np.array(self.doc_keys, np.int64)
-        home = (doc_sets.view(np.uint64) % np.uint64(self.fragments)).astype(np.int32)
+        parts = np.uint64(self.fragments * self.cuts)
+        home = (doc_sets.view(np.uint64) % parts).astype(np.int32)
         for part in np.unique(home).tolist():
             here = np.flatnonzero(home == part)
             out.append((part, DOCS, [self.doc_ids[i] for i in here], doc_sets[here].tobytes(), sizes[here].tobytes(), text_keys[here].tobytes() if len(text_keys) else None, None))
@@ -108,7 +114,7 @@ class _Block:
         def packed(kind: int, parts: np.ndarray, who: np.ndarray | None, what: np.ndarray) -> None:
             if not len(parts):
                 return
-            by = np.argsort(parts.astype(np.uint16), kind="stable")
+            by = np.argsort(parts, kind="stable")
             parts, what = parts[by], what[by]
             cuts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]])
             for a, b in zip(cuts, np.r_[cuts[1:], len(parts)], strict=True):
@@ -123,19 +129,24 @@ class _Block:
                     low, high = piece.astype(np.uint32), ((piece & LOW) >> np.uint64(32)).astype(np.uint16)
                     out.append((part, kind, None, sets, counts, low.tobytes(), high.tobytes()))
 
-        fragment = (grams >> np.uint64(48)).astype(np.int32)
-        packed(ALONE, fragment[~twice], owner[~twice], grams[~twice])
+        packed(ALONE, part_of(grams[~twice], self.cuts), owner[~twice], grams[~twice])
         known = np.unique(grams[twice])
-        packed(KNOWN, (known >> np.uint64(48)).astype(np.int32), None, known)
+        packed(KNOWN, part_of(known, self.cuts), None, known)
         own = owner[twice]
-        packed(SHARED, (keys.view(np.uint64)[own] % np.uint64(self.fragments)).astype(np.int32), own, grams[twice])
+        packed(SHARED, (keys.view(np.uint64)[own] % parts).astype(np.int32), own, grams[twice])
         columns = zip(*out, strict=True) if out else [[]] * len(_BLOCKS_ARROW)
         return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _BLOCKS_ARROW, strict=True)], schema=_BLOCKS_ARROW)
 
 
-def _cut_into_blocks(fragments: int, width: int):
+def part_of(grams: np.ndarray, cuts: int) -> np.ndarray:
+    """The part of each n-gram: its fragment, cut by bits of the hash below the fragment's."""
+    parts = (grams >> np.uint64(48)).astype(np.int32)
+    return parts if cuts == 1 else parts * cuts + ((grams & LOW) % np.uint64(cuts)).astype(np.int32)
+
+
+def _cut_into_blocks(fragments: int, cuts: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Block(fragments)
+        block = _Block(fragments, cuts)
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             text_keys = batch.column("text_key").to_pylist() if "text_key" in batch.schema.names else [None] * len(texts)
@@ -143,7 +154,7 @@ def _cut_into_blocks(fragments: int, width: int):
                 block.add(doc_id, gram_ids(text.as_py(), fragments, width), text_key)
                 if block.total >= BLOCK or len(block.doc_ids) >= BLOCK // 10:
                     yield block.rows()
-                    block = _Block(fragments)
+                    block = _Block(fragments, cuts)
         yield block.rows()
 
     return serving("ngram join", run)
@@ -167,8 +178,8 @@ def _once(sets: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sets[keep], grams[keep]
 
 
-def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within each fragment: the members of sets that a second set has too; document rows pass through."""
+def _find_shared(cuts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Within each part: the members of sets that a second set has too; document rows pass through."""
     alone: dict[int, list] = {}
     known: dict[int, list] = {}
     shared: list = []
@@ -182,8 +193,9 @@ def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sets), pa.array(counts), text_keys, pa.nulls(len(ids), pa.list_(pa.int64()))], schema=_MEMBERS_ARROW)
             elif row["kind"] == SHARED:
                 shared.append((np.repeat(sets, counts), np.frombuffer(row["low"], np.uint64)))
-                if sum(len(x[0]) for x in shared[1:]) > BLOCK:
-                    shared = [_once(*(np.concatenate(x) for x in zip(*shared, strict=True)))]
+                if sum(len(x[0]) for x in shared) > BLOCK:  # what comes twice is made one when the sets are put together
+                    yield _by_set(*_once(*(np.concatenate(x) for x in zip(*shared, strict=True))))
+                    shared = []
             else:
                 low = np.frombuffer(row["low"], np.uint32).astype(np.uint64)
                 grams = low | (np.frombuffer(row["high"], np.uint16).astype(np.uint64) << np.uint64(32))
@@ -211,7 +223,7 @@ def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.minimum(np.searchsorted(marked, g), len(marked) - 1)
                 found.append((s[marked[at] == g], g[marked[at] == g]))
         sets, grams = (np.concatenate(x) for x in zip(*found, strict=True))
-        yield _by_set(sets, grams | (np.uint64(part) << np.uint64(48)))
+        yield _by_set(sets, grams | (np.uint64(part // cuts) << np.uint64(48)))
 
 
 def least_overlap(n, m, percent: int):
@@ -230,8 +242,8 @@ def summed_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """``(a, b, overlap)``: common n-grams of each pair, counted per fragment and summed."""
     left = segments.select(F.col("set_id").alias("a"), "fragment", F.col("grams").alias("left"))
     right = segments.select(F.col("set_id").alias("b"), "fragment", F.col("grams").alias("right"))
-    partial = pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
-    return partial.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("left", "right"))).alias("overlap"))
+    met = pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
+    return met.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("left", "right"))).alias("overlap"))
 
 
 def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: int = 8, star_rounds: int = 2, cell: int = 500, keyed: bool = False) -> DataFrame:
@@ -249,23 +261,31 @@ def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: in
     ``cell`` bounds the documents of one n-gram that a task compares at a time in the last round.
     """
     spark = docs.sparkSession
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15)
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(input_bytes(docs.select("text")) or 0) // PART_BYTES))
+    pieces = min(wanted, FRAGMENTS)
+    cuts = -(-wanted // pieces)
+    parts = pieces * cuts
     text_key = [F.xxhash64("text").alias("text_key")] if keyed else []
-    blocks = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *text_key).mapInArrow(_cut_into_blocks(parts, width), _BLOCKS)
-    members = materialise(blocks.repartitionById(parts, F.col("part")).mapInArrow(serving("ngram join", _find_shared), _MEMBERS), "grams")
+    blocks = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *text_key).mapInArrow(_cut_into_blocks(pieces, cuts, width), _BLOCKS)
+    find = serving("ngram join", partial(_find_shared, cuts))
+    members = materialise(blocks.repartitionById(parts, F.col("part")).mapInArrow(find, _MEMBERS), "grams")
+    rows = materialise(members.filter("n is not null").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "set_id", "text_key"), "documents")
 
     enough = F.size("grams") * 100 >= F.col("n") * percent
     sets = members.groupBy("set_id").agg(
         F.min("doc_id").alias("least_id"), F.max("n").alias("n"), F.array_distinct(F.flatten(F.collect_list("grams"))).alias("grams")
     )
     sets = materialise(sets.withColumn("grams", F.when((F.col("n") > 0) & enough, F.col("grams"))), "sets")
-    survivors = sets.filter("grams is not null").select("set_id", "n", "grams")
+    facts = materialise(sets.select("set_id", "n", "least_id", F.col("grams").isNotNull().alias("survives")), "set-facts")
+    discard(members)
+    survivors = facts.filter("survives").select("set_id", "n")
 
-    flat = survivors.select("set_id", "n", F.explode("grams").alias("gram"))
+    flat = sets.filter("grams is not null").select("set_id", "n", F.explode("grams").alias("gram"))
     frequency = flat.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
     # monotone in (df, gram); equal n-grams have equal places
     place = F.col("df") + (F.col("gram") / F.lit(float(1 << 63)) + 1) / 2
     ranked = materialise(flat.join(frequency, "gram").withColumn("place", place), "ranked")
+    discard(sets)
     pivots = fragments_of(ranked, fragments)
     number = sum(((F.col("place") >= p).cast("int") for p in pivots), F.lit(0))
     segments = materialise(ranked.groupBy("set_id", number.alias("fragment")).agg(F.collect_list("gram").alias("grams")), "segments")
@@ -278,6 +298,7 @@ def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: in
     prefix = ordered.select("set_id", "n", "centre", F.posexplode("order").alias("at", "entry"), (F.col("n") - F.size("order")).alias("ahead"))
     prefix = prefix.select("set_id", "n", "centre", (F.col("at") + F.col("ahead")).alias("at"), F.col("entry.gram").alias("gram"))
     prefix = materialise(prefix.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100)), "prefix")
+    discard(ranked)
 
     labels = materialise(survivors.select("set_id", F.col("set_id").alias("label")), "labels")
 
@@ -292,15 +313,17 @@ def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: in
         return joined.select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).distinct()
 
     def merged(pairs: DataFrame) -> DataFrame:
-        sizes = survivors.select("set_id", "n")
         counted = summed_overlaps(pairs, segments)
         for side in "ab":
-            counted = counted.join(sizes.select(F.col("set_id").alias(side), F.col("n").alias(f"n_{side}")), side)
+            counted = counted.join(survivors.select(F.col("set_id").alias(side), F.col("n").alias(f"n_{side}")), side)
         links = counted.filter(F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent)
         for side, end in (("a", "u"), ("b", "v")):
             links = links.join(labels.select(F.col("set_id").alias(side), F.col("label").alias(end)), side)
-        moved = components(links.select("u", "v")).select(F.col("node").alias("label"), F.col("label").alias("new"))
-        return materialise(labels.join(moved, "label", "left").select("set_id", F.coalesce("new", "label").alias("label")), "labels")
+        found, edges = component_edges(links.select("u", "v"))
+        moved = found.select(F.col("node").alias("label"), F.col("label").alias("new"))
+        after = materialise(labels.join(moved, "label", "left").select("set_id", F.coalesce("new", "label").alias("label")), "labels")
+        discard(labels, edges)
+        return after
 
     for turn in range(star_rounds):
         entries = prefix.join(labels, "set_id")
@@ -322,9 +345,9 @@ def ngram_join(docs: DataFrame, percent: int = 75, width: int = 5, fragments: in
     across = (F.col("x.own") != F.col("y.own")) | (F.col("row") == F.col("column"))
     labels = merged(pairs_of(met.filter((F.col("x.set_id") < F.col("y.set_id")) & across & admissible("x", "y"))))
 
-    classes = sets.select("set_id", "least_id").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    discard(segments, prefix)
+    classes = facts.select("set_id", "least_id").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
     named = classes.join(least, "label").select("set_id", "component_id", F.col("label").alias("class_id"))
-    rows = members.filter("n is not null").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "set_id", "text_key")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.join(named, "set_id").select("doc_id", "n_shingles", own.alias("component_id"), *(["text_key", "class_id"] if keyed else []))

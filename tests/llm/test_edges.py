@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from millrace.llm import automaton, bytewords, fingerprints, html_layout, language, mixing, queries, ranges, repetition, secret_scan, token_files, toxicity
+from millrace.llm import automaton, bytewords, fingerprints, html_layout, language, mixing, ngram_join, queries, ranges, repetition, secret_scan, token_files, toxicity
 from millrace.llm.queries import word_tokenizer
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -118,6 +118,31 @@ def test_fingerprints_estimate_jaccard(spark):
     assert abs(np.mean(errors)) < 0.03 and np.max(np.abs(errors)) < 0.2
 
 
+def test_ngram_join_with_fragments_cut_further(spark, monkeypatch):
+    rng = random.Random(12)
+    base = [[f"w{rng.randint(0, 300)}" for _ in range(40)] for _ in range(8)]
+    rows = []
+    for i in range(60):
+        words = list(base[i % 8])
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            words[rng.randrange(40)] = f"x{rng.randint(0, 9)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    plain = by_repr(map(tuple, ngram_join.ngram_join(docs).collect()))
+    monkeypatch.setattr(ngram_join, "FRAGMENTS", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 200)
+    monkeypatch.setattr(ngram_join, "PART_BYTES", 100)
+    assert by_repr(map(tuple, ngram_join.ngram_join(docs).collect())) == plain
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(36)} for _, t in rows]
+    least = list(range(60))
+    for _ in range(60):
+        for i in range(60):
+            for j in range(60):
+                if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                    least[i] = min(least[i], least[j])
+    assert plain == by_repr((i, len(sets[i]), least[i]) for i in range(60))
+
+
 # secrets
 
 
