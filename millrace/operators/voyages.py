@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.dates import date_plus_minutes
-from millrace.functions.geo import cell, distance_km, inside_ring
+from millrace.functions.geo import cell, distance_km, inside_ring, ring_cells
 from millrace.operators.ordered import add_prior, segment_hot
 from millrace.operators.windows import compress_sessions, sessions
+from millrace.session import materialise
 
 # Medium crude density (kg per m³) and barrels per m³.
 CRUDE_DENSITY = 835
@@ -138,24 +141,44 @@ def uniqueness(df: DataFrame, key: str, value: str) -> DataFrame:
 # ---- zones
 
 
-def assign_zones(points: DataFrame, zones: DataFrame, x: str, y: str, size: float) -> DataFrame:
-    """Zone of each point by grid cell, then ray casting; null outside every zone.
+def zone_cover(zones: DataFrame, size: float, most: int = 64) -> DataFrame:
+    """At most ``most`` cells for each zone: ``(zone, level, _cx, _cy, ring)``, ring null for cells inside the zone."""
 
-    ``zones``: zone, ring (array of struct x, y). Zones are listed per covered cell and meet points by
-    an equi join on the cell, so a point is tested against the zones of its cell only; a crowded cell
-    is a skewed join key that adaptive execution splits on the points side.
+    def cover(batches):
+        for pdf in batches:
+            out = []
+            for zone, ring in zip(pdf["zone"], pdf["ring"]):
+                points = [(p["x"], p["y"]) for p in ring] if ring is not None else []
+                out += [(zone, level, column, row, None if inner else ring) for level, column, row, inner in ring_cells(points, size, most)]
+            yield pd.DataFrame(out, columns=["zone", "level", "_cx", "_cy", "ring"])
+
+    kinds = {f.name: f.dataType for f in zones.schema}
+    schema = T.StructType().add("zone", kinds["zone"]).add("level", T.IntegerType()).add("_cx", T.LongType()).add("_cy", T.LongType()).add("ring", kinds["ring"])
+    return zones.select("zone", "ring").mapInPandas(cover, schema)
+
+
+def assign_zones(points: DataFrame, zones: DataFrame, x: str, y: str, size: float, most: int = 64) -> DataFrame:
+    """Zones of each point, a row per zone; one row with null outside every zone.
+
+    ``zones``: zone, ring (array of struct x, y). Every zone is covered by cells of several widths: few wide ones inside, where
+    no test is needed, and finer ones along the border, at most ``most`` in all whatever the zone's size. A point has one cell
+    of each width in use and meets the zones of it by an equi join on the cell; only border cells test the ring.
     """
-    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
-    covered = zones.select(
-        "zone", "ring",
-        F.explode(F.sequence(cell(F.array_min(xs), size), cell(F.array_max(xs), size))).alias("_cx"), ys.alias("_ys"),
-    )
-    covered = covered.select("zone", "ring", "_cx", F.explode(F.sequence(cell(F.array_min("_ys"), size), cell(F.array_max("_ys"), size))).alias("_cy"))
-    celled = points.withColumns({"_cx": cell(F.col(x), size), "_cy": cell(F.col(y), size)})
-    same_cell = (celled["_cx"] == covered["_cx"]) & (celled["_cy"] == covered["_cy"])
-    inside = inside_ring(F.col(x), F.col(y), F.col("ring"))
-    joined = celled.join(covered, same_cell & inside, "left")
-    return joined.select(*points.columns, "zone")
+    cover = materialise(zone_cover(zones, size, most), "zone-cells")
+    levels = sorted(r[0] for r in cover.select("level").distinct().collect())  # a few widths
+    met, found = points, []
+    for level in levels:
+        width = size * 2.0**level
+        offered = cover.where(F.col("level") == level).groupBy("_cx", "_cy").agg(F.collect_list(F.struct("zone", "ring")).alias(f"_z{len(found)}"))
+        same = (F.col("_cx") == cell(F.col(x), width)) & (F.col("_cy") == cell(F.col(y), width))
+        met = met.join(offered, same, "left").drop("_cx", "_cy")
+        found.append(f"_z{len(found)}")
+    if not found:
+        return points.withColumn("zone", F.lit(None).cast(zones.schema["zone"].dataType))
+    none = F.array().cast(met.schema[found[0]].dataType)
+    every = F.concat(*[F.coalesce(F.col(c), none) for c in found])
+    hits = F.filter(every, lambda z: z["ring"].isNull() | inside_ring(F.col(x), F.col(y), z["ring"]))
+    return met.withColumn("_hits", hits).select(*points.columns, F.explode_outer(F.transform("_hits", lambda z: z["zone"])).alias("zone"))
 
 
 def trip_metrics(trips: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from millrace.plans.jobs import run_job
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_path
 from millrace.streaming import incremental as inc
+from millrace.streaming import stateful as sf
 from millrace.streaming import streams as st
 
 
@@ -105,6 +106,30 @@ def streamed_hourly_totals(t: Tables):
     return newest.select("event_type", F.col("hour").cast("timestamp_ntz").alias("hour"), "n", F.col("total").cast("double").alias("total"))
 
 
+@query(
+    "I03 K11",
+    """SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS n, sum(CAST(value AS DECIMAL(18,2)))::DOUBLE AS total FROM events GROUP BY 1, 2""",
+)
+def corrected_hourly_totals(t: Tables):
+    """Events that arrive in two parts, the older one last, through a stream whose state is the hours of one day."""
+    out, marks, source = (scratch_path(t.spark, n) for n in ("corrected", "marks", "parts"))
+    rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    for rest in (0, 1):
+        rows.where(F.dayofmonth("ts") % 2 == rest).repartitionByRange(2, "ts").write.mode("append").parquet(source)
+    # a last row of each type, two days beyond its events, closes what is open
+    ends = rows.groupBy("event_type").agg(F.max("ts").alias("ts")).select(
+        F.lit(-1).cast("bigint").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"), F.lit(None).cast("bigint").alias("user_id"), "event_type", F.lit(None).cast("double").alias("value")
+    )
+    with sf.state_store(t.spark):
+        for part in (None, ends):
+            if part is not None:
+                part.write.mode("append").parquet(source)
+            totals = sf.hour_totals(event_stream(t, source), "ts", "event_type", F.round(F.col("value") * 100), delay=24 * sf.HOUR)
+            inc.write_updates(totals, out, marks, mode="append")
+    summed = sf.summed_hours(t.spark.read.parquet(out))
+    return summed.select(F.col("key").alias("event_type"), "hour", "n", "total")
+
+
 @query(
     "I03 W14 G07",
     """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 4 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
