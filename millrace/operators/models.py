@@ -30,11 +30,13 @@ def assembled(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(ready)
 
 
-def regression_report(train: DataFrame, test: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+def regression_report(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, models: Sequence[str] = ("linear", "ridge", "elastic_net")) -> DataFrame:
     """Linear, ridge and elastic-net fits scored on the test rows (R², RMSE)."""
     fit_on, score_on = assembled(train, features, label), assembled(test, features, label)
     rows = []
-    for name, penalty, mix in (("linear", 0.0, 0.0), ("ridge", 0.1, 0.0), ("elastic_net", 0.1, 0.5)):
+    settings = {"linear": (0.0, 0.0), "ridge": (0.1, 0.0), "elastic_net": (0.1, 0.5)}
+    for name in models:
+        penalty, mix = settings[name]
         model = LinearRegression(regParam=penalty, elasticNetParam=mix).fit(fit_on)
         scored = model.transform(score_on)
         rows.append((name, *[float(RegressionEvaluator(metricName=m).evaluate(scored)) for m in ("r2", "rmse")]))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from millrace.functions.stats import chi2_tail, chosen_penalty, descend, f_tail, lag_matrix, ols
 from millrace.operators.ordered import add_group_stats, attach_row, global_order
 from millrace.operators.ranks import exact_ranks
-from millrace.operators.series import difference_order
+from millrace.operators.series import difference_order, md5_draw
 
 #: Numbers of block matrices that a task holds before it hands them on; bounds memory, never results.
 HELD = 1 << 25
@@ -377,7 +377,7 @@ def sample_names(names: DataFrame, draws: int, seed: int = 0) -> DataFrame:
     ranked = add_group_stats(global_order(names.select("name").distinct(), [F.asc("name")], "_rank"), [], _n=F.count(F.lit(1)))
     total = ranked.agg(F.max("_n").alias("_n"))
     picks = attach_row(names.sparkSession.range(draws), total)
-    picks = picks.select((F.pmod(F.xxhash64(F.lit(seed), "id"), F.col("_n")) + 1).alias("_rank"))
+    picks = picks.select((F.pmod(md5_draw(F.lit(seed), F.col("id")), F.col("_n")) + 1).alias("_rank"))
     picks = picks.groupBy("_rank").agg(F.count(F.lit(1)).alias("times"))
     return picks.join(ranked.select("_rank", "name"), "_rank").select("name", "times")
 

@@ -282,9 +282,15 @@ def split_by_date(series: DataFrame, cut: Column) -> tuple[DataFrame, DataFrame]
     return series.where(F.col("date") <= cut), series.where(F.col("date") > cut)
 
 
+def md5_draw(*parts: Column) -> Column:
+    """A number from 0 to 2**32 − 1 from the first 8 hex digits of the md5 of the parts, joined by ``|``."""
+    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
 def split_by_hash(df: DataFrame, columns: Sequence[str], share: float = 0.8, seed: int = 0) -> DataFrame:
-    """Repeatable random split by a hash of the key; ``part`` is train or test."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1_000_000)) / 1_000_000
+    """Repeatable random split by a digest of seed and key, which other systems can draw alike; ``part`` is train or test."""
+    draw = md5_draw(F.lit(str(seed)), *[F.col(c) for c in columns]) / F.lit(float(1 << 32))
     return df.withColumn("part", F.when(draw < share, "train").otherwise("test"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import cleanse as cl
@@ -85,6 +86,19 @@ def column_redundancy(t: Tables):
     return t.spark.createDataFrame(rows, "name string, dropped boolean, eigenvalue double")
 
 
+@query(
+    "M22",
+    """SELECT 'l_quantity' AS name, false AS dropped UNION ALL SELECT 'l_extendedprice', abs(corr(l_quantity, l_extendedprice)) > 0.9 FROM lineitem
+    UNION ALL SELECT 'l_discount', greatest(abs(corr(l_quantity, l_discount)), abs(corr(l_extendedprice, l_discount))) > 0.9 FROM lineitem
+    UNION ALL SELECT 'net', greatest(abs(corr(l_quantity, l_extendedprice * 0.95)), abs(corr(l_extendedprice, l_extendedprice * 0.95)), abs(corr(l_discount, l_extendedprice * 0.95))) > 0.9 FROM lineitem""",
+)
+def dropped_columns(t: Tables):
+    lines = t.lineitem.withColumn("net", F.col("l_extendedprice") * 0.95)
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "net"]
+    dropped = sl.redundant_columns(lines, columns)
+    return t.spark.createDataFrame([(c, c in dropped) for c in columns], "name string, dropped boolean")
+
+
 @query("M02")
 def lasso_scores(t: Tables):
     return sl.lasso(t.lineitem, "l_extendedprice", FEATURES)
@@ -132,6 +146,22 @@ def blended_ranking(t: Tables):
     return sl.blend([chosen, mi, forest], ["lasso_scaled", "mi_scaled", "importance_scaled"])
 
 
+@query(
+    "M06 T06",
+    f"""{mi_sql(MI_PAIRS, [*FEATURES, 'l_extendedprice'], 12)}, i AS (SELECT a AS name, mi, (mi - min(mi) OVER ()) / (max(mi) OVER () - min(mi) OVER ()) AS mi_scaled FROM m),
+    c AS (SELECT 'l_quantity' AS name, abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem UNION ALL SELECT 'l_discount', abs(corr(l_discount, l_extendedprice)) FROM lineitem)
+    SELECT name, round(mi_scaled, 6) AS mi_scaled, round(r, 6) AS r, round(mi_scaled + coalesce(r, 0), 6) AS blended, row_number() OVER (ORDER BY mi_scaled + coalesce(r, 0) DESC, name)::INT AS place
+    FROM i LEFT JOIN c USING (name)""",
+)
+def blended_information(t: Tables):
+    """Scores of two kinds, one of them for some columns only, blended and ranked."""
+    mi = sl.mutual_information(t.lineitem, "l_extendedprice", FEATURES, 12).select("name", "mi_scaled")
+    pairs = sl.correlation_pairs(t.lineitem, ["l_quantity", "l_discount", "l_extendedprice"]).where("b = 'l_extendedprice'")
+    ranked = sl.blend([mi, pairs.select(F.col("a").alias("name"), F.abs("r").alias("r"))], ["mi_scaled", "r"])
+    place = F.row_number().over(Window.orderBy(F.desc("blended"), "name"))  # one row per column
+    return ranked.select("name", *[F.round(c, 6).alias(c) for c in ("mi_scaled", "r", "blended")], place.alias("place"))
+
+
 @query("M07 M08")
 def granger_tests(t: Tables):
     return sl.granger(monthly_revenue(t, "c_nationkey"), "0")
@@ -180,6 +210,38 @@ def parts(t: Tables):
     return split.where("part = 'train'"), split.where("part = 'test'")
 
 
+SPLIT_SQL = """l AS (SELECT l_orderkey, sum(l_quantity) AS quantity, avg(l_discount) AS discount, count(*)::DOUBLE AS lines FROM lineitem GROUP BY 1),
+    rows_ AS (SELECT o_orderkey, quantity, discount, lines, CAST(quantity > 100 AS INT) AS large,
+      ('0x' || substr(md5('3|' || o_orderkey), 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.8 AS train FROM orders JOIN l ON o_orderkey = l_orderkey)"""
+
+
+@query(
+    "M13 K18",
+    f"""WITH {SPLIT_SQL}, m AS (SELECT avg(quantity) AS my, avg(discount) AS m1, avg(lines) AS m2, var_pop(discount) AS v1, var_pop(lines) AS v2, covar_pop(discount, lines) AS c,
+      covar_pop(discount, quantity) AS c1, covar_pop(lines, quantity) AS c2 FROM rows_ WHERE train),
+    b AS (SELECT *, (c1 * v2 - c2 * c) / (v1 * v2 - c * c) AS b1, (c2 * v1 - c1 * c) / (v1 * v2 - c * c) AS b2 FROM m),
+    r AS (SELECT quantity, quantity - my - b1 * (discount - m1) - b2 * (lines - m2) AS e FROM rows_, b WHERE NOT train)
+    SELECT 'linear' AS model, round(1 - sum(e * e) / (count(*) * var_pop(quantity)), 6) AS r2, round(sqrt(avg(e * e)), 6) AS rmse FROM r""",
+)
+def linear_fit(t: Tables):
+    """Least squares on the training rows by the normal equations, scored on the others."""
+    train, test = parts(t)
+    out = md.regression_report(train, test, ["discount", "lines"], "quantity", ["linear"])
+    return out.select("model", F.round("r2", 6).alias("r2"), F.round("rmse", 6).alias("rmse"))
+
+
+@query(
+    "M13 M14 K18",
+    f"""WITH {SPLIT_SQL} SELECT model, count_if(large = 1) AS positives, count_if(large = 0) AS negatives FROM rows_, (SELECT unnest(['logistic', 'forest', 'boosting', 'bayes']) AS model)
+    WHERE NOT train GROUP BY model""",
+)
+def classified_rows(t: Tables):
+    """The four cells of each model's confusion table make up the test rows of both classes."""
+    train, test = parts(t)
+    out = md.classification_report(train, test, ORDER_FEATURES, "large", ["logistic", "forest", "boosting", "bayes"])
+    return out.select("model", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"))
+
+
 @query("M13 K18")
 def regression_fits(t: Tables):
     train, test = parts(t)
@@ -253,6 +315,21 @@ def event_density(t: Tables):
     return md.gaussian_density(rows, ["x", "y"]).select("event_id", F.round("density", 12).alias("density"))
 
 
+@query(
+    "M19",
+    """WITH e AS (SELECT value AS x, hour(ts)::DOUBLE AS y, CAST(value > 150 AS INT) AS odd FROM events),
+    m AS (SELECT avg(x) AS mx, avg(y) AS my, var_samp(x) AS vx, var_samp(y) AS vy, covar_samp(x, y) AS c FROM e),
+    d AS (SELECT odd, exp(-0.5 * (vy * (x - mx) * (x - mx) - 2 * c * (x - mx) * (y - my) + vx * (y - my) * (y - my)) / (vx * vy - c * c)) / (2 * pi() * sqrt(vx * vy - c * c)) AS p FROM e, m),
+    s AS (SELECT odd, least(floor((p - lo) / ((hi - lo) / 1000)) + 1, 1000) AS step FROM d, (SELECT min(p) AS lo, max(p) AS hi FROM d)),
+    g AS (SELECT step, sum(count(*)) OVER (ORDER BY step) AS marked, sum(sum(odd)) OVER (ORDER BY step) AS tp, sum(sum(odd)) OVER () AS positives FROM s GROUP BY step)
+    SELECT step::INT AS step, round(2 * tp / (marked + positives), 6) AS f1 FROM g WHERE step < 1000 ORDER BY f1 DESC, step LIMIT 1""",
+)
+def density_cut(t: Tables):
+    rows = t.events.select(F.col("value").alias("x"), F.hour("ts").cast("double").alias("y"), (F.col("value") > 150).cast("int").alias("odd"))
+    best = md.best_threshold(md.gaussian_density(rows, ["x", "y"]), "density", "odd")
+    return best.select("step", F.round("f1", 6).alias("f1"))
+
+
 @query("M19")
 def density_threshold(t: Tables):
     rows = t.events.select(F.col("value").alias("x"), F.hour("ts").cast("double").alias("y"), (F.col("value") > 150).cast("int").alias("odd"))
@@ -271,7 +348,14 @@ def return_classes(t: Tables):
     return returns.select("name", "date", cl.right_closed_cut(F.col("ret"), [-0.5, 0.0, 0.5]).alias("label"))
 
 
-@query("M21")
+@query(
+    "M21",
+    """WITH mo AS (SELECT c_nationkey::VARCHAR AS name, date_trunc('month', o_orderdate) AS date FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+    n AS (SELECT name, count(*) AS periods, row_number() OVER (ORDER BY name) AS rank, count(*) OVER () AS names FROM mo GROUP BY name),
+    d AS (SELECT ('0x' || substr(md5('11|' || id), 1, 8))::BIGINT AS draw, row_number() OVER () AS k FROM range(30) AS t(id)),
+    p AS (SELECT name, periods, count(*) AS times FROM d JOIN n ON rank = draw % names + 1 GROUP BY ALL)
+    SELECT name, unnest(range(1, times + 1))::BIGINT AS copy, periods FROM p""",
+)
 def resampled_columns(t: Tables):
     series = monthly_revenue(t, "c_nationkey")
     picks = sl.sample_names(series, 30, 11)

@@ -122,12 +122,35 @@ def series_stationarity(t: Tables):
     return sr.stationarity(monthly_revenue(t)).select("name", F.round("kpss", 6).alias("kpss"))
 
 
+NATION_MONTHS = """mo AS (SELECT c_nationkey::VARCHAR AS name, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS value
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
+
+
 @query("K09 K10")
 def series_order_and_period(t: Tables):
     series = monthly_revenue(t, "c_nationkey")
     return sr.stationarity(series).select("name", "order").join(sr.dominant_period(series), "name")
 
 
+def kpss_sql(source: str, name: str) -> str:
+    """Level-stationarity statistic per series of a table with name, i (from 1) and value."""
+    return f"""e_{name} AS (SELECT name, i, value - avg(value) OVER (PARTITION BY name) AS e, count(*) OVER (PARTITION BY name) AS n FROM {source}),
+    a_{name} AS (SELECT x.name, y.i - x.i AS s, max(x.n) AS n, sum(x.e * y.e) AS c FROM e_{name} x JOIN e_{name} y ON x.name = y.name AND y.i >= x.i AND y.i - x.i <= trunc(3 * sqrt(x.n) / 13) GROUP BY ALL),
+    v_{name} AS (SELECT name, sum(CASE WHEN s = 0 THEN c / n ELSE 2.0::DOUBLE / n * (1 - s / (trunc(3 * sqrt(n) / 13) + 1)) * c END) AS variance FROM a_{name} GROUP BY name),
+    {name} AS (SELECT name, sum(cum * cum) / max(n) / max(n) / max(variance) AS stat FROM (SELECT *, sum(e) OVER (PARTITION BY name ORDER BY i) AS cum FROM e_{name}) JOIN v_{name} USING (name) GROUP BY name)"""
+
+
+@query(
+    "K09",
+    f"""WITH {NATION_MONTHS}, s0 AS (SELECT name, row_number() OVER (PARTITION BY name ORDER BY date) AS i, value FROM mo),
+    s1 AS (SELECT name, i - 1 AS i, d AS value FROM (SELECT *, value - lag(value) OVER (PARTITION BY name ORDER BY i) AS d FROM s0) WHERE i > 1),
+    {kpss_sql('s0', 'k0')}, {kpss_sql('s1', 'k1')}
+    SELECT k0.name, CAST(CASE WHEN k0.stat <= 0.463 THEN 0 WHEN k1.stat <= 0.463 THEN 1 ELSE 2 END AS INT) AS "order" FROM k0 JOIN k1 USING (name)""",
+)
+def series_difference_order(t: Tables):
+    return sr.stationarity(monthly_revenue(t, "c_nationkey")).select("name", "order")
+
+
 @query("K22")
 def series_unit_roots(t: Tables):
     return sr.unit_roots(monthly_revenue(t, "c_nationkey"))
@@ -181,10 +204,6 @@ def price_indicators(t: Tables):
     return out.withColumns({"rsi": F.round("rsi", 6), "williams_r": F.round(F.col("williams_r"), 6), "proc": F.round("proc", 9), "sma": F.round("sma", 4)})
 
 
-NATION_MONTHS = """mo AS (SELECT c_nationkey::VARCHAR AS name, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS value
-    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
-
-
 def ema_sql(source: str, column: str, n: int, name: str) -> str:
     """Recursive steps of an exponential average over the known values of a column."""
     return f"""k_{name} AS (SELECT name, date, {column} AS x, row_number() OVER (PARTITION BY name ORDER BY date) AS i FROM {source} WHERE {column} IS NOT NULL),
@@ -277,7 +296,10 @@ def train_validation(t: Tables):
     return tagged.groupBy("name").agg(F.sum("a").alias("train_rows"), F.sum("b").alias("validation_rows"))
 
 
-@query("K18")
+@query(
+    "K18",
+    """SELECT o_orderkey, o_totalprice, CASE WHEN ('0x' || substr(md5('7|' || o_orderkey), 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.8 THEN 'train' ELSE 'test' END AS part FROM orders""",
+)
 def hashed_split(t: Tables):
     return sr.split_by_hash(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 0.8, 7)
 
