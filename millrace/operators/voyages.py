@@ -117,13 +117,15 @@ def monthly_flows(volumes: DataFrame) -> DataFrame:
     return volumes.groupBy(F.year("arrdate").alias("year"), F.month("arrdate").alias("month"), "priorcountryname", "countryname").agg(*sums)
 
 
-def country_ranking(volumes: DataFrame, country: str, received: bool) -> DataFrame:
-    """Volume, share and count per country, received (draught grew) or sent."""
-    rows = volumes.where(F.col("draught_diff") > 0 if received else F.col("draught_diff") < 0)
-    groups = rows.groupBy(F.col(country).alias("country")).agg(F.count(F.lit(1)).alias("n"), F.sum("bbl_dwt").alias("total"))
-    # one row per country from here on
-    every = Window.partitionBy(F.lit(1))
-    return groups.withColumn("share", F.col("total") / F.sum("total").over(every)).orderBy(F.desc("total"))
+def country_rankings(volumes: DataFrame) -> DataFrame:
+    """Count, volume and share of every country, received and sent, from one pass: ``(side, country, n, total, share)``."""
+    sides = F.array(
+        F.struct(F.lit("received").alias("side"), F.col("countryname").alias("country"), (F.col("draught_diff") > 0).alias("moved")),
+        F.struct(F.lit("sent").alias("side"), F.col("priorcountryname").alias("country"), (F.col("draught_diff") < 0).alias("moved")),
+    )
+    rows = volumes.select("bbl_dwt", F.inline(sides)).where("moved")
+    groups = rows.groupBy("side", "country").agg(F.count(F.lit(1)).alias("n"), F.sum("bbl_dwt").alias("total"))
+    return groups.withColumn("share", F.col("total") / F.sum("total").over(Window.partitionBy("side")))  # one row per country
 
 
 def against_reported(estimates: DataFrame, reported: DataFrame, keys: Sequence[str]) -> DataFrame:

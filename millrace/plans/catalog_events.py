@@ -159,10 +159,8 @@ def monthly_country_flows(t: Tables):
     SELECT side, country, count(*) AS n, round(sum(bbl_dwt), 3) AS total, round(sum(bbl_dwt) / sum(sum(bbl_dwt)) OVER (PARTITION BY side), 9) AS share FROM r GROUP BY side, country""",
 )
 def country_rankings(t: Tables):
-    moved = volumes(t)
-    received = vg.country_ranking(moved, "countryname", True).withColumn("side", F.lit("received"))
-    sent = vg.country_ranking(moved, "priorcountryname", False).withColumn("side", F.lit("sent"))
-    return received.unionByName(sent).select("side", "country", "n", F.round("total", 3).alias("total"), F.round("share", 9).alias("share"))
+    out = vg.country_rankings(volumes(t))
+    return out.select("side", "country", "n", F.round("total", 3).alias("total"), F.round("share", 9).alias("share"))
 
 
 @query(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import re
 import zipfile
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.members import read_archive_lines, read_sheet_cells
+
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
     """``(path, modificationTime, length)`` of matching files; contents are not read."""
@@ -25,14 +26,15 @@ def newest_file(spark: SparkSession, folder: str, pattern: str = "*") -> DataFra
 
 
 def read_zip_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines of every member of the zip archives under ``path``."""
-    return unzip_lines(spark.read.format("binaryFile").load(path).select("path", "content"))
+    """Text lines of every member of the zip archives under ``path``, a task per member."""
+    return read_archive_lines(spark, path)
 
 
 def unzip_lines(archives: DataFrame) -> DataFrame:
     """``(path, content)`` archives to ``(archive, member, line)`` rows.
 
-    Zip is not splittable, so an archive is the unit of work; its members are streamed line by line.
+    For archives held in a column: an archive is the unit of work, its members are streamed line by line. Archives in
+    files are read by member, see :func:`read_zip_lines`.
     """
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -53,64 +55,13 @@ def unzip_lines(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInPandas(unpack, "archive string, member string, line string")
 
 
-def _column_index(reference: str) -> int:
-    index = 0
-    for letter in re.match(r"[A-Z]+", reference).group(0):
-        index = index * 26 + ord(letter) - 64
-    return index - 1
-
-
-# fixed value: the attribute that links a sheet to its part of the workbook
-SHEET_LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
-
-
 def read_workbook_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Cells ``(file, sheet, row, col, value)`` of many ``.xlsx`` workbooks, a workbook per task.
+    """Cells ``(file, sheet, row, col, value)`` of many ``.xlsx`` workbooks, a task per sheet.
 
     Rows and columns count from zero, values are text. ``reshape.cells_to_rows`` and
     ``reshape.cell_blocks`` turn the cells into tables.
     """
-    books = spark.read.format("binaryFile").load(path).select("path", "content")
-
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from xml.etree import ElementTree as ET
-
-        def local(node) -> str:
-            return node.tag.rsplit("}", 1)[-1]
-
-        def text_of(node) -> str:
-            return "".join(t.text or "" for t in node.iter() if local(t) == "t")
-
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as book:
-                    shared = []
-                    if "xl/sharedStrings.xml" in book.namelist():
-                        shared = [text_of(n) for n in ET.fromstring(book.read("xl/sharedStrings.xml")) if local(n) == "si"]
-                    # a sheet's file is named by its relationship, not by its place in the list
-                    links = {n.get("Id"): n.get("Target") for n in ET.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
-                    sheets = [(n.get("name"), links[n.get(SHEET_LINK)]) for n in ET.fromstring(book.read("xl/workbook.xml")).iter() if local(n) == "sheet"]
-                    for sheet, part in sheets:
-                        out = []
-                        with book.open(part[1:] if part.startswith("/") else f"xl/{part}") as handle:
-                            for _, node in ET.iterparse(handle):
-                                if local(node) != "c":
-                                    continue
-                                raw = next((v.text for v in node if local(v) == "v"), None)
-                                if node.get("t") == "s" and raw is not None:
-                                    raw = shared[int(raw)]
-                                elif node.get("t") == "inlineStr":
-                                    raw = text_of(node)
-                                if raw is not None:
-                                    at = node.get("r")
-                                    out.append((name, sheet, int(re.search(r"\d+", at).group(0)) - 1, _column_index(at), raw))
-                                node.clear()
-                                if len(out) == 10_000:
-                                    yield pd.DataFrame(out, columns=["file", "sheet", "row", "col", "value"])
-                                    out = []
-                        yield pd.DataFrame(out, columns=["file", "sheet", "row", "col", "value"])
-
-    return books.mapInPandas(cells, "file string, sheet string, row int, col int, value string")
+    return read_sheet_cells(spark, path)
 
 
 def excel_date(col):

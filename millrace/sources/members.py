@@ -7,6 +7,7 @@ are not built. Paths go through Arrow's file systems, so executors need no local
 
 from __future__ import annotations
 
+import fnmatch
 import io
 import re
 import zipfile
@@ -40,9 +41,15 @@ def _system(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _listed(path: str, ending: str) -> list[str]:
-    """The file, or the files of the folder whose names end so."""
+    """The file, the files that match a pattern in the last part of the path, or those of a folder whose names end so."""
     system, inner = _system(path)
+    folder, _, pattern = inner.rpartition("/")
+    if any(c in pattern for c in "*?["):
+        found = system.get_file_info(pafs.FileSelector(folder))
+        return sorted(x.path for x in found if x.type == pafs.FileType.File and fnmatch.fnmatch(x.base_name, pattern))
     info = system.get_file_info(inner)
+    if info.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(path)
     if info.type != pafs.FileType.Directory:
         return [inner]
     found = system.get_file_info(pafs.FileSelector(inner, recursive=True))
