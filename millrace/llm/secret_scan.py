@@ -68,13 +68,24 @@ def before(values: Column, zero: Column, combine: Callable[[Column, Column], Col
 
 def pattern_spans(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
     """Leftmost non-overlapping matches as spans in code points and bytes; those whose group is shorter than ``least`` go."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
 
-    def sums(length: Callable[[Column], Column]) -> Column:
-        """Where each gap begins."""
-        return before(F.zip_with(gaps, whole, lambda gap, match: length(gap) + length(match)), F.lit(0), lambda a, b: a + b)
+    def matches(of: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(of))
+
+    def located(found: Column) -> Column:
+        whole = found["whole"]
+        gaps = F.slice(found["pieces"], F.lit(1), F.size(whole))
+
+        def begins(length: Callable[[Column], Column]) -> Column:
+            """Where each gap begins."""
+            return before(F.zip_with(gaps, whole, lambda gap, match: length(gap) + length(match)), F.lit(0), lambda a, b: a + b)
+
+        return F.transform(
+            F.arrays_zip(
+                gaps.alias("gap"), whole.alias("whole"), (found["value"] if group else whole).alias("value"), begins(F.length).alias("at"), begins(F.octet_length).alias("byte")
+            ),
+            span,
+        )
 
     def span(part: Column) -> Column:
         start, first = part["at"] + F.length(part["gap"]), part["byte"] + F.octet_length(part["gap"])
@@ -83,9 +94,9 @@ def pattern_spans(text: Column, pattern: str, kind: str, group: int = 0, least:
             part["value"].alias("value"), first.alias("first_byte"), (first + F.octet_length(part["whole"])).alias("end_byte"),
         )
 
-    parts = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), value.alias("value"), sums(F.length).alias("at"), sums(F.octet_length).alias("byte"))
-    found = F.transform(parts, span)
-    return F.when(text.rlike(pattern), F.filter(found, lambda s: F.length(s["value"]) >= least)).otherwise(F.array().cast(SPAN))
+    pieces = F.struct(F.split(text, pattern, -1).alias("pieces"), matches(0).alias("whole"), *([matches(group).alias("value")] if group else []))
+    found = F.filter(named(pieces, located), lambda s: F.length(s["value"]) >= least)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
 
 
 def base_spans(text: Column) -> Column:
