@@ -72,7 +72,8 @@ def classification_report(train: DataFrame, test: DataFrame, features: Sequence[
     out = None
     for name, estimator in classifiers(models, trees, rounds, depth).items():
         scored = estimator.fit(fit_on).transform(score_on)
-        auc = float(BinaryClassificationEvaluator().evaluate(scored))
+        # by probability: the raw prediction of some models is not comparable between rows
+        auc = float(BinaryClassificationEvaluator(rawPredictionCol="probability").evaluate(scored))
         row = confusion(scored).select(F.lit(name).alias("model"), F.lit(auc).alias("auc"), "*")
         out = row if out is None else out.unionByName(row)
     return out
