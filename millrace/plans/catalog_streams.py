@@ -148,6 +148,35 @@ def streamed_sessions(t: Tables):
     )
 
 
+@query(
+    "I03 W14 G07",
+    """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 4 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
+    s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+    SELECT user_id::VARCHAR AS user_id, date_trunc('millisecond', min(ts)) AS session_start, date_trunc('millisecond', max(ts)) AS last_step, count(*) AS steps FROM s GROUP BY user_id, sid""",
+)
+def corrected_sessions(t: Tables):
+    """Events whose older half lands last; sessions are state for one day, later rows are joined to theirs afterwards."""
+    out, marks, source = (scratch_path(t.spark, n) for n in ("stretches", "marks", "halves"))
+    rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    for rest in (1, 0):
+        rows.where(F.dayofmonth("ts") % 2 == rest).repartitionByRange(2, "ts").write.mode("append").parquet(source)
+    # a last row of each user, three days beyond all events, closes what is open
+    latest = rows.agg(F.max("ts")).first()[0]
+    ends = rows.select("user_id").distinct().select(
+        F.lit(-1).cast("bigint").alias("event_id"), (F.lit(latest) + F.expr("INTERVAL 3 DAYS")).cast("timestamp").alias("ts"), "user_id", F.lit("end").alias("event_type"), F.lit(None).cast("double").alias("value")
+    )
+    gap = 4 * sf.HOUR
+    with sf.state_store(t.spark):
+        for part in (None, ends):
+            if part is not None:
+                part.write.mode("append").parquet(source)
+            found = sf.session_stretches(event_stream(t, source), "ts", "user_id", gap, 24 * sf.HOUR, F.col("event_id") >= 0)
+            inc.write_updates(found, out, marks, mode="append")
+    sessions = sf.whole_sessions(t.spark.read.parquet(out), gap)
+    start, last = (F.timestamp_millis(c).cast("timestamp_ntz") for c in ("first", "last"))
+    return sessions.select(F.col("key").alias("user_id"), start.alias("session_start"), last.alias("last_step"), "steps")
+
+
 @query("I03 W01", "SELECT DISTINCT event_id, event_type FROM events")
 def streamed_first_of_key(t: Tables):
     """Every event lands twice within the watermark and is kept once."""

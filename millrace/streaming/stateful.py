@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -102,3 +102,68 @@ def summed_hours(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key", F.timestamp_millis("hour").cast("timestamp_ntz").alias("hour")).agg(
         F.sum("n").alias("n"), (F.sum("cents") / 100).alias("total"), F.sum(F.when(F.col("kind") == "late", F.col("n")).otherwise(0)).alias("late")
     )
+
+
+def joined_stretches(stretches: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
+    """(first, last, steps) put together where less than ``gap`` lies between one's last and the next one's first."""
+    out: list[tuple[int, int, int]] = []
+    for first, last, steps in sorted(stretches):
+        if out and first - out[-1][1] < gap:
+            out[-1] = out[-1][0], max(out[-1][1], last), out[-1][2] + steps
+        else:
+            out.append((first, last, steps))
+    return out
+
+
+class GapSessions(StatefulProcessor):
+    """Sessions of one key, ended by a gap. Only sessions that a row within ``delay`` of the newest one could still reach are
+    state; the others are emitted. A later row makes a stretch of its own, emitted at once."""
+
+    def __init__(self, gap: int, delay: int):
+        self.gap, self.delay = gap, delay
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getMapState("open", "first long", "last long, steps long")
+        self.newest = handle.getValueState("newest", "at long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        newest = self.newest.get()[0] if self.newest.exists() else -(1 << 62)
+        held = [(first[0], *tuple(rest)) for first, rest in self.open.iterator()]
+        for first, _, _ in held:
+            self.open.removeKey((first,))
+        found = list(held)
+        for pdf in rows:
+            newest = max(newest, int(pdf["at"].max()))
+            counted = pdf[pdf["counts"]]
+            found += [(at, at, 1) for at in counted["at"].tolist()]
+        out = []
+        for first, last, steps in joined_stretches(found, self.gap):
+            if last + self.gap <= newest - self.delay:
+                out.append((*key, first, last, steps))
+            else:
+                self.open.updateValue((first,), (last, steps))
+        self.newest.update((newest,))
+        yield pd.DataFrame(out, columns=["key", "first", "last", "steps"])
+
+    def close(self) -> None:
+        pass
+
+
+def session_stretches(events: DataFrame, ts: str, key: str, gap: int, delay: int, counts: Column | None = None) -> DataFrame:
+    """Stretches of sessions ``(key, first, last, steps)`` in milliseconds; :func:`whole_sessions` puts them together.
+
+    Rows for which ``counts`` is false only move the key's time on.
+    """
+    flag = F.lit(True) if counts is None else counts
+    rows = events.select(F.col(key).cast("string").alias("key"), F.unix_millis(ts).alias("at"), flag.alias("counts"))
+    schema = "key string, first long, last long, steps long"
+    return rows.groupBy("key").transformWithStateInPandas(GapSessions(gap, delay), schema, "Append", "None")
+
+
+def whole_sessions(stretches: DataFrame, gap: int) -> DataFrame:
+    """Sessions ``(key, first, last, steps)`` from stored stretches: those of late rows are joined to what they belong to."""
+    order = Window.partitionBy("key").orderBy("first", "last")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("first") - reached < gap, 0).otherwise(1)
+    numbered = stretches.withColumn("_fresh", fresh).withColumn("_no", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.groupBy("key", "_no").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("steps").alias("steps")).drop("_no")

@@ -94,6 +94,38 @@ def test_late_events_are_corrections(spark, tmp_path):
     assert stored.where("kind = 'closed'").groupBy("key", "hour").count().where("count > 1").count() == 0
 
 
+def test_sessions_with_late_rows(spark, tmp_path):
+    rng = random.Random(5)
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(minutes=rng.randint(0, 60 * 24 * 8)), rng.choice(["u", "v"]), 1) for i in range(250)]
+    order = rows[:]
+    rng.shuffle(order)
+    end = [(-1, start + timedelta(days=30), k, None) for k in ("u", "v")]
+    gap = 2 * sf.HOUR
+    with sf.state_store(spark):
+        for part in (order[:100], order[100:], end):
+            spark.createDataFrame(part, EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+            found = sf.session_stretches(stream, "ts", "kind", gap, 5 * sf.HOUR, F.col("event_id") >= 0)
+            inc.write_updates(found, str(tmp_path / "out"), str(tmp_path / "marks"), mode="append")
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    got = sorted((r["key"], r["first"], r["last"], r["steps"]) for r in sf.whole_sessions(stored, gap).collect())
+    expected = []
+    for key in ("u", "v"):
+        times = [int((ts - datetime(1970, 1, 1)).total_seconds() * 1000) for _, ts, k, _ in rows if k == key]
+        expected += [(key, *s) for s in sf.joined_stretches([(t, t, 1) for t in times], gap)]
+    assert got == sorted(expected) and stored.count() > len(expected)
+
+
+def test_open_sessions_are_bounded():
+    processor, state, newest = sf.GapSessions(gap=10, delay=30), _State(), _State()
+    handle = type("Handle", (), {"getMapState": lambda self, *_: state, "getValueState": lambda self, *_: newest})()
+    processor.init(handle)
+    for at in range(0, 3000, 15):
+        next(processor.handleInputRows(("k",), iter([pd.DataFrame({"at": [at], "counts": [True]})]), None))
+        assert len(state.map) <= 4
+
+
 class _State:
     """What the processor asks of its state, in memory."""
 
