@@ -1,8 +1,10 @@
 """Layout-aware text of HTML pages: a tree builder with implied tags, visibility rules and a block renderer.
 
-Shown are also the text elements of inline SVG, a line each, and the values of inputs that are buttons. Left out are
-rules of style sheets (only ``style`` and ``hidden`` attributes hide), generated content, the values of other
-inputs, and the names that a browser gives to buttons without a value.
+Shown are also the text elements of inline SVG, a line each, and the values of inputs that are buttons. ``hidden`` and ``style``
+attributes hide, and so do the ``display`` and ``visibility`` rules of the page's own style elements whose selectors are
+made of tags, classes, ids, descendants and children. Left out are rules with other selectors or under media
+conditions, linked style sheets, generated content, the values of other inputs, and the names that a browser gives
+to buttons without a value.
 """
 
 from __future__ import annotations
@@ -135,6 +137,119 @@ def parse(html: str) -> Node:
     return builder.root
 
 
+# style sheets
+
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
+_COMPOUND = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)", re.I)
+
+
+def _declared(text: str) -> list[tuple[str, str, bool]]:
+    return [(m[1].lower(), m[2].lower(), bool(m[3])) for m in _DECLARED.finditer(text)]
+
+
+def _selector(text: str) -> list[tuple[str, str, frozenset[str], frozenset[str]]] | None:
+    """Compounds (combinator to the one before, tag, ids, classes) from left to right; None for other selectors."""
+    out, combinator = [], ""
+    for part in re.sub(r"\s*>\s*", " > ", text.strip()).split():
+        if part == ">":
+            combinator = ">"
+            continue
+        found = _COMPOUND.fullmatch(part)
+        if not found or not part:
+            return None
+        names = re.findall(r"([.#])([\w-]+)", found[2])
+        tag = (found[1] or "*").lower()
+        out.append((combinator or " ", tag, frozenset(n for k, n in names if k == "#"), frozenset(n for k, n in names if k == ".")))
+        combinator = ""
+    return out if out and not combinator else None
+
+
+class StyleSheet:
+    """Rules on display and visibility, by what their last compound needs."""
+
+    def __init__(self):
+        self.by_name: dict[str, list] = {}
+        self.rules = 0
+
+    def read(self, text: str) -> None:
+        text, at = _COMMENT.sub(" ", text), 0
+        while True:
+            begin = text.find("{", at)
+            if begin < 0:
+                return
+            head, depth, stop = text[at:begin].rpartition(";")[2].strip(), 1, begin + 1
+            while stop < len(text) and depth:
+                depth += {"{": 1, "}": -1}.get(text[stop], 0)
+                stop += 1
+            body = text[begin + 1 : stop - 1 if not depth else stop]
+            if head.startswith("@"):
+                if re.fullmatch(r"@media\s+(?:only\s+)?(?:all|screen)", head, re.I):
+                    self.read(body)
+            else:
+                self._add(head, _declared(body))
+            at = stop
+
+    def _add(self, head: str, declared: list[tuple[str, str, bool]]) -> None:
+        for text in head.split(",") if declared else ():
+            compounds = _selector(text)
+            if compounds is None:
+                continue
+            weight = sum(len(c[2]) for c in compounds), sum(len(c[3]) for c in compounds), sum(c[1] != "*" for c in compounds)
+            _, tag, ids, classes = compounds[-1]
+            name = f"#{min(ids)}" if ids else f".{min(classes)}" if classes else tag
+            self.rules += 1
+            self.by_name.setdefault(name, []).append((weight, self.rules, compounds, declared))
+
+    def apply(self, root: Node) -> None:
+        """Write what wins for each element into its style attribute."""
+        waiting = [(root, ())]
+        while waiting:
+            node, above = waiting.pop()
+            own = (*above, node)
+            waiting += [(c, own) for c in node.children if isinstance(c, Node)]
+            classes, ident = node.attributes.get("class", "").split(), node.attributes.get("id", "")
+            winners: dict[str, tuple] = {}
+            for name in ("*", node.tag, *{f".{c}" for c in classes}, f"#{ident}"):
+                for weight, order, compounds, declared in self.by_name.get(name, ()):
+                    if _matches(compounds, own):
+                        for what, value, important in declared:
+                            winners[what] = max(winners.get(what, ((),)), ((important, False, weight, order), value))
+            if winners:
+                for what, value, important in _declared(node.attributes.get("style", "")):
+                    winners[what] = max(winners.get(what, ((),)), ((important, True, (), 0), value))
+                node.attributes["style"] = ";".join(f"{what}:{value}" for what, (_, value) in winners.items())
+
+
+def _meets(compound: tuple, node: Node) -> bool:
+    _, tag, ids, classes = compound
+    if tag not in ("*", node.tag) or not ids <= {node.attributes.get("id", "")}:
+        return False
+    return not classes or classes <= set(node.attributes.get("class", "").split())
+
+
+def _matches(compounds: list, path: tuple) -> bool:
+    """Whether the last element of a path matches a selector."""
+    if not _meets(compounds[-1], path[-1]):
+        return False
+    if len(compounds) == 1:
+        return True
+    rest = path[:-1]
+    if compounds[-1][0] == ">":
+        return bool(rest) and _matches(compounds[:-1], rest)
+    return any(_matches(compounds[:-1], rest[: i + 1]) for i in range(len(rest)))
+
+
+def _style_texts(root: Node) -> list[str]:
+    found, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        if node.tag == "style" and re.fullmatch(r"|all|screen", node.attributes.get("media", "").strip().lower()):
+            found.append("".join(c for c in node.children if isinstance(c, str)))
+        waiting += [c for c in reversed(node.children) if isinstance(c, Node)]
+    return found
+
+
 class _Page:
     """Lines of one block context."""
 
@@ -398,6 +513,13 @@ def _table(node: Node, visible: bool, kept: bool) -> list[str]:
 def page_text(html: str | None) -> str:
     """All visible text of a page; empty for a missing or empty one."""
     root = parse(html or "")
+    if html and re.search(r"<style", html, re.I):
+        texts = [x for x in _style_texts(root) if re.search(r"display|visibility", x, re.I)]
+        if texts:
+            sheet = StyleSheet()
+            for text in texts:
+                sheet.read(text)
+            sheet.apply(root)
     shown, visible = _shown(root, True)
     return "\n".join(_lines(root, visible, False)) if shown else ""
 

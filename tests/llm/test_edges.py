@@ -68,6 +68,16 @@ def test_html_of_odd_tables(spark):
     assert {r["page_id"]: r["text"] for r in whole.collect()} == plain
 
 
+def test_rules_of_style_elements():
+    css = """/* .all { display:none } */ .ad, #menu li.off { display: none } p { margin: 0 } div > span { visibility:hidden } .ad.shown { display: block }
+    @media print { .body { display: none } } @media screen { .small { DISPLAY:none } } a:hover { display: none } .last { display: none !important } b { display: none; color: red }"""
+    page = f"""<head><style>{css}</style><style media=print>p {{ display: none }}</style></head><body><p class="body x">kept</p><p class=ad>no</p><p class='ad shown'>yes</p>
+    <ul id=menu><li class=off>no</li><li>item</li></ul><ul><li class=off>other</li></ul><div>text <span>no</span> <i><span>deep</span></i></div>
+    <p class=small>no</p><a>link</a><p class=last style='display:block'>no</p><p><b style='display:inline'>bold</b> <b>no</b></p><style>p.late {{display:none}}</style><p class=late>no</p></body>"""
+    assert html_layout.page_text(page) == "kept\n\nyes\n\n- item\n\n- other\n\ntext deep\nlink\n\nbold"
+    assert html_layout.page_text("<style>.a{display:none</style><p class=a>x") == "" and html_layout.page_text("<style>{}{ } .a } {display:none}</style><p class=a>x") == "x"
+
+
 # ranges of ids, token files, fingerprints
 
 
