@@ -23,6 +23,8 @@ from millrace.operators.ordered import add_group_stats, attach_row, global_order
 from millrace.operators.ranks import exact_ranks
 from millrace.operators.series import difference_order, md5_draw
 
+#: Columns, the target among them, up to which products are plain aggregates.
+FEW = 12
 #: Numbers of block matrices that a task holds before it hands them on; bounds memory, never results.
 HELD = 1 << 25
 
@@ -205,13 +207,18 @@ def collinearity(df: DataFrame, columns: Sequence[str]) -> list[float]:
 def block_sums(df: DataFrame, target: str, features: Sequence[str], blocks: int, seed: int = 0) -> DataFrame:
     """Sums of products of (1, target, features) per hash block of rows: ``(block, sums array)``.
 
-    One pass; every partition multiplies its rows as matrices and gives one row per block and column.
-    Later resampling and cross-validation add blocks up, so rows are read once whatever the number of rounds.
+    One pass. With few columns the products are plain aggregates; with many every partition multiplies its rows as
+    matrices and gives one row per block and column. Later resampling and cross-validation add blocks up, so rows are
+    read once whatever the number of rounds.
     """
     names = [target, *features]
     size = len(names) + 1
     block = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(blocks)).cast("int").alias("block")
     rows = df.select(block, *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(names)]).na.drop("any")
+    if len(names) <= FEW:
+        factors = [F.lit(1.0), *[F.col(f"v{i}") for i in range(len(names))]]
+        products = [F.sum(factors[i] * factors[j]) for i in range(size) for j in range(i, size)]
+        return rows.groupBy("block").agg(F.array(*products).alias("sums"))
 
     def handed_on(held):
         for b, matrix in held.items():
@@ -326,8 +333,14 @@ def lasso(df: DataFrame, target: str, features: Sequence[str], folds: int = 10,
                 score = (clipped - clipped.min()) / span if span else np.zeros(len(names))
                 yield pd.DataFrame({"name": names, "coefficient": coef, "score": score, "converged": converged})
 
-    sums = gathered_sums(block_sums(df, target, features, folds, seed))
-    out = sums.mapInPandas(fit, "name string, coefficient double, score double, converged boolean")
+    by_block = block_sums(df, target, features, folds, seed)
+    if len(names) < FEW:  # a few numbers per fold, which need no task of their own
+        sums = [r["sums"] for r in sorted(by_block.collect(), key=lambda r: r["block"])]
+        found = list(fit([pd.DataFrame({"all": [sums]})])) if sums else []
+        rows = [tuple(r) for pdf in found for r in pdf.itertuples(index=False)]
+        out = df.sparkSession.createDataFrame(rows, "name string, coefficient double, score double, converged boolean")
+        return out.where(F.col("coefficient") != 0) if nonzero else out
+    out = gathered_sums(by_block).mapInPandas(fit, "name string, coefficient double, score double, converged boolean")
     return out.where(F.col("coefficient") != 0) if nonzero else out
 
 
