@@ -417,17 +417,37 @@ def lag_criteria(x: np.ndarray, y: np.ndarray, most: int) -> tuple[int, int]:
     return int(np.argmin(aic)) + 1, int(np.argmin(bic)) + 1
 
 
-def granger_p(cause: np.ndarray, effect: np.ndarray, lags: int) -> float:
-    """p-value of the F test that lags of ``cause`` add nothing to lags of ``effect``."""
+def granger_f(cause: np.ndarray, effect: np.ndarray, lags: int) -> tuple[float, int]:
+    """F statistic, and its spare degrees, of the test that lags of ``cause`` add nothing to lags of ``effect``."""
     target = effect[lags:]
     n = len(target)
     small = np.column_stack([np.ones(n), lag_matrix(effect, lags, lags)])
     large = np.column_stack([small, lag_matrix(cause, lags, lags)])
     spare = n - large.shape[1]
     if spare <= 0:
-        return float("nan")
+        return float("nan"), spare
     rss0, rss1 = ols(target, small)[1], ols(target, large)[1]
-    return f_tail((rss0 - rss1) / lags / (rss1 / spare), lags, spare) if rss1 > 0 else float("nan")
+    return ((rss0 - rss1) / lags / (rss1 / spare) if rss1 > 0 else float("nan")), spare
+
+
+def granger_p(cause: np.ndarray, effect: np.ndarray, lags: int) -> float:
+    """p-value of the F test that lags of ``cause`` add nothing to lags of ``effect``."""
+    statistic, spare = granger_f(cause, effect, lags)
+    return float("nan") if math.isnan(statistic) else f_tail(statistic, lags, spare)
+
+
+def granger_statistics(series: DataFrame, target: str, lags: int = 1, differences: int = 1) -> DataFrame:
+    """F statistics in both directions per predictor, for given lags and differences."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date").dropna()
+        x, y = (np.diff(pdf[c].to_numpy(float), differences) for c in "xy")
+        names = ["name", "causes_target", "caused_by_target"]
+        if len(y) <= 2 * lags + 1:
+            return pd.DataFrame([(pdf["name"].iloc[0] if len(pdf) else None, None, None)], columns=names)
+        return pd.DataFrame([(pdf["name"].iloc[0], granger_f(x, y, lags)[0], granger_f(y, x, lags)[0])], columns=names)
+
+    return with_target(series, target).groupBy("name").applyInPandas(one, "name string, causes_target double, caused_by_target double")
 
 
 def granger(series: DataFrame, target: str, most: int = 12) -> DataFrame:

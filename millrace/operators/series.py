@@ -234,6 +234,18 @@ def adf_statistics(x: np.ndarray, lags: int, drift: bool) -> tuple[float, float]
     return tau, float((rss0 - rss) / 2 / (rss / df))
 
 
+def unit_root_statistics(series: DataFrame, lags: int = 0) -> DataFrame:
+    """The statistics themselves, phi1 of the level and tau of the first difference, with at most ``lags`` lags."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.sort_values("date")["value"].dropna().to_numpy(float)
+        known = len(x) >= 3 * lags + 5 and np.ptp(x) > 0
+        phi1, tau = (adf_statistics(x, lags, True)[1], adf_statistics(np.diff(x), lags, False)[0]) if known else (None, None)
+        return pd.DataFrame([(pdf["name"].iloc[0], phi1, tau)], columns=["name", "phi1", "tau"])
+
+    return series.select("name", "date", "value").groupBy("name").applyInPandas(one, "name string, phi1 double, tau double")
+
+
 def unit_roots(series: DataFrame, lags: int = 12) -> DataFrame:
     """Level (with drift, phi1) and first difference (tau, one-sided) with verdicts."""
     schema = "name string, level_stat double, level_verdict string, diff_stat double, diff_verdict string"

@@ -162,6 +162,29 @@ def blended_information(t: Tables):
     return ranked.select("name", *[F.round(c, 6).alias(c) for c in ("mi_scaled", "r", "blended")], place.alias("place"))
 
 
+def granger_sql(effect: str, cause: str) -> str:
+    """F statistic of one lag of a cause beside one lag of an effect, from moments."""
+    e, e1, c1 = effect, f"{effect}1", f"{cause}1"
+    small = f"var_pop({e}) - covar_pop({e}, {e1}) ** 2 / var_pop({e1})"
+    det = f"(var_pop({e1}) * var_pop({c1}) - covar_pop({e1}, {c1}) ** 2)"
+    fitted = f"(covar_pop({e}, {e1}) ** 2 * var_pop({c1}) + covar_pop({e}, {c1}) ** 2 * var_pop({e1}) - 2 * covar_pop({e}, {e1}) * covar_pop({e}, {c1}) * covar_pop({e1}, {c1})) / {det}"
+    return f"round((({small}) - (var_pop({e}) - {fitted})) / ((var_pop({e}) - {fitted}) / (count(*) - 3)), 6)"
+
+
+@query(
+    "M08",
+    f"""WITH mo AS (SELECT c_nationkey::VARCHAR AS name, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS value
+      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+    j AS (SELECT a.name, a.date, a.value AS x, b.value AS y FROM mo a JOIN mo b ON a.date = b.date AND b.name = '0' WHERE a.name <> '0'),
+    d AS (SELECT name, date, x - lag(x) OVER w AS x, y - lag(y) OVER w AS y, row_number() OVER w AS i FROM j WINDOW w AS (PARTITION BY name ORDER BY date)),
+    g AS (SELECT name, x, y, lag(x) OVER w AS x1, lag(y) OVER w AS y1, i FROM d WHERE i > 1 WINDOW w AS (PARTITION BY name ORDER BY date))
+    SELECT name, {granger_sql('y', 'x')} AS causes_target, {granger_sql('x', 'y')} AS caused_by_target FROM g WHERE i > 2 GROUP BY name""",
+)
+def granger_of_one_lag(t: Tables):
+    out = sl.granger_statistics(monthly_revenue(t, "c_nationkey"), "0")
+    return out.select("name", *[F.round(c, 6).alias(c) for c in ("causes_target", "caused_by_target")])
+
+
 @query("M07 M08")
 def granger_tests(t: Tables):
     return sl.granger(monthly_revenue(t, "c_nationkey"), "0")

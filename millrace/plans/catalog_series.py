@@ -151,6 +151,20 @@ def series_difference_order(t: Tables):
     return sr.stationarity(monthly_revenue(t, "c_nationkey")).select("name", "order")
 
 
+@query(
+    "K22",
+    f"""WITH {NATION_MONTHS}, x AS (SELECT name, date, value AS x, value - lag(value) OVER w AS d, lag(value) OVER w AS x1, row_number() OVER w AS i FROM mo WINDOW w AS (PARTITION BY name ORDER BY date)),
+    l AS (SELECT name, count(*) AS n, sum(d * d) AS dd, var_pop(d) AS vd, covar_pop(d, x1) AS c, var_pop(x1) AS v FROM x WHERE i > 1 GROUP BY name),
+    p AS (SELECT name, (dd - n * (vd - c * c / v)) / 2 / (n * (vd - c * c / v) / (n - 2)) AS phi1 FROM l),
+    y AS (SELECT name, d - lag(d) OVER w AS e, lag(d) OVER w AS d1, i FROM x WHERE i > 1 WINDOW w AS (PARTITION BY name ORDER BY date)),
+    t AS (SELECT name, count(*) AS n, sum(e * d1) AS ed, sum(d1 * d1) AS dd, sum(e * e) AS ee FROM y WHERE i > 2 GROUP BY name)
+    SELECT p.name, round(phi1, 6) AS phi1, round(ed / dd / sqrt((ee - ed * ed / dd) / (n - 1) / dd), 6) AS tau FROM p JOIN t USING (name)""",
+)
+def unit_root_levels(t: Tables):
+    out = sr.unit_root_statistics(monthly_revenue(t, "c_nationkey"))
+    return out.select("name", F.round("phi1", 6).alias("phi1"), F.round("tau", 6).alias("tau"))
+
+
 @query("K22")
 def series_unit_roots(t: Tables):
     return sr.unit_roots(monthly_revenue(t, "c_nationkey"))
