@@ -16,6 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.sampling import draw_of, drawn_below, wanted_share
 from millrace.llm.words import begin, widened
 
 UNKNOWN = "und"
@@ -56,21 +57,30 @@ def fit(
 
     The sample is bounded: of every language the ``documents`` texts with the least md5(doc_id), and of each
     ``pieces`` stretches of ``chars`` characters at even distances from its beginning to its end (the whole text, if
-    that is shorter), in lower case. All these documents share the ``dictionary_bytes`` evenly. The rank is
-    limited before rows are shuffled, so the language of most rows is no larger task than any other.
+    that is shorter), in lower case. All these documents share the ``dictionary_bytes`` evenly. Rows whose digest
+    is too large for the sample are left out before anything is shuffled, so a language has about twice ``documents`` rows in
+    its task, however many rows or tasks the table has.
     """
     usable = labelled.filter("lang is not null and length(text) > 0")
-    draw = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    counts = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
+    shares = {lang: wanted_share(count, documents) for lang, count in counts.items()}
     spare = F.length("text") - chars
     stretches = [F.substring(F.col("text"), F.floor(spare * (i / max(1, pieces - 1))).cast("int") + 1, F.lit(chars)) for i in range(pieces)]
     sampled = F.when(F.length("text") <= pieces * chars, F.array("text")).otherwise(F.array(*stretches))
-    rows = usable.select("lang", sampled.alias("texts"), draw.alias("draw"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "texts"))
-    sample = rows.withColumn("place", place).filter(F.col("place") <= documents)
     texts: dict[str, list[tuple]] = {}
-    for row in sample.collect():
-        texts.setdefault(row["lang"], []).append((row["place"], [x.lower().encode() for x in row["texts"]]))
-    counts = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
+    short = set(shares)
+    while short:
+        # only rows that can be among the least drawn leave their task
+        share = F.try_element_at(F.create_map(*[F.lit(x) for lang in sorted(short) for x in (lang, shares[lang])]), F.col("lang"))
+        near = usable.withColumn("draw", draw_of()).filter(drawn_below(F.col("draw"), share) | (share >= 1))
+        sample = near.select("lang", sampled.alias("texts"), "draw").withColumn("place", place).filter(F.col("place") <= documents)
+        for lang in short:
+            texts[lang] = []
+        for row in sample.collect():
+            texts[row["lang"]].append((row["place"], [x.lower().encode() for x in row["texts"]]))
+        short = {lang for lang in short if len(texts[lang]) < min(documents, counts[lang]) and shares[lang] < 1}
+        shares |= {lang: min(1.0, 4 * shares[lang]) for lang in short}
     total = sum(counts.values())
     return {lang: (shared_out([p for _, p in sorted(own)], dictionary_bytes), counts[lang] / total) for lang, own in sorted(texts.items())}
 

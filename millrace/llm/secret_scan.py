@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.sampling import draw_of, least_drawn
 from millrace.session import materialise
 
 # fixed values: the kinds in their order, and their patterns
@@ -124,14 +125,13 @@ def labelled_samples(docs: DataFrame, sample: int = 2000) -> DataFrame:
     number's digests as random strings: in hexadecimal, lower and upper case, in base 64, and in letters and
     digits of either case.
     """
-    draw = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), draw.alias("draw"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), draw_of().alias("draw"))
     # only ids are sorted and gathered; at most twice ``sample`` of them meet the texts again
     holds = F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")
     ids = materialise(rows.select("draw", "doc_id", holds.alias("holds")), "secret-ids")
 
     def least(some: DataFrame, name: str) -> DataFrame:
-        return some.select("draw", "doc_id").orderBy("draw", "doc_id").limit(sample).select("draw", F.lit(name).alias("name"))
+        return least_drawn(some.select("draw", "doc_id"), "draw", ["draw", "doc_id"], sample).select("draw", F.lit(name).alias("name"))
 
     wanted = least(ids, "drawn").union(least(ids.filter("holds"), "holding")).distinct()
     named = wanted.groupBy("draw").agg(F.collect_set("name").alias("names"))

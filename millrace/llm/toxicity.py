@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.sampling import draw_of, least_drawn
 from millrace.llm.words import Cache, begin, widened
+from millrace.session import materialise
 
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5, 6)
@@ -130,8 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1500, window: int = 3)
     a doc_id with two labels counts as toxic.
     """
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    draw = F.md5(F.col("doc_id").cast("string").cast("binary"))
-    parts = [marked.filter(f"toxic {test} 0").orderBy(draw, "doc_id").limit(sample) for test in ("<>", "=")]
+    drawn = materialise(marked.withColumn("draw", draw_of()), "toxic-labels")
+    parts = [least_drawn(drawn.filter(f"toxic {test} 0"), "draw", ["draw", "doc_id"], sample).drop("draw") for test in ("<>", "=")]
     chosen = parts[0].union(parts[1])
     rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from millrace.llm import automaton, bytewords, fingerprints, html_layout, language, mixing, ngram_join, queries, ranges, repetition, secret_scan, token_files, toxicity
+from millrace.llm import automaton, bytewords, fingerprints, html_layout, language, mixing, ngram_join, queries, ranges, repetition, sampling, secret_scan, token_files, toxicity
 from millrace.llm.queries import word_tokenizer
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -250,6 +250,28 @@ def test_first_words_keep_line_ends(spark):
     assert got == ["  a", "  a b", "  a b\n\nc", "  a b\n\nc  dé", "a", "a b", "a b\n\nc", "a b\n\nc  dé"]
 
 
+# samples
+
+
+def test_least_drawn_rows(spark):
+    rows = [(i, hashlib.md5(str(i).encode()).hexdigest()) for i in range(3000)] + [(None, hashlib.md5(b"").hexdigest())] * 40
+    frame = spark.createDataFrame(rows, "doc_id bigint, number string").withColumn("draw", sampling.draw_of())
+    assert frame.filter("draw <> number").count() == 0
+    for k in (1, 50, 1400, 5000):
+        expected = sorted((d, i is not None, i or 0) for i, d in rows)[:k]
+        got = sampling.least_drawn(frame.select("draw", "doc_id").repartition(9), "draw", ["draw", F.col("doc_id").asc_nulls_first()], k).collect()
+        assert sorted((r["draw"], r["doc_id"] is not None, r["doc_id"] or 0) for r in got) == expected
+    assert sampling.wanted_share(10, 5) == 1.0 and sampling.wanted_share(10**6, 300) < 0.001
+
+
+def test_language_sample_is_the_least_drawn(spark):
+    rows = [(i, f"word{i} text", "en" if i % 50 else "de") for i in range(4000)]
+    learned = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(11), documents=40)
+    for lang in ("en", "de"):
+        order = sorted((hashlib.md5(str(i).encode()).hexdigest(), t) for i, t, own in rows if own == lang)
+        assert learned[lang][0] == "\n".join(t for _, t in order[:40]).encode()
+
+
 # language and toxicity
 
 
