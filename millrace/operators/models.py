@@ -9,17 +9,17 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import add_group_stats, attach_row, global_order, top_per_key
-from millrace.session import materialise
+from millrace.session import discard, materialise
 
 # ---- supervised models
 
@@ -173,24 +173,43 @@ def variable_clusters(series: DataFrame, k: int, top: int, seed: int = 7) -> Dat
     return top_per_key(ranked, ["cluster"], [F.desc("own"), F.asc("next"), F.asc("name")], top)
 
 
-def bounded_clusters(series: DataFrame, most: int, seed: int = 7) -> DataFrame:
+def bounded_clusters(series: DataFrame, most: int) -> DataFrame:
     """Clusters split until each has at most ``most`` series; ``(name, cluster)``.
 
-    Each pass splits every cluster that is too large by bisecting k-means. A cluster that the model
-    cannot split (equal vectors) is cut by rank. The number of passes is logarithmic in the names.
+    Each pass splits every cluster that is too large between two of its members that lie far apart (the farthest from its
+    first, and the farthest from that); members go to the nearer one. All clusters are split by the same joins and
+    aggregations, so nothing about them is held on the driver. After twice as many passes as even halves would need, what is
+    still too large (equal vectors, or one outlier at a time) is cut by rank.
     """
-    vectors = materialise(series_vectors(series), "vectors")
-    n =vectors.count()
-    k = max(1, math.ceil(n / most))
-    assigned = vectors.withColumn("cluster", F.lit(0))
-    if k > 1:
-        assigned = BisectingKMeans(k=k, seed=seed, minDivisibleClusterSize=2).fit(vectors).transform(vectors)
-        assigned = assigned.withColumnRenamed("prediction", "cluster")
-    ranked = global_order(assigned.select("cluster", "name"), [F.asc("cluster"), F.asc("name")], "_at")
+    vectors = series_vectors(series).select("name", vector_to_array("features").alias("z"))
+    state = materialise(vectors.withColumn("cluster", F.lit("0")), "clusters")
+    total = state.count()
+
+    def apart(one: str, two: str) -> Column:
+        return F.aggregate(F.zip_with(one, two, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, x: total + x)
+
+    def farthest(members: DataFrame, poles: DataFrame, out: str) -> DataFrame:
+        met = members.join(poles, "cluster")
+        return met.groupBy("cluster").agg(F.max_by("z", F.struct(apart("z", poles.columns[1]), "name")).alias(out))
+
+    for _ in range(2 * math.ceil(math.log2(max(1.0, total / most)))):
+        large = materialise(state.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select("cluster"), "large")
+        if not large.limit(1).count():
+            break
+        split = state.join(large, "cluster")
+        first = split.groupBy("cluster").agg(F.min_by("z", "name").alias("_first"))
+        one = farthest(split, first, "_one")
+        both = one.join(farthest(split, one, "_two"), "cluster")
+        side = F.when(apart("z", "_one") <= apart("z", "_two"), "0").otherwise("1")
+        halves = split.join(both, "cluster").select("name", "z", F.concat("cluster", side).alias("cluster"))
+        after = materialise(state.join(large, "cluster", "left_anti").select("name", "z", "cluster").unionByName(halves), "clusters")
+        discard(state, large)
+        state = after
+    ranked = global_order(state.select("cluster", "name"), [F.asc("cluster"), F.asc("name")], "_at")
     sized = add_group_stats(ranked, ["cluster"], _first=F.min("_at"), _size=F.count(F.lit(1)))
     pieces = F.ceil(F.col("_size") / most)
     part = F.floor((F.col("_at") - F.col("_first")) * pieces / F.col("_size"))
-    return sized.select("name", F.concat_ws(".", F.col("cluster").cast("string"), part.cast("string")).alias("cluster"))
+    return sized.select("name", F.concat_ws(".", F.col("cluster"), part.cast("string")).alias("cluster"))
 
 
 def cluster_quality(series: DataFrame, ks: Sequence[int], seed: int = 7) -> DataFrame:

@@ -92,6 +92,21 @@ def test_silhouettes_by_hand(spark):
     assert math.isclose(got[2], np.mean(scores), rel_tol=1e-6) and got[3] < got[2]
 
 
+def test_bounded_clusters_keep_groups_together(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(6, 60))
+    values = {f"g{i % 6}_{i:02d}": base[i % 6] * (1 + i) + 0.05 * (1 + i) * rng.normal(size=60) for i in range(48)}
+    out = md.bounded_clusters(series(spark, values), 8).collect()
+    members = {}
+    for r in out:
+        members.setdefault(r["cluster"], []).append(r["name"])
+    assert sorted(r["name"] for r in out) == sorted(values) and max(map(len, members.values())) <= 8
+    assert all(len({n[:2] for n in names}) == 1 for names in members.values())
+    equal = md.bounded_clusters(series(spark, {f"s{i}": base[0] for i in range(30)}), 7).groupBy("cluster").count().collect()
+    assert sum(r["count"] for r in equal) == 30 and max(r["count"] for r in equal) <= 7
+    assert md.bounded_clusters(series(spark, {}), 3).count() == 0
+
+
 def test_text_clusters_follow_the_vocabulary(spark):
     rng = np.random.default_rng(3)
     words = [[f"{p}{i}" for i in range(12)] for p in ("red", "green", "blue")]
