@@ -36,7 +36,7 @@ def _joined(spans: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
 def exact_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]], accuracy: int = 10_000) -> dict[str, list[float | None]]:
     """The values at the given 1-based ranks of each numeric column, ascending, nulls left out.
 
-    Ranks outside 1…n give None. The result is one number per wanted rank, so it may come to the driver. NaN sorts
+    Values are compared as doubles. Ranks outside 1…n give None. The result is one number per wanted rank, so it may come to the driver. NaN sorts
     last. All columns share the two passes.
     """
     from pyspark.ml.feature import Bucketizer  # here, so that Python workers need not load Spark ML

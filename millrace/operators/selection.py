@@ -22,9 +22,12 @@ from millrace.functions.stats import chi2_tail, chosen_penalty, descend, f_tail,
 from millrace.operators.ordered import add_group_stats, attach_row, global_order
 from millrace.operators.ranks import exact_ranks
 from millrace.operators.series import difference_order, md5_draw
+from millrace.session import materialise
 
 #: Columns, the target among them, up to which products are plain aggregates.
 FEW = 12
+#: Numbers of block sums that may be gathered and shared with all tasks.
+SHARED = 1 << 26
 #: Numbers of block matrices that a task holds before it hands them on; bounds memory, never results.
 HELD = 1 << 25
 
@@ -243,10 +246,14 @@ def block_sums(df: DataFrame, target: str, features: Sequence[str], blocks: int,
     return summed.groupBy("block").agg(F.flatten(F.transform(ordered, lambda row: row["sums"])).alias("sums"))
 
 
-def gathered_sums(sums: DataFrame) -> DataFrame:
-    """All block sums as one row with an array ordered by block (its size is the number of blocks)."""
-    blocks = F.sort_array(F.collect_list(F.struct("block", "sums")))
-    return sums.agg(F.transform(blocks, lambda b: b["sums"]).alias("all"))
+def shared_sums(sums: DataFrame, size: int):
+    """The block sums, ordered by block, as a broadcast list of arrays; their number is checked before they are gathered."""
+    count = sums.count()
+    if count * size * (size + 1) // 2 > SHARED:
+        raise ValueError(f"{count} blocks of {size} columns exceed {SHARED} numbers: take fewer blocks, or the forms of `wide`")
+    table = sums.orderBy("block").select("sums").toArrow()
+    arrays = [np.asarray(row.values.to_numpy()) for row in table.column("sums").combine_chunks()] if count else []
+    return sums.sparkSession.sparkContext.broadcast(arrays)
 
 
 def unpack_sums(flat: np.ndarray, size: int) -> np.ndarray:
@@ -313,34 +320,56 @@ def lasso_cv(folds: Sequence[np.ndarray], weights: np.ndarray | None = None, one
     return coefs[best], good and bool(converged.all())
 
 
+def clipped_score(coef: np.ndarray) -> np.ndarray:
+    """Coefficients clipped at zero and scaled to [0, 1]."""
+    clipped = np.maximum(coef, 0)
+    span = clipped.max() - clipped.min() if len(clipped) else 0.0
+    return (clipped - clipped.min()) / span if span else np.zeros(len(clipped))
+
+
 def lasso(df: DataFrame, target: str, features: Sequence[str], folds: int = 10, seed: int = 0, one_se: bool = False,
           nonzero: bool = False) -> DataFrame:
     """Cross-validated LASSO coefficients; ``score`` is the coefficient clipped at zero and scaled.
 
-    The fit needs one (columns + 2)² matrix per fold; ``wide.wide_lasso`` is for very many columns. ``nonzero`` keeps
-    only selected columns. ``converged`` is false if a fit of the path was ended before its optimum.
+    A fit needs one (columns + 2)² matrix per fold; the paths of the folds are tasks of their own unless the columns are
+    few. ``wide.wide_lasso`` is for very many columns. ``nonzero`` keeps only selected columns. ``converged`` is false if
+    a fit of a path was ended before its optimum.
     """
-    names, size = list(features), len(features) + 2
-
-    def fit(batches):
-        for pdf in batches:
-            for arrays in pdf["all"]:
-                mats = [unpack_sums(np.asarray(a), size) for a in arrays]
-                coef, converged = lasso_cv(mats, one_se=one_se)
-                coef = coef[1:]
-                clipped = np.maximum(coef, 0)
-                span = clipped.max() - clipped.min()
-                score = (clipped - clipped.min()) / span if span else np.zeros(len(names))
-                yield pd.DataFrame({"name": names, "coefficient": coef, "score": score, "converged": converged})
-
-    by_block = block_sums(df, target, features, folds, seed)
-    if len(names) < FEW:  # a few numbers per fold, which need no task of their own
-        sums = [r["sums"] for r in sorted(by_block.collect(), key=lambda r: r["block"])]
-        found = list(fit([pd.DataFrame({"all": [sums]})])) if sums else []
-        rows = [tuple(r) for pdf in found for r in pdf.itertuples(index=False)]
-        out = df.sparkSession.createDataFrame(rows, "name string, coefficient double, score double, converged boolean")
-        return out.where(F.col("coefficient") != 0) if nonzero else out
-    out = gathered_sums(by_block).mapInPandas(fit, "name string, coefficient double, score double, converged boolean")
+    spark, names, size = df.sparkSession, list(features), len(features) + 2
+    schema = "name string, coefficient double, score double, converged boolean"
+    by_block = materialise(block_sums(df, target, features, folds, seed), "block-sums")
+    shared = shared_sums(by_block, size)
+    if not shared.value:
+        return spark.createDataFrame([], schema)
+
+    def path(fold: int) -> tuple[np.ndarray, np.ndarray, list[float]]:
+        mats = [unpack_sums(a, size) for a in shared.value]
+        total = np.sum(mats, axis=0)
+        held = mats[fold] if fold < len(mats) else np.zeros_like(total)
+        coefs, converged = lasso_fit(total - held, lasso_path(total), np.ones(len(names)))
+        return coefs, converged, [squared_error(held, c) if held[0, 0] else math.nan for c in coefs]
+
+    ids = range(len(shared.value) + 1)
+    if len(names) < FEW:
+        found = [path(fold) for fold in ids]
+    else:
+
+        def fit(batches):
+            for pdf in batches:
+                for fold in pdf["id"].tolist():
+                    coefs, converged, errors = path(fold)
+                    yield pd.DataFrame({"fold": fold, "place": range(len(coefs)), "coef": [c.tolist() for c in coefs], "converged": converged, "error": errors})
+
+        rows = spark.range(0, len(ids), 1, len(ids)).mapInPandas(fit, "fold int, place int, coef array<double>, converged boolean, error double")
+        rows = materialise(rows, "lasso-paths").orderBy("fold", "place").toPandas()  # penalties × folds paths
+        found = [(np.stack(g["coef"].to_numpy()), g["converged"].to_numpy(), g["error"].tolist()) for _, g in rows.groupby("fold")]
+    errors = np.array([errors for _, _, errors in found[:-1] if not math.isnan(errors[0])])
+    best = chosen_penalty(errors, one_se)
+    coefs, converged, _ = found[-1]
+    good = all(c.all() for _, c, _ in found[:-1]) and bool(converged[: best + 1].all())
+    coef = coefs[best][1:]
+    rows = [(n, float(c), float(s), good) for n, c, s in zip(names, coef, clipped_score(coef))]
+    out = spark.createDataFrame(rows, schema)
     return out.where(F.col("coefficient") != 0) if nonzero else out
 
 
@@ -353,14 +382,14 @@ def stability_selection(df: DataFrame, target: str, features: Sequence[str], rou
     a table of ``blocks`` rows. ``converged`` is the share of fits whose whole paths did.
     """
     names, size = list(features), len(features) + 2
-    sums = gathered_sums(block_sums(df, target, features, blocks, seed))
+    shared = shared_sums(materialise(block_sums(df, target, features, blocks, seed), "block-sums"), size)
 
     def fit(batches):
+        mats = shared.value
         for pdf in batches:
             out = []
-            for round_id, arrays in zip(pdf["round"], pdf["all"]):
+            for round_id in pdf["round"].tolist():
                 rng = np.random.default_rng([seed, int(round_id)])
-                mats = [np.asarray(a) for a in arrays]
                 weights = rng.uniform(alpha, 1.0, len(names))
                 order = rng.permutation(len(mats))
                 for half in (order[: len(order) // 2], order[len(order) // 2 :]):
@@ -374,7 +403,7 @@ def stability_selection(df: DataFrame, target: str, features: Sequence[str], rou
 
     spark = df.sparkSession
     todo = spark.range(rounds).withColumnRenamed("id", "round").repartition(min(rounds, 256))
-    fits = attach_row(todo, sums).mapInPandas(fit, "round long, name string, selected double, converged double")
+    fits = todo.mapInPandas(fit, "round long, name string, selected double, converged double")
     return fits.groupBy("name").agg(F.avg("selected").alias("frequency"), F.count(F.lit(1)).alias("fits"), F.avg("converged").alias("converged"))
 
 

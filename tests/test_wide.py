@@ -197,3 +197,19 @@ def test_nearest_texts_against_all_pairs(spark, threshold, cell):
         every = [(-round(sum(w * other.get(t, 0.0) for t, w in own.items()), 7), j) for j, other in vectors.items() if j != doc]
         expected = sorted(x for x in every if -x[0] >= threshold)[:4]
         assert [(round(c, 6), j) for c, j in sorted(got.get(doc, []))] == [(round(c, 6), j) for c, j in expected]
+
+
+def test_lasso_paths_as_tasks_equal_those_on_the_driver(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(4, 400))
+    frame = spark.createDataFrame([tuple(map(float, r)) for r in zip(2 * x[0] - x[1] + 0.2 * rng.normal(size=400), *x)], "y double, a double, b double, c double, d double")
+    plain = {r["name"]: r for r in sl.lasso(frame, "y", ["a", "b", "c", "d"]).collect()}
+    monkeypatch.setattr(sl, "FEW", 2)
+    tasks = {r["name"]: r for r in sl.lasso(frame, "y", ["a", "b", "c", "d"]).collect()}
+    for name, r in plain.items():
+        assert math.isclose(r["coefficient"], tasks[name]["coefficient"], abs_tol=1e-9) and r["converged"] and tasks[name]["converged"]
+    assert plain["a"]["score"] == 1.0 and plain["b"]["score"] == 0.0
+    monkeypatch.setattr(sl, "SHARED", 10)
+    with pytest.raises(ValueError, match="exceed"):
+        sl.lasso(frame, "y", ["a", "b", "c", "d"])
+    assert sl.lasso(frame.limit(0), "y", ["a", "b"]).count() == 0
