@@ -45,7 +45,7 @@ def with_ranges(rows: DataFrame, key: str = "doc_id", text: str = "text") -> tup
     limits: list[tuple[int, float]] = []
     for value, times in sorted(Counter(quantiles).items()):
         limits += [(value, i / times) for i in range(times)]
-        if times > 1:  # the other keys of the interval have a range of their own
+        if times > 1 and value < (1 << 63) - 1:  # the other keys of the interval have a range of their own
             limits.append((value + 1, 0.0))
     turn = F.shiftrightunsigned(F.xxhash64(text), 11) / F.lit(float(1 << 53))
     named = rows.withColumn("turn", turn)
