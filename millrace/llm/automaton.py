@@ -28,7 +28,7 @@ from millrace.llm.token_files import joined
 from millrace.llm.words import Cache, LastingCache, keep_until_other, serving, widened
 
 #: Pieces, and words of pieces, whose ids a process keeps in each of two generations.
-KEPT = 100_000
+KEPT = 200_000
 
 #: White space of the vocabulary's patterns (the Unicode property, spelled out).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
