@@ -472,7 +472,7 @@ def granger_statistics(series: DataFrame, target: str, lags: int = 1, difference
         pdf = pdf.sort_values("date").dropna()
         x, y = (np.diff(pdf[c].to_numpy(float), differences) for c in "xy")
         names = ["name", "causes_target", "caused_by_target"]
-        if len(y) <= 2 * lags + 1:
+        if len(y) <= 3 * lags + 1:  # no spare degrees
             return pd.DataFrame([(pdf["name"].iloc[0] if len(pdf) else None, None, None)], columns=names)
         return pd.DataFrame([(pdf["name"].iloc[0], granger_f(x, y, lags)[0], granger_f(y, x, lags)[0])], columns=names)
 

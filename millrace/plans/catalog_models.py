@@ -168,7 +168,7 @@ def granger_sql(effect: str, cause: str) -> str:
     small = f"var_pop({e}) - covar_pop({e}, {e1}) ** 2 / var_pop({e1})"
     det = f"(var_pop({e1}) * var_pop({c1}) - covar_pop({e1}, {c1}) ** 2)"
     fitted = f"(covar_pop({e}, {e1}) ** 2 * var_pop({c1}) + covar_pop({e}, {c1}) ** 2 * var_pop({e1}) - 2 * covar_pop({e}, {e1}) * covar_pop({e}, {c1}) * covar_pop({e1}, {c1})) / {det}"
-    return f"round((({small}) - (var_pop({e}) - {fitted})) / ((var_pop({e}) - {fitted}) / (count(*) - 3)), 6)"
+    return f"CASE WHEN count(*) > 3 THEN round((({small}) - (var_pop({e}) - {fitted})) / ((var_pop({e}) - {fitted}) / (count(*) - 3)), 6) END"
 
 
 @query(

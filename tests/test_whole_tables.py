@@ -20,7 +20,6 @@ def test_sheet_blocks_hold_every_status_and_year(spark):
     got = sorted(tuple(r) for r in cv.sheet_blocks_of_all_statuses(t).collect())
     nation = {1: 7, 2: 8}
     assert got == sorted((nation[r["o_custkey"]], f"Status {r['o_orderstatus']}", str(r["o_orderdate"].year), f"M{r['o_orderdate'].month}", "1") for r in t.orders.collect())
-    assert sorted(tuple(r) for r in cv.sheet_blocks(t).collect()) == [r for r in got if r[1] != "Status P"]
 
 
 def test_wide_months_hold_every_year(spark):
