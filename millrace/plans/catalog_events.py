@@ -301,13 +301,13 @@ tf AS (SELECT doc_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS
 
 
 def weights(t: Tables):
-    return tm.tf_idf_of_texts(t.documents, "doc_id", n=2, stop=STOP)
+    return tm.tf_idf(tm.bag_of_words(t.documents, "doc_id", n=2, stop=STOP), "doc_id")
 
 
 @query("X02 X05", f"WITH {TFIDF_SQL} SELECT token, count(*) AS documents, round(max(weight), 9) AS largest FROM tf GROUP BY token")
 def term_weights(t: Tables):
-    """Weights from a bag that is there already."""
-    out = tm.tf_idf(tm.bag_of_words(t.documents, "doc_id", n=2, stop=STOP), "doc_id")
+    """Weights by the form that never writes the bag of the corpus."""
+    out = tm.tf_idf_of_texts(t.documents, "doc_id", n=2, stop=STOP)
     return out.groupBy("token").agg(F.count(F.lit(1)).alias("documents"), F.round(F.max("weight"), 9).alias("largest"))
 
 
@@ -347,10 +347,10 @@ def source_centroid_cosines(t: Tables):
 @query(
     "X03",
     f"""WITH {TFIDF_SQL}, pr AS (SELECT a.doc_id, b.doc_id AS other, round(sum(a.weight * b.weight), 7) AS cosine FROM tf a JOIN tf b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY ALL)
-    SELECT doc_id, other, cosine FROM pr WHERE cosine >= 0.6 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, other) <= 5""",
+    SELECT doc_id, other, cosine FROM pr WHERE cosine >= 0.9 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, other) <= 5""",
 )
 def nearest_documents(t: Tables):
-    return tm.nearest_texts(weights(t), "doc_id", threshold=0.6, n=5)
+    return tm.nearest_texts(weights(t), "doc_id", threshold=0.9, n=5)
 
 
 @query("X04 X02")
