@@ -23,6 +23,8 @@ from millrace.session import materialise
 MATRIX = 1 << 26
 #: Columns whose gradient is computed together.
 BLOCK = 4096
+#: Columns that come into play at a time; bounds the cross-product matrix of a fit, never results.
+PLAY = 1024
 
 
 # ---- oblique clusters
@@ -166,14 +168,22 @@ def oblique_clusters(series: DataFrame, most: int, second_value: float = 1.0, ro
 # ---- LASSO over very many columns
 
 
+def _strongest(columns: np.ndarray, slopes: np.ndarray) -> np.ndarray:
+    """The listed columns, or if they are many those of largest gradient, only the first of several with the same one."""
+    if len(columns) <= PLAY:
+        return columns
+    _, first = np.unique(-np.round(np.abs(slopes[columns]), 9), return_index=True)
+    return np.sort(columns[first[:PLAY]])
+
+
 def lasso_path_fit(
     x: np.ndarray, y: np.ndarray, penalties: Sequence[float], weights: np.ndarray | None = None, sweeps: int = 1000
 ) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, int]:
     """LASSO of ``y`` on the rows of ``x`` (columns of the model) for falling penalties.
 
     The sequential strong rule leaves out columns whose gradient at the last fit is below 2 λ − λ_last; the fit runs on the
-    others; then the optimality conditions of all columns are checked, block by block, and violators come back until
-    there is none. Only the columns in play have a cross-product matrix. Returns per penalty (columns, slopes in the
+    others; then the optimality conditions of all columns are checked, block by block, and violators come back, the
+    strongest first and ``PLAY`` at a time, until there is none. Only the columns in play have a cross-product matrix. Returns per penalty (columns, slopes in the
     units of x and y), whether each fit converged, and the most columns in play.
     """
     size = x.shape[1]
@@ -195,7 +205,7 @@ def lasso_path_fit(
     slopes = gradient(target)
     last, most, out, converged = max(float(np.abs(slopes).max(initial=0.0)), 1e-300), 0, [], []
     for penalty in penalties:
-        wanted = np.flatnonzero(np.abs(slopes) >= 2 * penalty - last)
+        wanted = _strongest(np.flatnonzero(np.abs(slopes) >= 2 * penalty - last), slopes)
         while True:
             old = dict(zip(held.tolist(), beta.tolist()))
             held = np.union1d(np.union1d(wanted, held[beta != 0]), np.empty(0, np.int64)).astype(np.int64)
@@ -208,7 +218,7 @@ def lasso_path_fit(
             most = max(most, len(held))
             if not missing.any():
                 break
-            wanted = np.union1d(held, np.flatnonzero(missing))
+            wanted = np.union1d(held, _strongest(np.flatnonzero(missing), slopes))
         on = beta != 0
         out.append((held[on], beta[on] * scale[held[on]] * spread))
         converged.append(done)
@@ -251,7 +261,16 @@ class Matrix:
         table = filled.orderBy("name").toArrow()
         self.names = table.column("name").to_pylist()
         x = _matrix(table.column("values").combine_chunks()) if self.names else np.zeros((0, len(dates)))
-        self.shared = series.sparkSession.sparkContext.broadcast((self.names, np.ascontiguousarray(x), np.array([r["y"] for r in dates])))
+        self.values = np.ascontiguousarray(x), np.array([r["y"] for r in dates])
+        self.spark = series.sparkSession
+
+    @property
+    def shared(self):
+        return self.spark.sparkContext.broadcast((self.names, *self.values))
+
+    @property
+    def unnamed(self):
+        return self.spark.sparkContext.broadcast(self.values)
 
 
 def wide_lasso(series: DataFrame, target: str, folds: int = 10, one_se: bool = False, most: int = MATRIX) -> DataFrame:
@@ -264,10 +283,10 @@ def wide_lasso(series: DataFrame, target: str, folds: int = 10, one_se: bool = F
     spark, matrix = series.sparkSession, Matrix(series, target, most)
     if not matrix.names:
         return spark.createDataFrame([], "name string, coefficient double, score double, converged boolean")
-    shared = matrix.shared
+    shared = matrix.unnamed
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _, x, y = shared.value
+        x, y = shared.value
         penalties = penalty_path(x, y)
         for pdf in batches:
             for fold in pdf["id"].tolist():
