@@ -19,7 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import add_group_stats, attach_row, global_order, top_per_key
-from millrace.session import discard, materialise
+from millrace.session import discard, in_parts, materialise
+
+#: Rows of a forest's part: a row takes some hundred bytes with its share in every tree.
+TREE_ROWS = 500_000
 
 # ---- supervised models
 
@@ -91,7 +94,7 @@ def forest_grid(train: DataFrame, features: Sequence[str], label: str, depths: S
 
 def forest_importance(df: DataFrame, target: str, features: Sequence[str], trees: int = 50, depth: int = 5) -> DataFrame:
     """Impurity importance per column, ranked, with its log scaled to [0, 1]."""
-    model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=7).fit(assembled(df, features, target))
+    model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=7).fit(in_parts(assembled(df, features, target).select("features", "label"), TREE_ROWS))
     raw = model.featureImportances.toArray()
     logs = np.array([math.log(v) if v > 0 else 0.0 for v in raw])
     span = logs.max() - logs.min()
@@ -108,7 +111,7 @@ def permutation_importance(df: DataFrame, target: str, features: Sequence[str],
     other is permuted, so all columns share one shuffle and the shuffled copies only pass through the model.
     """
     ready = assembled(df.select(target, *features), features, target)
-    model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=7).fit(ready)
+    model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=7).fit(in_parts(ready.select("features", "label"), TREE_ROWS))
     names = list(features)
     rows = df.select(target, *features).na.drop("any").select(*[F.col(c).cast("double").alias(c) for c in (target, *features)])
     mixed = rows.withColumn("_hash", F.xxhash64(F.lit(seed), *rows.columns)).repartition("_hash").sortWithinPartitions("_hash")
