@@ -24,6 +24,10 @@ def late(t: Tables, path: str) -> str:
     return st.lateness(t.spark.read.schema(EVENT_SCHEMA).parquet(path), "ts")
 
 
+#: Events of a file of the streams that land in more files the more events there are.
+FILE_ROWS = 500_000
+
+
 def landed(t: Tables, name: str, files: int = 3) -> str:
     """Events written as several files, in time order within the folder."""
     path = scratch_path(t.spark, name)
@@ -31,8 +35,8 @@ def landed(t: Tables, name: str, files: int = 3) -> str:
     return path
 
 
-def event_stream(t: Tables, path: str):
-    return t.spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+def event_stream(t: Tables, path: str, files: int = 1):
+    return t.spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query("I01", "SELECT event_id, value FROM events WHERE event_id > (SELECT max(event_id) FROM events WHERE event_id % 2 = 0 AND ts < TIMESTAMP '2024-01-20')")
@@ -158,8 +162,9 @@ def corrected_sessions(t: Tables):
     """Events whose older half lands last; sessions are state for one day, later rows are joined to theirs afterwards."""
     out, marks, source = (scratch_path(t.spark, n) for n in ("stretches", "marks", "halves"))
     rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    files = max(2, -(-rows.count() // FILE_ROWS))  # of a half
     for rest in (1, 0):
-        rows.where(F.dayofmonth("ts") % 2 == rest).repartitionByRange(2, "ts").write.mode("append").parquet(source)
+        rows.where(F.dayofmonth("ts") % 2 == rest).repartitionByRange(files, "ts").write.mode("append").parquet(source)
     # a last row of each user, three days beyond all events, closes what is open
     latest = rows.agg(F.max("ts")).first()[0]
     ends = rows.select("user_id").distinct().select(
@@ -170,7 +175,8 @@ def corrected_sessions(t: Tables):
         for part in (None, ends):
             if part is not None:
                 part.write.mode("append").parquet(source)
-            found = sf.session_stretches(event_stream(t, source), "ts", "user_id", gap, 24 * sf.HOUR, F.col("event_id") >= 0)
+            # a batch a half, however many files it takes: every batch visits the state of its users
+            found = sf.session_stretches(event_stream(t, source, files), "ts", "user_id", gap, 24 * sf.HOUR, F.col("event_id") >= 0)
             inc.write_updates(found, out, marks, mode="append")
     sessions = sf.whole_sessions(t.spark.read.parquet(out), gap)
     start, last = (F.timestamp_millis(c).cast("timestamp_ntz") for c in ("first", "last"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -117,38 +117,47 @@ def joined_stretches(stretches: list[tuple[int, int, int]], gap: int) -> list[tu
 
 class GapSessions(StatefulProcessor):
     """Sessions of one key, ended by a gap. Only sessions that a row within ``delay`` of the newest one could still reach are
-    state; the others are emitted. A later row makes a stretch of its own, emitted at once."""
+    state; the others are emitted. A later row makes a stretch of its own, emitted at once.
+
+    What a key holds is one value, read once and written once a batch: with many keys of few rows these calls are the work.
+    """
 
     def __init__(self, gap: int, delay: int):
         self.gap, self.delay = gap, delay
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getMapState("open", "first long", "last long, steps long")
-        self.newest = handle.getValueState("newest", "at long")
+        self.held = handle.getValueState("held", "newest long, firsts array<long>, lasts array<long>, steps array<long>")
+
+    def ended(self, rows: Iterable[tuple[int, bool]]) -> list[tuple[int, int, int]]:
+        """Take the times of a key's rows, with whether they count, into its state; the stretches that leave it."""
+        newest, *held = self.held.get() or (-(1 << 62), [], [], [])
+        found = list(zip(*held))
+        for at, counts in rows:
+            newest = max(newest, at)
+            if counts:
+                found.append((at, at, 1))
+        joined = joined_stretches(found, self.gap)
+        over = [s[1] + self.gap <= newest - self.delay for s in joined]
+        kept = [s for s, o in zip(joined, over) if not o]
+        self.held.update((newest, *([s[i] for s in kept] for i in range(3))))
+        return [s for s, o in zip(joined, over) if o]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        newest = self.newest.get()[0] if self.newest.exists() else -(1 << 62)
-        held = [(first[0], *tuple(rest)) for first, rest in self.open.iterator()]
-        for first, _, _ in held:
-            self.open.removeKey((first,))
-        found = list(held)
-        for pdf in rows:
-            newest = max(newest, int(pdf["at"].max()))
-            counted = pdf[pdf["counts"]]
-            found += [(at, at, 1) for at in counted["at"].tolist()]
-        out = []
-        for first, last, steps in joined_stretches(found, self.gap):
-            if last + self.gap <= newest - self.delay:
-                out.append((*key, first, last, steps))
-            else:
-                self.open.updateValue((first,), (last, steps))
-        self.newest.update((newest,))
-        yield pd.DataFrame(out, columns=["key", "first", "last", "steps"])
+        times = [pair for pdf in rows for pair in zip(pdf["at"].tolist(), pdf["counts"].tolist())]
+        yield pd.DataFrame([(*key, *s) for s in self.ended(times)], columns=["key", "first", "last", "steps"])
 
     def close(self) -> None:
         pass
 
 
+class GapSessionRows(GapSessions):
+    """The same from rows to rows: a frame for each key takes longer to build than few rows to join."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for first, last, steps in self.ended((row.at, row.counts) for row in rows):
+            yield Row(key=key[0], first=first, last=last, steps=steps)
+
+
 def session_stretches(events: DataFrame, ts: str, key: str, gap: int, delay: int, counts: Column | None = None) -> DataFrame:
     """Stretches of sessions ``(key, first, last, steps)`` in milliseconds; :func:`whole_sessions` puts them together.
 
@@ -157,7 +166,7 @@ def session_stretches(events: DataFrame, ts: str, key: str, gap: int, delay: int
     flag = F.lit(True) if counts is None else counts
     rows = events.select(F.col(key).cast("string").alias("key"), F.unix_millis(ts).alias("at"), flag.alias("counts"))
     schema = "key string, first long, last long, steps long"
-    return rows.groupBy("key").transformWithStateInPandas(GapSessions(gap, delay), schema, "Append", "None")
+    return rows.groupBy("key").transformWithState(GapSessionRows(gap, delay), schema, "Append", "None")
 
 
 def whole_sessions(stretches: DataFrame, gap: int) -> DataFrame:
