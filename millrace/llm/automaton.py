@@ -15,20 +15,28 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bytewords import slices_of
-from millrace.llm.token_files import joined
 from millrace.llm.words import Cache, LastingCache, keep_until_other, serving, widened
 
-#: Pieces, and words of pieces, whose ids a process keeps in each of two generations.
-KEPT = 200_000
+#: Pieces whose ids a process keeps, those used last; before they are sorted out there may be half as many more.
+KEPT = 300_000
+
+#: Words of pieces whose ids a process keeps in each of two generations.
+KEPT_WORDS = 20_000
+
+#: Longer pieces and words are encoded each time: texts without spaces are pieces of any length.
+KEPT_CHARS = 64
 
 #: White space of the vocabulary's patterns (the Unicode property, spelled out).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -41,18 +49,27 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+def _without_ends(table: dict) -> None:
+    """Put the token itself in place of every nested table that holds nothing else: most do, and each takes 184 bytes."""
+    for symbol, nested in table.items():
+        if nested.__class__ is dict:
+            if len(nested) == 1 and "" in nested:
+                table[symbol] = nested[""]
+            else:
+                _without_ends(nested)
+
+
 class MergeAutomaton:
     """The states and arcs of a vocabulary's merges."""
 
     def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], end: str = ""):
         self.vocabulary = vocabulary
         self.end = end
-        #: number of the gadget that made a token; base symbols are there from the start
-        self.born: dict[int, int] = {}
-        self.first: dict[int, int] = {}
-        self.last: dict[int, int] = {}
-        #: (label, missing arc) -> number of the gadget that took the arc away
-        self.cut: dict[tuple[int, int], int] = {}
+        self.size = max(vocabulary.values(), default=0) + 1
+        #: by token: number of the gadget that made it, and its parts; base symbols are there from the start and have -1
+        self.born, self.first, self.last = (array("i", [-1]) * self.size for _ in range(3))
+        #: label * size + missing arc -> number of the gadget that took the arc away
+        self.cut: dict[int, int] = {}
         self.states = 1
         for number, (left, right) in enumerate(merges):
             self._gadget(number, vocabulary[left], vocabulary[right], vocabulary[left + right])
@@ -60,42 +77,44 @@ class MergeAutomaton:
         #: arcs looked up so far, by label
         self._arcs = Cache(lambda label: {}, len(vocabulary))
         self._asked = 0
-        #: tokens that some path uses, spelled backwards, as nested tables; the token itself stands under ""
+        #: tokens that some path uses, spelled backwards, as nested tables; the token itself stands under "", or alone where nothing follows
         self._inner: dict = {}
         self._final: dict = {}
         for token, number in vocabulary.items():
             closing = bool(end) and token.endswith(end)
             spelled = token[: -len(end)] if closing else token
-            if number not in self.born and len(spelled) > 1:
+            if self.born[number] < 0 and len(spelled) > 1:
                 continue
             for table in [self._final] if closing else [self._inner] if end else [self._inner, self._final]:
                 for symbol in reversed(spelled):
                     table = table.setdefault(symbol, {})
                 table[""] = number
+        for table in (self._inner, self._final):
+            _without_ends(table)
 
     def _gadget(self, number: int, u: int, v: int, w: int) -> None:
-        if w in self.born or not self._has_arc(u, v, number):
+        if self.born[w] >= 0 or not self._has_arc(u, v, number):
             return  # no path has u before v any more: the merge never applies
         self.born[w], self.first[w], self.last[w] = number, u, v
-        self.cut[u, v] = number
+        self.cut[u * self.size + v] = number
         self.states += 1
 
-    def _has_arc(self, label: int | None, arc: int, now: int) -> bool:
+    def _has_arc(self, label: int, arc: int, now: int) -> bool:
         """Whether the state that ``label`` leads to after ``now`` gadgets has the arc.
 
         The state's missing arcs are those cut from ``label`` itself, and those cut from its right parts
         before they passed their state on. An arc is there if at its birth its left part was, and so on; a
         gadget of two equal parts cuts before it adds.
         """
-        while label is not None:
+        while label >= 0:
             part, until = arc, now
-            while part is not None:
-                cut = self.cut.get((label, part))
+            while part >= 0:
+                cut = self.cut.get(label * self.size + part)
                 if cut is not None and cut < now and (part == arc or cut <= until):
                     return False
-                until = self.born.get(part)
-                part = self.first.get(part)
-            now, label = min(now, self.born.get(label, -1)), self.last.get(label)
+                until = self.born[part]
+                part = self.first[part]
+            now, label = min(now, self.born[label]), self.last[label]
         return True
 
     def _leads(self, label: int, arc: int) -> bool:
@@ -119,6 +138,10 @@ class MergeAutomaton:
                 table = table.get(symbols[start])
                 if table is None:
                     break
+                if table.__class__ is int:
+                    if not start or last[start] is not None:
+                        ending.append((start, table))
+                    break
                 token = table.get("")
                 if token is not None and (not start or last[start] is not None):
                     ending.append((start, token))
@@ -141,6 +164,41 @@ class MergeAutomaton:
         return out[::-1]
 
 
+class KeptCodes:
+    """Codes of the pieces used last, in Arrow columns: a small part of the memory that a dict of them takes."""
+
+    def __init__(self, make: Callable[[str], bytes], entries: int, chars: int = KEPT_CHARS):
+        self.make, self.entries, self.chars = make, entries, chars
+        self.clear()
+
+    def clear(self) -> None:
+        self.pieces, self.codes = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        #: number of the call that used each piece last
+        self.used, self.calls = np.empty(0, np.int64), 0
+
+    def of(self, pieces: pa.Array) -> pa.Array:
+        """The code of each of some distinct pieces."""
+        self.calls += 1
+        held = pc.index_in(pieces, value_set=self.pieces)
+        new = pieces.filter(held.is_null())
+        made = pa.array(map(self.make, new.to_pylist()), pa.large_binary(), size=len(new))
+        at = held.fill_null(-1).to_numpy().astype(np.int64)
+        old = at >= 0
+        self.used[at[old]] = self.calls
+        at[~old] = len(self.pieces) + np.arange(len(new))
+        found = pa.concat_arrays([self.codes, made])
+        short = pc.less_equal(pc.utf8_length(new), self.chars)
+        self._keep(new.filter(short), made.filter(short))
+        return found.take(pa.array(at))
+
+    def _keep(self, pieces: pa.Array, codes: pa.Array) -> None:
+        self.pieces, self.codes = pa.concat_arrays([self.pieces, pieces]), pa.concat_arrays([self.codes, codes])
+        self.used = np.r_[self.used, np.full(len(pieces), self.calls)]
+        if len(self.used) > self.entries * 3 // 2:
+            last = pa.array(np.sort(np.argpartition(self.used, -self.entries)[-self.entries :]))
+            self.pieces, self.codes, self.used = self.pieces.take(last), self.codes.take(last), self.used[last.to_numpy()]
+
+
 class WordTokenizer:
     """Encoder and decoder of a word-end BPE file: normalise, split, and run the automaton on each word."""
 
@@ -158,20 +216,27 @@ class WordTokenizer:
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.marked = all("<" in x for x in self.added)
         self.symbols = byte_symbols()
-        self._of_word = LastingCache(lambda word: np.array(self.automaton.encode("".join([self.symbols[b] for b in word.encode()])), "<u4").tobytes(), KEPT)
-        self._of_chunk = LastingCache(self._encode_chunk, KEPT)
+        self._of_word = LastingCache(self._encode_word, KEPT_WORDS)
+        self._of_chunk = KeptCodes(self._encode_chunk, KEPT)
+
+    def _encode_word(self, word: str) -> bytes:
+        return array("I", self.automaton.encode("".join([self.symbols[b] for b in word.encode()]))).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return self._of_word[word] if len(word) <= KEPT_CHARS else self._encode_word(word)
 
     def _encode_piece(self, text: str) -> bytes:
         if text.isascii():
             text = text.lower()
             if text.isalpha():
-                return self._of_word[text]
+                return self._word(text)
         else:
             text = unicodedata.normalize("NFC", text)
             text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
-        return b"".join([self._of_word[word] for word in self.words.findall(text)])
+        return b"".join([self._word(word) for word in self.words.findall(text)])
 
     def _encode_chunk(self, chunk: str) -> bytes:
+        self._of_word.trim()
         if "<" not in chunk and self.marked:
             return self._encode_piece(chunk)
         ids, at = [], 0
@@ -182,14 +247,19 @@ class WordTokenizer:
         return b"".join(ids) + self._encode_piece(chunk[at:])
 
     def encode(self, text: str) -> np.ndarray:
-        return self.encode_all([text])[0]
+        return self.encode_all(pa.array([text], pa.large_string()))[0]
 
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        self.trim()
-        data, places = joined(texts, lambda some: [self._of_chunk[x] for x in some])
-        ids, places = data.view("<u4"), places // 4
-        return [ids[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts one after the other, and where each text begins and ends; null texts have none.
+
+        The distinct pieces between spaces and line ends are encoded once: no token spans them.
+        """
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), "\n", " "), " ")
+        pieces = split.flatten().dictionary_encode()
+        taken = self._of_chunk.of(pieces.dictionary).take(pieces.indices)
+        _, offsets, data = taken.buffers()
+        places = np.frombuffer(offsets, np.int64)[: len(taken) + 1][split.offsets.to_numpy()]
+        return np.frombuffer(data, "<u4") if data else np.empty(0, "<u4"), places // 4
 
     def decode(self, ids: np.ndarray) -> str:
         """Labels of the arcs in order, as the file's missing decoder joins them; unknown ids emit nothing."""
@@ -198,10 +268,6 @@ class WordTokenizer:
         except KeyError:
             return " ".join([self.labels[i] for i in ids.tolist() if i in self.labels])
 
-    def trim(self) -> None:
-        self._of_word.trim()
-        self._of_chunk.trim()
-
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
 keep_until_other(_TOKENIZERS.clear)
@@ -216,18 +282,13 @@ def _tokenizer(content) -> WordTokenizer:
     return _TOKENIZERS[key]
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.empty(0, np.uint32)]).astype(np.int32)))
-
-
-def encode_and_decode(docs: DataFrame, tokenizer: str, slice_bytes: int = 2 << 20) -> DataFrame:
+def encode_and_decode(docs: DataFrame, tokenizer: str, slice_bytes: int = 1 << 20) -> DataFrame:
     """``docs`` with ``ids array<int>`` and ``decoded string`` added, for every row.
 
     Null and empty texts have no ids and decode to the empty text. Columns of ``docs`` named ``ids`` or
     ``decoded`` are replaced; all others pass unchanged. Words repeat, so a process keeps the ids of the
-    pieces it has seen lately; the kept pieces are bounded in number. ``slice_bytes`` bounds the text that a
-    task has encoded at a time.
+    pieces it has seen lately; the kept pieces are bounded in number and length. ``slice_bytes`` bounds the text
+    that a task has encoded at a time.
     """
     with open(tokenizer, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -237,9 +298,12 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, slice_bytes: int = 2 << 2
         coder = _tokenizer(shared)
         for batch in batches:
             for part in slices_of(batch, "text", slice_bytes):
-                ids = coder.encode_all([x or "" for x in part.column("text").to_pylist()])
-                columns = [*part.columns, _lists(ids), pa.array([coder.decode(x) for x in ids], pa.string())]
+                ids, ends = coder.encode_all(part.column("text"))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                decoded = [coder.decode(ids[a:b]) for a, b in pairwise(ends.tolist())]
+                columns = [*part.columns, lists, pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "ids", "decoded"])
+                pa.default_memory_pool().release_unused()
 
     return widened(kept, serving("automaton", run), "ids array<int>, decoded string")
 
